@@ -99,5 +99,150 @@ SQL["scd1_merge_untouched_partitions"] = _with(
 ) + "select * from m"
 
 
+SQL["scd1_multi_part"] = _with(
+    FEED,
+    landing("bl", batch_between("20240101000000", "20240120000000"), BASE_RUN_TS),
+    prepared("b", "bl", date=True),
+    landing("dl", DELTA_WHERE, DELTA_RUN_TS),
+    prepared("d", "dl", date=True),
+    merged("m", "d", "b", ["part_1", "part_2", "part_3"]),
+) + "select * from m"
+
+
+def replaced(name: str, base: str, delta: str, merge: str) -> str:
+    return f"""{name} as (
+  select * from {base} where not exists (select 1 from {delta} where {delta}.part_1 is not distinct from {base}.part_1)
+  union all select * from {merge})"""
+
+
+SQL["scd1_two_batches"] = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("d1l", "batchno = '20240120000000' and event_type in ('click', 'view')", DELTA_RUN_TS),
+    prepared("d1", "d1l"),
+    merged("m1", "d1", "b", ["part_1"]),
+    replaced("s1", "b", "d1", "m1"),
+    landing("d2l", "batchno = '20240121000000'", SECOND_RUN_TS),
+    prepared("d2", "d2l"),
+    merged("m2", "d2", "s1", ["part_1"]),
+    replaced("s2", "s1", "d2", "m2"),
+) + "select * from s2"
+
+SQL["cast_all_string"] = """
+select event_id::varchar as event_id, ts::varchar as ts, user_id::varchar as user_id,
+       event_type, value::varchar as value, props
+from events"""
+
+SQL["row_key"] = _with(FEED) + """
+select pos as trail_file_pos,
+       regexp_replace(concat_ws('', user_id::varchar, current_ts), '[-:.,/ ]', '', 'g') as row_key
+from feed"""
+
+SQL["part_prefix"] = _with(FEED) + """
+select pos as trail_file_pos, substring(event_type, 1, 3) as part_1 from feed"""
+
+SQL["part_dates"] = _with(FEED) + """
+select pos as trail_file_pos,
+       year(try_cast(current_ts as timestamp))::int as part_1,
+       month(try_cast(current_ts as timestamp))::int as part_2,
+       try_cast(current_ts as timestamp)::date as part_3
+from feed"""
+
+SQL["touched_partitions"] = _with(
+    FEED, landing("dl", DELTA_WHERE, DELTA_RUN_TS), prepared("d", "dl")
+) + "select distinct part_1 from d"
+
+SQL["touched_partitions_dates"] = _with(
+    FEED, landing("dl", DELTA_WHERE, DELTA_RUN_TS), prepared("d", "dl", date=True)
+) + "select distinct part_1, part_2, part_3 from d"
+
+HOURLY = """hourly as (
+  select distinct strftime(date_trunc('hour', ts), '%Y%m%d%H%M%S') as batchno from events)"""
+
+SQL["batches_closed"] = _with(HOURLY) + """
+select batchno from hourly where batchno >= '20240110000000' and batchno <= '20240112230000'"""
+
+SQL["batches_open"] = _with(HOURLY) + """
+select batchno from hourly where batchno >= '20240125000000'"""
+
+SQL["batches_after_mark"] = _with(FEED, HOURLY) + f"""
+select batchno from hourly
+where batchno > (select max(batchno) from feed where {BASE_WHERE})"""
+
+SQL["batch_id_valid"] = """
+with c as (
+  select event_id, event_type,
+         strftime(ts, '%Y%m') || lpad((user_id % 40)::varchar, 2, '0') || strftime(ts, '%H%M%S') as c14
+  from events),
+k as (
+  select event_id,
+         case when event_type = 'click' then substring(c14, 1, 13)
+              when event_type = 'error' then substring(c14, 1, 13) || 'x'
+              else c14 end as candidate
+  from c)
+select event_id, candidate,
+       coalesce(strftime(try_strptime(candidate, '%Y%m%d%H%M%S'), '%Y%m%d%H%M%S') = candidate, false) as is_valid
+from k"""
+
+SYNC_LOG = """sync_log as (
+  select 'events_app' as app_name, 'events' as table_name,
+         epoch(date_trunc('hour', ts))::bigint::varchar as batch_no,
+         case event_type when 'signup' then 'file_sync' when 'click' then 'partition_sync'
+                         when 'error' then 'batch_deleted' end as activity_type,
+         ts as event_ts
+  from events where event_type in ('signup', 'click', 'error'))"""
+
+VERSIONS = "versions as (select distinct epoch(date_trunc('hour', ts))::bigint as t from events)"
+
+PENDING = """pending as (
+  select t, count(*) over ()::bigint as n_pending,
+         case when count(*) over () = 1 then 'publish' else 'merge_all' end as action
+  from versions
+  where t > (select coalesce(max(batch_no), '0') from sync_log
+             where app_name = 'events_app' and table_name = 'events' and activity_type = 'file_sync'
+               and event_ts < timestamp '2024-01-29 00:00:00')::bigint)"""
+
+CANDIDATES = """cand as (
+  select batch_no,
+         sum(case when activity_type = 'file_sync' then 1 else 0 end)::bigint as file_sync,
+         sum(case when activity_type = 'partition_sync' then 1 else 0 end)::bigint as part_sync,
+         sum(case when activity_type = 'batch_deleted' then 1 else 0 end)::bigint as batch_del
+  from sync_log where app_name = 'events_app' and table_name = 'events'
+  group by batch_no)"""
+
+SQL["high_water_mark"] = _with(SYNC_LOG) + """
+select activity_type, max(batch_no) as mark from sync_log group by activity_type"""
+
+SQL["pending_versions"] = _with(SYNC_LOG, VERSIONS, PENDING) + "select * from pending"
+
+SQL["retention_candidates"] = _with(SYNC_LOG, CANDIDATES) + """
+select * from cand where file_sync > 0 and batch_del = 0 and batch_no <> '0'"""
+
+SQL["audit_rows"] = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("dl", DELTA_WHERE, DELTA_RUN_TS),
+    prepared("d", "dl"),
+    merged("m", "d", "b", ["part_1"]),
+) + f"""
+select 'events_app' as app_name, 'events' as table_name, batchno as batch_no,
+       timestamp '{DELTA_RUN_TS}' as process_start_time, timestamp '{SECOND_RUN_TS}' as process_end_time,
+       (select count(*) from m)::bigint as record_count
+from (select distinct batchno from feed where {DELTA_WHERE})"""
+
+SQL["sync_rows"] = _with(SYNC_LOG, VERSIONS, PENDING, CANDIDATES) + f"""
+select 'events_app' as app_name, 'events' as table_name, t::varchar as batch_no,
+       'file_sync' as activity_type, timestamp '{DELTA_RUN_TS}' as file_sync_time,
+       null::timestamp as partition_sync_time, null::timestamp as file_delete_time,
+       n_pending as record_count
+from pending
+union all
+select 'events_app', 'events', batch_no, 'batch_deleted', null::timestamp, null::timestamp,
+       timestamp '{SECOND_RUN_TS}', null::bigint
+from cand where file_sync > 0 and batch_del = 0 and batch_no <> '0'"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

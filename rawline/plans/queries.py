@@ -11,9 +11,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.batches import batch_predicate
+from ..functions.batch_ids import is_valid_batch_id
+from ..functions.columns import as_date, cast_all, clean_key, prefix3
+from ..operators.audit import app_status_rows, sync_rows
+from ..operators.batches import batch_predicate, mark_value, select_batches
 from ..operators.dedupe import latest_in_delta
-from ..operators.scd import prepare_delta, prepare_landing, scd1_merge
+from ..operators.publish import (
+    BATCH_DELETED,
+    FILE_SYNC,
+    pending_with_decision,
+    retention_candidates,
+    sync_mark,
+)
+from ..operators.scd import (
+    apply_merge,
+    prepare_delta,
+    prepare_landing,
+    scd1_merge,
+    touched_partitions,
+)
 from . import feeds as fd
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -68,9 +84,174 @@ def scd1_merge_untouched_partitions(spark: SparkSession, sf_dir: str) -> DataFra
     return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"])
 
 
+DATE_PARTS = ["part_1", "part_2", "part_3"]
+
+
+@query
+def scd1_multi_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 on a date-partitioned table (part_1 year, part_2 month, part_3
+    date of kafka_ts). The delta replays batch 2024-01-20, already in the
+    snapshot: replayed rows tie with the snapshot and the snapshot row stays."""
+    base = snapshot_before(spark, sf_dir, "20240120000000", fd.FEED_DATE_RULES, date=True)
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, rules=fd.FEED_DATE_RULES, date=True)
+    return scd1_merge(delta, base, fd.FEED_KEYS, DATE_PARTS)
+
+
+@query
+def scd1_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 run twice with a publish in between; the whole snapshot after run 2."""
+    snap0 = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
+    d1 = delta_of(spark, sf_dir, "20240120000000", "20240120000000", types=("click", "view"))
+    snap1 = apply_merge(snap0, scd1_merge(d1, snap0, fd.FEED_KEYS, ["part_1"]), touched_partitions(d1, ["part_1"]), ["part_1"])
+    d2 = delta_of(spark, sf_dir, "20240121000000", "20240121000000", run_ts=fd.SECOND_RUN_TS)
+    return apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
+
+
+@query
+def cast_all_string(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of events to text, nulls kept."""
+    return cast_all(fd.table(spark, sf_dir, "events"), "string")
+
+
+def _landing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cast_all(prepare_landing(fd.landing_feed(spark, sf_dir), fd.FEED_SELECT, fd.DELTA_RUN_TS))
+
+
+@query
+def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10a over every landing row."""
+    df = _landing_text(spark, sf_dir)
+    return df.select("trail_file_pos", clean_key(["user_id", "kafka_ts"]).alias("row_key"))
+
+
+@query
+def part_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10b over every landing row."""
+    df = _landing_text(spark, sf_dir)
+    return df.select("trail_file_pos", prefix3("event_type").alias("part_1"))
+
+
+@query
+def part_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10c-e over every landing row."""
+    df = _landing_text(spark, sf_dir)
+    return df.select(
+        "trail_file_pos",
+        F.year(as_date("kafka_ts")).alias("part_1"),
+        F.month(as_date("kafka_ts")).alias("part_2"),
+        as_date("kafka_ts").alias("part_3"),
+    )
+
+
+@query
+def touched_partitions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: distinct partition of the flagship delta."""
+    return touched_partitions(delta_of(spark, sf_dir, *DELTA_BATCHES), ["part_1"])
+
+
+@query
+def touched_partitions_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (year, month, date) of a date-partitioned delta."""
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, rules=fd.FEED_DATE_RULES, date=True)
+    return touched_partitions(delta, DATE_PARTS)
+
+
+@query
+def batches_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed range of landing batches."""
+    return select_batches(fd.hourly_batch_ids(spark, sf_dir), "batchno", "20240110000000", "20240112230000")
+
+
+@query
+def batches_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open range (start only)."""
+    return select_batches(fd.hourly_batch_ids(spark, sf_dir), "batchno", "20240125000000")
+
+
+def _previous_app_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """app_status of an earlier run that took the daily batches up to 01-19."""
+    daily = fd.landing_feed(spark, sf_dir).select("batchno").distinct()
+    done = select_batches(daily, "batchno", *BASE_BATCHES)
+    return app_status_rows(done, "events_app", "events", fd.BASE_RUN_TS, fd.BASE_RUN_TS, 0)
+
+
+@query
+def batches_after_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No start given, so batches after the last logged one."""
+    mark = mark_value(_previous_app_status(spark, sf_dir), "events_app", "events")
+    return select_batches(fd.hourly_batch_ids(spark, sf_dir), "batchno", mark=mark)
+
+
+@query
+def batch_id_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F17/F18 over batch-id candidates derived from events: day taken
+    from user_id (00-39), 13 digits for clicks, a letter for errors."""
+    ev = fd.table(spark, sf_dir, "events")
+    day = F.lpad((F.col("user_id") % 40).cast("string"), 2, "0")
+    c14 = F.concat(F.date_format("ts", "yyyyMM"), day, F.date_format("ts", "HHmmss"))
+    cand = (
+        F.when(F.col("event_type") == "click", F.substring(c14, 1, 13))
+        .when(F.col("event_type") == "error", F.concat(F.substring(c14, 1, 13), F.lit("x")))
+        .otherwise(c14)
+    )
+    return ev.select("event_id", cand.alias("candidate")).withColumn("is_valid", is_valid_batch_id("candidate"))
+
+
+SYNC_CUTOFF = "2024-01-29 00:00:00"
+
+
+def _sync_log_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fd.sync_log(spark, sf_dir).filter(F.col("event_ts") < F.lit(SYNC_CUTOFF).cast("timestamp_ntz"))
+
+
+@query
+def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: max published version per activity type of the sync log."""
+    log = fd.sync_log(spark, sf_dir)
+    return log.groupBy("activity_type").agg(F.max("batch_no").alias("mark"))
+
+
+@query
+def pending_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions newer than the last file_sync, with the action."""
+    mark = sync_mark(_sync_log_before(spark, sf_dir), "events_app", "events")
+    return pending_with_decision(fd.versions(spark, sf_dir), mark)
+
+
+@query
+def retention_candidates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3/F12/F15/P3 over the whole sync log."""
+    return retention_candidates(fd.sync_log(spark, sf_dir), "events_app", "events")
+
+
+@query
+def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: one app_status row per delta batch, with the merge's row count."""
+    merged = scd1_merge_q(spark, sf_dir)
+    n = merged.count()
+    daily = fd.landing_feed(spark, sf_dir).select("batchno").distinct()
+    taken = select_batches(daily, "batchno", *DELTA_BATCHES)
+    return app_status_rows(taken, "events_app", "events", fd.DELTA_RUN_TS, fd.SECOND_RUN_TS, n)
+
+
+@query
+def sync_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: file_sync rows for pending versions, batch_deleted rows for
+    retention candidates (one frame each, unioned)."""
+    mark = sync_mark(_sync_log_before(spark, sf_dir), "events_app", "events")
+    pend = pending_with_decision(fd.versions(spark, sf_dir), mark)
+    synced = sync_rows(pend, "events_app", "events", FILE_SYNC, fd.DELTA_RUN_TS, F.col("n_pending"))
+    cand = retention_candidates(fd.sync_log(spark, sf_dir), "events_app", "events")
+    deleted = sync_rows(cand, "events_app", "events", BATCH_DELETED, fd.SECOND_RUN_TS, None, batch_col="batch_no")
+    return synced.unionByName(deleted)
+
+
 QUERY_NAMES = {
     "latest_in_delta_q": "latest_in_delta",
     "scd1_merge_q": "scd1_merge",
+    "touched_partitions_q": "touched_partitions",
+    "retention_candidates_q": "retention_candidates",
+    "sync_rows_q": "sync_rows",
 }
 
 
