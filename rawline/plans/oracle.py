@@ -244,5 +244,198 @@ select 'events_app', 'events', batch_no, 'batch_deleted', null::timestamp, null:
 from cand where file_sync > 0 and batch_del = 0 and batch_no <> '0'"""
 
 
+# ---------------------------------------------------------------- COD push
+
+COD = """cod as (
+  select c_custkey as CUST_ID,
+         (case when c_mktsegment = 'AUTOMOBILE' then null when c_acctbal >= 0 then 1 else 0 end)::int as COD_ALLOWED
+  from customer),
+split as (
+  select CUST_ID, COD_ALLOWED, case COD_ALLOWED when 1 then 'allow' when 0 then 'block' end as operation
+  from cod where COD_ALLOWED in (0, 1))"""
+
+
+def numbered(size: int) -> str:
+    return f"""nb as (
+  select operation, CUST_ID,
+         ((row_number() over (partition by operation order by CUST_ID) - 1) // {size})::bigint as batch_index
+  from split),
+payload as (
+  select operation, batch_index, count(*)::bigint as n_ids, min(CUST_ID) as first_id, max(CUST_ID) as last_id,
+         string_agg(CUST_ID::varchar, ',' order by CUST_ID) as id_list
+  from nb group by operation, batch_index)"""
+
+
+PUSHED = """req as (
+  select p.*,
+         ((case when operation = 'block'
+                then (select count(*) from payload where operation = 'allow') else 0 end) + batch_index + 1)::bigint
+           as request_seq,
+         (select sum(n_ids) from payload q where q.operation = p.operation)::bigint as op_total
+  from payload p),
+resp as (
+  select *, case when first_id % 4 = 3 then (case when operation = 'block' then 500 else 404 end) else 200 end as code,
+         '20240122000000' || lpad(request_seq::varchar, 6, '0') as request_no
+  from req)"""
+
+SQL["flag_split"] = _with(COD) + "select * from split"
+
+SQL["chunk_counts"] = _with(COD) + """
+select operation, count(*)::bigint as n_ids, ceil(count(*) / 700)::bigint as n_batches
+from split group by operation"""
+
+SQL["request_batches"] = _with(COD, numbered(700)) + "select * from payload"
+SQL["request_batches_50"] = _with(COD, numbered(50)) + "select * from payload"
+
+SQL["route_status"] = _with(COD, numbered(50), PUSHED) + """
+select 'cod_app' as app_name, request_no || '1' || '1' as request_key, op_total as record_count, request_no,
+       1 as request_counter, op_total as success_count, 'env:PRD & op:' || operation as status,
+       date '2024-01-22' as status_record_date_dt, '20240122000000' as batch_no, n_ids as batch_record_count
+from resp where code = 200"""
+
+SQL["route_errors"] = _with(COD, numbered(50), PUSHED) + """
+select request_seq, operation, code,
+       case when code between 400 and 499 then 'client_error' else 'server_error' end as outcome,
+       '{"error": "rejected", "op": "' || operation || '", "first": ' || first_id::varchar || '}' as body,
+       date '2024-01-22' as part_record_date_dt, '20240122000000' as batch_no,
+       'rejected' as error, operation as op, first_id as first
+from resp where code <> 200"""
+
+# ---------------------------------------------------------------- flat files
+
+FLAT = """tax as (
+  select o_custkey::varchar as gstin, o_orderpriority as gst_type,
+         strftime(o_orderdate, '%Y-%m-%d') as transaction_date,
+         case o_orderstatus when 'O' then 'VALID' when 'F' then 'ACTIVE' when 'P' then 'REJECTED' end as status
+  from orders),
+flat as (
+  select distinct gstin, gst_type, transaction_date, status, '2024-01-22' as load_timestamp,
+         try_strptime(transaction_date, '%Y-%m-%d')::date as process_date,
+         month(try_strptime(transaction_date, '%Y-%m-%d'))::int as month,
+         year(try_strptime(transaction_date, '%Y-%m-%d'))::int as year,
+         md5(gstin) as gstin_hash
+  from tax where status in ('VALID', 'ACTIVE'))"""
+
+SQL["flat_transform"] = _with(FLAT) + "select * from flat"
+SQL["export_by_type"] = _with(FLAT) + "select * from flat"
+SQL["flat_type_counts"] = _with(FLAT) + "select gst_type, count(*)::bigint as record_count from flat group by gst_type"
+SQL["flat_summary"] = _with(FLAT) + """
+select 'gstr1' as section, '2024-01-22' as process_date, count(*)::bigint as record_count,
+       (count(distinct gst_type) + max((gst_type is null)::int))::bigint as file_count,
+       0::bigint as error_count, 'COMPLETED' as status
+from flat"""
+
+# ---------------------------------------------------------------- envelopes
+
+ENVELOPES = """env as (
+  select event_id as request_id, user_id::varchar as gstin, event_type, props, value from events),
+parsed as (
+  select request_id, gstin,
+         case event_type when 'purchase' then null
+                         when 'view' then 'No data field in API response'
+                         when 'error' then 'GST API error: rate limit for ' || gstin
+                         when 'signup' then 'GST API error: Unknown error'
+                         else 'Malformed API response' end as error,
+         case when event_type = 'purchase' then props end as data,
+         event_type, props, value
+  from env),
+api as (
+  select request_id, gstin, (data->>'k')::int as k from parsed where error is null)"""
+
+SQL["parse_envelope"] = _with(ENVELOPES) + "select request_id, gstin, error is null as ok, error, data from parsed"
+SQL["envelope_data"] = _with(ENVELOPES) + "select * from api"
+SQL["envelope_errors"] = _with(ENVELOPES) + """
+select 'api_parse_error_' || request_id::varchar as action_id, '2024-01-22' as timestamp,
+       'API_PARSE_ERROR' as action_type, gstin as data
+from parsed where error is not null"""
+SQL["union_payload_schemas"] = _with(ENVELOPES) + """
+select request_id, gstin, k, null::double as v from api
+union all
+select request_id, gstin, (props->>'k')::int as k, value as v from parsed where event_type = 'signup'"""
+
+STATUS = """st as (
+  select c_custkey::varchar as gstin,
+         case when c_mktsegment in ('BUILDING', 'FURNITURE') then 'VALID' when c_mktsegment = 'MACHINERY' then 'ACTIVE'
+              when c_mktsegment = 'HOUSEHOLD' then 'CANCELLED' else 'SUSPENDED' end as status
+  from customer
+  union all
+  select c_custkey::varchar, 'ACTIVE' from customer where c_nationkey = 0)"""
+
+SQL["valid_records_left_status"] = _with(ENVELOPES, STATUS) + """
+select a.* from (select *, case when k >= 50 then 'VALID' else 'EXPIRED' end as status from api) a
+join st s on a.gstin = s.gstin where a.status in ('VALID', 'ACTIVE')"""
+SQL["valid_records_right_status"] = _with(ENVELOPES, STATUS) + """
+select a.* from api a join st s on a.gstin = s.gstin where s.status in ('VALID', 'ACTIVE')"""
+
+REQUESTS = """sch as (
+  select lower(n_name) as gst_type, case when n_nationkey % 2 = 0 then '2023-24' else '2024-25' end as fy
+  from nation join region on n_regionkey = r_regionkey where r_name = 'ASIA'),
+reqs as (
+  select c_custkey::varchar as gstin, c_mktsegment as section, gst_type, fy,
+         'http://api.test/fetch?gstin=' || c_custkey::varchar || '&fy=' || fy || '&section=' || c_mktsegment as url,
+         c_custkey % 6 as kind
+  from customer cross join sch),
+fetched as (
+  select gstin, section, gst_type, fy, url,
+         (case kind when 1 then 2 when 2 then 6 when 5 then 3 else 1 end)::int as attempts,
+         (case kind when 2 then 503 when 3 then 404 when 4 then 500 else 200 end)::int as code,
+         case kind when 2 then 'rate_limited' when 3 then 'client_error' when 4 then 'server_error' else 'ok' end as outcome,
+         case kind when 2 then 'GST API rate limited after 5 retries'
+                   when 3 then 'GST API client error: 404 no such gstin'
+                   when 4 then 'GST API server error: 500' end as error
+  from reqs)"""
+
+SQL["request_fanout"] = _with(REQUESTS) + "select gstin, section, gst_type, fy, url from reqs"
+SQL["fetch_outcomes"] = _with(REQUESTS) + "select * from fetched"
+SQL["api_metrics"] = _with(REQUESTS) + """
+select sum(attempts)::bigint as api_calls, sum(case when outcome = 'ok' then 1 else 0 end)::bigint as api_success,
+       sum(case when outcome <> 'ok' then 1 else 0 end)::bigint as api_failure
+from fetched"""
+
+# ---------------------------------------------------------------- calendar
+
+DAYS = """days as (
+  select event_id, case when user_id % 2 = 0 then '/data/gstr2a/' else '/data/gstr1/' end as path, ts::date as day
+  from events),
+prof as (
+  select *, case when path like '%gstr2a%' and day(day) in (12, 13) then '24hr'
+                 when path like '%gstr2a%' and dayofweek(day) + 1 in (7, 1) then '1day'
+                 else 'default' end as profile
+  from days)"""
+
+SQL["refresh_profile"] = _with(DAYS) + """
+select event_id, profile, day(day)::int as day_of_month, (dayofweek(day) + 1)::int as day_of_week,
+       dayname(day) as weekday
+from prof"""
+
+SQL["month_list"] = _with(DAYS) + """
+select path, day, unnest(case when profile = '24hr' then list_slice(m, 2, 3) else m end)::date as month_start
+from (select distinct path, day, profile,
+             generate_series(date_trunc('month', day)::timestamp - interval 2 month,
+                             date_trunc('month', day)::timestamp, interval 1 month) as m
+      from prof)"""
+
+# ---------------------------------------------------------------- round trips
+
+SQL["landing_json_roundtrip"] = _with(FEED) + f"select * from feed where {DELTA_WHERE}"
+
+SQL["orc_partition_roundtrip"] = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("dl", DELTA_WHERE + " and event_type in ('click', 'view')", DELTA_RUN_TS),
+    prepared("d", "dl"),
+    merged("m", "d", "b", ["part_1"]),
+    replaced("s", "b", "d", "m"),
+) + "select * from s"
+
+SQL["csv_rename"] = """
+select c_name as COMPANY1, 'BP' || c_nationkey::varchar as BUSSINESSPALCE1, c_custkey::varchar as GSTIN1,
+       '012024' as FP1, c_mktsegment as SECTION1, 'user' || c_custkey::varchar as USER1,
+       'app' || c_custkey::varchar as APPKEY, 'sek' || c_custkey::varchar as SEK,
+       'tok' || c_custkey::varchar as AUTHTOKEN, c_acctbal::varchar as TEMP
+from customer"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -30,7 +30,16 @@ from ..operators.scd import (
     scd1_merge,
     touched_partitions,
 )
+from ..operators import external as ext
+from ..operators import flat as flt
+from ..operators import responses as rsp
+from ..runtime import scratch_path, ship_package
+from ..sinks.files import export_by_type as write_by_type
+from ..sinks.files import publish_partitions, write_partitioned
+from ..sources.files import read_csv, read_sessions
+from ..sources.landing import list_batches, read_landing, read_snapshot
 from . import feeds as fd
+from . import scripted
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -246,6 +255,277 @@ def sync_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synced.unionByName(deleted)
 
 
+# ---------------------------------------------------------------- COD push
+
+ENV = "PRD"
+RUN_BATCH = "20240122000000"
+RECORD_DATE = "2024-01-22"
+
+
+def _cod_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ext.flag_split(fd.cod_list(spark, sf_dir))
+
+
+@query
+def flag_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """allow/block split of the COD list."""
+    return _cod_split(spark, sf_dir)
+
+
+@query
+def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and requests of 700 per operation."""
+    return ext.chunk_counts(_cod_split(spark, sf_dir))
+
+
+@query
+def request_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of 700 ids in id order."""
+    return ext.request_batches(_cod_split(spark, sf_dir), size=700)
+
+
+@query
+def request_batches_50(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 with 50 ids per request (many chunks)."""
+    return ext.request_batches(_cod_split(spark, sf_dir), size=50)
+
+
+def _pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    payload = ext.number_requests(ext.request_batches(_cod_split(spark, sf_dir), size=50))
+    return ext.push_requests(payload, scripted.cod_push_client)
+
+
+@query
+def route_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows of accepted requests."""
+    return ext.route_status(_pushed(spark, sf_dir), "cod_app", ENV, RECORD_DATE, RUN_BATCH)
+
+
+@query
+def route_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error rows of rejected requests, body parsed."""
+    return ext.route_errors(_pushed(spark, sf_dir), RECORD_DATE, RUN_BATCH, "error string, op string, first bigint")
+
+
+# ---------------------------------------------------------------- flat files
+
+RUN_DATE = "2024-01-22"
+
+
+def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flt.flat_transform(fd.tax_lines(spark, sf_dir), RUN_DATE)
+
+
+@query
+def flat_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9/N5-N7/F3/A6 on orders as tax lines."""
+    return _flat(spark, sf_dir)
+
+
+@query
+def flat_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per exported type."""
+    return flt.type_counts(_flat(spark, sf_dir))
+
+
+@query
+def flat_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run summary row."""
+    return flt.flat_summary(_flat(spark, sf_dir), "gstr1", RUN_DATE)
+
+
+FLAT_READ_SCHEMA = (
+    "gstin string, transaction_date string, status string, load_timestamp string, "
+    "process_date date, month int, year int, gstin_hash string, gst_type string"
+)
+
+
+@query
+def export_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9/P10: one CSV per type in one job, read back with its schema."""
+    out = scratch_path(spark, "flat")
+    write_by_type(_flat(spark, sf_dir), out)
+    return read_csv(spark, out, FLAT_READ_SCHEMA, header=True)
+
+
+# ---------------------------------------------------------------- envelopes
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rsp.parse_envelope(fd.envelopes(spark, sf_dir))
+
+
+@query
+def parse_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every response body split into data or error."""
+    return _parsed(spark, sf_dir).select("request_id", "gstin", "ok", "error", "data")
+
+
+@query
+def envelope_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Successful envelopes with their data parsed by schema."""
+    return rsp.parse_data(_parsed(spark, sf_dir), "k int", ["request_id", "gstin"])
+
+
+@query
+def envelope_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed envelopes as retry actions (API_PARSE_ERROR)."""
+    return rsp.failed_actions(_parsed(spark, sf_dir), RUN_DATE)
+
+
+@query
+def union_payload_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of two shapes in one table, by name."""
+    a = rsp.parse_data(_parsed(spark, sf_dir), "k int", ["request_id", "gstin"])
+    ev = fd.table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
+    body = F.to_json(F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("value").alias("v")))
+    b = ev.select(
+        F.col("event_id").alias("request_id"),
+        F.col("user_id").cast("string").alias("gstin"),
+        F.from_json(body, "k int, v double").alias("_d"),
+    ).select("request_id", "gstin", "_d.*")
+    return rsp.union_payloads([a, b])
+
+
+def _api_rows(spark: SparkSession, sf_dir: str, with_status: bool) -> DataFrame:
+    api = rsp.parse_data(_parsed(spark, sf_dir), "k int", ["request_id", "gstin"])
+    if with_status:
+        api = api.withColumn("status", F.when(F.col("k") >= 50, "VALID").otherwise("EXPIRED"))
+    return api
+
+
+@query
+def valid_records_left_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The API rows carry their own status."""
+    return rsp.valid_records(_api_rows(spark, sf_dir, True), fd.gst_status(spark, sf_dir), status_from="left")
+
+
+@query
+def valid_records_right_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status comes from the status file."""
+    return rsp.valid_records(_api_rows(spark, sf_dir, False), fd.gst_status(spark, sf_dir), status_from="right")
+
+
+BASE_URL = "http://api.test"
+SCHEDULE_ID = "ASIA"
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sched = fd.schedules(spark, sf_dir).filter(F.col("schedule_id") == SCHEDULE_ID)
+    return rsp.request_fanout(fd.sessions(spark, sf_dir), sched, BASE_URL)
+
+
+@query
+def request_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every session x every schedule of the run type."""
+    return _requests(spark, sf_dir)
+
+
+def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return rsp.fetch_table(_requests(spark, sf_dir), scripted.gst_fetch_client, backoff=False)
+
+
+@query
+def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts, last code and outcome per request."""
+    return _fetched(spark, sf_dir).drop("body")
+
+
+@query
+def api_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls, successes and failures of the fetch run."""
+    return rsp.api_metrics(_fetched(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- calendar
+
+
+def _event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = fd.table(spark, sf_dir, "events")
+    path = F.concat(F.lit("/data/"), F.when(F.col("user_id") % 2 == 0, "gstr2a").otherwise("gstr1"), F.lit("/"))
+    return ev.select("event_id", path.alias("path"), F.to_date("ts").alias("day"))
+
+
+@query
+def refresh_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P16/N22 for every event: profile, day of month, weekday."""
+    d = _event_days(spark, sf_dir)
+    return d.select(
+        "event_id",
+        rsp.refresh_profile(F.col("path"), F.col("day")).alias("profile"),
+        F.dayofmonth("day").alias("day_of_month"),
+        F.dayofweek("day").alias("day_of_week"),
+        F.date_format("day", "EEEE").alias("weekday"),
+    )
+
+
+@query
+def month_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last 3 months per distinct event day and path; the oldest
+    month dropped in 24-hour mode."""
+    d = _event_days(spark, sf_dir).select("path", "day").distinct()
+    prof = rsp.refresh_profile(F.col("path"), F.col("day"))
+    months = rsp.month_list(F.col("day"), F.lit(3), prof == "24hr")
+    return d.select("path", "day", F.explode(months).alias("month_start"))
+
+
+# ---------------------------------------------------------------- round trips
+
+LANDING_SCHEMA = "user_id bigint, event_type string, value decimal(18,2), current_ts string, pos string"
+
+
+@query
+def landing_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the feed as landing JSON by batch, list the batch
+    folders, select a closed range and read the chosen folders at once."""
+    root = scratch_path(spark, "L_events")
+    write_partitioned(fd.landing_feed(spark, sf_dir), root, ["batchno"], fmt="json", mode="overwrite", files_per_partition=1)
+    listing = list_batches(spark, root)
+    chosen = [r["batchno"] for r in select_batches(listing, "batchno", *DELTA_BATCHES).collect()]
+    return read_landing(spark, root, _ddl(spark, LANDING_SCHEMA), chosen)
+
+
+def _ddl(spark: SparkSession, ddl: str):
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(ddl)
+
+
+SNAPSHOT_SCHEMA = (
+    "user_id string, event_type string, value string, kafka_ts string, trail_file_pos string, "
+    "last_updated_date string, row_key string, part_1 string"
+)
+
+
+@query
+def orc_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot in ORC (t=0), merge of a click/view delta
+    written as version t=<epoch>, published into t=0 by dynamic overwrite,
+    snapshot read back with declared partition types."""
+    root = scratch_path(spark, "R_events")
+    snap_path = f"{root}/t=0"
+    write_partitioned(snapshot_before(spark, sf_dir, BASE_BATCHES[1]), snap_path, ["part_1"], mode="overwrite")
+    schema = _ddl(spark, SNAPSHOT_SCHEMA)
+    base = read_snapshot(spark, snap_path, schema)
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    touched = [tuple(r) for r in touched_partitions(delta, ["part_1"]).collect()]
+    version_path = f"{root}/t=1705881600"
+    write_partitioned(scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"]), version_path, ["part_1"], mode="overwrite")
+    publish_partitions(read_snapshot(spark, version_path, schema), snap_path, ["part_1"], touched)
+    return read_snapshot(spark, snap_path, schema)
+
+
+@query
+def csv_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions appended as headerless CSV, read back with a
+    declared schema and named by position."""
+    out = scratch_path(spark, "sessions")
+    fd.sessions(spark, sf_dir).write.mode("append").option("header", False).csv(out)
+    return read_sessions(spark, out)
+
+
 QUERY_NAMES = {
     "latest_in_delta_q": "latest_in_delta",
     "scd1_merge_q": "scd1_merge",

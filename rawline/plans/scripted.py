@@ -1,0 +1,48 @@
+"""Scripted API servers for the driver queries.
+
+The replies are a fixed function of the request (so the SQL oracle can
+compute them too); they stand in for the HTTP clients a real run injects.
+"""
+
+from __future__ import annotations
+
+
+def cod_push_client(params: dict) -> tuple[int, str]:
+    """Push endpoint: rejects a request whose first id is 3 mod 4
+    (block -> 500, allow -> 404), accepts the others."""
+    ids = params["param1"].split(",")
+    op = params["param2"]
+    first = int(ids[0])
+    if first % 4 == 3:
+        code = 500 if op == "block" else 404
+        return code, '{"error": "rejected", "op": "%s", "first": %d}' % (op, first)
+    return 200, '{"accepted": %d}' % len(ids)
+
+
+class ConnectionLost(Exception):
+    pass
+
+
+def gst_fetch_client(request: dict, attempt: int) -> tuple[int, str]:
+    """Fetch endpoint, by gstin mod 6: 0 ok; 1 rate-limited once; 2 always
+    503; 3 404; 4 500; 5 two dropped connections, then ok."""
+    g = int(request["gstin"])
+    kind = g % 6
+    ok = (
+        200,
+        '{"status": "success", "data": "{\\"gstin\\": \\"%s\\", \\"fy\\": \\"%s\\", \\"section\\": \\"%s\\"}"}'
+        % (request["gstin"], request["fy"], request["section"]),
+    )
+    if kind == 0:
+        return ok
+    if kind == 1:
+        return (429, "slow down") if attempt == 0 else ok
+    if kind == 2:
+        return 503, "unavailable"
+    if kind == 3:
+        return 404, "no such gstin"
+    if kind == 4:
+        return 500, "boom"
+    if attempt < 2:
+        raise ConnectionLost("connection reset")
+    return ok

@@ -41,3 +41,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss (unlike a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rawline`` importable in Python workers (for mapInPandas and
+    pandas UDFs): zip the package once per application into the shared
+    folder and ``addPyFile`` it, as ``--py-files`` would."""
+    import os
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pyfiles") + "/rawline.zip"
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # a cluster filesystem: write locally, then upload
+        import tempfile as _tf
+
+        local = os.path.join(_tf.mkdtemp(prefix="rawline-zip-"), "rawline.zip")
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.join("rawline", os.path.relpath(full, pkg_dir)))
+    spark.sparkContext.addPyFile(local)
+    _SHIPPED.add(app)
