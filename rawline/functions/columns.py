@@ -89,6 +89,12 @@ def derive_columns(df: DataFrame, rules: Iterable[ColumnRule], date_partitioned:
     return df
 
 
+def partition_types(rules: Iterable[ColumnRule], date_partitioned: bool = False) -> dict[str, str]:
+    """Spark SQL type of each partition column the rules make."""
+    types = {"part_1": "int" if date_partitioned else "string", "part_2": "int", "part_3": "date"}
+    return {r.columnname: types[r.columnkey] for r in active_rules(rules) if r.columnkey in PART_RULES}
+
+
 def partition_columns(rules: Iterable[ColumnRule]) -> list[str]:
     """Names of the partition columns in part_1, part_2, part_3 order."""
     by_key = {r.columnkey: r.columnname for r in active_rules(rules) if r.columnkey in PART_RULES}

@@ -64,13 +64,18 @@ def publish_partitions(
     )
     if not touched:
         return []
-    written = {tuple(r) for r in version.select(*part_cols).distinct().collect()}
-    empty = [t for t in touched if tuple(t) not in written]
+    # compare as partition-path text: touched values may come typed or as text
+    written = {_as_text(r) for r in version.select(*part_cols).distinct().collect()}
+    empty = [t for t in touched if _as_text(t) not in written]
     for t in empty:
         delete_path(spark, partition_path(snapshot_path, part_cols, t))
     return empty
 
 
+def _as_text(values: Sequence) -> tuple:
+    return tuple(None if v is None else str(v) for v in values)
+
+
 def partition_path(root: str, part_cols: Sequence[str], values: Sequence) -> str:
     """Hive-style directory of one partition tuple (null -> default name)."""
     from urllib.parse import quote
