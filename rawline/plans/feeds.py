@@ -42,9 +42,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def landing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> landing rows: user_id, event_type, value, current_ts, pos, batchno."""
+def landing_feed(spark: SparkSession, sf_dir: str, first_batch: str | None = None, last_batch: str | None = None) -> DataFrame:
+    """events -> landing rows: user_id, event_type, value, current_ts, pos, batchno.
+
+    With a daily batch range, the equivalent ``ts`` range is applied to the
+    raw column first, so it reaches the parquet scan as a pushed filter (a
+    real landing folder prunes by its ``batchno`` directories instead).
+    """
     ev = table(spark, sf_dir, "events")
+    if first_batch is not None:
+        ev = ev.filter(F.col("ts") >= F.to_timestamp(F.lit(first_batch), "yyyyMMddHHmmss").cast("timestamp_ntz"))
+    if last_batch is not None:
+        upper = F.to_timestamp(F.lit(last_batch), "yyyyMMddHHmmss").cast("timestamp_ntz") + F.expr("interval 1 day")
+        ev = ev.filter(F.col("ts") < upper)
     return ev.select(
         "user_id",
         "event_type",

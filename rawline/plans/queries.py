@@ -59,12 +59,14 @@ DELTA_BATCHES = ("20240120000000", "20240121000000")
 def snapshot_before(spark: SparkSession, sf_dir: str, last_batch: str, rules=fd.FEED_RULES, date=False) -> DataFrame:
     """The published snapshot after one initial run over batches up to
     ``last_batch`` (built with the same merge pipeline)."""
-    feed = fd.landing_feed(spark, sf_dir).filter(batch_predicate("batchno", BASE_BATCHES[0], last_batch))
+    feed = fd.landing_feed(spark, sf_dir, BASE_BATCHES[0], last_batch).filter(
+        batch_predicate("batchno", BASE_BATCHES[0], last_batch)
+    )
     return prepare_delta(feed, fd.FEED_KEYS, fd.FEED_SELECT, rules, fd.BASE_RUN_TS, date_partitioned=date)
 
 
 def delta_of(spark: SparkSession, sf_dir: str, start: str, end: str, types=None, rules=fd.FEED_RULES, date=False, run_ts=fd.DELTA_RUN_TS) -> DataFrame:
-    feed = fd.landing_feed(spark, sf_dir).filter(batch_predicate("batchno", start, end))
+    feed = fd.landing_feed(spark, sf_dir, start, end).filter(batch_predicate("batchno", start, end))
     if types is not None:
         feed = feed.filter(F.col("event_type").isin(list(types)))
     return prepare_delta(feed, fd.FEED_KEYS, fd.FEED_SELECT, rules, run_ts, date_partitioned=date)
@@ -73,7 +75,7 @@ def delta_of(spark: SparkSession, sf_dir: str, start: str, end: str, types=None,
 @query
 def latest_in_delta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + F1 + J4: latest landing row per key in the delta batches."""
-    feed = fd.landing_feed(spark, sf_dir).filter(batch_predicate("batchno", *DELTA_BATCHES))
+    feed = fd.landing_feed(spark, sf_dir, *DELTA_BATCHES).filter(batch_predicate("batchno", *DELTA_BATCHES))
     return latest_in_delta(prepare_landing(feed, fd.FEED_SELECT, fd.DELTA_RUN_TS), fd.FEED_KEYS)
 
 
