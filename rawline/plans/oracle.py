@@ -51,14 +51,15 @@ def prepared(name: str, src: str, date: bool = False) -> str:
   from {src})"""
 
 
-def merged(name: str, delta: str, base: str, parts: list[str]) -> str:
+def merged(name: str, delta: str, base: str, parts: list[str], order: str = W2_ORDER, whole: bool = False) -> str:
     match = " and ".join(f"{delta}.{p} is not distinct from {base}.{p}" for p in parts)
+    scope = "" if whole else f" where exists (select 1 from {delta} where {match})"
     return f"""{name} as (
   select * exclude (src) from (
     select *, 1 as src from {delta}
     union all
-    select *, 0 as src from {base} where exists (select 1 from {delta} where {match})
-  ) qualify row_number() over (partition by user_id order by {W2_ORDER}) = 1)"""
+    select *, 0 as src from {base}{scope}
+  ) qualify row_number() over (partition by user_id order by {order}) = 1)"""
 
 
 def batch_between(lo: str, hi: str) -> str:
@@ -109,6 +110,27 @@ SQL["scd1_multi_part"] = _with(
 ) + "select * from m"
 
 
+SQL["scd1_merge_lexicographic"] = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("dl", DELTA_WHERE, DELTA_RUN_TS),
+    prepared("d", "dl"),
+    merged("m", "d", "b", ["part_1"], order="trail_file_pos desc nulls last, kafka_ts desc nulls last, src asc"),
+) + "select * from m"
+
+SQL["scd1_merge_global_keys"] = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("dl", DELTA_WHERE + " and event_type in ('click', 'view')", DELTA_RUN_TS),
+    prepared("d", "dl"),
+    merged("m", "d", "b", ["part_1"], whole=True),
+) + "select * from m"
+
+SQL["incremental_filter"] = "select * from orders where o_orderdate > timestamp '1999-01-01 00:00:00'"
+
+
 def replaced(name: str, base: str, delta: str, merge: str) -> str:
     return f"""{name} as (
   select * from {base} where not exists (select 1 from {delta} where {delta}.part_1 is not distinct from {base}.part_1)

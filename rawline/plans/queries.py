@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.batch_ids import is_valid_batch_id
 from ..functions.columns import as_date, cast_all, clean_key, prefix3
 from ..operators.audit import app_status_rows, sync_rows
-from ..operators.batches import batch_predicate, mark_value, select_batches
+from ..operators.batches import batch_predicate, extract_mark, incremental_filter, mark_value, select_batches
 from ..operators.dedupe import latest_in_delta
 from ..operators.publish import (
     BATCH_DELETED,
@@ -95,6 +95,22 @@ def scd1_merge_untouched_partitions(spark: SparkSession, sf_dir: str) -> DataFra
     return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"])
 
 
+@query
+def scd1_merge_lexicographic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 with positions compared as text, as the reference's W2 does."""
+    base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES)
+    return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"], lexicographic=True)
+
+
+@query
+def scd1_merge_global_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 with the whole snapshot taking part (D2 off): one row per key."""
+    base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"], global_keys=True)
+
+
 DATE_PARTS = ["part_1", "part_2", "part_3"]
 
 
@@ -257,6 +273,13 @@ def sync_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synced.unionByName(deleted)
 
 
+@query
+def incremental_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after a validated from-date (typed, pushed to the scan)."""
+    mark = extract_mark("19990101000000", None, "orders_app", "orders")
+    return incremental_filter(fd.table(spark, sf_dir, "orders"), "o_orderdate", mark)
+
+
 # ---------------------------------------------------------------- COD push
 
 ENV = "PRD"
@@ -534,6 +557,7 @@ QUERY_NAMES = {
     "touched_partitions_q": "touched_partitions",
     "retention_candidates_q": "retention_candidates",
     "sync_rows_q": "sync_rows",
+    "incremental_filter_q": "incremental_filter",
 }
 
 

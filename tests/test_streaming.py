@@ -1,0 +1,42 @@
+"""Landing folder streamed through foreachBatch merges (extension E1)."""
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from rawline.config import RawPipelineConfig
+from rawline.operators.scd import apply_merge, scd1_merge, touched_partitions
+from rawline.plans import feeds as fd
+from rawline.plans.queries import LANDING_SCHEMA, _ddl, delta_of
+from rawline.runtime import scratch_path
+from rawline.sinks.files import write_partitioned
+from rawline.sources.landing import read_snapshot
+from rawline.streaming.landing_stream import start_landing_stream
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_two_triggers_equal_batch_merges(spark):
+    root = scratch_path(spark, "stream")
+    cfg = RawPipelineConfig(
+        appname="events_app", tablename="events", sourcepath=f"{root}/landing", targetpath=f"{root}/raw",
+        keys=fd.FEED_KEYS, selectcols=fd.FEED_SELECT, rules=fd.FEED_RULES,
+    )
+    landing = f"{root}/landing/L_events"
+    feed = fd.landing_feed(spark, SF)
+    write_partitioned(feed.filter(F.col("batchno") <= "20240119000000"), landing, ["batchno"], fmt="json", files_per_partition=1)
+    schema = _ddl(spark, LANDING_SCHEMA)
+    ckpt = scratch_path(spark, "ckpt")
+    q = start_landing_stream(spark, cfg, schema, fd.BASE_RUN_TS, checkpoint=ckpt)
+    q.awaitTermination()
+    write_partitioned(
+        feed.filter((F.col("batchno") >= "20240120000000") & (F.col("batchno") <= "20240121000000")),
+        landing, ["batchno"], fmt="json", files_per_partition=1,
+    )
+    q = start_landing_stream(spark, cfg, schema, fd.DELTA_RUN_TS, checkpoint=ckpt)
+    q.awaitTermination()
+
+    snap1 = delta_of(spark, SF, "20240101000000", "20240119000000", run_ts=fd.BASE_RUN_TS)
+    d2 = delta_of(spark, SF, "20240120000000", "20240121000000", run_ts=fd.DELTA_RUN_TS)
+    expect = apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
+    got = read_snapshot(spark, f"{root}/raw/R_events/t=0", snap1.schema)
+    assert rows(got) == rows(expect)
