@@ -204,9 +204,11 @@ def parse_envelope(responses: DataFrame, body_col: str = "body") -> DataFrame:
 
 
 def parse_data(parsed: DataFrame, data_schema: StructType | str, keep: Sequence[str]) -> DataFrame:
-    """Rows of the successful envelopes with ``data`` parsed by schema."""
-    ok = parsed.filter(F.col("ok"))
-    return ok.select(*keep, F.from_json(F.col("data"), data_schema).alias("_d")).select(*keep, "_d.*")
+    """Rows of the successful envelopes with ``data`` parsed by schema; a
+    payload field named like a kept request column is left out."""
+    ok = parsed.filter(F.col("ok")).select(*keep, F.from_json(F.col("data"), data_schema).alias("_d"))
+    fields = [n for n in ok.select("_d.*").columns if n not in set(keep)]
+    return ok.select(*keep, *[F.col(f"_d.`{n}`").alias(n) for n in fields])
 
 
 def union_payloads(frames: Sequence[DataFrame]) -> DataFrame:

@@ -58,3 +58,44 @@ def test_generate_flat(spark):
     assert res["files"] == 5 and res["records"] > 0
     s = spark.read.option("header", True).csv(f"{root}/summary").first()
     assert s["status"] == "COMPLETED"
+
+
+def test_trusted_to_external(spark):
+    import pytest
+
+    from rawline.config import ExternalConfig
+    from rawline.plans.jobs import PushFailed, trusted_to_external
+    from rawline.plans.scripted import cod_push_client
+    from rawline.runtime import ship_package
+
+    ship_package(spark)
+    root = scratch_path(spark, "ext")
+    cfg = ExternalConfig("cod_app", "cod", f"{root}/status", f"{root}/errors")
+    audit = AuditStore(f"{root}/audit/app_status", f"{root}/audit/sync_status")
+    src = fd.cod_list(spark, SF)
+    with pytest.raises(PushFailed):
+        trusted_to_external(src, cfg, cod_push_client, audit, "PRD", "2024-01-22 00:00:00", "20240122000000", "2024-01-22",
+                            "error string, op string, first bigint", size=10)
+    status = spark.read.orc(f"{root}/status")
+    errors = spark.read.orc(f"{root}/errors")
+    n_ok, n_err = status.count(), errors.count()
+    assert n_ok > 0 and n_err > 0
+    assert status.select("batch_no").distinct().first()[0] in ("20240122000000", 20240122000000)
+    assert audit.app_status(spark).first()["record_count"] == fd.cod_list(spark, SF).filter("COD_ALLOWED in (0, 1)").count()
+
+
+def test_fetch_gst(spark):
+    from rawline.plans.jobs import fetch_gst
+    from rawline.plans.scripted import gst_fetch_client
+    from rawline.runtime import ship_package
+
+    ship_package(spark)
+    root = scratch_path(spark, "gst")
+    sched = fd.schedules(spark, SF).filter(F.col("schedule_id") == "ASIA")
+    res = fetch_gst(fd.sessions(spark, SF), sched, fd.gst_status(spark, SF), gst_fetch_client, "http://api.test",
+                    "gstin string, fy string, section string", f"{root}/out", "2024-01-22", backoff=False)
+    m = res["metrics"]
+    assert m["api_success"] + m["api_failure"] == res["fetched"].count()
+    out = spark.read.json(f"{root}/out")
+    assert set(out.columns) >= {"gstin", "section", "gst_type", "fy"}
+    assert res["failures"].filter("action_type = 'API_CALL_ERROR'").count() == m["api_failure"]
