@@ -259,6 +259,13 @@ def valid_records(api: DataFrame, status: DataFrame, key: str = "gstin", status_
     return a.join(s, F.col(f"a.{key}") == F.col(f"s.{key}"), "inner").select("a.*")
 
 
+def fetch_summary(valid: DataFrame, process_date: str) -> DataFrame:
+    """P11 (fetch): valid records per (gst_type, financial year)."""
+    return valid.groupBy("gst_type", F.col("fy").alias("financial_year")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("record_count"), F.lit(process_date).alias("process_date")
+    )
+
+
 # ---------------------------------------------------------------- calendar
 
 

@@ -267,6 +267,7 @@ def fetch_gst(
     out_path: str,
     run_ts: str,
     backoff: bool = True,
+    summary_path: str | None = None,
 ) -> dict:
     """S14 + P12-P17: fan-out, fetch with retry on executors, parse the
     envelopes, keep VALID/ACTIVE rows against the status file, write JSON
@@ -277,6 +278,8 @@ def fetch_gst(
     data = rsp.parse_data(parsed, data_schema, ["gst_type", "fy"])
     valid = rsp.valid_records(data, status)
     write_json_by(valid, out_path, ["gst_type", "fy"])
+    if summary_path is not None:
+        append_csv(rsp.fetch_summary(valid, run_ts), summary_path)
     metrics = rsp.api_metrics(fetched).first().asDict()
     failures = rsp.failed_actions(fetched.withColumn("request_id", F.col("url")), run_ts)
     return {"metrics": metrics, "failures": failures, "fetched": fetched}

@@ -414,6 +414,12 @@ select sum(attempts)::bigint as api_calls, sum(case when outcome = 'ok' then 1 e
        sum(case when outcome <> 'ok' then 1 else 0 end)::bigint as api_failure
 from fetched"""
 
+SQL["gst_valid_summary"] = _with(REQUESTS, STATUS) + """
+select f.gst_type, f.fy as financial_year, count(*)::bigint as record_count, '2024-01-22' as process_date
+from fetched f join st s on f.gstin = s.gstin
+where f.outcome = 'ok' and s.status in ('VALID', 'ACTIVE')
+group by f.gst_type, f.fy"""
+
 # ---------------------------------------------------------------- calendar
 
 DAYS = """days as (

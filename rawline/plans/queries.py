@@ -464,6 +464,16 @@ def api_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rsp.api_metrics(_fetched(spark, sf_dir))
 
 
+@query
+def gst_valid_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12->P13->P14->P11: fetched envelopes parsed, kept against the
+    status file, counted per (gst_type, financial year)."""
+    fetched = _fetched(spark, sf_dir).filter(F.col("outcome") == "ok")
+    data = rsp.parse_data(rsp.parse_envelope(fetched), "gstin string, fy string, section string", ["gst_type", "fy"])
+    valid = rsp.valid_records(data, fd.gst_status(spark, sf_dir))
+    return rsp.fetch_summary(valid, RUN_DATE)
+
+
 # ---------------------------------------------------------------- calendar
 
 

@@ -1,8 +1,11 @@
-"""File sinks.
-
-Partitioned writes shuffle on (partition columns, salt): one hot partition
-value is spread over ``files_per_partition`` tasks instead of one, and the
-number of files per partition stays bounded.
+"""File sinks.
+
+Partitioned writes use the ``rebalance`` hint on the partition columns:
+rows of one partition value go to the same writers (few files per
+partition), and AQE splits a partition value that is too big for one task
+(a value holding a third of the table is written by many tasks) and
+coalesces small ones, by measured size. ``files_per_partition`` instead
+hashes each partition value into a fixed number of writers.
 """
 
 from __future__ import annotations
@@ -13,9 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _salted(df: DataFrame, part_cols: Sequence[str], files_per_partition: int, salt_cols: Sequence[str] | None) -> DataFrame:
+def _salted(
+    df: DataFrame, part_cols: Sequence[str], files_per_partition: int | None, salt_cols: Sequence[str] | None
+) -> DataFrame:
     if not part_cols:
         return df
+    if files_per_partition is None:
+        return df.hint("rebalance", *part_cols)
     cols = list(salt_cols) if salt_cols else df.columns
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(max(1, files_per_partition)))
     return df.repartition(*[F.col(c) for c in part_cols], salt)
@@ -27,7 +34,7 @@ def write_partitioned(
     part_cols: Sequence[str],
     fmt: str = "orc",
     mode: str = "append",
-    files_per_partition: int = 4,
+    files_per_partition: int | None = None,
     salt_cols: Sequence[str] | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
@@ -46,7 +53,7 @@ def publish_partitions(
     part_cols: Sequence[str],
     touched: Sequence[tuple] | None = None,
     fmt: str = "orc",
-    files_per_partition: int = 4,
+    files_per_partition: int | None = None,
 ) -> list[tuple]:
     """K2: replace the partitions the version holds in the snapshot
     (dynamic overwrite: other partitions keep their files). Partitions the
@@ -116,11 +123,12 @@ def export_by_type(
     df: DataFrame,
     out: str,
     type_col: str = "gst_type",
-    files_per_type: int = 1,
+    files_per_type: int | None = None,
     max_records_per_file: int | None = None,
 ) -> None:
-    """K9/P10: one CSV (with header) per type, all types in one job.
-    ``files_per_type`` > 1 salts a huge type over several writers."""
+    """K9/P10: CSV (with header) per type, all types in one job. By default
+    a type is one file unless it is too big for one task (rebalance);
+    ``files_per_type=1`` forces exactly one writer per type."""
     w = _salted(df, [type_col], files_per_type, None).write.mode("overwrite").option("header", True)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -130,7 +138,7 @@ def export_by_type(
 def write_json_by(df: DataFrame, out: str, part_cols: Sequence[str]) -> None:
     """K6: JSON, replacing only the partitions present in ``df``."""
     (
-        df.repartition(*part_cols)
+        df.hint("rebalance", *part_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*part_cols)
@@ -143,6 +151,12 @@ def append_csv(df: DataFrame, out: str, header: bool = False) -> None:
     df.write.mode("append").option("header", header).csv(out)
 
 
+def register_partitions(spark: SparkSession, table: str) -> None:
+    """Add partition folders written outside the catalog to a
+    partitioned catalog table (``MSCK REPAIR TABLE``)."""
+    spark.catalog.recoverPartitions(table)
+
+
 def append_table(df: DataFrame, table: str) -> None:
     """K4: append to a catalog table (created on first use)."""
     spark = df.sparkSession

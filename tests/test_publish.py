@@ -65,3 +65,15 @@ def test_publish_replaces_touched_and_deletes_emptied(spark):
     got = rows(read_snapshot(spark, snap, schema))
     assert got == [("k1", "bbb"), ("k2", "bbb"), ("k3", "ccc"), ("k9", None)]
     assert sorted(r["t"] for r in list_versions(spark, root).collect()) == [0, 1700000000]
+
+
+def test_partitioned_write_rebalances(spark):
+    from pyspark.sql import functions as F
+
+    from rawline.sinks.files import _salted
+
+    df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("part_1"), "id")
+    plan = _salted(df, ["part_1"], None, None)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    fixed = _salted(df, ["part_1"], 4, None)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part_1" in fixed and "xxhash64" in fixed
