@@ -523,9 +523,7 @@ def landing_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ddl(spark: SparkSession, ddl: str):
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(ddl)
+    return spark.createDataFrame([], ddl).schema
 
 
 SNAPSHOT_SCHEMA = (
