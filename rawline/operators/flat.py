@@ -42,10 +42,14 @@ def type_counts(flat: DataFrame, type_col: str = "gst_type") -> DataFrame:
 
 def flat_summary(flat: DataFrame, section: str, process_date: str, type_col: str = "gst_type") -> DataFrame:
     """One summary row (section, process_date, record_count,
-    file_count, error_count, status) from one aggregate."""
-    # one file per type, the null type included
-    n_types = F.countDistinct(F.col(type_col)) + F.max(F.col(type_col).isNull().cast("int"))
-    return flat.agg(*flat_run_summary(section, process_date, F.count(F.lit(1)), n_types))
+    file_count, error_count, status), from the per-type counts: one file
+    per type, the null type included (D17)."""
+    per_type = type_counts(flat, type_col)
+    return per_type.agg(
+        *flat_run_summary(
+            section, process_date, F.coalesce(F.sum("record_count"), F.lit(0)), F.count(F.lit(1))
+        )
+    )
 
 
 def export_file_name(section: str, gst_type: str, day: str) -> str:

@@ -33,7 +33,7 @@ from ..operators.scd import (
 from ..operators import external as ext
 from ..operators import flat as flt
 from ..operators import responses as rsp
-from ..runtime import scratch_path, ship_package
+from ..runtime import cut_lineage, scratch_path, ship_package
 from ..sinks.files import export_by_type as write_by_type
 from ..sinks.files import publish_partitions, write_partitioned
 from ..sources.files import read_csv, read_sessions
@@ -130,6 +130,7 @@ def scd1_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap0 = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
     d1 = delta_of(spark, sf_dir, "20240120000000", "20240120000000", types=("click", "view"))
     snap1 = apply_merge(snap0, scd1_merge(d1, snap0, fd.FEED_KEYS, ["part_1"]), touched_partitions(d1, ["part_1"]), ["part_1"])
+    snap1 = cut_lineage(snap1)  # the published snapshot between the runs
     d2 = delta_of(spark, sf_dir, "20240121000000", "20240121000000", run_ts=fd.SECOND_RUN_TS)
     return apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
 
