@@ -120,21 +120,32 @@ def push_requests(
     payload: DataFrame,
     client: Callable[[dict], tuple[int, str]],
     param_names: tuple[str, str] = ("param1", "param2"),
+    key_param: str | None = None,
+    run_batch: str | None = None,
 ) -> DataFrame:
     """Call the API once per payload row on the executors
     (``mapInPandas``, Arrow batches). ``client(params)`` returns (code,
-    body) and may raise; the exception text is kept in ``error``. Rows
-    carry ``request_seq`` so a receiver can drop repeats after a task retry.
+    body) and may raise; the exception text is kept in ``error``.
+
+    With ``key_param`` each call also sends the request's deterministic key
+    (run batch + sequence), so a receiver can drop repeats when a task is
+    retried after an executor loss.
     """
     out_schema = StructType(payload.schema.fields + RESPONSE_FIELDS)
     p1, p2 = param_names
+    if key_param is not None and (run_batch is None or "request_seq" not in payload.columns):
+        raise ValueError("key_param needs run_batch and a numbered payload (number_requests)")
 
     def run(batches):
         for pdf in batches:
             codes, bodies, errors = [], [], []
-            for ids, op in zip(pdf["id_list"], pdf["operation"]):
+            seqs = pdf["request_seq"] if key_param is not None else [None] * len(pdf)
+            for ids, op, seq in zip(pdf["id_list"], pdf["operation"], seqs):
+                params = {p1: ids, p2: op}
+                if key_param is not None:
+                    params[key_param] = f"{run_batch}{int(seq):06d}"
                 try:
-                    code, body = client({p1: ids, p2: op})
+                    code, body = client(params)
                     codes.append(int(code))
                     bodies.append(body)
                     errors.append(None)

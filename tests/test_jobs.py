@@ -99,3 +99,24 @@ def test_fetch_gst(spark):
     out = spark.read.json(f"{root}/out")
     assert set(out.columns) >= {"gstin", "section", "gst_type", "fy"}
     assert res["failures"].filter("action_type = 'API_CALL_ERROR'").count() == m["api_failure"]
+
+
+def test_catalog_audit_store_and_idempotency_key(spark):
+    from rawline.operators import external as ext
+    from rawline.plans.jobs import CatalogAuditStore
+    from rawline.runtime import ship_package
+
+    root = scratch_path(spark, "cat")
+    store = CatalogAuditStore(f"{root}/app_status", f"{root}/sync_status", "t_app_status", "t_sync_status")
+    one = spark.createDataFrame([("20240101000000",)], "batchno string")
+    from rawline.operators.audit import app_status_rows
+
+    store.append_app_status(app_status_rows(one, "a", "t", "2024-01-02 00:00:00", "2024-01-02 00:00:00", 3))
+    store.append_app_status(app_status_rows(one, "a", "t", "2024-01-03 00:00:00", "2024-01-03 00:00:00", 4))
+    assert spark.table("t_app_status").count() == 2
+
+    ship_package(spark)
+    df = spark.range(3).select(F.col("id").alias("CUST_ID"), F.lit("allow").alias("operation"))
+    payload = ext.number_requests(ext.request_batches(df, size=2))
+    seen = ext.push_requests(payload, lambda p: (200, p["key"]), key_param="key", run_batch="20240101000000")
+    assert sorted(r["body"] for r in seen.collect()) == ["20240101000000000001", "20240101000000000002"]
