@@ -98,11 +98,19 @@ def restrict_to_touched(
     return base.join(touched, _null_safe_match(base, touched, part_cols), "left_semi")
 
 
-def align_to(df: DataFrame, like: DataFrame) -> DataFrame:
+def align_to(df: DataFrame, like: DataFrame, fill_missing: bool = True) -> DataFrame:
     """The columns of ``like``, in its order and types (H3: partition
-    values read back from paths may come typed differently)."""
+    values read back from paths may come typed differently). A column the
+    frame lacks (one added to the landing feed later) comes as typed null
+    when ``fill_missing``; otherwise it is an error, as in the reference."""
     types = {f.name: f.dataType for f in like.schema.fields}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) for c in like.columns])
+    have = set(df.columns)
+    missing = [c for c in like.columns if c not in have]
+    if missing and not fill_missing:
+        raise ValueError(f"snapshot lacks columns {missing}")
+    return df.select(
+        *[(F.col(c) if c in have else F.lit(None)).cast(types[c]).alias(c) for c in like.columns]
+    )
 
 
 def scd1_merge(

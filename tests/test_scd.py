@@ -137,3 +137,11 @@ def test_orc_base_scan_is_pruned(spark):
     assert "PartitionFilters: [" in plan and "isnull(part_1" in plan
     got = {r["id"]: r["amount"] for r in out.collect()}
     assert got["nul"] == "6" and "keep_u" not in got
+
+
+def test_merge_fills_new_landing_column(spark):
+    base, delta = merge_fixture(spark)
+    wider = delta.withColumn("note", F.lit("n"))
+    out = scd1_merge(wider, base, KEYS, ["part_1"])
+    got = {r["id"]: r["note"] for r in out.collect()}
+    assert got["new"] == "n" and got["keep_t"] is None
