@@ -64,8 +64,12 @@ def touched_partitions(delta: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     return delta.select(*part_cols).distinct()
 
 
-def _null_safe_match(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def _match_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Null-safe equi-join on ``cols`` through aliases (safe when both sides
+    share lineage); only the left side's columns are kept."""
+    lft, rgt = left.alias("_l"), right.select(*cols).alias("_r")
+    cond: Column = reduce(lambda a, b: a & b, [F.col(f"_l.`{c}`").eqNullSafe(F.col(f"_r.`{c}`")) for c in cols])
+    return lft.join(rgt, cond, how).select(*[F.col(f"_l.`{c}`").alias(c) for c in left.columns])
 
 
 def restrict_to_touched(
@@ -93,9 +97,8 @@ def restrict_to_touched(
             return pruned  # the per-column filter is already exact
         # per-column lists are a superset for tuples; finish with an exact
         # semi-join against the (counted, so bounded) touched tuples.
-        t = F.broadcast(touched)
-        return pruned.join(t, _null_safe_match(pruned, t, part_cols), "left_semi")
-    return base.join(touched, _null_safe_match(base, touched, part_cols), "left_semi")
+        return _match_join(pruned, F.broadcast(touched), part_cols, "left_semi")
+    return _match_join(base, touched, part_cols, "left_semi")
 
 
 def align_to(df: DataFrame, like: DataFrame, fill_missing: bool = True) -> DataFrame:
@@ -140,7 +143,7 @@ def scd1_merge(
 
 def untouched_rows(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     """Snapshot rows of partitions the merge did not touch (they stay)."""
-    return base.join(touched, _null_safe_match(base, touched, part_cols), "left_anti")
+    return _match_join(base, touched, part_cols, "left_anti")
 
 
 def apply_merge(base: DataFrame, merged: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ LANDING = "id string, code string, amount string, current_ts string, pos string"
 SELECT = ["id", "code", "amount", "current_ts", "pos"]
 RULES = [ColumnRule("row_key", "row_key", "id"), ColumnRule("part_1", "part_1", "code")]
 KEYS = ["id"]
+RUN_TS = "2024-01-02 00:00:00"
 
 
 def prep(spark, data, run="2024-01-02 00:00:00", **kw):
@@ -145,3 +146,18 @@ def test_merge_fills_new_landing_column(spark):
     out = scd1_merge(wider, base, KEYS, ["part_1"])
     got = {r["id"]: r["note"] for r in out.collect()}
     assert got["new"] == "n" and got["keep_t"] is None
+
+
+def test_merge_same_lineage_multi_part(spark):
+    """Snapshot and delta cut from one frame: joins must not go ambiguous."""
+    rules = [ColumnRule("part_1", "p1", "code"), ColumnRule("part_2", "p2", "kafka_ts")]
+    data = [("a", "x", "1", "2024-01-01 00:00:00", "1"), ("b", "y", "2", "2024-02-01 00:00:00", "2"),
+            ("a", "x", "3", "2024-01-05 00:00:00", "3"), ("c", None, "4", "2024-03-01 00:00:00", "4")]
+    landing = spark.createDataFrame(data, LANDING)
+    prep_all = prepare_delta(landing, KEYS, SELECT, rules, RUN_TS)
+    base = prep_all.filter("trail_file_pos in ('1', '2', '4')")
+    delta = prep_all.filter("trail_file_pos = '3'")
+    out = scd1_merge(delta, base, KEYS, ["p1", "p2"], max_in_list=1000)
+    assert rows(out, "id", "amount") == [("a", "3")]
+    snap = apply_merge(base, out, touched_partitions(delta, ["p1", "p2"]), ["p1", "p2"])
+    assert rows(snap, "id", "amount") == [("a", "3"), ("b", "2"), ("c", "4")]
