@@ -122,6 +122,8 @@ def push_requests(
     param_names: tuple[str, str] = ("param1", "param2"),
     key_param: str | None = None,
     run_batch: str | None = None,
+    num_partitions: int | None = None,
+    concurrency: int = 1,
 ) -> DataFrame:
     """Call the API once per payload row on the executors
     (``mapInPandas``, Arrow batches). ``client(params)`` returns (code,
@@ -129,32 +131,35 @@ def push_requests(
 
     With ``key_param`` each call also sends the request's deterministic key
     (run batch + sequence), so a receiver can drop repeats when a task is
-    retried after an executor loss.
+    retried after an executor loss. ``num_partitions`` spreads requests by
+    key over tasks; ``concurrency`` overlaps calls inside a task.
     """
+    from .responses import map_calls
+
     out_schema = StructType(payload.schema.fields + RESPONSE_FIELDS)
     p1, p2 = param_names
     if key_param is not None and (run_batch is None or "request_seq" not in payload.columns):
         raise ValueError("key_param needs run_batch and a numbered payload (number_requests)")
 
+    def one(item):
+        ids, op, seq = item
+        params = {p1: ids, p2: op}
+        if key_param is not None:
+            params[key_param] = f"{run_batch}{int(seq):06d}"
+        try:
+            code, body = client(params)
+            return int(code), body, None
+        except Exception as e:  # noqa: BLE001 - recorded, not raised
+            return None, None, f"{type(e).__name__}: {e}"
+
     def run(batches):
         for pdf in batches:
-            codes, bodies, errors = [], [], []
             seqs = pdf["request_seq"] if key_param is not None else [None] * len(pdf)
-            for ids, op, seq in zip(pdf["id_list"], pdf["operation"], seqs):
-                params = {p1: ids, p2: op}
-                if key_param is not None:
-                    params[key_param] = f"{run_batch}{int(seq):06d}"
-                try:
-                    code, body = client(params)
-                    codes.append(int(code))
-                    bodies.append(body)
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001 - recorded, not raised
-                    codes.append(None)
-                    bodies.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pdf.assign(code=codes, body=bodies, error=errors)
+            res = map_calls(list(zip(pdf["id_list"], pdf["operation"], seqs)), one, concurrency)
+            yield pdf.assign(code=[r[0] for r in res], body=[r[1] for r in res], error=[r[2] for r in res])
 
+    if num_partitions is not None:
+        payload = payload.repartition(num_partitions, F.col("operation"), F.col("batch_index"))
     return payload.mapInPandas(run, out_schema)
 
 

@@ -133,23 +133,49 @@ def call_with_retry(
         return attempt + 1, code, body, "server_error", f"GST API server error: {code}"
 
 
+def _spread(df: DataFrame, num_partitions: int | None, key_cols: Sequence[str]) -> DataFrame:
+    """Hash-partition a request table on its key (deterministic on retry)
+    so latency-bound calls run on many executors, not in one task."""
+    if num_partitions is None:
+        return df
+    return df.repartition(num_partitions, *[F.col(c) for c in key_cols])
+
+
+def map_calls(items: list, call: Callable, concurrency: int) -> list:
+    """Run ``call`` over ``items`` keeping order; I/O-bound calls may use a
+    small thread pool inside the task."""
+    if concurrency <= 1 or len(items) <= 1:
+        return [call(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        return list(pool.map(call, items))
+
+
 def fetch_table(
     requests: DataFrame,
     fetch: Callable[[dict, int], tuple[int, str]],
     max_retries: int = MAX_RETRIES,
     backoff: bool = True,
     request_cols: Sequence[str] | None = None,
+    num_partitions: int | None = None,
+    concurrency: int = 1,
 ) -> DataFrame:
     """The response table of a request table. Calls and retries
     run on the executors (``mapInPandas``); every request gets one row
-    with its attempt count, last code and body, outcome and error text."""
+    with its attempt count, last code and body, outcome and error text.
+    ``num_partitions`` spreads the requests by key first; ``concurrency``
+    overlaps calls inside a task."""
     cols = list(request_cols or requests.columns)
     out_schema = StructType(requests.schema.fields + FETCH_FIELDS)
     sleeper = time.sleep if backoff else None
 
+    def one(vals):
+        return call_with_retry(fetch, dict(zip(cols, vals)), max_retries, sleeper)
+
     def run(batches):
         for pdf in batches:
-            res = [call_with_retry(fetch, dict(zip(cols, vals)), max_retries, sleeper) for vals in zip(*[pdf[c] for c in cols])]
+            res = map_calls(list(zip(*[pdf[c] for c in cols])), one, concurrency)
             yield pdf.assign(
                 attempts=[r[0] for r in res],
                 code=[r[1] for r in res],
@@ -158,7 +184,7 @@ def fetch_table(
                 error=[r[4] for r in res],
             )
 
-    return requests.mapInPandas(run, out_schema)
+    return _spread(requests, num_partitions, cols).mapInPandas(run, out_schema)
 
 
 def api_metrics(responses: DataFrame) -> DataFrame:

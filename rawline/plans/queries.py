@@ -319,7 +319,7 @@ def request_batches_50(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     payload = ext.number_requests(ext.request_batches(_cod_split(spark, sf_dir), size=50))
-    return ext.push_requests(payload, scripted.cod_push_client)
+    return ext.push_requests(payload, scripted.cod_push_client, num_partitions=8, concurrency=4)
 
 
 @query
@@ -450,7 +450,9 @@ def request_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return rsp.fetch_table(_requests(spark, sf_dir), scripted.gst_fetch_client, backoff=False)
+    return rsp.fetch_table(
+        _requests(spark, sf_dir), scripted.gst_fetch_client, backoff=False, num_partitions=8, concurrency=4
+    )
 
 
 @query

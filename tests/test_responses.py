@@ -136,3 +136,22 @@ def test_calendar(spark):
     assert m == [dt.date(2023, 11, 1), dt.date(2023, 12, 1), dt.date(2024, 1, 1)]
     m2 = df.select(rsp.month_list(F.col("day"), F.lit(3), F.lit(True)).alias("m")).first()["m"]
     assert m2 == [dt.date(2023, 12, 1), dt.date(2024, 1, 1)]
+
+
+def test_map_calls_keeps_order_with_threads():
+    import time as _t
+
+    def slow(x):
+        _t.sleep(0.01 * (5 - x % 5))
+        return x * 2
+
+    assert rsp.map_calls(list(range(20)), slow, 8) == [x * 2 for x in range(20)]
+    assert rsp.map_calls([3], slow, 8) == [6]
+
+
+def test_fetch_table_spread_and_concurrency(spark):
+    ship_package(spark)
+    req = spark.createDataFrame([(str(i),) for i in range(40)], "gstin string").coalesce(1)
+    out = rsp.fetch_table(req, lambda r, a: (200, r["gstin"]), backoff=False, num_partitions=4, concurrency=4)
+    assert out.rdd.getNumPartitions() == 4
+    assert sorted(r["body"] for r in out.collect()) == sorted(str(i) for i in range(40))
