@@ -40,8 +40,3 @@ def epoch_seconds(ts: str | Column) -> Column:
 def last_path_part(path: str | Column) -> Column:
     """Text after the last '=' of a path (the partition value)."""
     return F.element_at(F.split(_col(path), "="), -1)
-
-
-def run_time_text(run_ts: str) -> Column:
-    """The run's start time as the reference's text format."""
-    return F.lit(run_ts)

@@ -9,7 +9,6 @@ putting an operation into one task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -215,7 +214,3 @@ def route_errors(responses: DataFrame, record_date: str, run_batch: str, body_sc
         F.lit(record_date).cast("date").alias("part_record_date_dt"),
         F.lit(run_batch).alias("batch_no"),
     ).select("*", "parsed.*").drop("parsed")
-
-
-def n_batches(n: int, size: int = BATCH_SIZE) -> int:
-    return math.ceil(n / size)

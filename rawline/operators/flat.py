@@ -52,6 +52,6 @@ def flat_summary(flat: DataFrame, section: str, process_date: str, type_col: str
     )
 
 
-def export_file_name(section: str, gst_type: str, day: str) -> str:
-    """P10: ``<section>_<type>_<date>.csv``."""
-    return f"{section}_{gst_type}_{day}.csv"
+def export_file_name(section: str, gst_type: str | None, day: str) -> str:
+    """P10: ``<section>_<type>_<date>.csv`` (a null type is named "null")."""
+    return f"{section}_{'null' if gst_type is None else gst_type}_{day}.csv"

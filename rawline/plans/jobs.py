@@ -295,14 +295,15 @@ def generate_flat(lines: DataFrame, out_root: str, section: str, run_date: str,
         flat.unpersist()
         raise ValueError("No records available after transformation")
     out = f"{out_root.rstrip('/')}/flatfiles/{section}/{run_date}"
-    from ..sinks.files import export_by_type
+    from ..sinks.files import export_by_type, name_type_folders
 
     export_by_type(flat, out)
+    files = name_type_folders(flat.sparkSession, out, "gst_type", lambda t: flt.export_file_name(section, t, run_date))
     summary = flt.flat_summary(flat, section, run_date)
     append_csv(summary, summary_path, header=True)
     row = summary.first()
     flat.unpersist()
-    return {"records": row["record_count"], "files": row["file_count"], "path": out}
+    return {"records": row["record_count"], "files": row["file_count"], "path": out, "outputs": files}
 
 
 def fetch_gst(

@@ -135,6 +135,29 @@ def export_by_type(
     w.partitionBy(type_col).csv(out)
 
 
+def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, p = _fs(spark, src)
+    return bool(fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))
+
+
+def name_type_folders(spark: SparkSession, out: str, type_col: str, name_of) -> list[str]:
+    """P10: rename each ``<type_col>=<value>`` folder of an export to
+    ``name_of(value)`` (the null type's folder gets ``name_of(None)``).
+    One metadata rename per type."""
+    from urllib.parse import unquote
+
+    done = []
+    for child in list_children(spark, out):
+        if not child.startswith(f"{type_col}="):
+            continue
+        raw = child.split("=", 1)[1]
+        value = None if raw == "__HIVE_DEFAULT_PARTITION__" else unquote(raw)
+        target = f"{out.rstrip('/')}/{name_of(value)}"
+        if rename_path(spark, f"{out.rstrip('/')}/{child}", target):
+            done.append(target)
+    return sorted(done)
+
+
 def write_json_by(df: DataFrame, out: str, part_cols: Sequence[str]) -> None:
     """K6: JSON, replacing only the partitions present in ``df``."""
     (

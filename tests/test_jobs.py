@@ -56,6 +56,10 @@ def test_generate_flat(spark):
     root = scratch_path(spark, "flatjob")
     res = generate_flat(fd.tax_lines(spark, SF), root, "gstr1", "2024-01-22", f"{root}/summary")
     assert res["files"] == 5 and res["records"] > 0
+    names = [o.rsplit("/", 1)[-1] for o in res["outputs"]]
+    assert "gstr1_1-URGENT_2024-01-22.csv" in names and len(names) == 5
+    back = spark.read.option("header", True).csv(res["outputs"][0])
+    assert back.count() > 0 and "gstin_hash" in back.columns
     s = spark.read.option("header", True).csv(f"{root}/summary").first()
     assert s["status"] == "COMPLETED"
 
