@@ -11,8 +11,9 @@ Shape of the plan::
 Only partitions the delta touches are read from the snapshot: with a
 file-based snapshot the touched values become a ``PartitionFilters`` entry
 on the scan (no data read for other partitions). The list of touched values
-is metadata (at most one value per partition directory); above
-``max_in_list`` values we switch to a semi-join instead of collecting.
+is metadata (at most one value per partition directory); up to
+``max_in_list`` (10,000) values it is collected, counted first, above that
+a semi-join is used instead.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def restrict_to_touched(
     base: DataFrame,
     touched: DataFrame,
     part_cols: Sequence[str],
-    max_in_list: int = 1000,
+    max_in_list: int = 10_000,
 ) -> DataFrame:
     """Snapshot rows whose partition value the delta touches.
 
@@ -122,7 +123,7 @@ def scd1_merge(
     keys: Sequence[str],
     part_cols: Sequence[str],
     lexicographic: bool = False,
-    max_in_list: int = 1000,
+    max_in_list: int = 10_000,
     global_keys: bool = False,
 ) -> DataFrame:
     """P1 steps (5)-(7): full new content of the touched partitions.

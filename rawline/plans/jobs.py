@@ -25,6 +25,7 @@ from ..operators.publish import BATCH_DELETED, FILE_SYNC, publish_decision, rete
 from ..operators.scd import POS_COL, TS_COL, prepare_delta, scd1_merge, touched_partitions
 from ..functions.columns import position_order
 from ..sinks.files import append_csv, delete_path, path_exists, publish_partitions, write_json_by, write_partitioned
+from ..runtime import cut_lineage
 from ..sources.landing import landing_dir, list_batches, list_versions, raw_dir, read_landing, read_snapshot
 
 APP_STATUS_DDL = (
@@ -265,9 +266,11 @@ def trusted_to_external(
     split = ext.flag_split(source).persist()
     n_total = split.count()
     payload = ext.number_requests(ext.request_batches(split, size=size), size=size)
-    responses = ext.push_requests(
-        payload, client, (cfg.param1, cfg.param2), key_param=key_param, run_batch=run_batch
-    ).persist()
+    # reliable checkpoint, not persist: a lost executor must not make the
+    # plan call the API again when the responses are read a second time
+    responses = cut_lineage(
+        ext.push_requests(payload, client, (cfg.param1, cfg.param2), key_param=key_param, run_batch=run_batch)
+    )
     status = ext.route_status(responses, cfg.app_name, env, record_date, run_batch)
     write_partitioned(status, cfg.statuspath, ["status_record_date_dt", "batch_no"], files_per_partition=1)
     errors = ext.route_errors(responses, record_date, run_batch, error_schema)
@@ -277,7 +280,6 @@ def trusted_to_external(
     if n_total > 0:
         one = spark.createDataFrame([(run_batch,)], "batchno string")
         audit.append_app_status(app_status_rows(one, cfg.app_name, cfg.table_name, run_ts, run_ts, n_total))
-    responses.unpersist()
     split.unpersist()
     if n_err:
         raise PushFailed(f"{n_err} API requests failed; see {cfg.errorpath}")
@@ -322,7 +324,7 @@ def fetch_gst(
     envelopes, keep VALID/ACTIVE rows against the status file, write JSON
     partitioned by (gst_type, fy). Failures come back as an action table."""
     reqs = rsp.request_fanout(sessions, schedules, base_url)
-    fetched = rsp.fetch_table(reqs, fetch, backoff=backoff).persist()
+    fetched = cut_lineage(rsp.fetch_table(reqs, fetch, backoff=backoff))  # calls happen once
     parsed = rsp.parse_envelope(fetched.withColumn("request_id", F.col("url")).filter(F.col("outcome") == "ok"))
     data = rsp.parse_data(parsed, data_schema, ["gst_type", "fy"])
     valid = rsp.valid_records(data, status)
