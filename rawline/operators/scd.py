@@ -65,14 +65,29 @@ def touched_partitions(delta: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     return delta.select(*part_cols).distinct()
 
 
-def _match_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
-    """Null-safe equi-join on ``cols`` through aliases (safe when both sides
-    share lineage); only the left side's columns are kept."""
+def _match_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str, null_safe: bool = True) -> DataFrame:
+    """Equi-join on ``cols`` through aliases (safe when both sides share
+    lineage), null-safe by default; only the left side's columns are kept."""
     lft, rgt = left.alias("_l"), right.select(*cols).alias("_r")
-    cond: Column = reduce(lambda a, b: a & b, [F.col(f"_l.`{c}`").eqNullSafe(F.col(f"_r.`{c}`")) for c in cols])
+
+    def eq(c: str) -> Column:
+        a, b = F.col(f"_l.`{c}`"), F.col(f"_r.`{c}`")
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    cond: Column = reduce(lambda a, b: a & b, [eq(c) for c in cols])
     return lft.join(rgt, cond, how).select(*[F.col(f"_l.`{c}`").alias(c) for c in left.columns])
 
 
+def _semi_join_touched(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
+    """Above the list bound: a plain equality semi-join for partitions
+    without nulls (eligible for dynamic partition pruning) plus a null-safe
+    one restricted to the partitions that hold a null value."""
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in part_cols])
+    eq = _match_join(base.filter(full), touched.filter(full), part_cols, "left_semi", null_safe=False)
+    nul = _match_join(base.filter(~full), touched.filter(~full), part_cols, "left_semi")
+    return eq.unionByName(nul)
+
+
 def restrict_to_touched(
     base: DataFrame,
     touched: DataFrame,
@@ -99,7 +114,7 @@ def restrict_to_touched(
         # per-column lists are a superset for tuples; finish with an exact
         # semi-join against the (counted, so bounded) touched tuples.
         return _match_join(pruned, F.broadcast(touched), part_cols, "left_semi")
-    return _match_join(base, touched, part_cols, "left_semi")
+    return _semi_join_touched(base, touched, part_cols)
 
 
 def align_to(df: DataFrame, like: DataFrame, fill_missing: bool = True) -> DataFrame:

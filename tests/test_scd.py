@@ -161,3 +161,14 @@ def test_merge_same_lineage_multi_part(spark):
     assert rows(out, "id", "amount") == [("a", "3")]
     snap = apply_merge(base, out, touched_partitions(delta, ["p1", "p2"]), ["p1", "p2"])
     assert rows(snap, "id", "amount") == [("a", "3"), ("b", "2"), ("c", "4")]
+
+
+def test_semijoin_path_uses_dynamic_pruning(spark):
+    base, delta = merge_fixture(spark)
+    path = scratch_path(spark, "dpp")
+    write_partitioned(base, path, ["part_1"], mode="overwrite")
+    snap = read_snapshot(spark, path, delta.schema)
+    out = scd1_merge(delta, snap, KEYS, ["part_1"], max_in_list=0)
+    got = {r["id"]: r["amount"] for r in out.collect()}
+    assert got["nul"] == "6" and got["older"] == "4" and "keep_u" not in got
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
