@@ -13,26 +13,25 @@ KEEP_STATUSES = ("VALID", "ACTIVE")
 
 
 def flat_transform(df: DataFrame, run_date: str) -> DataFrame:
-    """Add load_timestamp, process_date, month, year, gstin_hash; keep
-    VALID/ACTIVE (exact case); whole-row distinct.
-
-    The distinct is a hash aggregate with a map-side partial, so repeated
-    rows collapse before the shuffle. A bad date gives null, not an error.
+    """Keep VALID/ACTIVE (exact case), whole-row distinct, then add
+    load_timestamp, process_date, month, year, gstin_hash.
+
+    The added columns are deterministic functions of the row (and one
+    constant), so taking the distinct first gives the same rows while the
+    shuffle carries only the input columns; the hash aggregate's map-side
+    partial collapses repeated rows before the shuffle. A bad date gives
+    null, not an error.
     """
+    kept = df.filter(F.col("status").isin(*KEEP_STATUSES)).distinct()
     process_date = F.try_to_date(F.col("transaction_date"), DATE_FORMAT)
-    out = df.withColumns(
-        {
-            "load_timestamp": F.lit(run_date),
-            "process_date": process_date,
-        }
-    ).withColumns(
+    out = kept.withColumns({"load_timestamp": F.lit(run_date), "process_date": process_date})
+    return out.withColumns(
         {
             "month": F.month("process_date"),
             "year": F.year("process_date"),
             "gstin_hash": F.md5(F.col("gstin").cast("string")),
         }
     )
-    return out.filter(F.col("status").isin(*KEEP_STATUSES)).distinct()
 
 
 def type_counts(flat: DataFrame, type_col: str = "gst_type") -> DataFrame:
