@@ -213,9 +213,10 @@ def parse_envelope(responses: DataFrame, body_col: str = "body") -> DataFrame:
     (JSON text, for ``status = success`` with a data field) or ``error``.
     A nested object or array in ``data`` is kept as its JSON text."""
     env = F.from_json(F.col(body_col), ENVELOPE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    # one-element explode: the parse is a generator output, so later filters
-    # on its fields cannot be pushed below it and re-parse the body each time
-    df = responses.select("*", F.explode(F.array(env)).alias("_env"))
+    # A filter on ``ok`` is pushed below this projection with the parse
+    # inlined; codegen's subexpression elimination still parses each body
+    # once (measured: faster than forcing one parse through a generator).
+    df = responses.withColumn("_env", env)
     malformed = F.col("_env").isNull() | F.col("_env._corrupt").isNotNull()
     success = F.col("_env.status") == "success"
     error = (
