@@ -106,7 +106,7 @@ class RawRunResult:
 def landing_to_raw(
     spark: SparkSession,
     cfg: RawPipelineConfig,
-    landing_schema: StructType,
+    landing_schema: StructType | None,
     audit: AuditStore,
     run_ts: str,
     run_epoch: int,
@@ -121,6 +121,12 @@ def landing_to_raw(
     lroot = landing_dir(cfg.sourcepath, cfg.tablename)
     rroot = raw_dir(cfg.targetpath, cfg.tablename)
     snap_path = f"{rroot}/t=0"
+    if landing_schema is None:
+        if not cfg.schemafile:
+            raise ValueError("no landing schema: pass one or set schemafile in the config")
+        from ..sources.landing import sample_schema
+
+        landing_schema = sample_schema(spark, cfg.schemafile)  # S2
 
     mark = None
     if cfg.startbatchno is None:

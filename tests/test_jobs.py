@@ -124,3 +124,26 @@ def test_catalog_audit_store_and_idempotency_key(spark):
     payload = ext.number_requests(ext.request_batches(df, size=2))
     seen = ext.push_requests(payload, lambda p: (200, p["key"]), key_param="key", run_batch="20240101000000")
     assert sorted(r["body"] for r in seen.collect()) == ["20240101000000000001", "20240101000000000002"]
+
+
+def test_cli_landing_to_raw(spark, tmp_path):
+    import json as _json
+
+    from rawline.__main__ import main as cli
+
+    root = scratch_path(spark, "cli")
+    feed = fd.landing_feed(spark, SF).filter(F.col("batchno") <= "20240105000000")
+    write_partitioned(feed, f"{root}/landing/L_events", ["batchno"], fmt="json", mode="overwrite", files_per_partition=1)
+    sample = f"{root}/sample"
+    feed.drop("batchno").limit(5).write.json(sample)
+    cfg = {"rawpipeline": {"appname": "a", "tablename": "events", "sourcepath": f"{root}/landing",
+                           "targetpath": f"{root}/raw", "startbatchno": "20240101000000", "endbatchno": None,
+                           "scd1column": "user_id", "selectcols": "user_id,event_type,value,current_ts,pos",
+                           "schemafile": sample,
+                           "additional_columns": [{"columnkey": "part_1", "columnname": "part_1", "columnformula": "event_type"}]}}
+    p = tmp_path / "cfg.json"
+    p.write_text(_json.dumps(cfg))
+    assert cli(["landing_to_raw", "--config", str(p), "--audit", f"{root}/audit",
+                "--run-ts", "2024-01-06 00:00:00", "--run-epoch", "1704499200"]) == 0
+    snap = spark.read.orc(f"{root}/raw/R_events/t=0")
+    assert snap.count() == feed.select("user_id").distinct().count()
