@@ -199,7 +199,11 @@ def publish(
     version = version.drop("_v")
     obs = Observation("publish")
     typed_touched = [tuple(t) for t in touched]
-    publish_partitions(version.observe(obs, F.count(F.lit(1)).alias("rows")), snap_path, parts, typed_touched)
+    # one version: its files are already one-partition-each, copy without a shuffle
+    publish_partitions(
+        version.observe(obs, F.count(F.lit(1)).alias("rows")), snap_path, parts, typed_touched,
+        keep_layout=len(frames) == 1,
+    )
     n = int(obs.get["rows"])
     rows = spark.createDataFrame([(v,) for v in pending], "t bigint")
     audit.append_sync_status(sync_rows(rows, cfg.appname, cfg.tablename, FILE_SYNC, run_ts, n))

@@ -54,15 +54,22 @@ def publish_partitions(
     touched: Sequence[tuple] | None = None,
     fmt: str = "orc",
     files_per_partition: int | None = None,
+    keep_layout: bool = False,
 ) -> list[tuple]:
     """K2: replace the partitions the version holds in the snapshot
     (dynamic overwrite: other partitions keep their files). Partitions the
     merge touched but that ended empty are deleted as well, since a dynamic
     overwrite would otherwise keep their old files. Returns the deleted
-    partition tuples."""
+    partition tuples.
+
+    ``keep_layout=True`` is for a version read back from its own partitioned
+    folder: each file already belongs to one partition, so the rows are
+    rewritten split by split with no shuffle at all.
+    """
     spark = version.sparkSession
+    laid_out = version if keep_layout else _salted(version, part_cols, files_per_partition, None)
     (
-        _salted(version, part_cols, files_per_partition, None)
+        laid_out
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .format(fmt)

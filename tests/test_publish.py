@@ -77,3 +77,13 @@ def test_partitioned_write_rebalances(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
     fixed = _salted(df, ["part_1"], 4, None)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(part_1" in fixed and "xxhash64" in fixed
+
+
+def test_publish_keep_layout_has_no_shuffle(spark):
+    root = scratch_path(spark, "keep")
+    v = spark.createDataFrame([("k1", "aaa"), ("k2", "bbb")], "id string, part_1 string")
+    write_partitioned(v, f"{root}/t=5", ["part_1"], mode="overwrite")
+    back = read_snapshot(spark, f"{root}/t=5", "id string, part_1 string")
+    assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+    publish_partitions(back, f"{root}/t=0", ["part_1"], [("aaa",), ("bbb",)], keep_layout=True)
+    assert rows(read_snapshot(spark, f"{root}/t=0", "id string, part_1 string")) == [("k1", "aaa"), ("k2", "bbb")]
