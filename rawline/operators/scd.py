@@ -140,6 +140,7 @@ def scd1_merge(
     lexicographic: bool = False,
     max_in_list: int = 10_000,
     global_keys: bool = False,
+    touch_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """P1 steps (5)-(7): full new content of the touched partitions.
 
@@ -148,10 +149,14 @@ def scd1_merge(
     full tie the snapshot row stays, so merging the same delta twice
     changes nothing. With ``global_keys=True`` the whole snapshot takes
     part (D2 off): a key that moves partition leaves no stale row.
+    ``touch_cols`` picks the partition columns that decide which snapshot
+    rows take part (default all; the reference uses only the date column
+    ``part_3`` of a date-partitioned table).
     """
     base = align_to(base, delta)
     if not global_keys:
-        base = restrict_to_touched(base, touched_partitions(delta, part_cols), part_cols, max_in_list)
+        tcols = list(touch_cols or part_cols)
+        base = restrict_to_touched(base, touched_partitions(delta, tcols), tcols, max_in_list)
     both = delta.withColumn("_src", F.lit(1)).unionByName(base.withColumn("_src", F.lit(0)))
     order = [*position_order(POS_COL, lexicographic), F.col(TS_COL).desc_nulls_last(), F.col("_src").asc()]
     return latest_per_key(both, keys, order).drop("_src")

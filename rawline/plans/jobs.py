@@ -22,7 +22,7 @@ from ..operators.audit import APP_STATUS_COLS, SYNC_STATUS_COLS, app_status_rows
 from ..operators.batches import mark_value, select_batches
 from ..operators.dedupe import latest_per_key
 from ..operators.publish import BATCH_DELETED, FILE_SYNC, publish_decision, retention_candidates, sync_mark
-from ..operators.scd import POS_COL, TS_COL, prepare_delta, scd1_merge, touched_partitions
+from ..operators.scd import POS_COL, TS_COL, prepare_delta, restrict_to_touched, scd1_merge, touched_partitions
 from ..functions.columns import position_order
 from ..sinks.files import append_csv, delete_path, path_exists, publish_partitions, write_json_by, write_partitioned
 from ..runtime import cut_lineage
@@ -141,10 +141,18 @@ def landing_to_raw(
         delta = prepare_delta(
             landing, cfg.keys, cfg.selectcols, cfg.rules, run_ts, date_partitioned=cfg.date_partitioned
         ).persist()
-        touched = [tuple(r) for r in touched_partitions(delta, parts).collect()]
         schema = delta.schema
         base = read_snapshot(spark, snap_path, schema) if path_exists(spark, snap_path) else spark.createDataFrame([], schema)
-        merged = scd1_merge(delta, base, cfg.keys, parts)
+        # the date-partitioned layout selects snapshot rows by date (part_3)
+        touch = parts[-1:] if cfg.date_partitioned else parts
+        merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch)
+        # every partition the merge rewrites: the delta's and those of the
+        # snapshot rows it selected (they differ when touch != parts)
+        selected = restrict_to_touched(base, touched_partitions(delta, touch), touch)
+        touched = [
+            tuple(r)
+            for r in touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct().collect()
+        ]
         obs = Observation("merge")
         version = run_epoch
         vpath = f"{rroot}/t={version}"

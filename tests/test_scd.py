@@ -172,3 +172,18 @@ def test_semijoin_path_uses_dynamic_pruning(spark):
     got = {r["id"]: r["amount"] for r in out.collect()}
     assert got["nul"] == "6" and got["older"] == "4" and "keep_u" not in got
     assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_touch_cols_date_only(spark):
+    """part_1 from one column, part_3 from another: selecting the snapshot
+    by part_3 alone (the reference's rule) takes rows the tuple rule skips."""
+    rules = [ColumnRule("part_1", "p1", "code"), ColumnRule("part_3", "p3", "kafka_ts")]
+    base = prepare_delta(
+        spark.createDataFrame([("b", "aaa", "1", "2024-01-05 00:00:00", "1")], LANDING), KEYS, SELECT, rules, RUN_TS
+    )
+    delta = prepare_delta(
+        spark.createDataFrame([("d", "zzz", "2", "2024-01-05 10:00:00", "2")], LANDING), KEYS, SELECT, rules, RUN_TS
+    )
+    by_tuple = {r["id"] for r in scd1_merge(delta, base, KEYS, ["p1", "p3"]).collect()}
+    by_date = {r["id"] for r in scd1_merge(delta, base, KEYS, ["p1", "p3"], touch_cols=["p3"]).collect()}
+    assert by_tuple == {"d"} and by_date == {"b", "d"}
