@@ -62,27 +62,52 @@ def request_fanout(
 ) -> DataFrame:
     """Each selected schedule x each session -> one request.
 
-    The schedules are config entries (a bounded list, checked here); they
-    are turned into an array literal and exploded onto the sessions, so
-    the session table is streamed once with no join at all.
+    The schedules are config entries. Up to ``max_schedules`` (counted
+    before collecting) they are turned into an array literal and exploded
+    onto the sessions, so the session table is streamed once with no join
+    at all. Above the bound the schedules stay distributed: see
+    ``_fanout_join``.
     """
     entries = schedules.select(*schedule_cols).limit(max_schedules + 1).collect()
+    sess = sessions.select(
+        F.col("GSTIN1").cast("string").alias("gstin"), F.col("SECTION1").cast("string").alias("section")
+    )
     if len(entries) > max_schedules:
-        raise ValueError(f"more than {max_schedules} schedules selected; split the run")
-    if not entries:
-        return sessions.limit(0).select(
-            F.lit(None).cast("string").alias("gstin"), F.lit(None).cast("string").alias("section"),
-            *[F.lit(None).cast("string").alias(c) for c in schedule_cols], F.lit(None).cast("string").alias("url"),
+        fan = _fanout_join(sess, schedules, schedule_cols, max_schedules)
+    elif not entries:
+        fan = sess.limit(0).select("gstin", "section", *[F.lit(None).cast("string").alias(c) for c in schedule_cols])
+    else:
+        arr = F.array(*[F.struct(*[F.lit(r[c]).cast("string").alias(c) for c in schedule_cols]) for r in entries])
+        fan = sess.select("gstin", "section", F.explode(arr).alias("sch")).select(
+            "gstin", "section", *[F.col(f"sch.{c}").alias(c) for c in schedule_cols]
         )
-    arr = F.array(*[F.struct(*[F.lit(r[c]).cast("string").alias(c) for c in schedule_cols]) for r in entries])
-    fan = sessions.select(
-        F.col("GSTIN1").cast("string").alias("gstin"),
-        F.col("SECTION1").cast("string").alias("section"),
-        F.explode(arr).alias("sch"),
-    ).select("gstin", "section", *[F.col(f"sch.{c}").alias(c) for c in schedule_cols])
     return fan.withColumn("url", request_url(base_url, F.col("gstin"), F.col("fy"), F.col("section")))
 
 
+def _fanout_join(sess: DataFrame, schedules: DataFrame, schedule_cols: Sequence[str], chunk_size: int) -> DataFrame:
+    """X5 above the literal bound, exact and without a cross join.
+
+    Schedules are hashed into ``chunks`` (about ``chunk_size`` each) and
+    copied once per salt; each session gets one salt from its own hash and
+    is copied once per chunk. The equi-join on (chunk, salt) then meets
+    every (session, schedule) pair exactly once, spread over
+    chunks x salts join keys instead of one task.
+    """
+    spark = sess.sparkSession
+    n = schedules.count()
+    chunks = -(-n // chunk_size)
+    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cols = [F.col(c).cast("string").alias(c) for c in schedule_cols]
+    sch = (
+        schedules.select(*cols)
+        .withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in schedule_cols]), F.lit(chunks)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    ses = sess.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+    ses = ses.withColumn("_salt", F.pmod(F.xxhash64("gstin", "section"), F.lit(salts)).cast("int"))
+    return ses.join(sch, ["_chunk", "_salt"]).select("gstin", "section", *schedule_cols)
+
+
 # ---------------------------------------------------------------- fetch
 
 

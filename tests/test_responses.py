@@ -155,3 +155,19 @@ def test_fetch_table_spread_and_concurrency(spark):
     out = rsp.fetch_table(req, lambda r, a: (200, r["gstin"]), backoff=False, num_partitions=4, concurrency=4)
     assert out.rdd.getNumPartitions() == 4
     assert sorted(r["body"] for r in out.collect()) == sorted(str(i) for i in range(40))
+
+
+def test_fanout_above_schedule_bound_is_exact(spark):
+    """Above the literal bound the fan-out joins on (chunk, salt): the
+    same pairs, each once, and still no cross product in the plan."""
+    sched = spark.createDataFrame(
+        [(f"t{i}", "2024-25" if i % 2 else "2023-24") for i in range(7)] + [(None, "2024-25")], "gst_type string, fy string"
+    )
+    sessions = spark.createDataFrame([(f"G{i}", "B2B" if i % 3 else None) for i in range(11)], "GSTIN1 string, SECTION1 string")
+    small = rsp.request_fanout(sessions, sched, "http://h/")
+    big = rsp.request_fanout(sessions, sched, "http://h/", max_schedules=3)
+    assert big.count() == 11 * 8
+    assert rows(big) == rows(small)
+    assert big.columns == small.columns
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
