@@ -48,8 +48,10 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``rawline`` importable in Python workers (for mapInPandas and
-    pandas UDFs): zip the package once per application into the shared
-    folder and ``addPyFile`` it, as ``--py-files`` would."""
+    pandas UDFs): zip the package once per application in memory, write it
+    into the shared folder through the Hadoop file system and ``addPyFile``
+    it from there, as ``--py-files`` would (no machine-local temp folder)."""
+    import io
     import os
     import zipfile
 
@@ -57,18 +59,20 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_path(spark, "pyfiles") + "/rawline.zip"
-    local = target[len("file:"):] if target.startswith("file:") else target
-    if "://" in local:  # a cluster filesystem: write locally, then upload
-        import tempfile as _tf
-
-        local = os.path.join(_tf.mkdtemp(prefix="rawline-zip-"), "rawline.zip")
-    os.makedirs(os.path.dirname(local), exist_ok=True)
-    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _dirs, files in os.walk(pkg_dir):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     zf.write(full, os.path.join("rawline", os.path.relpath(full, pkg_dir)))
-    spark.sparkContext.addPyFile(local)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "pyfiles") + "/rawline.zip")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(app)
