@@ -149,18 +149,17 @@ def landing_to_raw(
         # every partition the merge rewrites: the delta's and those of the
         # snapshot rows it selected (they differ when touch != parts)
         selected = restrict_to_touched(base, touched_partitions(delta, touch), touch)
-        touched = [
-            tuple(r)
-            for r in touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct().collect()
-        ]
+        touched = touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct()
         obs = Observation("merge")
         version = run_epoch
         vpath = f"{rroot}/t={version}"
         write_partitioned(merged.observe(obs, F.count(F.lit(1)).alias("rows")), vpath, parts, mode="overwrite")
         record_count = int(obs.get["rows"])
-        spark.createDataFrame([tuple(map(_text, t)) for t in touched], ", ".join(f"{p} string" for p in parts)).coalesce(
-            1
-        ).write.mode("overwrite").json(f"{vpath}/_touched")
+        # the touched list is partition metadata: written by Spark next to the
+        # version, never gathered on the driver
+        touched.select(*[F.col(p).cast("string").alias(p) for p in parts]).coalesce(1).write.mode("overwrite").json(
+            f"{vpath}/_touched"
+        )
         delta.unpersist()
         batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
         audit.append_app_status(
@@ -172,10 +171,6 @@ def landing_to_raw(
     return RawRunResult(chosen, record_count, version, action, published, deleted)
 
 
-def _text(v):
-    return None if v is None else str(v)
-
-
 def publish(
     spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, strict: bool = False
 ) -> tuple[str, list[int]]:
