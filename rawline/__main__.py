@@ -55,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "generate_flat":
         from .sources.files import read_csv
 
+        from .runtime import input_bytes, size_shuffle_partitions
+
+        size_shuffle_partitions(spark, input_bytes(spark, [args.input]))
         lines = read_csv(spark, args.input, args.schema, header=True)
         res = jobs.generate_flat(lines, args.out, args.section, args.run_date, f"{args.out}/reports/flatfile_summary")
         print(json.dumps(res, default=str))

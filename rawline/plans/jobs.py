@@ -25,7 +25,7 @@ from ..operators.publish import BATCH_DELETED, FILE_SYNC, publish_decision, rete
 from ..operators.scd import POS_COL, TS_COL, prepare_delta, restrict_to_touched, scd1_merge, touched_partitions
 from ..functions.columns import position_order
 from ..sinks.files import append_csv, delete_path, path_exists, publish_partitions, write_json_by, write_partitioned
-from ..runtime import cut_lineage
+from ..runtime import cut_lineage, input_bytes, size_shuffle_partitions
 from ..sources.landing import landing_dir, list_batches, list_versions, raw_dir, read_landing, read_snapshot
 
 APP_STATUS_DDL = (
@@ -137,6 +137,7 @@ def landing_to_raw(
     )
     record_count, version = 0, None
     if chosen:
+        size_shuffle_partitions(spark, input_bytes(spark, [f"{lroot}/batchno={b}" for b in chosen] + [snap_path]))
         landing = read_landing(spark, lroot, landing_schema, chosen)
         delta = prepare_delta(
             landing, cfg.keys, cfg.selectcols, cfg.rules, run_ts, date_partitioned=cfg.date_partitioned

@@ -43,6 +43,54 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Shuffle sizing: one initial shuffle partition per this much input (the
+# size of a default file split); AQE coalesces small partitions afterwards
+# and splits skewed ones, but it never raises the initial count.
+INPUT_BYTES_PER_PARTITION = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes stored under ``paths`` (file-system metadata, no data read);
+    missing paths count as 0."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += int(fs.getContentSummary(hp).getLength())
+    return total
+
+
+def wanted_shuffle_partitions(
+    n_bytes: int,
+    current: int,
+    bytes_per_partition: int = INPUT_BYTES_PER_PARTITION,
+    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
+) -> int:
+    """Initial shuffle partitions for ``n_bytes`` of input: one per
+    ``bytes_per_partition``, never below ``current``, at most
+    ``max_partitions`` (unless ``current`` is already higher)."""
+    need = -(-max(0, n_bytes) // bytes_per_partition)
+    return max(current, min(need, max_partitions))
+
+
+def size_shuffle_partitions(spark: SparkSession, n_bytes: int) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to fit a run over ``n_bytes``
+    of input, unless the launcher set it (then it is kept as given).
+    Returns the value in effect."""
+    key = "spark.sql.shuffle.partitions"
+    current = int(spark.conf.get(key))
+    if spark.sparkContext.getConf().contains(key):
+        return current
+    wanted = wanted_shuffle_partitions(n_bytes, current)
+    if wanted != current:
+        spark.conf.set(key, str(wanted))
+    return wanted
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -71,3 +71,20 @@ def test_jdbc_options():
     assert o["numPartitions"] == "4" and o["partitionColumn"] == "CUST_ID" and "password" not in o
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", t, partition_column="CUST_ID")
+
+
+def test_shuffle_partitions_follow_input_size(spark, tmp_path):
+    from rawline.runtime import input_bytes, size_shuffle_partitions, wanted_shuffle_partitions
+
+    mb = 1024 * 1024
+    assert wanted_shuffle_partitions(0, 200) == 200  # never below the current value
+    assert wanted_shuffle_partitions(10 * 128 * mb, 8) == 10
+    assert wanted_shuffle_partitions(100 * 1024**4, 200) == 50_000  # 100 TB: capped
+    assert wanted_shuffle_partitions(100 * 1024**4, 60_000) == 60_000
+    (tmp_path / "a").write_bytes(b"x" * 1000)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b").write_bytes(b"y" * 24)
+    assert input_bytes(spark, [str(tmp_path), str(tmp_path / "missing")]) == 1024
+    # the test session sets the value at launch: it is kept as given
+    assert size_shuffle_partitions(spark, 100 * 1024**4) == 8
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
