@@ -112,8 +112,10 @@ def restrict_to_touched(
         if len(part_cols) <= 1:
             return pruned  # the per-column filter is already exact
         # per-column lists are a superset for tuples; finish with an exact
-        # semi-join against the (counted, so bounded) touched tuples.
-        return _match_join(pruned, F.broadcast(touched), part_cols, "left_semi")
+        # semi-join against the (counted, so bounded) touched tuples already
+        # on the driver, so the delta pipeline is not run a second time.
+        exact = base.sparkSession.createDataFrame(probe, touched.schema)
+        return _match_join(pruned, F.broadcast(exact), part_cols, "left_semi")
     return _semi_join_touched(base, touched, part_cols)
 
 
