@@ -164,12 +164,20 @@ def scd1_merge(
     return latest_per_key(both, keys, order).drop("_src")
 
 
-def untouched_rows(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
-    """Snapshot rows of partitions the merge did not touch (they stay)."""
+def untouched_rows(base: DataFrame, touched: DataFrame, part_cols: Sequence[str], max_in_list: int = 10_000) -> DataFrame:
+    """Snapshot rows of partitions the merge did not touch (they stay).
+    Up to ``max_in_list`` touched tuples (counted first) the anti-join runs
+    against the collected tuples, broadcast; above that against the frame."""
+    probe = touched.select(*part_cols).limit(max_in_list + 1).collect()
+    if len(probe) <= max_in_list:
+        exact = base.sparkSession.createDataFrame(probe, touched.select(*part_cols).schema)
+        return _match_join(base, F.broadcast(exact), part_cols, "left_anti")
     return _match_join(base, touched, part_cols, "left_anti")
 
 
-def apply_merge(base: DataFrame, merged: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
+def apply_merge(
+    base: DataFrame, merged: DataFrame, touched: DataFrame, part_cols: Sequence[str], max_in_list: int = 10_000
+) -> DataFrame:
     """The snapshot after publishing ``merged``: untouched partitions of
     ``base`` plus the merge output (touched partitions are replaced)."""
-    return untouched_rows(align_to(base, merged), touched, part_cols).unionByName(merged)
+    return untouched_rows(align_to(base, merged), touched, part_cols, max_in_list).unionByName(merged)
