@@ -185,15 +185,16 @@ def publish(
     action = publish_decision(len(pending), strict)
     if action not in ("publish", "merge_all"):
         return action, []
-    frames, touched = [], set()
+    frames, tpaths = [], []
     ptypes = partition_types(cfg.rules, cfg.date_partitioned)
     for v in pending:
         vpath = f"{rroot}/t={v}"
         frames.append(read_version(spark, vpath, ptypes).withColumn("_v", F.lit(v)))
-        tpath = f"{vpath}/_touched"
-        if path_exists(spark, tpath):
-            ddl = ", ".join(f"`{p}` string" for p in parts)
-            touched |= {tuple(r) for r in spark.read.schema(ddl).json(tpath).collect()}
+        if path_exists(spark, f"{vpath}/_touched"):
+            tpaths.append(f"{vpath}/_touched")
+    # the touched lists of all pending versions, one read, kept distributed
+    ddl = ", ".join(f"`{p}` string" for p in parts)
+    touched = spark.read.schema(ddl).json(tpaths) if tpaths else None
     version = frames[0]
     for f in frames[1:]:
         version = version.unionByName(f, allowMissingColumns=True)
@@ -202,10 +203,9 @@ def publish(
         version = latest_per_key(version, cfg.keys, order)
     version = version.drop("_v")
     obs = Observation("publish")
-    typed_touched = [tuple(t) for t in touched]
     # one version: its files are already one-partition-each, copy without a shuffle
     publish_partitions(
-        version.observe(obs, F.count(F.lit(1)).alias("rows")), snap_path, parts, typed_touched,
+        version.observe(obs, F.count(F.lit(1)).alias("rows")), snap_path, parts, touched,
         keep_layout=len(frames) == 1,
     )
     n = int(obs.get["rows"])

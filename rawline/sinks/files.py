@@ -51,7 +51,7 @@ def publish_partitions(
     version: DataFrame,
     snapshot_path: str,
     part_cols: Sequence[str],
-    touched: Sequence[tuple] | None = None,
+    touched: Sequence[tuple] | DataFrame | None = None,
     fmt: str = "orc",
     files_per_partition: int | None = None,
     keep_layout: bool = False,
@@ -62,6 +62,11 @@ def publish_partitions(
     overwrite would otherwise keep their old files. Returns the deleted
     partition tuples.
 
+    ``touched`` may be a list of tuples or a frame of the partition columns;
+    the emptied ones are found by an anti-join against the version's
+    partitions (compared as path text, nulls matched), so only partitions
+    to delete reach the driver.
+
     ``keep_layout=True`` is for a version read back from its own partitioned
     folder: each file already belongs to one partition, so the rows are
     rewritten split by split with no shuffle at all.
@@ -76,13 +81,25 @@ def publish_partitions(
         .partitionBy(*part_cols)
         .save(snapshot_path)
     )
-    if not touched:
+    if touched is None:
         return []
-    # compare as partition-path text: touched values may come typed or as text
-    written = {_as_text(r) for r in version.select(*part_cols).distinct().collect()}
-    empty = [t for t in touched if _as_text(t) not in written]
-    for t in empty:
-        delete_path(spark, partition_path(snapshot_path, part_cols, t))
+    ddl = ", ".join(f"`{c}` string" for c in part_cols)
+    if not isinstance(touched, DataFrame):
+        if not touched:
+            return []
+        touched = spark.createDataFrame([_as_text(t) for t in touched], ddl)
+
+    def text(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).cast("string").alias(c) for c in part_cols])
+
+    t, w = text(touched).alias("_t"), text(version).distinct().alias("_w")
+    cond = None
+    for c in part_cols:
+        e = F.col(f"_t.`{c}`").eqNullSafe(F.col(f"_w.`{c}`"))
+        cond = e if cond is None else cond & e
+    empty = [tuple(r) for r in t.join(w, cond, "left_anti").distinct().collect()]
+    for row in empty:
+        delete_path(spark, partition_path(snapshot_path, part_cols, row))
     return empty
 
 

@@ -34,7 +34,7 @@ def merge_micro_batch(cfg: RawPipelineConfig, run_ts: str):
         try:
             if delta.isEmpty():
                 return
-            touched = [tuple(r) for r in touched_partitions(delta, parts).collect()]
+            touched = touched_partitions(delta, parts)  # stays distributed
             if path_exists(spark, snap_path):
                 base = read_snapshot(spark, snap_path, delta.schema)
             else:
