@@ -59,6 +59,7 @@ def request_fanout(
     base_url: str,
     schedule_cols: Sequence[str] = ("gst_type", "fy"),
     max_schedules: int = 10_000,
+    broadcast_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
     """Each selected schedule x each session -> one request.
 
@@ -73,7 +74,7 @@ def request_fanout(
         F.col("GSTIN1").cast("string").alias("gstin"), F.col("SECTION1").cast("string").alias("section")
     )
     if len(entries) > max_schedules:
-        fan = _fanout_join(sess, schedules, schedule_cols, max_schedules)
+        fan = _fanout_join(sess, schedules, schedule_cols, max_schedules, broadcast_bytes)
     elif not entries:
         fan = sess.limit(0).select("gstin", "section", *[F.lit(None).cast("string").alias(c) for c in schedule_cols])
     else:
@@ -84,26 +85,40 @@ def request_fanout(
     return fan.withColumn("url", request_url(base_url, F.col("gstin"), F.col("fy"), F.col("section")))
 
 
-def _fanout_join(sess: DataFrame, schedules: DataFrame, schedule_cols: Sequence[str], chunk_size: int) -> DataFrame:
+def _fanout_join(
+    sess: DataFrame,
+    schedules: DataFrame,
+    schedule_cols: Sequence[str],
+    chunk_size: int,
+    broadcast_bytes: int = 64 * 1024 * 1024,
+) -> DataFrame:
     """X5 above the literal bound, exact and without a cross join.
 
-    Schedules are hashed into ``chunks`` (about ``chunk_size`` each) and
-    copied once per salt; each session gets one salt from its own hash and
-    is copied once per chunk. The equi-join on (chunk, salt) then meets
-    every (session, schedule) pair exactly once, spread over
-    chunks x salts join keys instead of one task.
+    Schedules are hashed into ``chunks`` (about ``chunk_size`` each); each
+    session is copied once per chunk, so an equi-join on the chunk meets
+    every (session, schedule) pair exactly once. The schedules' byte size is
+    measured first: within ``broadcast_bytes`` they are broadcast and the
+    sessions stream through with no shuffle. Beyond it each session also
+    gets one salt from its own hash and the schedules are copied per salt,
+    so the shuffle join spreads over chunks x salts keys (AQE splits a hot
+    session key further).
     """
     spark = sess.sparkSession
-    n = schedules.count()
-    chunks = -(-n // chunk_size)
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cols = [F.col(c).cast("string").alias(c) for c in schedule_cols]
-    sch = (
-        schedules.select(*cols)
-        .withColumn("_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in schedule_cols]), F.lit(chunks)))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    text = [F.col(c).cast("string").alias(c) for c in schedule_cols]
+    size = schedules.select(*text).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(sum((F.coalesce(F.length(c), F.lit(0)) + F.lit(8) for c in schedule_cols), F.lit(0))).alias("b"),
+    ).first()
+    n, n_bytes = int(size["n"]), int(size["b"] or 0)
+    chunks = max(1, -(-n // chunk_size))
+    sch = schedules.select(*text).withColumn(
+        "_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in schedule_cols]), F.lit(chunks))
     )
     ses = sess.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
+    if n_bytes <= broadcast_bytes:
+        return ses.join(F.broadcast(sch), ["_chunk"]).select("gstin", "section", *schedule_cols)
+    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sch = sch.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     ses = ses.withColumn("_salt", F.pmod(F.xxhash64("gstin", "section"), F.lit(salts)).cast("int"))
     return ses.join(sch, ["_chunk", "_salt"]).select("gstin", "section", *schedule_cols)
 

@@ -158,16 +158,22 @@ def test_fetch_table_spread_and_concurrency(spark):
 
 
 def test_fanout_above_schedule_bound_is_exact(spark):
-    """Above the literal bound the fan-out joins on (chunk, salt): the
-    same pairs, each once, and still no cross product in the plan."""
+    """Above the literal bound the fan-out joins on the schedule chunk
+    (schedules broadcast by measured size) or, beyond the broadcast bound,
+    on (chunk, salt): the same pairs, each once, no cross product. A third
+    of the sessions are copies of one row (a hot group)."""
     sched = spark.createDataFrame(
         [(f"t{i}", "2024-25" if i % 2 else "2023-24") for i in range(7)] + [(None, "2024-25")], "gst_type string, fy string"
     )
-    sessions = spark.createDataFrame([(f"G{i}", "B2B" if i % 3 else None) for i in range(11)], "GSTIN1 string, SECTION1 string")
+    ses = [(f"G{i}", "B2B" if i % 3 else None) for i in range(10)] + [("HOT", "B2B")] * 5
+    sessions = spark.createDataFrame(ses, "GSTIN1 string, SECTION1 string")
     small = rsp.request_fanout(sessions, sched, "http://h/")
-    big = rsp.request_fanout(sessions, sched, "http://h/", max_schedules=3)
-    assert big.count() == 11 * 8
-    assert rows(big) == rows(small)
-    assert big.columns == small.columns
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    for kw in ({}, {"broadcast_bytes": 0}):
+        big = rsp.request_fanout(sessions, sched, "http://h/", max_schedules=3, **kw)
+        assert big.count() == 15 * 8
+        assert rows(big) == rows(small)
+        assert big.columns == small.columns
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        if not kw:  # measured small: broadcast, sessions stream unshuffled
+            assert "BroadcastHashJoin" in plan
