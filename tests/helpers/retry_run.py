@@ -84,6 +84,25 @@ def main(calls_dir: str, scratch: str) -> None:
         names = os.listdir(d)
         out[f"{label}_calls"] = len(names)
         out[f"{label}_requests"] = len({n.split("-")[0] for n in names})
+    # 3) the SCD1 merge with every task of its landing input retried once
+    from rawline.operators.scd import prepare_delta, scd1_merge
+    from rawline.plans import feeds as fd
+
+    sf = "/root/testdata/sf0.001"
+
+    def merged(retry: bool):
+        def delta(first, last, run_ts):
+            feed = fd.landing_feed(spark, sf, first, last)
+            if retry:
+                feed = feed.mapInPandas(flaky, feed.schema)
+            return prepare_delta(feed, fd.FEED_KEYS, fd.FEED_SELECT, fd.FEED_RULES, run_ts)
+
+        base = delta("20240101000000", "20240119000000", fd.BASE_RUN_TS)
+        return scd1_merge(delta("20240120000000", "20240121000000", fd.DELTA_RUN_TS), base, fd.FEED_KEYS, ["part_1"])
+
+    plain = sorted(map(tuple, merged(False).collect()))
+    out["merge_rows"] = len(plain)
+    out["merge_equal"] = sorted(map(tuple, merged(True).collect())) == plain
     print("RESULT " + json.dumps(out))
     spark.stop()
 

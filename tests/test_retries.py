@@ -25,3 +25,5 @@ def test_results_and_calls_survive_task_retries(tmp_path):
     assert out["checkpointed_requests"] == 40 and out["checkpointed_calls"] == 40
     # without the cut, each retried downstream task calls the API again
     assert out["plain_requests"] == 40 and out["plain_calls"] > 40
+    # the flagship merge picks the same rows when its input tasks retry
+    assert out["merge_rows"] > 0 and out["merge_equal"]
