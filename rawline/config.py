@@ -85,6 +85,30 @@ class ExternalConfig:
     param2: str = "param2"
     fromdate: str | None = None
 
+    @classmethod
+    def from_json(cls, spark: SparkSession, path: str) -> ExternalConfig:
+        """The ``externalpipeline`` section of a JSON document; missing
+        required settings raise (D6)."""
+        ddl = (
+            "externalpipeline struct<app_name string, table_name string, statuspath string, "
+            "errorpath string, param1 string, param2 string, fromdate string>"
+        )
+        row = read_json_doc(spark, path, ddl).select("externalpipeline.*").first()
+        if row is None:
+            raise ValueError(f"empty config {path}")
+        missing = [k for k in ("app_name", "table_name", "statuspath", "errorpath") if not row[k]]
+        if missing:
+            raise ValueError(f"externalpipeline lacks {missing} in {path}")
+        return cls(
+            app_name=row["app_name"],
+            table_name=row["table_name"],
+            statuspath=row["statuspath"],
+            errorpath=row["errorpath"],
+            param1=row["param1"] or "param1",
+            param2=row["param2"] or "param2",
+            fromdate=row["fromdate"],
+        )
+
 
 @dataclass
 class Schedule:

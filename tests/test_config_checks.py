@@ -88,3 +88,20 @@ def test_shuffle_partitions_follow_input_size(spark, tmp_path):
     # the test session sets the value at launch: it is kept as given
     assert size_shuffle_partitions(spark, 100 * 1024**4) == 8
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_external_config_from_json(spark, tmp_path):
+    import json
+
+    import pytest
+
+    from rawline.config import ExternalConfig
+
+    p = tmp_path / "ext.json"
+    p.write_text(json.dumps({"externalpipeline": {"app_name": "a", "table_name": "t", "statuspath": "/s",
+                                                  "errorpath": "/e", "fromdate": "20240101000000"}}))
+    cfg = ExternalConfig.from_json(spark, str(p))
+    assert (cfg.app_name, cfg.param1, cfg.param2, cfg.fromdate) == ("a", "param1", "param2", "20240101000000")
+    p.write_text(json.dumps({"externalpipeline": {"app_name": "a", "table_name": "t"}}))
+    with pytest.raises(ValueError, match="statuspath"):
+        ExternalConfig.from_json(spark, str(p))
