@@ -24,9 +24,15 @@ import sys
 
 
 def _session():
+    """The launcher's session; the web UI stays off unless the launcher
+    (``spark-submit --conf``) asked for it."""
+    from pyspark import SparkConf
     from pyspark.sql import SparkSession
 
-    return SparkSession.builder.appName("rawline").getOrCreate()
+    builder = SparkSession.builder.appName("rawline")
+    if not SparkConf().contains("spark.ui.enabled"):
+        builder = builder.config("spark.ui.enabled", "false")
+    return builder.getOrCreate()
 
 
 def main(argv: list[str] | None = None) -> int:
