@@ -187,3 +187,25 @@ def test_touch_cols_date_only(spark):
     by_tuple = {r["id"] for r in scd1_merge(delta, base, KEYS, ["p1", "p3"]).collect()}
     by_date = {r["id"] for r in scd1_merge(delta, base, KEYS, ["p1", "p3"], touch_cols=["p3"]).collect()}
     assert by_tuple == {"d"} and by_date == {"b", "d"}
+
+
+def test_probed_and_frame_paths_agree_with_null_partitions(spark):
+    """Touched tuples taken from the bounded probe (broadcast local table)
+    or, above the bound, joined as a frame: same merge, same snapshot, and
+    null partition values matched as values on both paths."""
+    rules = [ColumnRule("part_1", "p1", "code"), ColumnRule("part_2", "p2", "amount")]
+    data = [("a", "x", "1", "2024-01-01 00:00:00", "1"), ("b", None, "2", "2024-02-01 00:00:00", "2"),
+            ("c", "y", None, "2024-03-01 00:00:00", "3"), ("d", "z", "4", "2024-03-02 00:00:00", "4"),
+            ("b", None, "2", "2024-02-03 00:00:00", "5"), ("c", "y", None, "2024-03-04 00:00:00", "6"),
+            ("e", "x", "1", "2024-03-05 00:00:00", "7")]
+    prep_all = prepare_delta(spark.createDataFrame(data, LANDING), KEYS, SELECT, rules, RUN_TS)
+    base = prep_all.filter("trail_file_pos in ('1', '2', '3', '4')")
+    delta = prep_all.filter("trail_file_pos in ('5', '6', '7')")
+    parts = ["p1", "p2"]
+    outs = [scd1_merge(delta, base, KEYS, parts, max_in_list=n) for n in (1000, 1)]
+    assert rows(outs[0]) == rows(outs[1])
+    assert rows(outs[0], "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("e", "7")]
+    touched = touched_partitions(delta, parts)
+    snaps = [apply_merge(base, o, touched, parts, max_in_list=n) for o, n in zip(outs, (1000, 0))]
+    assert rows(snaps[0]) == rows(snaps[1])
+    assert rows(snaps[0], "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("d", "4"), ("e", "7")]
