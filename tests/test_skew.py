@@ -61,3 +61,33 @@ def test_hot_batch_retention(spark):
         ).filter("fs > 0 and bd = 0").collect()
     }
     assert got == ref
+
+
+def test_hot_partition_value_is_written_by_several_tasks(spark):
+    """A partition value holding half of the rows: the rebalance hint lets
+    AQE split it over several writers (several files), and every row is
+    written once."""
+    import os
+
+    from rawline.runtime import scratch_path
+    from rawline.sinks.files import write_partitioned
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        df = spark.range(0, 60000, 1, 8).select(
+            F.col("id"),
+            F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 7).cast("string")).alias("part_1"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        out = scratch_path(spark, "hotwrite")
+        write_partitioned(df, out, ["part_1"], fmt="parquet", mode="overwrite")
+    finally:
+        spark.conf.set(key, old)
+    local = out[len("file:"):] if out.startswith("file:") else out
+    hot_files = [f for f in os.listdir(os.path.join(local, "part_1=hot")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    back = spark.read.parquet(out)
+    assert back.count() == 60000 and back.select("id").distinct().count() == 60000
+    assert back.filter("part_1 = 'hot'").count() == 30000
