@@ -143,6 +143,7 @@ def scd1_merge(
     max_in_list: int = 10_000,
     global_keys: bool = False,
     touch_cols: Sequence[str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """P1 steps (5)-(7): full new content of the touched partitions.
 
@@ -154,7 +155,14 @@ def scd1_merge(
     ``touch_cols`` picks the partition columns that decide which snapshot
     rows take part (default all; the reference uses only the date column
     ``part_3`` of a date-partitioned table).
+
+    ``buckets``: the base is a catalog table bucketed by ``keys`` into this
+    many buckets (``sinks.tables``). The delta is hash-partitioned the same
+    way, so the union keeps that partitioning and W2 runs with no exchange:
+    only the delta moves, the snapshot is read bucket by bucket in place.
     """
+    if buckets is not None:
+        delta = delta.repartition(buckets, *[F.col(k) for k in keys])
     base = align_to(base, delta)
     if not global_keys:
         tcols = list(touch_cols or part_cols)
