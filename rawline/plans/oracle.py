@@ -99,6 +99,9 @@ SQL["scd1_merge_untouched_partitions"] = _with(
     merged("m", "d", "b", ["part_1"]),
 ) + "select * from m"
 
+# the same merge against the snapshot kept as a bucketed catalog table
+SQL["scd1_merge_bucketed"] = SQL["scd1_merge_untouched_partitions"]
+
 
 SQL["scd1_multi_part"] = _with(
     FEED,

@@ -36,6 +36,7 @@ from ..operators import responses as rsp
 from ..runtime import cut_lineage, scratch_path, ship_package
 from ..sinks.files import export_by_type as write_by_type
 from ..sinks.files import publish_partitions, write_partitioned
+from ..sinks.tables import bucket_count, create_bucketed_snapshot
 from ..sources.files import read_csv, read_sessions
 from ..sources.landing import list_batches, read_landing, read_snapshot
 from . import feeds as fd
@@ -553,6 +554,22 @@ def orc_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, snap_path, schema)
 
 
+@query
+def scd1_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 against a snapshot kept as a catalog table bucketed by key (one
+    bucket per shuffle partition): the click/view delta is merged with the
+    touched partitions read bucket by bucket, with no shuffle of the
+    snapshot and none for W2."""
+    import uuid
+
+    name = f"raw_events_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    snap = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
+    create_bucketed_snapshot(snap, name, fd.FEED_KEYS, ["part_1"], n, scratch_path(spark, name))
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    return scd1_merge(delta, spark.table(name), fd.FEED_KEYS, ["part_1"], buckets=bucket_count(spark, name))
+
+
 @query
 def csv_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions appended as headerless CSV, read back with a
