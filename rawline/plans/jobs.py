@@ -172,6 +172,73 @@ def landing_to_raw(
     return RawRunResult(chosen, record_count, version, action, published, deleted)
 
 
+def landing_to_table(
+    spark: SparkSession,
+    cfg: RawPipelineConfig,
+    landing_schema: StructType,
+    audit: AuditStore,
+    run_ts: str,
+    run_epoch: int,
+    table: str,
+    table_path: str,
+    buckets: int | None = None,
+) -> RawRunResult:
+    """Landing JSON -> SCD1 merge -> published into a catalog snapshot
+    bucketed by the merge keys (the at-scale layout, ``sinks.tables``).
+
+    The snapshot is never shuffled: the touched partitions are read bucket
+    by bucket, W2 runs with no exchange, and its output, already
+    hash-partitioned like the buckets, is inserted as is (one file per
+    bucket and partition value). The merge is staged by a reliable
+    checkpoint before the table is overwritten and logged as a
+    ``file_sync`` of ``run_epoch``. The first run creates the table with
+    ``buckets`` (default: the shuffle partitions) buckets.
+    """
+    from ..operators.scd import align_to
+    from ..sinks.tables import bucket_count, create_bucketed_snapshot, publish_to_table
+
+    parts = partition_columns(cfg.rules)
+    lroot = landing_dir(cfg.sourcepath, cfg.tablename)
+    mark = None if cfg.startbatchno is not None else mark_value(audit.app_status(spark), cfg.appname, cfg.tablename)
+    chosen = sorted(
+        r["batchno"]
+        for r in select_batches(list_batches(spark, lroot), "batchno", cfg.startbatchno, cfg.endbatchno, mark).collect()
+    )
+    if not chosen:
+        return RawRunResult(chosen, 0, None, "none", [], [])
+    size_shuffle_partitions(spark, input_bytes(spark, [f"{lroot}/batchno={b}" for b in chosen] + [table_path]))
+    landing = read_landing(spark, lroot, landing_schema, chosen)
+    delta = prepare_delta(
+        landing, cfg.keys, cfg.selectcols, cfg.rules, run_ts, date_partitioned=cfg.date_partitioned
+    ).persist()
+    obs = Observation("merge")
+    count = F.count(F.lit(1)).alias("rows")
+    if not spark.catalog.tableExists(table):
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        first = delta.repartition(n, *[F.col(k) for k in cfg.keys]).observe(obs, count)
+        create_bucketed_snapshot(first, table, cfg.keys, parts, n, table_path)
+    else:
+        n = bucket_count(spark, table)
+        if n is None:
+            raise ValueError(f"{table} is not bucketed")
+        base = spark.table(table)
+        touch = parts[-1:] if cfg.date_partitioned else parts
+        merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch, buckets=n)
+        # every partition the merge rewrites, fixed before the table changes
+        selected = restrict_to_touched(align_to(base, delta), touched_partitions(delta, touch), touch)
+        touched = cut_lineage(
+            touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct()
+        )
+        publish_to_table(merged.observe(obs, count), table, parts, touched)
+    record_count = int(obs.get["rows"])
+    delta.unpersist()
+    batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
+    audit.append_app_status(app_status_rows(batches_df, cfg.appname, cfg.tablename, run_ts, run_ts, record_count))
+    version = spark.createDataFrame([(run_epoch,)], "t bigint")
+    audit.append_sync_status(sync_rows(version, cfg.appname, cfg.tablename, FILE_SYNC, run_ts, record_count))
+    return RawRunResult(chosen, record_count, run_epoch, "publish", [run_epoch], [])
+
+
 def publish(
     spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, strict: bool = False
 ) -> tuple[str, list[int]]:
