@@ -46,6 +46,9 @@ def main(argv: list[str] | None = None) -> int:
     raw.add_argument("--run-ts", required=True, help="run start, yyyy-MM-dd HH:mm:ss")
     raw.add_argument("--run-epoch", required=True, type=int, help="version id of this run (epoch seconds)")
     raw.add_argument("--strict-publish", action="store_true", help="publish only when exactly one version is pending")
+    raw.add_argument("--table", help="keep the snapshot as this catalog table, bucketed by the keys (no versions)")
+    raw.add_argument("--table-path", help="location of --table's files (in shared storage)")
+    raw.add_argument("--buckets", type=int, help="buckets when --table is created (default: shuffle partitions)")
 
     flat = sub.add_parser("generate_flat", help="tax lines CSV -> flat CSV per type + summary")
     flat.add_argument("--input", required=True)
@@ -93,7 +96,18 @@ def main(argv: list[str] | None = None) -> int:
         cfg = RawPipelineConfig.from_json(spark, args.config)
         schema = spark.createDataFrame([], args.schema).schema if args.schema else None
         audit = jobs.AuditStore(f"{args.audit}/app_status", f"{args.audit}/sync_status")
-        res = jobs.landing_to_raw(spark, cfg, schema, audit, args.run_ts, args.run_epoch, args.strict_publish)
+        if args.table:
+            if not args.table_path:
+                raise SystemExit("--table needs --table-path")
+            if schema is None:
+                from .sources.landing import sample_schema
+
+                schema = sample_schema(spark, cfg.schemafile)
+            res = jobs.landing_to_table(
+                spark, cfg, schema, audit, args.run_ts, args.run_epoch, args.table, args.table_path, args.buckets
+            )
+        else:
+            res = jobs.landing_to_raw(spark, cfg, schema, audit, args.run_ts, args.run_epoch, args.strict_publish)
         print(json.dumps(res.__dict__, default=str))
     elif args.job == "generate_flat":
         from .sources.files import read_csv

@@ -147,6 +147,11 @@ def test_cli_landing_to_raw(spark, tmp_path):
                 "--run-ts", "2024-01-06 00:00:00", "--run-epoch", "1704499200"]) == 0
     snap = spark.read.orc(f"{root}/raw/R_events/t=0")
     assert snap.count() == feed.select("user_id").distinct().count()
+    # the same run into a bucketed catalog snapshot
+    assert cli(["landing_to_raw", "--config", str(p), "--audit", f"{root}/audit2",
+                "--run-ts", "2024-01-06 00:00:00", "--run-epoch", "1704499200",
+                "--table", "cli_events", "--table-path", f"{root}/table", "--buckets", "3"]) == 0
+    assert rows(spark.table("cli_events").select(*snap.columns)) == rows(snap)
 
 
 def test_landing_to_raw_date_partitioned(spark):
