@@ -23,6 +23,14 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _literal(v: str | None) -> str:
+    """A SQL string literal of a partition value (backslash and quote
+    escaped), NULL for the null partition."""
+    if v is None:
+        return "NULL"
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def bucket_count(spark: SparkSession, table: str) -> int | None:
     """Number of buckets of a catalog table (None when not bucketed)."""
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)}").collect():
@@ -79,9 +87,7 @@ def publish_to_table(merged: DataFrame, table: str, part_cols: Sequence[str], to
         cond = e if cond is None else cond & e
     empty = [tuple(r) for r in t.join(w, cond, "left_anti").distinct().collect()]
     for row in empty:
-        spec = ", ".join(
-            f"`{c}` = NULL" if v is None else f"`{c}` = '{v.replace(chr(39), chr(39) * 2)}'" for c, v in zip(part_cols, row)
-        )
+        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(part_cols, row))
         spark.sql(f"ALTER TABLE {_quote(table)} DROP IF EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(table)
     return empty

@@ -59,14 +59,15 @@ def test_publish_to_bucketed_table_equals_apply_merge(spark):
 
 def test_publish_to_table_drops_emptied_partitions(spark):
     df = spark.createDataFrame(
-        [("1", "a", "x"), ("2", "b", "y"), ("3", "n", None), ("4", "c", "w")], "user_id string, v string, part_1 string"
+        [("1", "a", "x"), ("2", "b", "y"), ("3", "n", None), ("4", "c", "w"), ("5", "q", "it's\\x")],
+        "user_id string, v string, part_1 string",
     )
     name = f"snap_{uuid.uuid4().hex[:8]}"
     create_bucketed_snapshot(df, name, ["user_id"], ["part_1"], 2, scratch_path(spark, name))
     merged = spark.createDataFrame([("1", "a2", "x")], "user_id string, v string, part_1 string")
-    touched = spark.createDataFrame([("x",), ("y",), (None,)], "part_1 string")
+    touched = spark.createDataFrame([("x",), ("y",), (None,), ("it's\\x",)], "part_1 string")
     dropped = publish_to_table(merged, name, ["part_1"], touched)
-    assert sorted(dropped, key=str) == sorted([("y",), (None,)], key=str)
+    assert sorted(dropped, key=str) == sorted([("y",), (None,), ("it's\\x",)], key=str)
     assert rows(spark.table(name)) == [("1", "a2", "x"), ("4", "c", "w")]
 
 
