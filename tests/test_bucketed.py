@@ -113,3 +113,34 @@ def test_landing_to_table_two_runs(spark):
     assert audit.app_status(spark).count() == 19 + len(r2.batches)
     assert rows(audit.sync_status(spark).select("batch_no", "activity_type")) == [
         ("1705708800", "file_sync"), ("1705881600", "file_sync")]
+
+
+def test_landing_to_table_date_partitioned(spark):
+    """Year/month/date partitions, snapshot rows chosen by date (part_3):
+    the bucketed job gives the path-based job's snapshot."""
+    from rawline.config import RawPipelineConfig
+    from rawline.plans.jobs import AuditStore, landing_to_table
+    from rawline.plans.queries import LANDING_SCHEMA, _ddl
+    from rawline.sinks.files import write_partitioned
+
+    root = scratch_path(spark, "tablejobdate")
+    feed = fd.landing_feed(spark, SF)
+    write_partitioned(feed, f"{root}/landing/L_events", ["batchno"], fmt="json", mode="overwrite", files_per_partition=1)
+    audit = AuditStore(f"{root}/audit/app_status", f"{root}/audit/sync_status")
+    cfg = RawPipelineConfig(
+        appname="events_app", tablename="events", sourcepath=f"{root}/landing", targetpath=f"{root}/raw",
+        keys=fd.FEED_KEYS, selectcols=fd.FEED_SELECT, rules=fd.FEED_DATE_RULES,
+        startbatchno="20240101000000", endbatchno="20240120000000", date_partitioned=True,
+    )
+    schema = _ddl(spark, LANDING_SCHEMA)
+    name = f"raw_events_{uuid.uuid4().hex[:8]}"
+    landing_to_table(spark, cfg, schema, audit, fd.BASE_RUN_TS, 1705708800, name, f"{root}/table", buckets=3)
+    cfg.startbatchno, cfg.endbatchno = "20240120000000", "20240121000000"  # replays 01-20
+    landing_to_table(spark, cfg, schema, audit, fd.DELTA_RUN_TS, 1705881600, name, f"{root}/table")
+
+    parts = ["part_1", "part_2", "part_3"]
+    snap1 = delta_of(spark, SF, "20240101000000", "20240120000000", rules=fd.FEED_DATE_RULES, date=True, run_ts=fd.BASE_RUN_TS)
+    d2 = delta_of(spark, SF, "20240120000000", "20240121000000", rules=fd.FEED_DATE_RULES, date=True, run_ts=fd.DELTA_RUN_TS)
+    m2 = scd1_merge(d2, snap1, fd.FEED_KEYS, parts, touch_cols=["part_3"])
+    expect = apply_merge(snap1, m2, touched_partitions(d2, ["part_3"]), ["part_3"])
+    assert rows(spark.table(name).select(*snap1.columns)) == rows(expect)
