@@ -10,22 +10,42 @@ row, so the published partitions come out the same.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import RawPipelineConfig
 from ..functions.columns import partition_columns
 from ..operators.scd import prepare_delta, scd1_merge, touched_partitions
-from ..runtime import scratch_path
+from ..runtime import cut_lineage, scratch_path
 from ..sinks.files import path_exists, publish_partitions
+from ..sinks.tables import bucket_count, create_bucketed_snapshot, publish_to_table
 from ..sources.landing import landing_dir, raw_dir, read_snapshot
 
 
-def merge_micro_batch(cfg: RawPipelineConfig, run_ts: str):
-    """The ``foreachBatch`` function: merge one micro-batch into ``t=0``."""
+def merge_micro_batch(
+    cfg: RawPipelineConfig,
+    run_ts: str,
+    table: str | None = None,
+    table_path: str | None = None,
+    buckets: int | None = None,
+):
+    """The ``foreachBatch`` function: merge one micro-batch into ``t=0``,
+    or, with ``table``, into a catalog snapshot bucketed by the keys
+    (created at ``table_path`` by the first micro-batch; ``sinks.tables``)."""
     parts = partition_columns(cfg.rules)
     snap_path = f"{raw_dir(cfg.targetpath, cfg.tablename)}/t=0"
 
+    def into_table(spark: SparkSession, delta: DataFrame) -> None:
+        if not spark.catalog.tableExists(table):
+            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            first = delta.repartition(n, *[F.col(k) for k in cfg.keys])
+            create_bucketed_snapshot(first, table, cfg.keys, parts, n, table_path)
+            return
+        n = bucket_count(spark, table)
+        merged = scd1_merge(delta, spark.table(table), cfg.keys, parts, buckets=n)
+        publish_to_table(merged, table, parts, cut_lineage(touched_partitions(delta, parts)))
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         delta = prepare_delta(
@@ -34,6 +54,9 @@ def merge_micro_batch(cfg: RawPipelineConfig, run_ts: str):
         try:
             if delta.isEmpty():
                 return
+            if table is not None:
+                into_table(spark, delta)
+                return
             touched = touched_partitions(delta, parts)  # stays distributed
             if path_exists(spark, snap_path):
                 base = read_snapshot(spark, snap_path, delta.schema)
@@ -58,8 +81,14 @@ def start_landing_stream(
     checkpoint: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    table: str | None = None,
+    table_path: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Stream the landing JSON folder through ``merge_micro_batch``."""
+    """Stream the landing JSON folder through ``merge_micro_batch`` (into
+    ``t=0``, or into the bucketed catalog snapshot ``table``)."""
+    if table is not None and table_path is None:
+        raise ValueError("table needs table_path")
     full = StructType(
         [f for f in landing_schema.fields if f.name != "batchno"] + [StructField("batchno", StringType())]
     )
@@ -68,6 +97,7 @@ def start_landing_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_dir(cfg.sourcepath, cfg.tablename))
     ckpt = checkpoint or scratch_path(spark, f"ckpt-{cfg.tablename}")
-    writer = stream.writeStream.foreachBatch(merge_micro_batch(cfg, run_ts)).option("checkpointLocation", ckpt)
+    fn = merge_micro_batch(cfg, run_ts, table, table_path, buckets)
+    writer = stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -40,3 +40,35 @@ def test_stream_two_triggers_equal_batch_merges(spark):
     expect = apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
     got = read_snapshot(spark, f"{root}/raw/R_events/t=0", snap1.schema)
     assert rows(got) == rows(expect)
+
+
+def test_stream_into_bucketed_table(spark):
+    """The same two triggers merged into a catalog snapshot bucketed by key."""
+    import uuid
+
+    from rawline.sinks.tables import bucket_count
+
+    root = scratch_path(spark, "streamtable")
+    cfg = RawPipelineConfig(
+        appname="events_app", tablename="events", sourcepath=f"{root}/landing", targetpath=f"{root}/raw",
+        keys=fd.FEED_KEYS, selectcols=fd.FEED_SELECT, rules=fd.FEED_RULES,
+    )
+    landing = f"{root}/landing/L_events"
+    feed = fd.landing_feed(spark, SF)
+    write_partitioned(feed.filter(F.col("batchno") <= "20240119000000"), landing, ["batchno"], fmt="json", files_per_partition=1)
+    schema = _ddl(spark, LANDING_SCHEMA)
+    ckpt = scratch_path(spark, "ckpt")
+    name = f"stream_events_{uuid.uuid4().hex[:8]}"
+    kw = {"table": name, "table_path": f"{root}/table", "buckets": 4}
+    start_landing_stream(spark, cfg, schema, fd.BASE_RUN_TS, checkpoint=ckpt, **kw).awaitTermination()
+    write_partitioned(
+        feed.filter((F.col("batchno") >= "20240120000000") & (F.col("batchno") <= "20240121000000")),
+        landing, ["batchno"], fmt="json", files_per_partition=1,
+    )
+    start_landing_stream(spark, cfg, schema, fd.DELTA_RUN_TS, checkpoint=ckpt, **kw).awaitTermination()
+
+    snap1 = delta_of(spark, SF, "20240101000000", "20240119000000", run_ts=fd.BASE_RUN_TS)
+    d2 = delta_of(spark, SF, "20240120000000", "20240121000000", run_ts=fd.DELTA_RUN_TS)
+    expect = apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
+    assert rows(spark.table(name).select(*snap1.columns)) == rows(expect)
+    assert bucket_count(spark, name) == 4
