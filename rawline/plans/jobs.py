@@ -189,9 +189,9 @@ def landing_to_table(
     The snapshot is never shuffled: the touched partitions are read bucket
     by bucket, W2 runs with no exchange, and its output, already
     hash-partitioned like the buckets, is inserted as is (one file per
-    bucket and partition value). The merge is staged by a reliable
-    checkpoint before the table is overwritten and logged as a
-    ``file_sync`` of ``run_epoch``. The first run creates the table with
+    bucket and partition value), in the same job that reads the touched
+    partitions (a dynamic overwrite commits after all reads); the run is
+    logged as a ``file_sync`` of ``run_epoch``. The first run creates the table with
     ``buckets`` (default: the shuffle partitions) buckets.
     """
     from ..operators.scd import align_to

@@ -5,19 +5,18 @@ With the snapshot bucketed by key, ``scd1_merge(..., buckets=n)`` moves
 only the delta: the touched snapshot partitions are read bucket by bucket
 (``Bucketed: true`` on the scan, partition filters on the touched values)
 and W2 needs no exchange. Publishing is a dynamic partition overwrite
-through ``insertInto``, which keeps the bucket layout; touched partitions
-that end empty are dropped from the catalog.
+through ``insertInto``: W2's output is already laid out like the buckets,
+so it is written as is (at most one file per bucket and partition value);
+touched partitions that end empty are dropped from the catalog.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import cut_lineage
-
 
 def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
@@ -64,23 +63,34 @@ def create_bucketed_snapshot(
 def publish_to_table(merged: DataFrame, table: str, part_cols: Sequence[str], touched: DataFrame) -> list[tuple]:
     """K2 for a catalog snapshot: replace the partitions ``merged`` holds
     (dynamic overwrite, bucket layout kept) and drop the touched partitions
-    that ended empty. ``merged`` is staged through a reliable checkpoint
-    first, since it reads the table it overwrites. Returns the dropped
-    partition tuples (as text)."""
+    that ended empty. ``touched`` must be fixed before the call (it usually
+    reads the table being replaced). Returns the dropped partition tuples
+    (as text).
+
+    ``merged`` may read the table it overwrites: a dynamic overwrite writes
+    to a staging folder and swaps partitions in only after every task has
+    succeeded, so all reads come first; no extra copy of the rows is made.
+    The partition values written are gathered by an observation during the
+    same write (partition metadata, as the overwrite commit itself keeps).
+    """
     spark = merged.sparkSession
-    staged = cut_lineage(merged.select(*spark.table(table).columns))
+    seen = Observation("written_partitions")
+    as_text = F.struct(*[F.col(c).cast("string").alias(c) for c in part_cols])
+    out = merged.select(*spark.table(table).columns).observe(seen, F.collect_set(as_text).alias("parts"))
     key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        staged.write.mode("overwrite").insertInto(table)
+        out.write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(key, old)
+    ddl = ", ".join(f"`{c}` string" for c in part_cols)
+    written = spark.createDataFrame([tuple(r) for r in seen.get["parts"]], ddl)
 
     def text(df: DataFrame) -> DataFrame:
         return df.select(*[F.col(c).cast("string").alias(c) for c in part_cols])
 
-    t, w = text(touched).alias("_t"), text(staged).distinct().alias("_w")
+    t, w = text(touched).alias("_t"), written.alias("_w")
     cond = None
     for c in part_cols:
         e = F.col(f"_t.`{c}`").eqNullSafe(F.col(f"_w.`{c}`"))
