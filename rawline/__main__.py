@@ -62,9 +62,10 @@ def main(argv: list[str] | None = None) -> int:
     cod.add_argument("--audit", required=True, help="folder holding the app_status and sync_status tables")
     cod.add_argument("--client", required=True, help="module:function, called as client(params) -> (code, body)")
     src = cod.add_mutually_exclusive_group(required=True)
-    src.add_argument("--source", help="parquet/ORC folder with CUST_ID, COD_ALLOWED")
+    src.add_argument("--source", help="folder with CUST_ID, COD_ALLOWED (see --source-format)")
     src.add_argument("--query", help="file with the JDBC source query (read whole)")
     cod.add_argument("--jdbc", help="JSON file of JDBC options (url, user, password, driver, ...)")
+    cod.add_argument("--source-format", default="parquet", help="format of --source (parquet, orc, ...)")
     cod.add_argument("--env", required=True)
     cod.add_argument("--run-ts", required=True)
     cod.add_argument("--run-batch", required=True, help="yyyyMMddHHmmss of this run")
@@ -125,7 +126,7 @@ def main(argv: list[str] | None = None) -> int:
         cfg = ExternalConfig.from_json(spark, args.config)
         audit = jobs.AuditStore(f"{args.audit}/app_status", f"{args.audit}/sync_status")
         if args.source:
-            source = spark.read.load(args.source)
+            source = spark.read.format(args.source_format).load(args.source)
         else:
             from .sources.files import read_query_text
 
