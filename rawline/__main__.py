@@ -101,6 +101,8 @@ def main(argv: list[str] | None = None) -> int:
             if not args.table_path:
                 raise SystemExit("--table needs --table-path")
             if schema is None:
+                if not cfg.schemafile:
+                    raise ValueError("no landing schema: pass --schema or set schemafile in the config")
                 from .sources.landing import sample_schema
 
                 schema = sample_schema(spark, cfg.schemafile)
