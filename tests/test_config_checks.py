@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -105,3 +106,26 @@ def test_external_config_from_json(spark, tmp_path):
     p.write_text(json.dumps({"externalpipeline": {"app_name": "a", "table_name": "t"}}))
     with pytest.raises(ValueError, match="statuspath"):
         ExternalConfig.from_json(spark, str(p))
+
+
+def test_shuffle_partitions_raised_when_launcher_left_them_unset():
+    """In a session whose launcher did not set the value, a big input
+    raises it (never lowers it); runs in its own process."""
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from rawline.runtime import size_shuffle_partitions\n"
+        "mb = 1024 * 1024\n"
+        "a = size_shuffle_partitions(s, 10 * 128 * mb)\n"
+        "b = size_shuffle_partitions(s, 1000 * 128 * mb)\n"
+        "print('RESULT', a, b, s.conf.get('spark.sql.shuffle.partitions'))\n"
+    ) % repo
+    proc = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    line = [x for x in proc.stdout.splitlines() if x.startswith("RESULT")]
+    assert line, proc.stderr[-2000:]
+    assert line[-1].split()[1:] == ["200", "1000", "1000"]
