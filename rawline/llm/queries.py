@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import pii, toxicity
 from .ann import search
 from .chunks import without_repeats
 from .common import table
@@ -50,6 +50,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start_word", "n_words")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_spans(docs, pii.fit(docs))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_nearest_neighbours": op3_nearest_neighbours,
         "op4_chunk_dedup": op4_chunk_dedup,
         "op5_decontamination": op5_decontamination,
+        "op6_personal_data": op6_personal_data,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_url_filter": op8_url_filter,
         "op10_token_counts": op10_token_counts,
