@@ -16,6 +16,7 @@ from .decontam import contaminated
 from .linkgraph import judge_urls
 from .mixing import mix_sources
 from .simhash import near_duplicates
+from .suffixes import without_repeated_strings
 from .tokens import count_tokens
 
 
@@ -75,6 +76,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeated_strings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers
@@ -93,5 +99,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_personal_data": op6_personal_data,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_url_filter": op8_url_filter,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_counts": op10_token_counts,
     }
