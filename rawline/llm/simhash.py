@@ -21,10 +21,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ready, settle
+from .common import ready, row_key, settle
 from .components import components
 
 #: Shingles hashed at a time: bounds memory on very long texts.
@@ -52,15 +52,18 @@ def fingerprint(text: str | None, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; a null or empty text has fingerprint 0."""
+    """(doc_id, rid, fp) of every row, rid being its ``row_key``; a null or
+    empty text has fingerprint 0."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = pa.array((fingerprint(t.as_py(), words) for t in b["text"]), pa.int64())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["rid"], fp], ["doc_id", "rid", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rid"), "text")
+    return keyed.mapInArrow(run, "doc_id long, rid long, fp long")
 
 
 def segment_rows(nodes: DataFrame, bits: int, segments: int) -> DataFrame:
@@ -152,7 +155,8 @@ def links(nodes: DataFrame, bits: int, segments: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3, segments: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text).
+    """(doc_id, rid, fp, component_id, root) of every row of ``docs`` (doc_id,
+    text); root is the component's smallest fingerprint.
 
     Fingerprints that differ in at most ``bits`` bits are linked;
     component_id is the smallest doc_id reachable. A null, empty or blank
@@ -167,17 +171,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3, segments: in
     r = roots.withColumnRenamed("node", "fp")
     named = nodes.join(r, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = named.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return marked.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = named.select("fp", "root").join(smallest, "root")
+    return marked.join(of, "fp").select("doc_id", "rid", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, words: int = 3, bits: int = 3, segments: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, the one with its
-    smallest doc_id (null doc_ids: one of them); of rows that repeat that
-    doc_id, the one with the smallest text (null first). A text without words
-    links to other such texts alone, and one of them stays."""
+    """The rows of ``docs`` that stay: one of each component, with its smallest
+    doc_id (null only if all are; of rows with one doc_id the smallest row key,
+    of equal rows the first by their other columns). Texts without words form
+    one component, and one of them stays."""
     found = near_duplicates(docs, words, bits, segments)
-    lead = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("lead_id"), F.col("component_id")).distinct()
-    mine = docs.join(lead, F.col("doc_id").eqNullSafe(F.col("lead_id")), "left_semi")
-    first = mine.groupBy(F.col("doc_id").alias("lead_id")).agg(F.min(F.struct("text", F.struct(*docs.columns).alias("row"))).alias("pick"))
-    return first.select(*[F.col("pick.row")[c].alias(c) for c in docs.columns])
+    lead = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first"))
+    lead = lead.select(F.col("first.rid").alias("lead_rid"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
+    mine = keyed.join(lead, F.col("rid") == F.col("lead_rid"), "left_semi")
+    same = Window.partitionBy("rid").orderBy("row")
+    return mine.withColumn("n", F.row_number().over(same)).filter("n = 1").select(*[F.col("row")[c].alias(c) for c in docs.columns])
