@@ -97,12 +97,13 @@ def forest(fps: np.ndarray, stored: np.ndarray, bits: int) -> tuple[list, list]:
     """Spanning forest of the links between a bucket's rows; one end of each
     link is a stored row, as in a table lookup."""
     left, right = [], []
+    bare = fps.view(np.uint64)  # bit counts of signed numbers leave out the sign
     rest = np.arange(len(fps))
     while len(rest):
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             f = frontier.pop()
-            near = np.bitwise_count(fps[rest] ^ fps[f]) <= bits
+            near = np.bitwise_count(bare[rest] ^ bare[f]) <= bits
             if not stored[f]:
                 near &= stored[rest]
             if near.any():
