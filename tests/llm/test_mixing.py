@@ -1,0 +1,58 @@
+import duckdb
+import pytest
+from conftest import rows
+
+from rawline.llm.mixing import mix_sources, mixed_documents
+from rawline.llm.oracle import OP1
+
+SCHEMA = "doc_id long, text string, source string, size string, target int, row int"
+
+
+def frame(spark, data):
+    return spark.createDataFrame([(i, t, s, "x", 1, 2) for i, t, s in data], SCHEMA)
+
+
+def corpus(n):
+    out = [(i, " ".join(["wörd"] * ((i * 37) % 23)) + "\t\n", f"s{i % 5 if i % 3 else 0}") for i in range(n)]
+    return out + [(3, None, "s1"), (3, None, "s1"), (4, "", ""), (None, "a b c", None), (None, "a b c", None), (7, "a\x0bb c", None)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 200])
+def test_equals_sql(spark, n):
+    data = corpus(n) if n else []
+    got = rows(mix_sources(frame(spark, data), ["doc_id"]).select("doc_id", "size", "source_size", "target", "taken"))
+    c = duckdb.connect()
+    c.execute("create table documents (doc_id bigint, text varchar, source varchar)")
+    if data:
+        c.executemany("insert into documents values (?, ?, ?)", data)
+    want = sorted(c.sql(OP1).fetchall(), key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert got == want
+
+
+def test_targets_and_limits(spark):
+    got = mix_sources(frame(spark, corpus(3000)), ["doc_id", "size", "row"], share=1.5).toPandas()
+    per = got.groupby("target").agg(source=("source_size", "first"), n=("taken", "sum"))
+    assert (got["taken"] <= 2 * got.iloc[:, 3]).all()
+    big = per[per["source"] > 500]
+    assert ((big["n"] - big.index).abs() <= 60).all()
+
+
+def test_one_source_takes_all_twice_at_most(spark):
+    got = mix_sources(frame(spark, [(1, "a b", "s"), (2, "c", "s")]), ["doc_id"], share=5.0)
+    assert rows(got, "doc_id", "taken") == [(1, 4), (2, 2)]
+
+
+def test_many_slots_agree_with_one(spark, monkeypatch):
+    import rawline.llm.mixing as m
+
+    whole = rows(mix_sources(frame(spark, corpus(400)), ["doc_id"]).select("doc_id", "taken"))
+    monkeypatch.setattr(m, "SLOT_ROWS", 16)
+    assert rows(mix_sources(frame(spark, corpus(400)), ["doc_id"]).select("doc_id", "taken")) == whole
+
+
+def test_copies_in_order(spark):
+    df = frame(spark, corpus(100))
+    mixed = [r["finish"] for r in mixed_documents(df, ["doc_id", "text", "source"]).collect()]
+    assert mixed == sorted(mixed)
+    taken = mix_sources(df, ["doc_id"]).toPandas()
+    assert len(mixed) == int((taken["taken"] / taken["size"].where(taken["size"] > 0, 1)).sum())

@@ -1,0 +1,44 @@
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from rawline.llm.tokens import count_long, count_tokens
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+TOK = Tokenizer.from_file(VOCABULARY)
+
+
+def offsets(part):
+    return TOK.encode(part, add_special_tokens=False).offsets
+
+
+def whole(text):
+    return len(TOK.encode(text, add_special_tokens=False))
+
+
+def texts():
+    rng = random.Random(1)
+    parts = ["word", "naïve", "école", "don't", "I'll", "12345", "…", "!!!", "<|endoftext|>", "<|startoftext|>", "漢字かな", "한국어", "x" * 40, "''s", " ", "ß", "🙂🙂"]
+    out = []
+    for sep in (" ", "", "\n", "  "):
+        for _ in range(8):
+            out.append(sep.join(rng.choice(parts) for _ in range(600)))
+    return out + ["a" * 5000, "1" * 3000, " " * 4000, "'s" * 1500, "<|endoftext|>" * 300, "。".join(["漢字かな" * 5] * 80), "́" * 2000, "á" * 1500]
+
+
+@pytest.mark.parametrize("k", range(40))
+def test_spliced_count_is_the_whole_count(k):
+    text = texts()[k]
+    for chunk, overlap in ((256, 64), (400, 32), (1000, 200)):
+        assert count_long(text, offsets, chunk, overlap) == whole(text)
+
+
+def test_rows(spark):
+    data = [(1, "A cat"), (1, "A cat"), (None, "x " * 5000), (2, None), (3, ""), (4, "<|endoftext|> é")]
+    df = spark.createDataFrame([(*r, "n") for r in data], "doc_id long, text string, n_tokens string")
+    got = count_tokens(df, VOCABULARY, chunk=512, overlap=64).collect()
+    want = [(i, len((t or "").encode()), whole(t or ""), whole(t or "") > 2048) for i, t in data]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert count_tokens(df.limit(0), VOCABULARY).count() == 0
