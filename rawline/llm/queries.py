@@ -27,7 +27,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.fit(toxicity.training_rows(docs, labels))
+    model = toxicity.fit(docs, labels)
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import ready
+from .common import ready, settle
 
 # Closed word classes (English, German, French, Spanish): fixed values.
 THREAT = frozenset("kill hurt beat stab shoot burn destroy murder töten schlagen erschießen tuer frapper brûler matar pegar golpear quemar".split())
@@ -45,6 +45,8 @@ MAX_TERMS = 50_000
 #: A term needs this much evidence (nats against its base rate), this share of
 #: its documents labelled 1, and these log-odds (smoothed).
 EVIDENCE, PURITY, ODDS = 14.0, 0.8, 4.0
+#: Documents labelled 1 that a term must explain beyond stronger terms.
+FRESH = 2
 CLASSES = ("I", "In", "Ir", "Inr", "H", "Hn", "Hr", "Hnr")
 #: How a text's clauses are summed up, per class: largest and sum, with and without a target.
 FEATURES = 4 * len(CLASSES) + 1
@@ -170,17 +172,47 @@ def learn_terms(labelled: DataFrame) -> dict[str, float]:
     gain = F.col("pos") * F.log(p / base) + F.col("neg") * F.coalesce(F.log((1 - p) / (1 - base)), F.lit(0.0))
     found = counted.filter((p > base) & (p >= PURITY)).withColumn("gain", gain).filter(F.col("gain") >= EVIDENCE)
     rows = found.orderBy(F.desc("gain"), "term").limit(MAX_TERMS).collect()
-    odds = {r["term"]: math.log((r["pos"] + 0.5) / (n_pos + 1)) - math.log((r["neg"] + 0.5) / (n_neg + 1)) for r in rows}
-    return {t: min(6.0, v) for t, v in odds.items() if v >= ODDS}
+    weights = {r["term"]: math.log((r["pos"] + 0.5) / (n_pos + 1)) - math.log((r["neg"] + 0.5) / (n_neg + 1)) for r in rows}
+    weights = {t: min(6.0, v) for t, v in weights.items() if v >= ODDS}
 
-
-def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> ToxicModel:
-    """Fit on labelled rows (doc_id, text, toxic), at most ``max_rows`` of
-    them, the first by a hash of doc_id. Rows whose label is null are left
-    out; without both labels the model scores every text alike (low)."""
-    rows = labelled.filter("toxic in (0, 1)").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).dropDuplicates(["text", "toxic"])
-    rows = rows.repartition(max(1, int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc_id")
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for text in b["text"].to_pylist():
+                words = set(WORDS.findall((text or "").lower()))
+                out.append(sorted((words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}) & weights.keys()))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], ["terms"])
+
+    # words that only stand beside stronger terms (as in near copies) explain nothing themselves
+    hits = labelled.filter("toxic = 1").select("text").mapInArrow(matched, "terms array<string>").groupBy("terms").count().collect()  # at most the fit's rows
+    of: dict[str, list[int]] = {}
+    for i, r in enumerate(hits):
+        for t in r["terms"]:
+            of.setdefault(t, []).append(i)
+    kept, explained = {}, np.zeros(len(hits), bool)
+    size = np.array([r["count"] for r in hits])
+    for t, w in weights.items():  # strongest first
+        rows_of = np.array(of.get(t, []), np.int64)
+        fresh = rows_of[~explained[rows_of]]
+        if size[fresh].sum() >= FRESH:
+            kept[t] = w
+            explained[fresh] = True
+    return kept
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicModel:
+    """Fit on the documents (doc_id, text) that ``labels`` (doc_id, toxic)
+    marks outside the held-out fold, at most ``max_rows`` labels, the first by
+    a hash of doc_id (the larger label, if one doc_id has both). Null labels
+    are left out; without both labels the model scores every text alike (low)."""
+    ids = labels.filter("toxic in (0, 1)").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    ids = settle(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).withColumnRenamed("doc_id", "of"), "toxic-ids")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("of"))  # at most max_rows ids
+    rows = settle(rows.select("doc_id", "text", "toxic"), "toxic-rows")
+    # copies of a text count once
+    lead = rows.groupBy(F.xxhash64("text").alias("t"), "toxic").agg(F.min("doc_id").alias("of")).select("of").distinct()
+    rows = rows.join(F.broadcast(lead), F.col("doc_id") == F.col("of")).select("doc_id", "text", "toxic")
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     model = ToxicModel(learn_terms(rows))
     if not model.terms:
         return model
@@ -233,13 +265,6 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents outside the held-out fold (crc32(doc_id) mod 4 = 2);
-    one label a doc_id (the largest, if several)."""
-    by_id = labels.filter("toxic is not null").groupBy(F.col("doc_id").alias("of")).agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").filter(~held_out(F.col("doc_id"))).join(by_id, F.col("doc_id") == F.col("of")).select("doc_id", "text", "toxic")
-
-
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 4, is 2 (a null id is not held out)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -247,5 +272,5 @@ def held_out(doc_id: Column) -> Column:
 
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is below ``threshold``."""
-    model = fit(training_rows(docs, labels))
+    model = fit(docs, labels)
     return score(docs, model).filter(F.col("score") < threshold).select(*docs.columns)
