@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's (time text formats).
 BATCH_FORMAT = "yyyyMMddHHmmss"
-RUN_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-REQUEST_NO_FORMAT = "yyyyMMddHHmmssSSS"
-RECORD_DATE_FORMAT = "yyyy-MM-dd"
 
 
 def _col(c: str | Column) -> Column:
@@ -17,11 +14,15 @@ def _col(c: str | Column) -> Column:
 
 
 def is_valid_batch_id(c: str | Column) -> Column:
-    """the text parses as ``yyyyMMddHHmmss`` and formats back to
-    itself (so 2024-02-30, 13 digits or letters are rejected). Never null."""
+    """the text is a wall-clock time ``yyyyMMddHHmmss`` (so
+    2024-02-30, 13 digits or letters are rejected). Never null, and the same
+    in every session time zone: an hour that a zone skips is a valid name."""
     c = _col(c)
-    parsed = F.try_to_timestamp(c, F.lit(BATCH_FORMAT))
-    return F.coalesce(F.date_format(parsed, BATCH_FORMAT) == c, F.lit(False))
+    year, month, day = F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2)
+    date = F.concat_ws("-", year, month, day).try_cast("date")
+    ok = c.rlike(r"^[0-9]{14}$") & (year > F.lit("0000")) & date.isNotNull()
+    ok = ok & (F.substring(c, 9, 2) < "24") & (F.substring(c, 11, 2) < "60") & (F.substring(c, 13, 2) < "60")
+    return F.coalesce(ok, F.lit(False))
 
 
 def batch_id_of(ts: str | Column, unit: str = "day") -> Column:
@@ -35,8 +36,3 @@ def epoch_seconds(ts: str | Column) -> Column:
     ts = _col(ts)
     days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-
-
-def last_path_part(path: str | Column) -> Column:
-    """Text after the last '=' of a path (the partition value)."""
-    return F.element_at(F.split(_col(path), "="), -1)

@@ -30,8 +30,9 @@ def clean_key(cols: Sequence[str]) -> Column:
 
 
 def prefix3(c: str) -> Column:
-    """First three characters."""
-    return F.substring(F.col(c), 1, 3)
+    """First three characters; an empty text gives null, as a
+    partitioned write stores both in the null partition."""
+    return F.nullif(F.substring(F.col(c), 1, 3), F.lit(""))
 
 
 def as_date(c: str | Column) -> Column:

@@ -11,9 +11,8 @@ Shape of the plan::
 Only partitions the delta touches are read from the snapshot: with a
 file-based snapshot the touched values become a ``PartitionFilters`` entry
 on the scan (no data read for other partitions). The list of touched values
-is metadata (at most one value per partition directory); up to
-``max_in_list`` (10,000) values it is collected, counted first, above that
-a semi-join is used instead.
+is partition metadata, as the driver holds it for every directory it lists:
+at most one value per partition directory, whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -55,14 +54,18 @@ def prepare_delta(
 ) -> DataFrame:
     """Steps (1)-(4) of the merge: select/rename, W1, cast-all, rules."""
     df = prepare_landing(landing, select_cols, run_ts)
+    # keys become text before W1, so that W1 and W2 (and the buckets) share one hash layout
+    df = df.withColumns({k: F.col(k).cast("string") for k in keys})
     df = latest_in_delta(df, keys, TS_COL, POS_COL, lexicographic)
     df = cast_all(df, "string")
     return derive_columns(df, rules, date_partitioned)
 
 
 def touched_partitions(delta: DataFrame, part_cols: Sequence[str]) -> DataFrame:
-    """A4/A5: distinct partition values of the prepared delta."""
-    return delta.select(*part_cols).distinct()
+    """A4/A5: distinct partition values of the prepared delta, as a
+    partitioned write stores them (an empty text is the null partition)."""
+    text = {f.name for f in delta.schema.fields if f.dataType.simpleString() == "string"}
+    return delta.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in text else F.col(c) for c in part_cols]).distinct()
 
 
 def _match_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str, null_safe: bool = True) -> DataFrame:
@@ -78,45 +81,31 @@ def _match_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str
     return lft.join(rgt, cond, how).select(*[F.col(f"_l.`{c}`").alias(c) for c in left.columns])
 
 
-def _semi_join_touched(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
-    """Above the list bound: a plain equality semi-join for partitions
-    without nulls (eligible for dynamic partition pruning) plus a null-safe
-    one restricted to the partitions that hold a null value."""
-    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in part_cols])
-    eq = _match_join(base.filter(full), touched.filter(full), part_cols, "left_semi", null_safe=False)
-    nul = _match_join(base.filter(~full), touched.filter(~full), part_cols, "left_semi")
-    return eq.unionByName(nul)
-
-
-def restrict_to_touched(
-    base: DataFrame,
-    touched: DataFrame,
-    part_cols: Sequence[str],
-    max_in_list: int = 10_000,
-) -> DataFrame:
-    """Snapshot rows whose partition value the delta touches.
+def restrict_to_touched(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
+    """Snapshot rows whose partition value the delta touches, by a
+    list of values per column that reaches the scan as a partition filter.
 
     A null partition value is matched as a value (``isin`` alone never
     matches null and would drop those rows from the merge, and a dynamic
     overwrite would then lose them).
     """
-    probe = touched.limit(max_in_list + 1).collect()
-    if len(probe) <= max_in_list:
-        conds = []
-        for i, c in enumerate(part_cols):
-            vals = sorted({r[i] for r in probe if r[i] is not None})
-            has_null = any(r[i] is None for r in probe)
-            cond = F.col(c).isin(vals) if vals else F.lit(False)
-            conds.append(cond | F.col(c).isNull() if has_null else cond)
-        pruned = base.filter(reduce(lambda a, b: a & b, conds)) if conds else base
-        if len(part_cols) <= 1:
-            return pruned  # the per-column filter is already exact
-        # per-column lists are a superset for tuples; finish with an exact
-        # semi-join against the (counted, so bounded) touched tuples already
-        # on the driver, so the delta pipeline is not run a second time.
-        exact = base.sparkSession.createDataFrame(probe, touched.schema)
-        return _match_join(pruned, F.broadcast(exact), part_cols, "left_semi")
-    return _semi_join_touched(base, touched, part_cols)
+    if not part_cols:
+        return base
+    probe = touched.select(*part_cols).collect()
+    conds = []
+    for i, c in enumerate(part_cols):
+        vals = sorted({r[i] for r in probe if r[i] is not None})
+        has_null = any(r[i] is None for r in probe)
+        cond = F.col(c).isin(vals) if vals else F.lit(False)
+        conds.append(cond | F.col(c).isNull() if has_null else cond)
+    pruned = base.filter(reduce(lambda a, b: a & b, conds))
+    if len(part_cols) == 1:
+        return pruned  # the per-column filter is already exact
+    # per-column lists are a superset for tuples; finish with an exact
+    # semi-join against the touched tuples already on the driver, so the
+    # delta pipeline is not run a second time.
+    exact = base.sparkSession.createDataFrame(probe, touched.select(*part_cols).schema)
+    return _match_join(pruned, exact, part_cols, "left_semi")
 
 
 def align_to(df: DataFrame, like: DataFrame, fill_missing: bool = True) -> DataFrame:
@@ -140,7 +129,6 @@ def scd1_merge(
     keys: Sequence[str],
     part_cols: Sequence[str],
     lexicographic: bool = False,
-    max_in_list: int = 10_000,
     global_keys: bool = False,
     touch_cols: Sequence[str] | None = None,
     buckets: int | None = None,
@@ -166,26 +154,21 @@ def scd1_merge(
     base = align_to(base, delta)
     if not global_keys:
         tcols = list(touch_cols or part_cols)
-        base = restrict_to_touched(base, touched_partitions(delta, tcols), tcols, max_in_list)
+        base = restrict_to_touched(base, touched_partitions(delta, tcols), tcols)
     both = delta.withColumn("_src", F.lit(1)).unionByName(base.withColumn("_src", F.lit(0)))
     order = [*position_order(POS_COL, lexicographic), F.col(TS_COL).desc_nulls_last(), F.col("_src").asc()]
     return latest_per_key(both, keys, order).drop("_src")
 
 
-def untouched_rows(base: DataFrame, touched: DataFrame, part_cols: Sequence[str], max_in_list: int = 10_000) -> DataFrame:
-    """Snapshot rows of partitions the merge did not touch (they stay).
-    Up to ``max_in_list`` touched tuples (counted first) the anti-join runs
-    against the collected tuples, broadcast; above that against the frame."""
-    probe = touched.select(*part_cols).limit(max_in_list + 1).collect()
-    if len(probe) <= max_in_list:
-        exact = base.sparkSession.createDataFrame(probe, touched.select(*part_cols).schema)
-        return _match_join(base, F.broadcast(exact), part_cols, "left_anti")
-    return _match_join(base, touched, part_cols, "left_anti")
+def untouched_rows(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
+    """Snapshot rows of partitions the merge did not touch (they stay): an
+    anti-join against the touched tuples (partition metadata)."""
+    probe = touched.select(*part_cols)
+    exact = base.sparkSession.createDataFrame(probe.collect(), probe.schema)
+    return _match_join(base, exact, part_cols, "left_anti")
 
 
-def apply_merge(
-    base: DataFrame, merged: DataFrame, touched: DataFrame, part_cols: Sequence[str], max_in_list: int = 10_000
-) -> DataFrame:
+def apply_merge(base: DataFrame, merged: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     """The snapshot after publishing ``merged``: untouched partitions of
     ``base`` plus the merge output (touched partitions are replaced)."""
-    return untouched_rows(align_to(base, merged), touched, part_cols, max_in_list).unionByName(merged)
+    return untouched_rows(align_to(base, merged), touched, part_cols).unionByName(merged)

@@ -89,8 +89,8 @@ def publish_partitions(
             return []
         touched = spark.createDataFrame([_as_text(t) for t in touched], ddl)
 
-    def text(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c).cast("string").alias(c) for c in part_cols])
+    def text(df: DataFrame) -> DataFrame:  # an empty text is stored as the null partition
+        return df.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in part_cols])
 
     t, w = text(touched).alias("_t"), text(version).distinct().alias("_w")
     cond = None
@@ -108,14 +108,11 @@ def _as_text(values: Sequence) -> tuple:
 
 
 def partition_path(root: str, part_cols: Sequence[str], values: Sequence) -> str:
-    """Hive-style directory of one partition tuple (null -> default name)."""
-    from urllib.parse import quote
-
-    parts = []
-    for c, v in zip(part_cols, values):
-        text = "__HIVE_DEFAULT_PARTITION__" if v is None else quote(str(v), safe=" ")
-        parts.append(f"{c}={text}")
-    return root.rstrip("/") + "/" + "/".join(parts)
+    """Directory that Spark writes one partition tuple to (its own escaping;
+    null and empty text give the default name)."""
+    jvm = SparkSession.active().sparkContext._jvm
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join((root.rstrip("/"), *(name(c, None if v is None else str(v)) for c, v in zip(part_cols, values))))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -168,14 +165,13 @@ def name_type_folders(spark: SparkSession, out: str, type_col: str, name_of) ->
     """P10: rename each ``<type_col>=<value>`` folder of an export to
     ``name_of(value)`` (the null type's folder gets ``name_of(None)``).
     One metadata rename per type."""
-    from urllib.parse import unquote
-
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     done = []
     for child in list_children(spark, out):
         if not child.startswith(f"{type_col}="):
             continue
         raw = child.split("=", 1)[1]
-        value = None if raw == "__HIVE_DEFAULT_PARTITION__" else unquote(raw)
+        value = None if raw == "__HIVE_DEFAULT_PARTITION__" else unescape(raw)
         target = f"{out.rstrip('/')}/{name_of(value)}"
         if rename_path(spark, f"{out.rstrip('/')}/{child}", target):
             done.append(target)

@@ -75,7 +75,7 @@ def publish_to_table(merged: DataFrame, table: str, part_cols: Sequence[str], to
     """
     spark = merged.sparkSession
     seen = Observation("written_partitions")
-    as_text = F.struct(*[F.col(c).cast("string").alias(c) for c in part_cols])
+    as_text = F.struct(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in part_cols])
     out = merged.select(*spark.table(table).columns).observe(seen, F.collect_set(as_text).alias("parts"))
     key = "spark.sql.sources.partitionOverwriteMode"
     old = spark.conf.get(key)
@@ -87,8 +87,8 @@ def publish_to_table(merged: DataFrame, table: str, part_cols: Sequence[str], to
     ddl = ", ".join(f"`{c}` string" for c in part_cols)
     written = spark.createDataFrame([tuple(r) for r in seen.get["parts"]], ddl)
 
-    def text(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c).cast("string").alias(c) for c in part_cols])
+    def text(df: DataFrame) -> DataFrame:  # an empty text is stored as the null partition
+        return df.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in part_cols])
 
     t, w = text(touched).alias("_t"), written.alias("_w")
     cond = None

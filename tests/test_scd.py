@@ -2,14 +2,15 @@
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from rawline.functions.columns import ColumnRule
 from rawline.operators.dedupe import latest_in_delta
-from rawline.operators.scd import apply_merge, prepare_delta, scd1_merge, touched_partitions
-from rawline.runtime import scratch_path
-from rawline.sinks.files import write_partitioned
+from rawline.operators.scd import apply_merge, prepare_delta, restrict_to_touched, scd1_merge, touched_partitions
+from rawline.runtime import cut_lineage, scratch_path
+from rawline.sinks.files import publish_partitions, write_partitioned
 from rawline.sources.landing import read_snapshot
 
 LANDING = "id string, code string, amount string, current_ts string, pos string"
@@ -104,13 +105,6 @@ def test_merge_global_keys_removes_moved_rows(spark):
     assert sorted(ids) == sorted(set(ids)) and "keep_u" in ids
 
 
-def test_merge_semijoin_path_equals_in_list(spark):
-    base, delta = merge_fixture(spark)
-    a = scd1_merge(delta, base, KEYS, ["part_1"], max_in_list=1000)
-    b = scd1_merge(delta, base, KEYS, ["part_1"], max_in_list=1)
-    assert rows(a) == rows(b)
-
-
 def test_input_order_does_not_matter(spark):
     rng = random.Random(7)
     data = [(f"k{rng.randrange(20)}", rng.choice(["aaa", "bbb"]), str(i), f"2024-01-01 00:00:{i % 60:02d}", str(i)) for i in range(200)]
@@ -157,21 +151,42 @@ def test_merge_same_lineage_multi_part(spark):
     prep_all = prepare_delta(landing, KEYS, SELECT, rules, RUN_TS)
     base = prep_all.filter("trail_file_pos in ('1', '2', '4')")
     delta = prep_all.filter("trail_file_pos = '3'")
-    out = scd1_merge(delta, base, KEYS, ["p1", "p2"], max_in_list=1000)
+    out = scd1_merge(delta, base, KEYS, ["p1", "p2"])
     assert rows(out, "id", "amount") == [("a", "3")]
     snap = apply_merge(base, out, touched_partitions(delta, ["p1", "p2"]), ["p1", "p2"])
     assert rows(snap, "id", "amount") == [("a", "3"), ("b", "2"), ("c", "4")]
 
 
-def test_semijoin_path_uses_dynamic_pruning(spark):
-    base, delta = merge_fixture(spark)
-    path = scratch_path(spark, "dpp")
-    write_partitioned(base, path, ["part_1"], mode="overwrite")
-    snap = read_snapshot(spark, path, delta.schema)
-    out = scd1_merge(delta, snap, KEYS, ["part_1"], max_in_list=0)
-    got = {r["id"]: r["amount"] for r in out.collect()}
-    assert got["nul"] == "6" and got["older"] == "4" and "keep_u" not in got
-    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("n", [10, 20_000])
+def test_snapshot_scan_is_pruned_whatever_the_number_of_touched_values(spark, n):
+    path = scratch_path(spark, "pruned")
+    spark.createDataFrame([("k1", "v1"), ("k2", "other")], "id string, part_1 string").write.partitionBy("part_1").orc(path)
+    snap = spark.read.schema("id string, part_1 string").orc(path)
+    touched = spark.range(n).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("part_1"))
+    out = restrict_to_touched(snap, touched, ["part_1"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part_1" in plan and "Join" not in plan
+    assert rows(out) == [("k1", "v1")]
+
+
+@pytest.mark.parametrize("value", [None, "", "R&D", "A+B", "éco", "ab,", "a@b", "x(y", "a b", "50%", "2024-01-01", "a=b/c:d"])
+def test_publish_keeps_and_deletes_odd_partitions(spark, value):
+    """The partition is read back, merged and, once emptied, deleted."""
+    path = scratch_path(spark, "odd")
+    snap_ddl = "id string, v string, part_1 string"
+    base = [("1", "a", value), ("2", "b", value), ("3", "c", "abc")]
+    write_partitioned(spark.createDataFrame(base, snap_ddl), path, ["part_1"], mode="overwrite")
+    snap = read_snapshot(spark, path, snap_ddl)
+    stored = value or None
+    delta = spark.createDataFrame([("9", "d", value)], snap_ddl)
+    kept = restrict_to_touched(snap, touched_partitions(delta, ["part_1"]), ["part_1"])
+    assert rows(kept, "id", "part_1") == [("1", stored), ("2", stored)]
+    merged = cut_lineage(delta.unionByName(kept))
+    assert publish_partitions(merged, path, ["part_1"], [(value,)]) == []
+    assert rows(read_snapshot(spark, path, snap_ddl), "id") == [("1",), ("2",), ("3",), ("9",)]
+    moved = spark.createDataFrame([(i, "m", "abc") for i in "1239"], snap_ddl)
+    assert publish_partitions(moved, path, ["part_1"], [(value,), ("abc",)]) == [(stored,)]
+    assert rows(read_snapshot(spark, path, snap_ddl), "id", "part_1") == [(i, "abc") for i in "1239"]
 
 
 def test_touch_cols_date_only(spark):
@@ -189,10 +204,8 @@ def test_touch_cols_date_only(spark):
     assert by_tuple == {"d"} and by_date == {"b", "d"}
 
 
-def test_probed_and_frame_paths_agree_with_null_partitions(spark):
-    """Touched tuples taken from the bounded probe (broadcast local table)
-    or, above the bound, joined as a frame: same merge, same snapshot, and
-    null partition values matched as values on both paths."""
+def test_null_partitions_are_values(spark):
+    """Touched tuples with nulls: matched as values in merge and snapshot."""
     rules = [ColumnRule("part_1", "p1", "code"), ColumnRule("part_2", "p2", "amount")]
     data = [("a", "x", "1", "2024-01-01 00:00:00", "1"), ("b", None, "2", "2024-02-01 00:00:00", "2"),
             ("c", "y", None, "2024-03-01 00:00:00", "3"), ("d", "z", "4", "2024-03-02 00:00:00", "4"),
@@ -202,10 +215,7 @@ def test_probed_and_frame_paths_agree_with_null_partitions(spark):
     base = prep_all.filter("trail_file_pos in ('1', '2', '3', '4')")
     delta = prep_all.filter("trail_file_pos in ('5', '6', '7')")
     parts = ["p1", "p2"]
-    outs = [scd1_merge(delta, base, KEYS, parts, max_in_list=n) for n in (1000, 1)]
-    assert rows(outs[0]) == rows(outs[1])
-    assert rows(outs[0], "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("e", "7")]
+    out = scd1_merge(delta, base, KEYS, parts)
+    assert rows(out, "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("e", "7")]
     touched = touched_partitions(delta, parts)
-    snaps = [apply_merge(base, o, touched, parts, max_in_list=n) for o, n in zip(outs, (1000, 0))]
-    assert rows(snaps[0]) == rows(snaps[1])
-    assert rows(snaps[0], "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("d", "4"), ("e", "7")]
+    assert rows(apply_merge(base, out, touched, parts), "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("d", "4"), ("e", "7")]
