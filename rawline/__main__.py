@@ -86,6 +86,9 @@ def main(argv: list[str] | None = None) -> int:
     gst.add_argument("--run-ts", required=True)
     gst.add_argument("--summary", help="append the per-type summary CSV here")
     gst.add_argument("--no-backoff", action="store_true", help="retry without waiting (tests)")
+    for api in (cod, gst):
+        api.add_argument("--num-partitions", type=int, help="tasks that the requests are spread over")
+        api.add_argument("--concurrency", type=int, default=1, help="calls at a time in a task")
 
     args = ap.parse_args(argv)
     spark = _session()
@@ -142,6 +145,7 @@ def main(argv: list[str] | None = None) -> int:
             res = jobs.trusted_to_external(
                 source, cfg, _load(args.client), audit, args.env, args.run_ts, args.run_batch, args.record_date,
                 args.error_schema, key_param=args.key_param,
+                num_partitions=args.num_partitions, concurrency=args.concurrency,
             )
         except jobs.PushFailed as e:
             print(json.dumps({"failed": str(e)}))
@@ -158,6 +162,7 @@ def main(argv: list[str] | None = None) -> int:
             read_sessions(spark, args.sessions), schedules, read_csv(spark, args.status, args.status_schema),
             _load(args.client), args.base_url, args.data_schema, args.out, args.run_ts,
             backoff=not args.no_backoff, summary_path=args.summary,
+            num_partitions=args.num_partitions, concurrency=args.concurrency,
         )
         print(json.dumps({"metrics": res["metrics"], "failures": res["failures"].count()}, default=str))
     return 0

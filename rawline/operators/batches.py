@@ -114,5 +114,5 @@ def substitute_mark(query: str, mark: str, placeholder: str = "dummy_date") -> s
 def incremental_filter(source: DataFrame, ts_col: str, mark: str) -> DataFrame:
     """P6 on a DataFrame source: rows after the mark (typed comparison, so
     the predicate is pushed into the scan)."""
-    bound = F.to_timestamp(F.lit(mark), "yyyyMMddHHmmss").cast(source.schema[ts_col].dataType)
+    bound = F.to_timestamp_ntz(F.lit(mark), F.lit("yyyyMMddHHmmss")).cast(source.schema[ts_col].dataType)
     return source.filter(F.col(ts_col) > bound)

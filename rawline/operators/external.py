@@ -34,7 +34,6 @@ def number_within(
     group_col: str,
     order_col: str,
     num_partitions: int | None = None,
-    broadcast_limit: int = 100_000,
 ) -> DataFrame:
     """Exact 1-based ``_rn`` per group in ``order_col`` order, in two passes.
 
@@ -55,9 +54,9 @@ def number_within(
     before = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     stats = cut_lineage(stats.select("_pid", group_col, "_off", "_m0"))
-    small = stats.count() <= broadcast_limit
-    right = F.broadcast(stats) if small else stats
-    out = s.join(right, ["_pid", group_col])
+    # a null group is a group; AQE picks the join by the measured size
+    stats = stats.select(F.col("_pid").alias("_p"), F.col(group_col).alias("_g"), "_off", "_m0")
+    out = s.join(stats, (F.col("_pid") == F.col("_p")) & F.col(group_col).eqNullSafe(F.col("_g"))).drop("_p", "_g")
     rn = F.col("_off") + (F.col("_mid") - F.col("_m0")) + F.lit(1)
     return out.withColumn("_rn", rn.cast("bigint")).drop("_pid", "_mid", "_off", "_m0")
 
@@ -71,8 +70,10 @@ def request_batches(
 ) -> DataFrame:
     """One row per request: operation, batch_index (0-based),
     n_ids, first_id, last_id, id_list (ids in order, comma-joined).
-    Each group of the final aggregate holds at most ``size`` ids."""
-    numbered = number_within(df.select(op_col, id_col), op_col, id_col, num_partitions)
+    Each group of the final aggregate holds at most ``size`` ids. A null id
+    names nothing to send: it is left out of numbers, counts and lists."""
+    ids = df.select(op_col, id_col).filter(F.col(id_col).isNotNull())
+    numbered = number_within(ids, op_col, id_col, num_partitions)
     numbered = numbered.withColumn("batch_index", F.floor((F.col("_rn") - 1) / F.lit(size)).cast("bigint"))
     ids = F.sort_array(F.collect_list(F.col(id_col))).cast("array<string>")
     return numbered.groupBy(op_col, "batch_index").agg(
@@ -175,7 +176,9 @@ def outcome_of(code: str = "code") -> F.Column:
 
 
 def _request_no(run_batch: str) -> F.Column:
-    return F.concat(F.lit(run_batch), F.lpad(F.col("request_seq").cast("string"), 6, "0"))
+    """The pushed request key as a column: six digits at least, never cut."""
+    seq = F.col("request_seq").cast("string")
+    return F.concat(F.lit(run_batch), F.lpad(seq, F.greatest(F.length(seq), F.lit(6)), F.lit("0")))
 
 
 def route_status(responses: DataFrame, app_name: str, env: str, record_date: str, run_batch: str) -> DataFrame:

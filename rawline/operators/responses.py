@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 # Fixed values that must equal the reference's.
 MAX_RETRIES = 5
@@ -58,24 +59,18 @@ def request_fanout(
     schedules: DataFrame,
     base_url: str,
     schedule_cols: Sequence[str] = ("gst_type", "fy"),
-    max_schedules: int = 10_000,
-    broadcast_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
     """Each selected schedule x each session -> one request.
 
-    The schedules are config entries. Up to ``max_schedules`` (counted
-    before collecting) they are turned into an array literal and exploded
-    onto the sessions, so the session table is streamed once with no join
-    at all. Above the bound the schedules stay distributed: see
-    ``_fanout_join``.
+    The schedules are entries of one config document, which the driver reads
+    anyway: they become an array literal that is exploded onto the sessions,
+    so the session table is streamed once with no join at all.
     """
-    entries = schedules.select(*schedule_cols).limit(max_schedules + 1).collect()
+    entries = schedules.select(*schedule_cols).collect()
     sess = sessions.select(
         F.col("GSTIN1").cast("string").alias("gstin"), F.col("SECTION1").cast("string").alias("section")
     )
-    if len(entries) > max_schedules:
-        fan = _fanout_join(sess, schedules, schedule_cols, max_schedules, broadcast_bytes)
-    elif not entries:
+    if not entries:
         fan = sess.limit(0).select("gstin", "section", *[F.lit(None).cast("string").alias(c) for c in schedule_cols])
     else:
         arr = F.array(*[F.struct(*[F.lit(r[c]).cast("string").alias(c) for c in schedule_cols]) for r in entries])
@@ -85,44 +80,6 @@ def request_fanout(
     return fan.withColumn("url", request_url(base_url, F.col("gstin"), F.col("fy"), F.col("section")))
 
 
-def _fanout_join(
-    sess: DataFrame,
-    schedules: DataFrame,
-    schedule_cols: Sequence[str],
-    chunk_size: int,
-    broadcast_bytes: int = 64 * 1024 * 1024,
-) -> DataFrame:
-    """X5 above the literal bound, exact and without a cross join.
-
-    Schedules are hashed into ``chunks`` (about ``chunk_size`` each); each
-    session is copied once per chunk, so an equi-join on the chunk meets
-    every (session, schedule) pair exactly once. The schedules' byte size is
-    measured first: within ``broadcast_bytes`` they are broadcast and the
-    sessions stream through with no shuffle. Beyond it each session also
-    gets one salt from its own hash and the schedules are copied per salt,
-    so the shuffle join spreads over chunks x salts keys (AQE splits a hot
-    session key further).
-    """
-    spark = sess.sparkSession
-    text = [F.col(c).cast("string").alias(c) for c in schedule_cols]
-    size = schedules.select(*text).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(sum((F.coalesce(F.length(c), F.lit(0)) + F.lit(8) for c in schedule_cols), F.lit(0))).alias("b"),
-    ).first()
-    n, n_bytes = int(size["n"]), int(size["b"] or 0)
-    chunks = max(1, -(-n // chunk_size))
-    sch = schedules.select(*text).withColumn(
-        "_chunk", F.pmod(F.xxhash64(*[F.col(c) for c in schedule_cols]), F.lit(chunks))
-    )
-    ses = sess.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
-    if n_bytes <= broadcast_bytes:
-        return ses.join(F.broadcast(sch), ["_chunk"]).select("gstin", "section", *schedule_cols)
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sch = sch.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    ses = ses.withColumn("_salt", F.pmod(F.xxhash64("gstin", "section"), F.lit(salts)).cast("int"))
-    return ses.join(sch, ["_chunk", "_salt"]).select("gstin", "section", *schedule_cols)
-
-
 # ---------------------------------------------------------------- fetch
 
 
@@ -167,10 +124,10 @@ def call_with_retry(
                     sleep(RATE_LIMIT_BACKOFF_MS * (attempt + 1) / 1000)
                 attempt += 1
                 continue
-            return attempt + 1, code, body, "rate_limited", f"GST API rate limited after {max_retries} retries"
+            return attempt + 1, code, body, "rate_limited", f"still refused as too frequent after {max_retries} repeats"
         if 400 <= code < 500:
-            return attempt + 1, code, body, "client_error", f"GST API client error: {code} {body}"
-        return attempt + 1, code, body, "server_error", f"GST API server error: {code}"
+            return attempt + 1, code, body, "client_error", f"request rejected ({code}): {body}"
+        return attempt + 1, code, body, "server_error", f"server failed ({code})"
 
 
 def _spread(df: DataFrame, num_partitions: int | None, key_cols: Sequence[str]) -> DataFrame:
@@ -272,14 +229,34 @@ def parse_envelope(responses: DataFrame, body_col: str = "body") -> DataFrame:
     )
 
 
+def _data_rows(data_schema: StructType | str) -> Column:
+    """``data`` as an array of payload rows: a JSON array gives its elements,
+    a lone object one; null when it does not parse."""
+    if isinstance(data_schema, str):
+        data_schema = StructType.fromDDL(data_schema)
+    marked = StructType([*data_schema.fields, StructField("_bad", StringType())])
+    options = {"columnNameOfCorruptRecord": "_bad"}
+    rows = F.from_json(F.col("data"), ArrayType(marked), options)
+    return F.when(~F.exists(rows, lambda r: r.isNull() | r["_bad"].isNotNull()), rows)
+
+
 def parse_data(parsed: DataFrame, data_schema: StructType | str, keep: Sequence[str]) -> DataFrame:
-    """Rows of the successful envelopes with ``data`` parsed by schema; a
-    payload field named like a kept request column is left out."""
-    ok = parsed.filter(F.col("ok")).select(*keep, F.from_json(F.col("data"), data_schema).alias("_d"))
-    fields = [n for n in ok.select("_d.*").columns if n not in set(keep)]
+    """Payload rows of the successful envelopes, ``data`` parsed by
+    schema: one row per element of an array, one for an object. A payload
+    field named like a kept request column is left out. Data that does not
+    parse gives no row here and one in ``data_failures``."""
+    ok = parsed.filter(F.col("ok")).select(*keep, F.explode(_data_rows(data_schema)).alias("_d"))
+    fields = [n for n in ok.select("_d.*").columns if n not in set(keep) and n != "_bad"]
     return ok.select(*keep, *[F.col(f"_d.`{n}`").alias(n) for n in fields])
 
 
+def data_failures(parsed: DataFrame, data_schema: StructType | str) -> DataFrame:
+    """The successful envelopes whose ``data`` does not parse, as envelope
+    rows that are not ok."""
+    bad = parsed.filter(F.col("ok") & _data_rows(data_schema).isNull())
+    return bad.withColumn("ok", F.lit(False)).withColumn("error", F.lit(MALFORMED_MESSAGE))
+
+
 def union_payloads(frames: Sequence[DataFrame]) -> DataFrame:
     """One table from frames parsed with different schemas (by name,
     missing columns as null)."""
@@ -310,29 +287,42 @@ def failed_actions(responses: DataFrame, run_ts: str, key_col: str = "gstin", id
 # ---------------------------------------------------------------- status join
 
 
-def valid_records(api: DataFrame, status: DataFrame, key: str = "gstin", status_from: str = "auto") -> DataFrame:
+def valid_records(
+    api: DataFrame, status: DataFrame, key: str | Sequence[str] = "gstin", status_from: str = "auto"
+) -> DataFrame:
     """API rows with a matching status row whose status is
-    VALID or ACTIVE; a row repeats once per matching status row.
+    VALID or ACTIVE; a row repeats once per matching status row. ``key`` names
+    the join columns: (gstin, gst_type, fy) where one status table holds the
+    files of several schedules (M1).
 
     ``status_from``: 'left' (the API frame's own status), 'right' (the
     status file's), or 'auto' = left when the API frame has one (D7).
     The filter is pushed below the join to the side it reads.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     use_left = status_from == "left" or (status_from == "auto" and "status" in api.columns)
     a, s = api.alias("a"), status.alias("s")
     if use_left:
         a = a.filter(F.col("status").isin(*VALID_STATUSES)).alias("a")
-        s = s.select(F.col(key)).alias("s")
+        s = s.select(*keys).alias("s")
     else:
-        s = s.filter(F.col("status").isin(*VALID_STATUSES)).select(F.col(key)).alias("s")
-    return a.join(s, F.col(f"a.{key}") == F.col(f"s.{key}"), "inner").select("a.*")
-
-
-def fetch_summary(valid: DataFrame, process_date: str) -> DataFrame:
-    """P11 (fetch): valid records per (gst_type, financial year)."""
-    return valid.groupBy("gst_type", F.col("fy").alias("financial_year")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("record_count"), F.lit(process_date).alias("process_date")
-    )
+        s = s.filter(F.col("status").isin(*VALID_STATUSES)).select(*keys).alias("s")
+    cond = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"s.{k}") for k in keys])
+    return a.join(s, cond, "inner").select("a.*")
+
+
+def fetch_summary(valid: DataFrame, process_date: str, fetched: DataFrame | None = None) -> DataFrame:
+    """P11 (fetch): valid records per (gst_type, financial year); with the
+    ``fetched`` requests (gst_type, fy), types without valid records too (0)."""
+    pair = ["gst_type", "financial_year"]
+    counts = valid.groupBy("gst_type", F.col("fy").alias("financial_year")).agg(F.count(F.lit(1)).cast("bigint").alias("record_count"))
+    if fetched is not None:
+        asked = fetched.select("gst_type", F.col("fy").alias("financial_year")).distinct().alias("a")
+        cond = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"c.{c}")) for c in pair])
+        counts = asked.join(counts.alias("c"), cond, "left").select(
+            *[F.col(f"a.{c}").alias(c) for c in pair], F.coalesce("c.record_count", F.lit(0).cast("bigint")).alias("record_count")
+        )
+    return counts.withColumn("process_date", F.lit(process_date))
 
 
 # ---------------------------------------------------------------- calendar
@@ -354,5 +344,5 @@ def month_list(day: Column, n_months: Column, drop_first: Column) -> Column:
     without the oldest one when ``drop_first`` (24-hour mode)."""
     last = F.trunc(day, "MM")
     first = F.add_months(last, -(n_months - 1))
-    months = F.sequence(first, last, F.expr("interval 1 month"))
+    months = F.when(n_months > 0, F.sequence(F.least(first, last), last, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
     return F.when(drop_first, F.slice(months, 2, F.greatest(n_months - 1, F.lit(0)))).otherwise(months)

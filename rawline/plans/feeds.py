@@ -149,6 +149,37 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_id").alias("request_id"), gstin.alias("gstin"), body.alias("body"))
 
 
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> a table of API responses (request_id, gstin, gst_type, fy,
+    attempts, code, body): purchases, views and signups were answered (200),
+    errors were refused by their id (429, 503, 404), of the clicks every
+    fourth got no code and the others a server error."""
+    ev = table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    code = (
+        F.when(F.col("event_type").isin("purchase", "view", "signup"), F.lit(200))
+        .when(F.col("event_type") == "error", F.when(n % 3 == 0, 429).when(n % 3 == 1, 503).otherwise(404))
+        .when(n % 4 != 0, F.lit(500))
+    )
+    told = ev.select(
+        n.alias("request_id"),
+        F.concat(F.lit("gstr"), (F.col("user_id") % 3).cast("string")).alias("gst_type"),
+        F.when(F.col("user_id") % 2 == 0, "2023-24").otherwise("2024-25").alias("fy"),
+        (n % 6 + 1).cast("int").alias("attempts"),
+        code.alias("code"),
+    )
+    return envelopes(spark, sf_dir).join(told, "request_id")
+
+
+def gst_status_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``gst_status`` of each type and year (gstin, gst_type, fy, status): a
+    gstin that is VALID for one type is SUSPENDED for another."""
+    s = gst_status(spark, sf_dir)
+    kind = F.explode(F.array(*[F.lit(f"gstr{k}") for k in range(3)])).alias("gst_type")
+    s = s.select("gstin", kind, "status").select("gstin", "gst_type", F.explode(F.array(F.lit("2023-24"), F.lit("2024-25"))).alias("fy"), "status")
+    return s.withColumn("status", F.when((F.col("gst_type") == "gstr1") & (F.col("fy") == "2024-25"), F.lit("SUSPENDED")).otherwise(F.col("status")))
+
+
 def gst_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> status file rows (gstin, status). Segments map to a
     status; customers of nation 0 get a second, ACTIVE row."""

@@ -158,9 +158,7 @@ def landing_to_raw(
         record_count = int(obs.get["rows"])
         # the touched list is partition metadata: written by Spark next to the
         # version, never gathered on the driver
-        touched.select(*[F.col(p).cast("string").alias(p) for p in parts]).coalesce(1).write.mode("overwrite").json(
-            f"{vpath}/_touched"
-        )
+        touched.select(*[F.col(p).cast("string").alias(p) for p in parts]).write.mode("overwrite").json(f"{vpath}/_touched")
         delta.unpersist()
         batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
         audit.append_app_status(
@@ -339,31 +337,39 @@ def trusted_to_external(
     error_schema: StructType | str = "error string, message string",
     size: int = ext.BATCH_SIZE,
     key_param: str | None = None,
+    num_partitions: int | None = None,
+    concurrency: int = 1,
 ) -> dict:
     """Extract -> allow/block split -> requests of ``size`` ids -> push ->
     status / error tables -> audit row. Every outcome is stored before a
-    failure is raised (D18)."""
+    failure is raised (D18); a run with failures leaves no audit row, so its
+    ids are extracted again. The audit count is that of all extracted rows.
+
+    Requests are spread over ``num_partitions`` tasks (default: the session's
+    parallelism), ``concurrency`` calls at a time in each."""
     spark = source.sparkSession
-    split = ext.flag_split(source).persist()
-    n_total = split.count()
-    payload = ext.number_requests(ext.request_batches(split, size=size), size=size)
+    n_total = source.count()
+    split = ext.flag_split(source)
+    payload = cut_lineage(ext.number_requests(ext.request_batches(split, size=size), size=size))
+    num_partitions = num_partitions or spark.sparkContext.defaultParallelism
     # reliable checkpoint, not persist: a lost executor must not make the
     # plan call the API again when the responses are read a second time
     responses = cut_lineage(
-        ext.push_requests(payload, client, (cfg.param1, cfg.param2), key_param=key_param, run_batch=run_batch)
+        ext.push_requests(
+            payload, client, (cfg.param1, cfg.param2), key_param=key_param, run_batch=run_batch,
+            num_partitions=num_partitions, concurrency=concurrency,
+        )
     )
     status = ext.route_status(responses, cfg.app_name, env, record_date, run_batch)
-    write_partitioned(status, cfg.statuspath, ["status_record_date_dt", "batch_no"], files_per_partition=1)
+    write_partitioned(status, cfg.statuspath, ["status_record_date_dt", "batch_no"])
     errors = ext.route_errors(responses, record_date, run_batch, error_schema)
     n_err = errors.count()
     if n_err:
-        write_partitioned(errors, cfg.errorpath, ["part_record_date_dt", "batch_no"], files_per_partition=1)
+        write_partitioned(errors, cfg.errorpath, ["part_record_date_dt", "batch_no"])
+        raise PushFailed(f"{n_err} API requests failed; see {cfg.errorpath}")
     if n_total > 0:
         one = spark.createDataFrame([(run_batch,)], "batchno string")
         audit.append_app_status(app_status_rows(one, cfg.app_name, cfg.table_name, run_ts, run_ts, n_total))
-    split.unpersist()
-    if n_err:
-        raise PushFailed(f"{n_err} API requests failed; see {cfg.errorpath}")
     return {"records": n_total, "errors": n_err}
 
 
@@ -373,10 +379,9 @@ def trusted_to_external(
 def generate_flat(lines: DataFrame, out_root: str, section: str, run_date: str, summary_path: str) -> dict:
     """Transform, fail when nothing is left, one CSV per type,
     one summary row appended."""
-    flat = flt.flat_transform(lines, run_date).persist()
+    flat = flt.flat_transform(lines, run_date)
     if flat.isEmpty():
-        flat.unpersist()
-        raise ValueError("No records available after transformation")
+        raise ValueError(f"nothing to export for {section} on {run_date}")
     out = f"{out_root.rstrip('/')}/flatfiles/{section}/{run_date}"
     from ..sinks.files import export_by_type, name_type_folders
 
@@ -385,7 +390,6 @@ def generate_flat(lines: DataFrame, out_root: str, section: str, run_date: str,
     summary = flt.flat_summary(flat, section, run_date)
     append_csv(summary, summary_path, header=True)
     row = summary.first()
-    flat.unpersist()
     return {"records": row["record_count"], "files": row["file_count"], "path": out, "outputs": files}
 
 
@@ -400,18 +404,27 @@ def fetch_gst(
     run_ts: str,
     backoff: bool = True,
     summary_path: str | None = None,
+    num_partitions: int | None = None,
+    concurrency: int = 1,
 ) -> dict:
     """S14 + P12-P17: fan-out, fetch with retry on executors, parse the
     envelopes, keep VALID/ACTIVE rows against the status file, write JSON
-    partitioned by (gst_type, fy). Failures come back as an action table."""
+    partitioned by (gst_type, fy). Failed calls, envelopes and payloads come
+    back as an action table. A status table with gst_type and fy is matched on
+    them as well (M1). Requests are spread over ``num_partitions`` tasks
+    (default: the session's parallelism), ``concurrency`` calls at a time."""
     reqs = rsp.request_fanout(sessions, schedules, base_url)
-    fetched = cut_lineage(rsp.fetch_table(reqs, fetch, backoff=backoff))  # calls happen once
-    parsed = rsp.parse_envelope(fetched.withColumn("request_id", F.col("url")).filter(F.col("outcome") == "ok"))
+    tasks = num_partitions or sessions.sparkSession.sparkContext.defaultParallelism
+    fetched = cut_lineage(rsp.fetch_table(reqs, fetch, backoff=backoff, num_partitions=tasks, concurrency=concurrency))  # calls happen once
+    named = fetched.withColumn("request_id", F.col("url"))
+    parsed = rsp.parse_envelope(named.filter(F.col("outcome") == "ok"))
     data = rsp.parse_data(parsed, data_schema, ["gst_type", "fy"])
-    valid = rsp.valid_records(data, status)
+    key = ["gstin", *(c for c in ("gst_type", "fy") if c in status.columns)]
+    valid = rsp.valid_records(data, status, key)
     write_json_by(valid, out_path, ["gst_type", "fy"])
     if summary_path is not None:
-        append_csv(rsp.fetch_summary(valid, run_ts), summary_path)
+        append_csv(rsp.fetch_summary(valid, run_ts, fetched), summary_path)
     metrics = rsp.api_metrics(fetched).first().asDict()
-    failures = rsp.failed_actions(fetched.withColumn("request_id", F.col("url")), run_ts)
+    unread = parsed.filter(~F.col("ok")).unionByName(rsp.data_failures(parsed, data_schema))
+    failures = rsp.failed_actions(named, run_ts).unionByName(rsp.failed_actions(unread, run_ts))
     return {"metrics": metrics, "failures": failures, "fetched": fetched}

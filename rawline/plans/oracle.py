@@ -300,7 +300,7 @@ PUSHED = """req as (
   from payload p),
 resp as (
   select *, case when first_id % 4 = 3 then (case when operation = 'block' then 500 else 404 end) else 200 end as code,
-         '20240122000000' || lpad(request_seq::varchar, 6, '0') as request_no
+         '20240122000000' || repeat('0', greatest(0, 6 - len(request_seq::varchar))) || request_seq::varchar as request_no
   from req)"""
 
 SQL["flag_split"] = _with(COD) + "select * from split"
@@ -399,29 +399,50 @@ reqs as (
   select c_custkey::varchar as gstin, c_mktsegment as section, gst_type, fy,
          'http://api.test/fetch?gstin=' || c_custkey::varchar || '&fy=' || fy || '&section=' || c_mktsegment as url,
          c_custkey % 6 as kind
-  from customer cross join sch),
-fetched as (
-  select gstin, section, gst_type, fy, url,
-         (case kind when 1 then 2 when 2 then 6 when 5 then 3 else 1 end)::int as attempts,
-         (case kind when 2 then 503 when 3 then 404 when 4 then 500 else 200 end)::int as code,
-         case kind when 2 then 'rate_limited' when 3 then 'client_error' when 4 then 'server_error' else 'ok' end as outcome,
-         case kind when 2 then 'GST API rate limited after 5 retries'
-                   when 3 then 'GST API client error: 404 no such gstin'
-                   when 4 then 'GST API server error: 500' end as error
-  from reqs)"""
+  from customer cross join sch)"""
 
 SQL["request_fanout"] = _with(REQUESTS) + "select gstin, section, gst_type, fy, url from reqs"
-SQL["fetch_outcomes"] = _with(REQUESTS) + "select * from fetched"
-SQL["api_metrics"] = _with(REQUESTS) + """
+RESPONSES = """fetched as (
+  select event_id as request_id, user_id::varchar as gstin, 'gstr' || (user_id % 3)::varchar as gst_type,
+         case when user_id % 2 = 0 then '2023-24' else '2024-25' end as fy, (event_id % 6 + 1)::int as attempts,
+         (case when event_type in ('purchase', 'view', 'signup') then 200
+               when event_type = 'error' then case event_id % 3 when 0 then 429 when 1 then 503 else 404 end
+               when event_id % 4 <> 0 then 500 end)::int as code,
+         event_type, props
+  from events),
+outcomes as (
+  select *, case when code is null then 'exception' when code = 200 then 'ok' when code in (429, 503) then 'rate_limited'
+                 when code between 400 and 499 then 'client_error' else 'server_error' end as outcome
+  from fetched),
+by_type as (
+  select gstin, gst_type, fy,
+         case when gst_type = 'gstr1' and fy = '2024-25' then 'SUSPENDED' else status end as status
+  from st, (values ('gstr0'), ('gstr1'), ('gstr2')) g(gst_type), (values ('2023-24'), ('2024-25')) y(fy)),
+typed as (
+  select request_id, gstin, gst_type, fy, (props->>'k')::int as k from outcomes
+  where outcome = 'ok' and event_type = 'purchase'),
+valid as (
+  select t.* from typed t join by_type s using (gstin, gst_type, fy) where s.status in ('VALID', 'ACTIVE'))"""
+
+SQL["fetch_outcomes"] = _with(STATUS, RESPONSES) + "select request_id, gstin, gst_type, fy, attempts, code, outcome from outcomes"
+SQL["api_metrics"] = _with(STATUS, RESPONSES) + """
 select sum(attempts)::bigint as api_calls, sum(case when outcome = 'ok' then 1 else 0 end)::bigint as api_success,
        sum(case when outcome <> 'ok' then 1 else 0 end)::bigint as api_failure
-from fetched"""
-
-SQL["gst_valid_summary"] = _with(REQUESTS, STATUS) + """
-select f.gst_type, f.fy as financial_year, count(*)::bigint as record_count, '2024-01-22' as process_date
-from fetched f join st s on f.gstin = s.gstin
-where f.outcome = 'ok' and s.status in ('VALID', 'ACTIVE')
+from outcomes"""
+SQL["valid_records_by_type"] = _with(STATUS, RESPONSES) + "select * from valid"
+SQL["gst_valid_summary"] = _with(STATUS, RESPONSES) + """
+select f.gst_type, f.fy as financial_year, count(v.request_id)::bigint as record_count, '2024-01-22' as process_date
+from (select distinct gst_type, fy from outcomes) f left join valid v on f.gst_type = v.gst_type and f.fy = v.fy
 group by f.gst_type, f.fy"""
+SQL["envelope_array_data"] = """
+select event_id as request_id, user_id::varchar as gstin, (props->>'k')::int as k from events
+where event_type in ('purchase', 'view')
+union all
+select event_id, user_id::varchar, -1 from events where event_type = 'purchase'"""
+SQL["parse_failures"] = """
+select 'api_parse_error_' || event_id::varchar as action_id, '2024-01-22' as timestamp,
+       'API_PARSE_ERROR' as action_type, user_id::varchar as data
+from events where event_type = 'click'"""
 
 # ---------------------------------------------------------------- calendar
 

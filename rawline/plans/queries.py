@@ -33,14 +33,13 @@ from ..operators.scd import (
 from ..operators import external as ext
 from ..operators import flat as flt
 from ..operators import responses as rsp
-from ..runtime import cut_lineage, scratch_path, ship_package
+from ..runtime import cut_lineage, scratch_path
 from ..sinks.files import export_by_type as write_by_type
 from ..sinks.files import publish_partitions, write_partitioned
 from ..sinks.tables import bucket_count, create_bucketed_snapshot
 from ..sources.files import read_csv, read_sessions
 from ..sources.landing import list_batches, read_landing, read_snapshot
 from . import feeds as fd
-from . import scripted
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -318,9 +317,13 @@ def request_batches_50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    """The payload with a response per request, as a column expression of it:
+    a request whose first id is 3 mod 4 was refused."""
     payload = ext.number_requests(ext.request_batches(_cod_split(spark, sf_dir), size=50))
-    return ext.push_requests(payload, scripted.cod_push_client, num_partitions=8, concurrency=4)
+    first = F.col("first_id")
+    refused = F.concat(F.lit('{"error": "rejected", "op": "'), "operation", F.lit('", "first": '), first.cast("string"), F.lit("}"))
+    code = F.when(first % 4 != 3, 200).when(F.col("operation") == "block", 500).otherwise(404)
+    return payload.withColumns({"code": code, "body": F.when(code == 200, F.lit("{}")).otherwise(refused), "error": F.lit(None).cast("string")})
 
 
 @query
@@ -450,32 +453,67 @@ def request_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
-    return rsp.fetch_table(
-        _requests(spark, sf_dir), scripted.gst_fetch_client, backoff=False, num_partitions=8, concurrency=4
-    )
+    return fd.responses(spark, sf_dir).withColumn("outcome", ext.outcome_of("code"))
 
 
 @query
 def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attempts, last code and outcome per request."""
-    return _fetched(spark, sf_dir).drop("body")
+    """F16: attempts, last code and outcome class per response."""
+    return _fetched(spark, sf_dir).select("request_id", "gstin", "gst_type", "fy", "attempts", "code", "outcome")
 
 
 @query
 def api_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calls, successes and failures of the fetch run."""
+    """Calls, successes and failures of a response table."""
     return rsp.api_metrics(_fetched(spark, sf_dir))
 
 
+def _typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = rsp.parse_envelope(_fetched(spark, sf_dir).filter(F.col("outcome") == "ok"))
+    return rsp.parse_data(parsed, "k int", ["request_id", "gstin", "gst_type", "fy"])
+
+
+@query
+def valid_records_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status matched on (gstin, gst_type, fy)."""
+    return rsp.valid_records(_typed_rows(spark, sf_dir), fd.gst_status_by_type(spark, sf_dir), ["gstin", "gst_type", "fy"])
+
+
 @query
 def gst_valid_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P12->P13->P14->P11: fetched envelopes parsed, kept against the
-    status file, counted per (gst_type, financial year)."""
-    fetched = _fetched(spark, sf_dir).filter(F.col("outcome") == "ok")
-    data = rsp.parse_data(rsp.parse_envelope(fetched), "gstin string, fy string, section string", ["gst_type", "fy"])
-    valid = rsp.valid_records(data, fd.gst_status(spark, sf_dir))
-    return rsp.fetch_summary(valid, RUN_DATE)
+    """P13->P14->P11: envelopes parsed, kept against the status table,
+    counted per (gst_type, financial year), types without valid rows too."""
+    valid = rsp.valid_records(_typed_rows(spark, sf_dir), fd.gst_status_by_type(spark, sf_dir), ["gstin", "gst_type", "fy"])
+    return rsp.fetch_summary(valid, RUN_DATE, _fetched(spark, sf_dir))
+
+
+def _array_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes whose data is an array of two objects (purchases), a lone
+    object (views), cut short (clicks) or an empty array."""
+    ev = fd.table(spark, sf_dir, "events")
+    p = F.col("props")
+    data = (
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit("["), p, F.lit(', {"k": -1}]')))
+        .when(F.col("event_type") == "view", p)
+        .when(F.col("event_type") == "click", F.concat(F.lit("["), p))
+        .otherwise(F.lit("[]"))
+    )
+    body = F.to_json(F.struct(F.lit("success").alias("status"), data.alias("data")))
+    env = ev.select(F.col("event_id").alias("request_id"), F.col("user_id").cast("string").alias("gstin"), body.alias("body"))
+    return rsp.parse_envelope(env)
+
+
+@query
+def envelope_array_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per element of an array payload, one per object."""
+    return rsp.parse_data(_array_envelopes(spark, sf_dir), "k int", ["request_id", "gstin"])
+
+
+@query
+def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that do not parse, as retry actions."""
+    bad = rsp.data_failures(_array_envelopes(spark, sf_dir), "k int")
+    return rsp.failed_actions(bad, RUN_DATE)
 
 
 # ---------------------------------------------------------------- calendar

@@ -15,11 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch root: ``spark.checkpoint.dir`` or the
-    context's checkpoint dir; a temp folder only when both are unset."""
+    context's checkpoint dir. With neither, a local-mode session gets a temp
+    folder (driver and executors are one process there); on a cluster that
+    is an error, as executors could not share it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="rawline-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -47,7 +51,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 # size of a default file split); AQE coalesces small partitions afterwards
 # and splits skewed ones, but it never raises the initial count.
 INPUT_BYTES_PER_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -68,13 +71,10 @@ def wanted_shuffle_partitions(
     n_bytes: int,
     current: int,
     bytes_per_partition: int = INPUT_BYTES_PER_PARTITION,
-    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
 ) -> int:
     """Initial shuffle partitions for ``n_bytes`` of input: one per
-    ``bytes_per_partition``, never below ``current``, at most
-    ``max_partitions`` (unless ``current`` is already higher)."""
-    need = -(-max(0, n_bytes) // bytes_per_partition)
-    return max(current, min(need, max_partitions))
+    ``bytes_per_partition``, never below ``current``."""
+    return max(current, -(-max(0, n_bytes) // bytes_per_partition))
 
 
 def size_shuffle_partitions(spark: SparkSession, n_bytes: int) -> int:

@@ -2,7 +2,7 @@
 published into the snapshot (survey extension E1; the reference is batch
 only, this runs the same operators from ``foreachBatch``).
 
-Exactly-once comes from the checkpoint plus idempotence: a replayed
+Exactly-once comes from the checkpoint, which a restart must name again, plus idempotence: a replayed
 micro-batch merges rows the snapshot already holds, ties keep the snapshot
 row, so the published partitions come out the same.
 """
@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import RawPipelineConfig
 from ..functions.columns import partition_columns
-from ..operators.scd import prepare_delta, scd1_merge, touched_partitions
+from ..operators.scd import align_to, prepare_delta, restrict_to_touched, scd1_merge, touched_partitions
 from ..runtime import cut_lineage, scratch_path
 from ..sinks.files import path_exists, publish_partitions
 from ..sinks.tables import bucket_count, create_bucketed_snapshot, publish_to_table
@@ -34,8 +34,15 @@ def merge_micro_batch(
     or, with ``table``, into a catalog snapshot bucketed by the keys
     (created at ``table_path`` by the first micro-batch; ``sinks.tables``)."""
     parts = partition_columns(cfg.rules)
+    touch = parts[-1:] if cfg.date_partitioned else parts  # as in the batch job
     snap_path = f"{raw_dir(cfg.targetpath, cfg.tablename)}/t=0"
 
+    def rewritten(delta: DataFrame, base: DataFrame) -> DataFrame:
+        """Partitions that the merge replaces: the delta's and those of the
+        snapshot rows that it selects."""
+        selected = restrict_to_touched(base, touched_partitions(delta, touch), touch)
+        return touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct()
+
     def into_table(spark: SparkSession, delta: DataFrame) -> None:
         if not spark.catalog.tableExists(table):
             n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -43,8 +50,9 @@ def merge_micro_batch(
             create_bucketed_snapshot(first, table, cfg.keys, parts, n, table_path)
             return
         n = bucket_count(spark, table)
-        merged = scd1_merge(delta, spark.table(table), cfg.keys, parts, buckets=n)
-        publish_to_table(merged, table, parts, cut_lineage(touched_partitions(delta, parts)))
+        base = spark.table(table)
+        merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch, buckets=n)
+        publish_to_table(merged, table, parts, cut_lineage(rewritten(delta, align_to(base, delta))))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -57,12 +65,12 @@ def merge_micro_batch(
             if table is not None:
                 into_table(spark, delta)
                 return
-            touched = touched_partitions(delta, parts)  # stays distributed
             if path_exists(spark, snap_path):
                 base = read_snapshot(spark, snap_path, delta.schema)
             else:
                 base = spark.createDataFrame([], delta.schema)
-            merged = scd1_merge(delta, base, cfg.keys, parts)
+            merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch)
+            touched = cut_lineage(rewritten(delta, base))  # before partitions are replaced
             # materialise before overwriting partitions the plan reads from
             staged = scratch_path(spark, f"stream-{epoch_id}")
             merged.write.mode("overwrite").orc(staged)
@@ -78,7 +86,7 @@ def start_landing_stream(
     cfg: RawPipelineConfig,
     landing_schema: StructType,
     run_ts: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     table: str | None = None,
@@ -96,8 +104,7 @@ def start_landing_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_dir(cfg.sourcepath, cfg.tablename))
-    ckpt = checkpoint or scratch_path(spark, f"ckpt-{cfg.tablename}")
     fn = merge_micro_batch(cfg, run_ts, table, table_path, buckets)
-    writer = stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

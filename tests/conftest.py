@@ -4,6 +4,12 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "helpers"))
+
+import scripted  # noqa: E402
+from pyspark import cloudpickle  # noqa: E402
+
+cloudpickle.register_pickle_by_value(scripted)  # workers do not see the tests' folder
 
 
 @pytest.fixture(scope="session")

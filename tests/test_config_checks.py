@@ -80,8 +80,8 @@ def test_shuffle_partitions_follow_input_size(spark, tmp_path):
     mb = 1024 * 1024
     assert wanted_shuffle_partitions(0, 200) == 200  # never below the current value
     assert wanted_shuffle_partitions(10 * 128 * mb, 8) == 10
-    assert wanted_shuffle_partitions(100 * 1024**4, 200) == 50_000  # 100 TB: capped
-    assert wanted_shuffle_partitions(100 * 1024**4, 60_000) == 60_000
+    assert wanted_shuffle_partitions(100 * 1024**4, 200) == 100 * 8192  # 100 TB: 128 MB each
+    assert wanted_shuffle_partitions(100 * 1024**4, 900_000) == 900_000
     (tmp_path / "a").write_bytes(b"x" * 1000)
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "b").write_bytes(b"y" * 24)

@@ -20,9 +20,9 @@ def test_retry_outcomes():
     assert call([200]) == (1, 200, "body0", "ok", None)
     assert call([429, 200])[:4] == (2, 200, "body1", "ok")
     r = call([503] * 6)
-    assert r[0] == 6 and r[3] == "rate_limited" and r[4] == "GST API rate limited after 5 retries"
-    assert call([404])[3:] == ("client_error", "GST API client error: 404 body0")
-    assert call([500])[3:] == ("server_error", "GST API server error: 500")
+    assert r[0] == 6 and r[3] == "rate_limited" and "5 repeats" in r[4]
+    assert call([404])[3:] == ("client_error", "request rejected (404): body0")
+    assert call([500])[3:] == ("server_error", "server failed (500)")
     r = call(["exc"])
     assert r[0] == 6 and r[3] == "exception" and r[4].startswith("TimeoutError")
     assert call(["exc", 200])[:4] == (2, 200, "body1", "ok")
@@ -157,23 +157,22 @@ def test_fetch_table_spread_and_concurrency(spark):
     assert sorted(r["body"] for r in out.collect()) == sorted(str(i) for i in range(40))
 
 
-def test_fanout_above_schedule_bound_is_exact(spark):
-    """Above the literal bound the fan-out joins on the schedule chunk
-    (schedules broadcast by measured size) or, beyond the broadcast bound,
-    on (chunk, salt): the same pairs, each once, no cross product. A third
-    of the sessions are copies of one row (a hot group)."""
-    sched = spark.createDataFrame(
-        [(f"t{i}", "2024-25" if i % 2 else "2023-24") for i in range(7)] + [(None, "2024-25")], "gst_type string, fy string"
-    )
+def test_fanout_of_many_schedules_is_exact(spark):
+    """Every session meets every schedule once, in one pass with no join. A
+    third of the sessions are copies of one row (a hot group)."""
+    sched = spark.createDataFrame([(f"t{i}", "2024-25" if i % 2 else "2023-24") for i in range(300)] + [(None, "2024-25")], "gst_type string, fy string")
     ses = [(f"G{i}", "B2B" if i % 3 else None) for i in range(10)] + [("HOT", "B2B")] * 5
-    sessions = spark.createDataFrame(ses, "GSTIN1 string, SECTION1 string")
-    small = rsp.request_fanout(sessions, sched, "http://h/")
-    for kw in ({}, {"broadcast_bytes": 0}):
-        big = rsp.request_fanout(sessions, sched, "http://h/", max_schedules=3, **kw)
-        assert big.count() == 15 * 8
-        assert rows(big) == rows(small)
-        assert big.columns == small.columns
-        plan = big._jdf.queryExecution().executedPlan().toString()
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-        if not kw:  # measured small: broadcast, sessions stream unshuffled
-            assert "BroadcastHashJoin" in plan
+    out = rsp.request_fanout(spark.createDataFrame(ses, "GSTIN1 string, SECTION1 string"), sched, "http://h/")
+    assert out.count() == 15 * 301
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_array_payloads_and_status_by_type(spark):
+    env = [("r1", '{"status": "success", "data": [{"k": 1}, {"k": 2}]}'), ("r2", '{"status": "success", "data": {"k": 3}}'),
+           ("r3", '{"status": "success", "data": "[]"}'), ("r4", '{"status": "success", "data": "[{"}'), ("r5", '{"status": "success", "data": "text"}')]
+    parsed = rsp.parse_envelope(spark.createDataFrame(env, "request_id string, body string"))
+    assert rows(rsp.parse_data(parsed, "k int", ["request_id"])) == [("r1", 1), ("r1", 2), ("r2", 3)]
+    assert rows(rsp.data_failures(parsed, "k int"), "request_id") == [("r4",), ("r5",)]
+    api = spark.createDataFrame([("g", "t1", "y", 1), ("g", "t2", "y", 2)], "gstin string, gst_type string, fy string, n int")
+    st = spark.createDataFrame([("g", "t1", "y", "VALID"), ("g", "t2", "y", "CANCELLED"), ("g", "t2", "z", "VALID")], "gstin string, gst_type string, fy string, status string")
+    assert rows(rsp.valid_records(api, st, ["gstin", "gst_type", "fy"]), "n") == [(1,)]
