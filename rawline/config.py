@@ -91,29 +91,23 @@ class ExternalConfig:
         required settings raise (D6)."""
         ddl = (
             "externalpipeline struct<app_name string, table_name string, statuspath string, "
-            "errorpath string, param1 string, param2 string, fromdate string>"
+            "errorpath string, errorTable struct<path string, name string>, param1 string, param2 string, fromdate string>"
         )
         row = read_json_doc(spark, path, ddl).select("externalpipeline.*").first()
         if row is None:
             raise ValueError(f"empty config {path}")
-        missing = [k for k in ("app_name", "table_name", "statuspath", "errorpath") if not row[k]]
+        errorpath = row["errorpath"] or (row["errorTable"] or {"path": None})["path"]
+        missing = [k for k in ("app_name", "table_name", "statuspath") if not row[k]]
+        if not errorpath:
+            missing.append("errorTable.path")
         if missing:
             raise ValueError(f"externalpipeline lacks {missing} in {path}")
         return cls(
             app_name=row["app_name"],
             table_name=row["table_name"],
             statuspath=row["statuspath"],
-            errorpath=row["errorpath"],
+            errorpath=errorpath,
             param1=row["param1"] or "param1",
             param2=row["param2"] or "param2",
             fromdate=row["fromdate"],
         )
-
-
-@dataclass
-class Schedule:
-    gst_type: str
-    schedule_id: str
-    fy: str
-    force_refresh_month: str | None = None
-    refresh_timeout_hours: str | None = None

@@ -8,6 +8,7 @@ so only the chosen batch directories are listed and read.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,13 +76,16 @@ def high_water_mark(
     table_name: str,
     activity_type: str | None = None,
     batch_col: str = "batch_no",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """A2: one-row frame ``mark`` = max batch id logged for the app/table
-    (optionally one activity type); null when nothing was logged."""
+    (optionally one activity type); null when nothing was logged. With ``by``
+    one mark per value of those columns."""
     cond = (F.col("app_name") == app_name) & (F.col("table_name") == table_name)
     if activity_type is not None:
         cond = cond & (F.col("activity_type") == activity_type)
-    return status.filter(cond).agg(F.max(batch_col).alias("mark"))
+    logged = status.filter(cond)
+    return (logged.groupBy(*by) if by else logged).agg(F.max(batch_col).alias("mark"))
 
 
 def mark_value(status: DataFrame, app_name: str, table_name: str, activity_type: str | None = None) -> str | None:

@@ -70,7 +70,8 @@ BASE_RUN_TS = "2024-01-20 00:00:00"
 DELTA_RUN_TS = "2024-01-22 00:00:00"
 SECOND_RUN_TS = "2024-01-23 00:00:00"
 BASE_WHERE = batch_between("20240101000000", "20240119000000")
-DELTA_WHERE = batch_between("20240120000000", "20240121000000")
+DELTA_WHERE = batch_between("20240120000000", "20991231000000")
+ALL_WHERE = batch_between("20240101000000", "20991231000000")
 
 
 def _with(*ctes: str) -> str:
@@ -79,7 +80,7 @@ def _with(*ctes: str) -> str:
 
 SQL: dict[str, str] = {}
 
-SQL["latest_in_delta"] = _with(FEED, landing("d", DELTA_WHERE, DELTA_RUN_TS)) + "select * from d"
+SQL["latest_in_delta"] = _with(FEED, landing("d", ALL_WHERE, DELTA_RUN_TS)) + "select * from d"
 
 SQL["scd1_merge"] = _with(
     FEED,
@@ -148,7 +149,7 @@ SQL["scd1_two_batches"] = _with(
     prepared("d1", "d1l"),
     merged("m1", "d1", "b", ["part_1"]),
     replaced("s1", "b", "d1", "m1"),
-    landing("d2l", "batchno = '20240121000000'", SECOND_RUN_TS),
+    landing("d2l", DELTA_WHERE, SECOND_RUN_TS),
     prepared("d2", "d2l"),
     merged("m2", "d2", "s1", ["part_1"]),
     replaced("s2", "s1", "d2", "m2"),
@@ -175,11 +176,11 @@ select pos as trail_file_pos,
 from feed"""
 
 SQL["touched_partitions"] = _with(
-    FEED, landing("dl", DELTA_WHERE, DELTA_RUN_TS), prepared("d", "dl")
+    FEED, landing("dl", ALL_WHERE, DELTA_RUN_TS), prepared("d", "dl")
 ) + "select distinct part_1 from d"
 
 SQL["touched_partitions_dates"] = _with(
-    FEED, landing("dl", DELTA_WHERE, DELTA_RUN_TS), prepared("d", "dl", date=True)
+    FEED, landing("dl", ALL_WHERE, DELTA_RUN_TS), prepared("d", "dl", date=True)
 ) + "select distinct part_1, part_2, part_3 from d"
 
 HOURLY = """hourly as (
@@ -469,7 +470,7 @@ from (select distinct path, day, profile,
 
 # ---------------------------------------------------------------- round trips
 
-SQL["landing_json_roundtrip"] = _with(FEED) + f"select * from feed where {DELTA_WHERE}"
+SQL["landing_json_roundtrip"] = _with(FEED) + f"select * from feed where {ALL_WHERE}"
 
 SQL["orc_partition_roundtrip"] = _with(
     FEED,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.batch_ids import is_valid_batch_id
 from ..functions.columns import as_date, cast_all, clean_key, prefix3
 from ..operators.audit import app_status_rows, sync_rows
+from ..operators import batches
 from ..operators.batches import batch_predicate, extract_mark, incremental_filter, mark_value, select_batches
 from ..operators.dedupe import latest_in_delta
 from ..operators.publish import (
@@ -53,7 +54,8 @@ def query(fn: QueryFn) -> QueryFn:
 # ---------------------------------------------------------------- SCD runs
 
 BASE_BATCHES = ("20240101000000", "20240119000000")
-DELTA_BATCHES = ("20240120000000", "20240121000000")
+DELTA_BATCHES = ("20240120000000", "20991231000000")  # all later batches
+ALL_BATCHES = (BASE_BATCHES[0], DELTA_BATCHES[1])
 
 
 def snapshot_before(spark: SparkSession, sf_dir: str, last_batch: str, rules=fd.FEED_RULES, date=False) -> DataFrame:
@@ -75,7 +77,7 @@ def delta_of(spark: SparkSession, sf_dir: str, start: str, end: str, types=None,
 @query
 def latest_in_delta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + F1 + J4: latest landing row per key in the delta batches."""
-    feed = fd.landing_feed(spark, sf_dir, *DELTA_BATCHES).filter(batch_predicate("batchno", *DELTA_BATCHES))
+    feed = fd.landing_feed(spark, sf_dir, *ALL_BATCHES).filter(batch_predicate("batchno", *ALL_BATCHES))
     return latest_in_delta(prepare_landing(feed, fd.FEED_SELECT, fd.DELTA_RUN_TS), fd.FEED_KEYS)
 
 
@@ -126,12 +128,13 @@ def scd1_multi_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd1_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1 run twice with a publish in between; the whole snapshot after run 2."""
+    """P1 run twice with a publish in between; the whole snapshot after run 2,
+    which replays the first run's batch and takes all later ones."""
     snap0 = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
     d1 = delta_of(spark, sf_dir, "20240120000000", "20240120000000", types=("click", "view"))
     snap1 = apply_merge(snap0, scd1_merge(d1, snap0, fd.FEED_KEYS, ["part_1"]), touched_partitions(d1, ["part_1"]), ["part_1"])
     snap1 = cut_lineage(snap1)  # the published snapshot between the runs
-    d2 = delta_of(spark, sf_dir, "20240121000000", "20240121000000", run_ts=fd.SECOND_RUN_TS)
+    d2 = delta_of(spark, sf_dir, *DELTA_BATCHES, run_ts=fd.SECOND_RUN_TS)
     return apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
 
 
@@ -174,13 +177,13 @@ def part_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def touched_partitions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: distinct partition of the flagship delta."""
-    return touched_partitions(delta_of(spark, sf_dir, *DELTA_BATCHES), ["part_1"])
+    return touched_partitions(delta_of(spark, sf_dir, *ALL_BATCHES), ["part_1"])
 
 
 @query
 def touched_partitions_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (year, month, date) of a date-partitioned delta."""
-    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, rules=fd.FEED_DATE_RULES, date=True)
+    delta = delta_of(spark, sf_dir, *ALL_BATCHES, rules=fd.FEED_DATE_RULES, date=True)
     return touched_partitions(delta, DATE_PARTS)
 
 
@@ -235,8 +238,7 @@ def _sync_log_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: max published version per activity type of the sync log."""
-    log = fd.sync_log(spark, sf_dir)
-    return log.groupBy("activity_type").agg(F.max("batch_no").alias("mark"))
+    return batches.high_water_mark(fd.sync_log(spark, sf_dir), "events_app", "events", by=["activity_type"])
 
 
 @query
@@ -560,7 +562,7 @@ def landing_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "L_events")
     write_partitioned(fd.landing_feed(spark, sf_dir), root, ["batchno"], fmt="json", mode="overwrite", files_per_partition=1)
     listing = list_batches(spark, root)
-    chosen = [r["batchno"] for r in select_batches(listing, "batchno", *DELTA_BATCHES).collect()]
+    chosen = [r["batchno"] for r in select_batches(listing, "batchno", *ALL_BATCHES).collect()]
     return read_landing(spark, root, _ddl(spark, LANDING_SCHEMA), chosen)
 
 
@@ -605,7 +607,9 @@ def scd1_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     snap = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
     create_bucketed_snapshot(snap, name, fd.FEED_KEYS, ["part_1"], n, scratch_path(spark, name))
     delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
-    return scd1_merge(delta, spark.table(name), fd.FEED_KEYS, ["part_1"], buckets=bucket_count(spark, name))
+    merged = cut_lineage(scd1_merge(delta, spark.table(name), fd.FEED_KEYS, ["part_1"], buckets=bucket_count(spark, name)))
+    spark.sql(f"DROP TABLE {name}")
+    return merged
 
 
 @query
