@@ -43,5 +43,42 @@ FROM queued LEFT JOIN taken USING (rid)
 """
 
 
+OP5 = r"""
+WITH items0 AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+items AS (SELECT min(item_id) AS item_id, w, len(w) AS n, least(len(w), 5) AS k FROM items0 WHERE len(w) > 0 GROUP BY w),
+docs0 AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM docs0),
+item_sh AS (
+  SELECT item_id, n, k, q, array_to_string(w[q + 1 : q + k], ' ') AS sh
+  FROM items, unnest(range(0, n - k + 1)) AS t(q)),
+doc_sh AS (
+  SELECT rid, doc_id, len(w) AS m, s.k AS k, p, array_to_string(w[p + 1 : p + s.k], ' ') AS sh
+  FROM docs, (SELECT DISTINCT k FROM items) s, unnest(range(0, len(w) - s.k + 1)) AS t(p)),
+windows AS (
+  SELECT DISTINCT d.rid, d.doc_id, i.n, i.k, greatest(0, least(d.p - i.q, d.m - i.n)) AS s, least(i.n, d.m) AS size
+  FROM doc_sh d JOIN item_sh i ON d.k = i.k AND d.sh = i.sh),
+window_sh AS (
+  SELECT w.rid, w.n, w.s, d.sh, count(*) AS c
+  FROM windows w JOIN doc_sh d ON w.rid = d.rid AND w.k = d.k AND d.p BETWEEN w.s AND w.s + w.size - w.k
+  GROUP BY ALL),
+item_count AS (SELECT item_id, n, sh, count(*) AS c FROM item_sh GROUP BY ALL),
+shared AS (
+  SELECT w.rid, w.n, w.s, i.item_id, sum(least(w.c, i.c)) AS both_n
+  FROM window_sh w JOIN item_count i ON w.n = i.n AND w.sh = i.sh GROUP BY ALL),
+alike AS (
+  SELECT h.rid, w.doc_id, h.item_id, h.s, h.n,
+         h.both_n::DOUBLE / ((w.size - w.k + 1) + (w.n - w.k + 1) - h.both_n)::DOUBLE AS similarity
+  FROM shared h JOIN windows w ON h.rid = w.rid AND h.n = w.n AND h.s = w.s)
+SELECT doc_id, item_id, similarity, s::INT AS start_word, n::INT AS n_words
+FROM alike WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY rid, item_id ORDER BY similarity DESC, s) = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1}
+    return {"op1_mix_sources": OP1, "op5_decontamination": OP5}

@@ -48,8 +48,10 @@ EVIDENCE, PURITY, ODDS = 14.0, 0.8, 4.0
 #: Documents labelled 1 that a term must explain beyond stronger terms.
 FRESH = 2
 CLASSES = ("I", "In", "Ir", "Inr", "H", "Hn", "Hr", "Hnr")
-#: How a text's clauses are summed up, per class: largest and sum, with and without a target.
-FEATURES = 4 * len(CLASSES) + 1
+#: How a text's clauses are summed up: a constant; largest and sum per class, with
+#: and without a target; largest and sum over all classes, which carry a class that
+#: the labelled rows never show.
+FEATURES = 4 * len(CLASSES) + 3
 
 
 class Transducer:
@@ -143,7 +145,8 @@ def clause_features(text: str, model: ToxicModel, machine: Transducer, seen: dic
                 total[targeted] += clause
                 clause = np.zeros(k)
             targeted = 0
-    out[1:] = np.concatenate((largest.ravel() / 4, np.log1p(total).ravel() / 4))
+    out[1:-2] = np.concatenate((largest.ravel() / 4, np.log1p(total).ravel() / 4))
+    out[-2:] = largest.max() / 4, np.log1p(total.sum()) / 4
     return out
 
 
@@ -231,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicMo
     w = np.zeros(FEATURES)
     ridge = np.full(FEATURES, 0.5)
     ridge[0] = 1e-3
+    ridge[-2:] = 0.02  # classes differ from what they share only as far as the rows show it
     for _ in range(50):  # Newton steps of ridge logistic regression
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         hess = (x * (c * p * (1 - p))[:, None]).T @ x + np.diag(ridge)

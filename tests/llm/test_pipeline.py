@@ -1,0 +1,95 @@
+import os
+
+import pytest
+from conftest import rows
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """(name, input, output) of every stage over the smallest tables."""
+    import corpus_pipeline
+    from rawline.llm.common import settle, table
+
+    docs, out = table(spark, SF, "documents"), []
+    for name, stage in corpus_pipeline.STAGES:
+        after = settle(stage(spark, docs, SF), name)
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_every_stage_but_the_last_returns_documents(stages):
+    for _, before, after in stages[:-1]:
+        assert after.dtypes == before.dtypes
+
+
+def test_toxic_documents_go_and_others_stay(spark, stages):
+    from rawline.llm.common import table
+
+    _, before, after = stages[0]
+    fine = {r[0] for r in rows(table(spark, SF, "labels").filter("toxic = 0"), "doc_id")}
+    kept = {r[0] for r in rows(after, "doc_id")}
+    assert len(fine & kept) >= 0.98 * len(fine)
+    assert kept <= {r[0] for r in rows(before, "doc_id")}
+    # this table has too few labels to learn from; tests/llm/test_toxicity.py has enough
+
+
+def test_one_of_each_group_stays(stages):
+    from test_simhash import plain_components, plain_fingerprint
+
+    _, before, after = stages[1]
+    fp = {r["doc_id"]: plain_fingerprint(r["text"]) for r in before.collect()}
+    root = plain_components(sorted(set(fp.values())), lambda a, b: (a ^ b).bit_count() <= 3)
+    groups = {}
+    for i, f in fp.items():
+        groups.setdefault(root[f], []).append(i)
+    assert {r[0] for r in rows(after, "doc_id")} == {min(g) for g in groups.values()}
+
+
+def test_documents_with_benchmark_items_go(spark, stages):
+    from rawline.llm.common import table
+    from test_decontam import best, grams, words
+
+    _, before, after = stages[2]
+    items = [r["text"] for r in table(spark, SF, "benchmark").collect()]
+    first = {t: set(grams(words(t), min(5, len(words(t))))) for t in items}
+
+    def holds(text):
+        own = {k: set(grams(words(text), k)) for k in {min(5, len(words(t))) for t in items}}
+        return any(not own[min(5, len(words(t)))].isdisjoint(first[t]) and best(text, t) >= 0.8 for t in items)
+
+    dirty = {r["doc_id"] for r in before.collect() if holds(r["text"])}
+    assert {r[0] for r in rows(before, "doc_id")} - {r[0] for r in rows(after, "doc_id")} == dirty
+
+
+def test_personal_data_is_replaced(stages):
+    from rawline.llm import pii
+
+    _, before, after = stages[3]
+    texts = dict(rows(after, "doc_id", "text"))
+    for r in before.collect():
+        text = texts[r["doc_id"]]
+        assert not pii.base_spans(r["text"] or "") or text != r["text"]
+        assert not any(r["text"][a:b] in text for a, b, _ in pii.base_spans(r["text"] or ""))
+        if not pii.SIGN.search(r["text"] or ""):
+            assert text == r["text"]
+    assert all(r["n_chars"] == len(r["text"] or "") for r in after.collect())
+
+
+def test_mix_is_near_its_targets(stages):
+    from rawline.llm.mixing import mix_sources
+
+    _, before, after = stages[4]
+    assert set(after.columns) == {*before.columns, "pass", "finish"}
+    want = dict(rows(mix_sources(before, ["doc_id"]).filter("taken > 0").selectExpr("doc_id", "taken / size as n")))
+    assert {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()} == want
+
+
+def test_run_is_the_stages(spark, stages):
+    import corpus_pipeline
+
+    assert corpus_pipeline.ORACLE_SQL is None
+    assert rows(corpus_pipeline.run(spark, SF), "doc_id", "pass") == rows(stages[-1][2], "doc_id", "pass")

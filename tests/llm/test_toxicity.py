@@ -8,7 +8,7 @@ from rawline.llm import toxicity as X
 
 def read(text, terms=("grobian", "lout")):
     model = X.ToxicModel({t: 2.0 for t in terms})
-    f = X.clause_features(text, model, X.grammar(), {})[1:].reshape(2, 2, len(X.CLASSES))
+    f = X.clause_features(text, model, X.grammar(), {})[1:-2].reshape(2, 2, len(X.CLASSES))
     return {(X.CLASSES[k], bool(t)): float(f[0, t, k]) * 4 for t in (0, 1) for k in range(len(X.CLASSES)) if f[0, t, k]}
 
 
