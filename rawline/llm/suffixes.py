@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,19 +32,22 @@ from .induced import suffix_order
 
 #: Bytes of the strings that are compared, and of the grams that deal them.
 LENGTH, GRAM = 100, 32
-#: Starts hashed at a time; text sorted together, about; queue entries kept in memory.
-BLOCK, SHARD, IN_MEMORY = 1 << 16, 1 << 23, 1 << 24
+#: Starts hashed at a time; text cut and text sorted together, about; queue
+#: entries kept in memory; pieces of a key from which it is dealt anew.
+BLOCK, SLICE, SHARD, IN_MEMORY, HOT = 1 << 16, 1 << 23, 1 << 21, 1 << 23, 8192
+SALTS = (0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 BYTE_HASH = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 
 
-def window_keys(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+def window_keys(data: np.ndarray, length: int, gram: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Least mixed hash of the grams of each window of ``data``; all hashes."""
     h, size, power = BYTE_HASH[data], 1, BASE
     while size < gram:  # hashes of twice the length; gram is a power of two
         h = h[:-size] * np.uint64(power) + h[size:]
         power = power * power % (1 << 64)
         size *= 2
+    h = h ^ np.uint64(salt)
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
@@ -94,6 +98,16 @@ def pieces_of(data: bytes, begin: np.ndarray, length: int, gram: int) -> tuple[n
     return doc, at - begin[doc], stop - at, keys, inner
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about SLICE bytes of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy())
+    at = 0
+    while at < len(size):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 PIECE = "settled boolean, inner boolean, key long, digest long, doc_id long, rid long, start long, windows int"
 
 
@@ -103,7 +117,7 @@ def find_pieces(texts: DataFrame, length: int, gram: int) -> DataFrame:
     names = [c.split()[0] for c in PIECE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             raw = [(t or "").encode("utf-8", "surrogatepass") for t in b["text"].to_pylist()]
             long_enough = np.flatnonzero([len(x) >= length for x in raw])
             if not len(long_enough):
@@ -176,13 +190,49 @@ def meet(pieces: DataFrame) -> DataFrame:
 
 
 def read_back(texts: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
-    """(key, doc_id, rid, start, windows, part): the text of distinct pieces."""
-    wanted = distinct.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("key", "start", "windows")).alias("wanted"))
+    """(key, hot, doc_id, rid, start, windows, part): the text of distinct
+    pieces; hot marks keys with many of them."""
+    hot = distinct.groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("hot_key")
+    marked = distinct.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("hot", F.col("hot_key").isNotNull())
+    wanted = marked.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("key", "start", "windows", "hot")).alias("wanted"))
     joined = texts.join(wanted, F.col("rid") == F.col("of")).dropDuplicates(["rid"]).select("doc_id", "rid", F.col("text").cast("binary").alias("data"), "wanted")
-    sub = F.expr(f"transform(wanted, w -> struct(w.key as key, w.start as start, w.windows as windows, substring(data, cast(w.start + 1 as int), w.windows + {length - 1}) as part))")
+    sub = F.expr(f"transform(wanted, w -> struct(w.key as key, w.start as start, w.windows as windows, w.hot as hot, substring(data, cast(w.start + 1 as int), w.windows + {length - 1}) as part))")
     return joined.select("doc_id", "rid", F.inline(sub))
 
 
+PART = "key long, doc_id long, rid long, start long, windows int, part binary"
+
+
+def deal_hot(parts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Pieces of hot keys (a phrase shorter than a window may stand in any
+    number of contexts) are cut again where the least hash under one of
+    several other mixings changes; all of them together are the new key."""
+    names = [c.split()[0] for c in PART.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hot = b["hot"].to_numpy(zero_copy_only=False)
+            if not hot.any():
+                yield pa.RecordBatch.from_arrays([b[c] for c in names], names)
+                continue
+            cold = b.filter(pa.array(~hot))
+            yield pa.RecordBatch.from_arrays([cold[c] for c in names], names)
+            out = [[] for _ in names]
+            for key, doc_id, rid, start, windows, part in zip(*(b.filter(pa.array(hot))[c].to_pylist() for c in names)):
+                raw = np.frombuffer(part, np.uint8)
+                keys = np.stack([window_keys(raw, length, gram, salt)[0] for salt in SALTS], axis=1)
+                at = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
+                for a, e in zip(at.tolist(), [*at[1:].tolist(), windows]):
+                    mixed = xxhash.xxh3_64_intdigest(keys[a].tobytes(), key & 0xFFFFFFFFFFFFFFFF)
+                    row = (mixed - (1 << 64) if mixed >> 63 else mixed, doc_id, rid, start + a, e - a, part[a : e + length - 1])
+                    for c, v in zip(out, row):
+                        c.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+
+    return parts.mapInArrow(run, PART)
+
+
 def repeated_windows(parts: DataFrame, length: int) -> DataFrame:
     """(rid, start, windows): runs of windows of the pieces that occur earlier
     in another piece of their key, by the shards' suffix arrays."""
@@ -251,7 +301,7 @@ def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int =
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
     met = settle(meet(find_pieces(texts, length, gram)), "suffix-met")
     distinct = met.filter("not settled").select("key", "rid", "start", "windows")
-    found = repeated_windows(read_back(texts, distinct, length), length)
+    found = repeated_windows(deal_hot(read_back(texts, distinct, length), length, gram), length)
     marks = met.filter("settled").select("rid", "start", "windows").union(found)
     spans = marks.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
     joined = texts.join(spans, F.col("rid") == F.col("of"), "left").select("doc_id", "text", F.transform("marks", lambda m: m["start"]).alias("starts"), F.transform("marks", lambda m: m["windows"]).alias("windows"))

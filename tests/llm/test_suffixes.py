@@ -68,6 +68,16 @@ def test_equals_brute_force(spark, monkeypatch, seed, letters, length, gram):
     assert found == brute(data, length)
 
 
+def test_hot_keys_are_dealt_anew(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    monkeypatch.setattr(suffixes, "SLICE", 500)
+    data = corpus(random.Random(6), "abcd", 60)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = without_repeated_strings(df, 14, 4).collect()
+    found = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got), key=str)
+    assert found == brute(data, 14)
+
+
 def test_repeated_rows_empty_and_null(spark):
     t = "abcdefgh" * 3
     data = [(1, t), (1, t), (None, t), (2, "x" + t), (3, "short")]
