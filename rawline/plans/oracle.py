@@ -435,6 +435,16 @@ SQL["gst_valid_summary"] = _with(STATUS, RESPONSES) + """
 select f.gst_type, f.fy as financial_year, count(v.request_id)::bigint as record_count, '2024-01-22' as process_date
 from (select distinct gst_type, fy from outcomes) f left join valid v on f.gst_type = v.gst_type and f.fy = v.fy
 group by f.gst_type, f.fy"""
+SQL["json_by_type_roundtrip"] = SQL["valid_records_by_type"]
+SQL["catalog_audit_roundtrip"] = (
+    "with once as (" + SQL["audit_rows"] + ") select * from once union all select * replace (0::bigint as record_count) from once"
+)
+SQL["schedule_expand"] = """
+select '/gst' as rootpath, 'data/' as datapath, 'status/' as statuspath, 'session/' as sessionpath,
+       lower(n_name) as gst_type, r_name as schedule_id,
+       case when n_nationkey % 2 = 0 then '2023-24' else '2024-25' end as fy,
+       (n_nationkey % 3 + 1)::varchar as force_refresh_month, '24' as refresh_timeout_hours
+from nation join region on n_regionkey = r_regionkey where r_name = 'ASIA'"""
 SQL["envelope_array_data"] = """
 select event_id as request_id, user_id::varchar as gstin, (props->>'k')::int as k from events
 where event_type in ('purchase', 'view')

@@ -36,7 +36,7 @@ from ..operators import flat as flt
 from ..operators import responses as rsp
 from ..runtime import cut_lineage, scratch_path
 from ..sinks.files import export_by_type as write_by_type
-from ..sinks.files import publish_partitions, write_partitioned
+from ..sinks.files import append_table, publish_partitions, write_json_by, write_partitioned
 from ..sinks.tables import bucket_count, create_bucketed_snapshot
 from ..sources.files import read_csv, read_sessions
 from ..sources.landing import list_batches, read_landing, read_snapshot
@@ -443,8 +443,18 @@ BASE_URL = "http://api.test"
 SCHEDULE_ID = "ASIA"
 
 
+@query
+def schedule_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The config document's nested schedule, one row per entry
+    of the run type."""
+    entries = fd.schedules(spark, sf_dir)
+    paths = [F.lit(v).alias(c) for c, v in (("rootpath", "/gst"), ("datapath", "data/"), ("statuspath", "status/"), ("sessionpath", "session/"))]
+    nested = entries.agg(F.collect_list(F.struct(*entries.columns)).alias("schedule"))
+    return rsp.expand_schedule(nested.select(F.struct(*paths, "schedule").alias("config")), SCHEDULE_ID)
+
+
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sched = fd.schedules(spark, sf_dir).filter(F.col("schedule_id") == SCHEDULE_ID)
+    sched = schedule_expand(spark, sf_dir)
     return rsp.request_fanout(fd.sessions(spark, sf_dir), sched, BASE_URL)
 
 
@@ -489,6 +499,29 @@ def gst_valid_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rsp.fetch_summary(valid, RUN_DATE, _fetched(spark, sf_dir))
 
 
+@query
+def json_by_type_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: valid records as JSON by (gst_type, fy), read back."""
+    valid = valid_records_by_type(spark, sf_dir)
+    out = scratch_path(spark, "gst_json")
+    write_json_by(valid, out, ["gst_type", "fy"])
+    return spark.read.schema(valid.schema).json(out)
+
+
+@query
+def catalog_audit_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows appended twice to a catalog table, read back."""
+    import uuid
+
+    name = f"audit_{uuid.uuid4().hex[:12]}"
+    told = audit_rows(spark, sf_dir)
+    append_table(told, name)
+    append_table(told.withColumn("record_count", F.lit(0).cast("bigint")), name)
+    back = cut_lineage(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return back
+
+
 def _array_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes whose data is an array of two objects (purchases), a lone
     object (views), cut short (clicks) or an empty array."""
