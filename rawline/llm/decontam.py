@@ -104,7 +104,9 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
     # the windows' shingles: a document's windows are at most its shingles times the item lengths
     per_doc = windows.groupBy("rid").agg(F.collect_list(F.struct("len", "k", "start")).alias("spots"))
-    read = hashed.join(per_doc, "rid").dropDuplicates(["rid"]).select("rid", "doc_id", "w", F.explode("spots").alias("s"))
+    # documents are dealt by row key at every size: what they are joined with grows with them
+    read = texts.join(per_doc.hint("merge"), "rid").dropDuplicates(["rid"]).select("rid", "doc_id", word_hashes(F.col("text")).alias("w"), "spots")
+    read = read.select("rid", "doc_id", "w", F.explode("spots").alias("s"))
     cut = []
     for k in sizes:
         n = F.least(F.col("s.len"), F.size("w")) - k + 1
