@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ready, row_key, settle
+from .common import ready, row_key
 
 #: Bytes of one pass over a text: bounds memory on very long ones.
 BLOCK = 1 << 20
@@ -61,45 +61,95 @@ def chunk_ends(data: bytes, gear: np.ndarray) -> np.ndarray:
     return ends
 
 
+#: A chunk; in a repeated one, first_id names an earlier copy's document.
+CHUNK = "repeated boolean, digest long, size int, doc_id long, start long, rid long, seq int, first_id long"
+NAMES = [c.split()[0] for c in CHUNK.split(", ")]
+NO_ID = -(1 << 63)
+
+
+def _batch(cols: list[np.ndarray]) -> pa.RecordBatch:
+    ids = {NAMES.index("doc_id"), NAMES.index("first_id")}
+    return pa.RecordBatch.from_arrays([pa.array(c, mask=c == NO_ID) if i in ids else pa.array(c) for i, c in enumerate(cols)], NAMES)
+
+
+def _numpy(b: pa.RecordBatch) -> list[np.ndarray]:
+    ids = ("doc_id", "first_id")
+    return [(b[c].fill_null(NO_ID) if c in ids else b[c]).to_numpy(zero_copy_only=False) for c in NAMES]
+
+
+def _repeats(cols: list[np.ndarray]) -> np.ndarray:
+    """Of chunks in order of (digest, size, doc_id, start, rid): which are
+    first of their kind; marks those that stand later than it (repeated,
+    first_id)."""
+    _, digest, size, doc_id, start, rid, _, _ = cols
+    new = np.concatenate(([True], (digest[1:] != digest[:-1]) | (size[1:] != size[:-1])))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    cols[0], cols[-1] = ~new & ((doc_id != doc_id[first]) | (start != start[first]) | (rid != rid[first])), doc_id[first]
+    return new
+
+
 def chunk_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, rid, seq, start, size, digest): the chunks of every row."""
+    """The chunks of every row. Copies within a batch are told there, so that
+    a frequent chunk sends one row of a batch to its digest."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gear = gear_table()
-        names = ["doc_id", "rid", "seq", "start", "size", "digest"]
         for b in batches:
-            cols = [[] for _ in names]
-            for doc_id, rid, text in zip(*(b[c].to_pylist() for c in ("doc_id", "rid", "text"))):
-                data = (text or "").encode("utf-8", "surrogatepass")
-                ends = chunk_ends(data, gear)
-                starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-                e, s = ends.tolist(), starts.tolist()
-                digest = [xxhash.xxh3_64_intdigest(data[x:y]) for x, y in zip(s, e)]
-                cols[0] += [doc_id] * len(e)
-                cols[1] += [rid] * len(e)
-                cols[2] += range(len(e))
-                cols[3] += s
-                cols[4] += (ends - starts).tolist()
-                cols[5].append(np.array(digest, np.uint64).view(np.int64))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-            arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.concatenate(cols[5]) if cols[5] else [], pa.int64())], names)
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in b["text"].to_pylist()]
+            ends = [chunk_ends(t, gear) for t in texts]
+            count = [len(e) for e in ends]
+            starts = [np.concatenate(([0], e[:-1])) if len(e) else e for e in ends]
+            digest = [xxhash.xxh3_64_intdigest(t[x:y]) for t, s, e in zip(texts, starts, ends) for x, y in zip(s.tolist(), e.tolist())]
+            if not digest:
+                continue
+            start = np.concatenate(starts).astype(np.int64)
+            size = (np.concatenate(ends) - start).astype(np.int32)
+            seq = np.concatenate([np.arange(n, dtype=np.int32) for n in count])
+            doc_id, rid = (np.repeat(b[c].fill_null(NO_ID).to_numpy(), count) for c in ("doc_id", "rid"))
+            cols = [np.zeros(len(seq), bool), np.array(digest, np.uint64).view(np.int64), size, doc_id, start, rid, seq, doc_id.copy()]
+            order = np.lexsort((rid, start, doc_id, size, cols[1]))
+            cols = [c[order] for c in cols]
+            new = _repeats(cols)
+            yield _batch([c[new | cols[0]] for c in cols])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rid"), "text")
-    return keyed.mapInArrow(run, "doc_id long, rid long, seq int, start long, size int, digest long")
+    return keyed.mapInArrow(run, CHUNK)
+
+
+def repeated_chunks(chunks: DataFrame) -> DataFrame:
+    """The chunks with an earlier copy: a stream over rows in order of digest,
+    which keeps only the first chunk of the digest at hand."""
+    dealt = chunks.withColumn("at", F.when(F.col("repeated"), F.col("rid")).otherwise(F.col("digest")))
+    dealt = dealt.repartition("at").drop("at").sortWithinPartitions("repeated", "digest", "size", "doc_id", "start", "rid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = None
+        for b in batches:
+            cols = _numpy(b)
+            known = cols[0]
+            if known.any():
+                yield _batch([c[known] for c in cols])
+                cols = [c[~known] for c in cols]
+            if not len(known) or known.all():
+                continue
+            if first is not None:
+                cols = [np.concatenate(([f], c)).astype(c.dtype) for f, c in zip(first, cols)]
+            new = _repeats(cols)
+            if cols[0].any():
+                yield _batch([c[cols[0]] for c in cols])
+            first = [c[np.flatnonzero(new)[-1]] for c in cols]
+            first[0] = False
+
+    return dealt.mapInArrow(run, CHUNK)
 
 
 def repeated_runs(docs: DataFrame, least: int = RUN) -> DataFrame:
     """(rid, doc_id, start, size, chunks, first_id): maximal runs of chunks
     that repeat an earlier one, of ``least`` bytes at least; first_id is the
-    doc_id that holds the first copy of the run's first chunk."""
-    chunks = settle(chunk_rows(docs), "chunks")
-    where = F.struct("doc_id", "start", "rid")
-    first = chunks.groupBy("digest", "size").agg(F.min(where).alias("first"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    again = chunks.join(first.select("digest", "size", "first"), ["digest", "size"]).filter(where > F.col("first"))
-    again = again.select("rid", "doc_id", "seq", "start", "size", F.col("first.doc_id").alias("first_id")).dropDuplicates(["rid", "seq"])
+    doc_id of an earlier copy of the run's first chunk."""
+    again = repeated_chunks(chunk_rows(docs)).dropDuplicates(["rid", "seq"])
     # a document's own repeated chunks are ordered together, never a digest's
     along = Window.partitionBy("rid").orderBy("seq")
     run = F.col("seq") - F.row_number().over(along)  # the same within a run
@@ -111,7 +161,7 @@ def repeated_runs(docs: DataFrame, least: int = RUN) -> DataFrame:
 def without_repeats(docs: DataFrame, least: int = RUN) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_runs, copied_from, kept) of every row of
     ``docs`` (doc_id, text): its text without the runs of chunks that repeat
-    earlier ones, and the doc_ids that hold the first copies of the runs.
+    earlier ones, and doc_ids that hold earlier copies of the runs.
 
     Sizes are UTF-8 bytes; a run loses a character that it holds in part. A
     null text counts as empty. Rows that repeat doc_id and text are one
