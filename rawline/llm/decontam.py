@@ -8,9 +8,10 @@ radius meets in some block. What meets is verified by the whole Hamming
 distance and then by the exact weighted similarity of the shingles (sum of the
 smaller counts over the sum of the larger).
 
-Windows that share no shingle with any item have similarity 0 and get no
-fingerprint; a window starts where an item's shingle, laid on its occurrence
-in the document, puts the item's start. All of it is DataFrame functions.
+A window gets a fingerprint if as many of its shingles stand in items of its
+length as the similarity needs at least, wherever they stand in the item; any
+other window is less similar to every item, in whatever order its parts stand.
+All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -42,6 +43,17 @@ def shingles(words: Column, size: int, first: Column, n: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(first, first + n - 1), one)).otherwise(F.array().cast("array<bigint>"))
 
 
+def promising_starts(at: Column, n: Column, need: Column, last: Column) -> Column:
+    """Starts (at most ``last``) of the windows of ``n`` shingles of which
+    ``need`` stand at the ascending positions ``at``. From the i-th of them
+    on, ``need`` are within reach of the starts between two bounds; a start
+    before the (i-1)-th is given out there."""
+    low = lambda i: F.greatest(F.lit(0), F.get(at, i + need - 1) - n + 1, F.coalesce(F.get(at, i - 1) + 1, F.lit(0)))
+    bounds = F.transform(F.sequence(F.lit(0), F.size(at) - need), lambda i: F.struct(low(i).alias("low"), F.least(F.get(at, i), last).alias("high")))
+    some = F.transform(F.filter(bounds, lambda b: b["low"] <= b["high"]), lambda b: F.sequence(b["low"], b["high"]))
+    return F.when(F.size(at) >= need, F.flatten(some)).otherwise(F.array().cast("array<int>"))
+
+
 def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, fp): SimHash over each key's exploded shingles (sh, weight n)."""
     bits = [F.sum(F.shiftright("sh", b).bitwiseAND(F.lit(1)) * F.col("n")).alias(f"b{b}") for b in range(64)]
@@ -69,8 +81,10 @@ def block_values(fp: Column, vary: int) -> Column:
 
 def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(rid, doc_id, item_id, similarity, start_word, n_words, bits): for each
-    document and item the most similar window of at least ``similarity`` (the
-    first of them), rid being ``row_key`` of the document's row.
+    document and item the most similar window of at least ``similarity``, rid
+    being ``row_key`` of the document's row. Of equally similar windows those
+    go first that lay a shingle of an item of their length on its place in the
+    item, then the earlier.
 
     ``docs`` needs doc_id and text, ``items`` item_id and text. Null, empty or
     wordless texts on either side match nothing; items with equal words are one
@@ -94,24 +108,30 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
         found = hashed.select("rid", "doc_id", F.size("w").alias("words"), F.posexplode(shingles(F.col("w"), k, F.lit(0), n)).alias("p", "sh"))
         spots = own.select("sh", "len", "k", "q").distinct()
         laid = found.join(spots, "sh")
+        # all positions of shingles of items of one length, and the starts that lay one on its place in an item
         start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("words") - F.col("len")))
-        hits.append(laid.select("rid", "doc_id", "len", "k", start.alias("start")))
+        met = laid.groupBy("rid", "doc_id", "words", "len", "k").agg(F.sort_array(F.collect_set("p")).alias("at"), F.collect_set(start).alias("laid"))
+        of_item, n = F.col("len") - k + 1, F.least(F.col("len"), F.col("words")) - k + 1
+        # both / (n + of_item - both) >= similarity
+        need = F.greatest(F.lit(1), F.ceil((n + of_item) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)).cast("int"))
+        starts = promising_starts(F.col("at"), n, need, F.greatest(F.lit(0), F.col("words") - F.col("len")))
+        hits.append(met.select("rid", "doc_id", "len", "k", "laid", F.explode(starts).alias("start")).withColumn("aligned", F.array_contains("laid", F.col("start"))).drop("laid"))
     if not sizes:
         return hashed.limit(0).select("rid", "doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"), F.lit(0).alias("bits"))
     item_sh = reduce(DataFrame.unionByName, at_item).groupBy("item_id", "len", "k", "sh").agg(F.count("*").alias("n"))
     item_sh = settle(item_sh, "decontam-item-shingles")
-    windows = settle(reduce(DataFrame.unionByName, hits).distinct(), "decontam-windows")
+    windows = settle(reduce(DataFrame.unionByName, hits), "decontam-windows")
 
     # the windows' shingles: a document's windows are at most its shingles times the item lengths
-    per_doc = windows.groupBy("rid").agg(F.collect_list(F.struct("len", "k", "start")).alias("spots"))
+    per_doc = windows.groupBy("rid").agg(F.collect_list(F.struct("len", "k", "start", "aligned")).alias("spots"))
     # documents are dealt by row key at every size: what they are joined with grows with them
     read = texts.join(per_doc.hint("merge"), "rid").dropDuplicates(["rid"]).select("rid", "doc_id", word_hashes(F.col("text")).alias("w"), "spots")
     read = read.select("rid", "doc_id", "w", F.explode("spots").alias("s"))
     cut = []
     for k in sizes:
         n = F.least(F.col("s.len"), F.size("w")) - k + 1
-        cut.append(read.filter(F.col("s.k") == k).select("rid", "doc_id", F.col("s.len").alias("len"), F.col("s.start").alias("start"), F.explode(shingles(F.col("w"), k, F.col("s.start"), n)).alias("sh")))
-    place = ["rid", "doc_id", "len", "start"]
+        cut.append(read.filter(F.col("s.k") == k).select("rid", "doc_id", F.col("s.len").alias("len"), F.col("s.start").alias("start"), F.col("s.aligned").alias("aligned"), F.explode(shingles(F.col("w"), k, F.col("s.start"), n)).alias("sh")))
+    place = ["rid", "doc_id", "len", "start", "aligned"]
     win_sh = settle(reduce(DataFrame.unionByName, cut).groupBy(*place, "sh").agg(F.count("*").alias("n")), "decontam-window-shingles")
 
     win_fp = fingerprints(win_sh, place)
@@ -127,7 +147,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     verified = shared.groupBy(*place, "item_id", "total", "item_total", "bits").agg(F.sum(F.least("n", "m")).alias("both"))
     alike = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     verified = verified.withColumn("similarity", alike).filter(F.col("similarity") >= similarity)
-    best = F.max_by(F.struct("similarity", "start", "len", "bits"), F.struct("similarity", -F.col("start")))
+    best = F.max_by(F.struct("similarity", "start", "len", "bits"), F.struct("similarity", "aligned", -F.col("start")))
     return (
         verified.groupBy("rid", "doc_id", "item_id")
         .agg(best.alias("b"))

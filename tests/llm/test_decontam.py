@@ -70,6 +70,23 @@ def test_equals_brute_force(spark):
     assert {r[0] for r in rows(kept, "doc_id")} == {doc for doc, _ in docs} - {doc for doc, _ in want}
 
 
+def test_reordered_items(spark):
+    rng = random.Random(4)
+    items = [(i, sentence(rng, n)) for i, n in enumerate([50, 100, 100, 200])]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        for moved in (w[len(w) // 2 :] + w[: len(w) // 2], w[-len(w) // 6 :] + w[: -len(w) // 6], w[: len(w) // 3] + w[len(w) // 2 :] + w[len(w) // 3 : len(w) // 2]):
+            docs += [" ".join(moved), sentence(rng, 13) + " " + " ".join(moved) + " " + sentence(rng, 13)]
+    docs = list(enumerate(docs))
+    d, i = frames(spark, docs, items)
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in contaminated(d, i).collect()}
+    want = {(doc, item): s for doc, text in docs for item, t in items if (s := best(text, t)) >= 0.8}
+    # the fingerprint's radius may miss a pair right at the threshold, never one of 0.83 or more here
+    assert len(want) >= 20 and {k for k, s in want.items() if s >= 0.83} <= got.keys() <= want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
 @pytest.mark.parametrize("empty", ["docs", "items"])
 def test_empty(spark, empty):
     d, i = frames(spark, [(1, "a b c d e f")], [(1, "a b c d e f")])
