@@ -33,22 +33,21 @@ from .induced import suffix_order
 #: Bytes of the strings that are compared, and of the grams that deal them.
 LENGTH, GRAM = 100, 32
 #: Starts hashed at a time; text cut and text sorted together, about; queue
-#: entries kept in memory; pieces of a key from which it is dealt anew.
+#: entries kept in memory; pieces of a key from which it is dealt by window (as
+#: is one of more than SHARD windows).
 BLOCK, SLICE, SHARD, IN_MEMORY, HOT = 1 << 16, 1 << 23, 1 << 21, 1 << 23, 8192
-SALTS = (0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 BYTE_HASH = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 
 
-def window_keys(data: np.ndarray, length: int, gram: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def window_keys(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Least mixed hash of the grams of each window of ``data``; all hashes."""
     h, size, power = BYTE_HASH[data], 1, BASE
     while size < gram:  # hashes of twice the length; gram is a power of two
         h = h[:-size] * np.uint64(power) + h[size:]
         power = power * power % (1 << 64)
         size *= 2
-    h = h ^ np.uint64(salt)
-    h ^= h >> np.uint64(31)
+    h = h ^ (h >> np.uint64(31))
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
     least, width, have = h, length - gram + 1, 1
@@ -191,8 +190,8 @@ def meet(pieces: DataFrame) -> DataFrame:
 
 def read_back(texts: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
     """(key, hot, doc_id, rid, start, windows, part): the text of distinct
-    pieces; hot marks keys with many of them."""
-    hot = distinct.groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("hot_key")
+    pieces; hot marks keys with many of them, or much text."""
+    hot = distinct.groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n"), F.sum("windows").alias("size")).filter((F.col("n") > HOT) | (F.col("size") > SHARD)).select("hot_key")
     marked = distinct.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("hot", F.col("hot_key").isNotNull())
     wanted = marked.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("key", "start", "windows", "hot")).alias("wanted"))
     joined = texts.join(wanted, F.col("rid") == F.col("of")).dropDuplicates(["rid"]).select("doc_id", "rid", F.col("text").cast("binary").alias("data"), "wanted")
@@ -200,47 +199,69 @@ def read_back(texts: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
     return joined.select("doc_id", "rid", F.inline(sub))
 
 
-PART = "key long, doc_id long, rid long, start long, windows int, part binary"
+PART = "settled boolean, key long, doc_id long, rid long, start long, windows int, part binary"
+PART_NAMES = [c.split()[0] for c in PART.split(", ")]
 
 
-def deal_hot(parts: DataFrame, length: int, gram: int) -> DataFrame:
+def window_runs(rid: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rid, start, windows) of the runs of neighbouring windows."""
+    by = np.lexsort((start, rid))
+    r, p = rid[by], start[by]
+    head = np.flatnonzero(np.concatenate(([True], (np.diff(r) != 0) | (np.diff(p) != 1)))) if len(r) else np.zeros(0, np.int64)
+    return r[head], p[head], np.diff(np.append(head, len(r))).astype(np.int32)
+
+
+def deal_hot(parts: DataFrame, length: int) -> DataFrame:
     """Pieces of hot keys (a phrase shorter than a window may stand in any
-    number of contexts) are cut again where the least hash under one of
-    several other mixings changes; all of them together are the new key."""
-    names = [c.split()[0] for c in PART.split(", ")]
+    number of contexts) are dealt by window: a row without text for the first
+    of a batch's equal windows, its hash the key; the later ones are settled
+    in runs, their key only their row's."""
+
+    def windows_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        count = b["windows"].to_numpy()
+        piece = np.repeat(np.arange(len(count)), count)
+        hashed = xxhash.xxh3_64_intdigest
+        digest = np.array([hashed(t[i : i + length]) for t, n in zip(b["part"].to_pylist(), count.tolist()) for i in range(n)], np.uint64).view(np.int64)
+        place = b["start"].to_numpy()[piece] + np.concatenate([np.arange(n) for n in count])
+        ids, rid = b["doc_id"].fill_null(-(1 << 63)).to_numpy()[piece], b["rid"].to_numpy()[piece]
+        by = np.lexsort((rid, place, ids, digest))
+        again = np.concatenate(([False], digest[by][1:] == digest[by][:-1]))
+        head, gone = by[~again], by[again]
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(head), bool)), pa.array(digest[head]), b["doc_id"].take(pa.array(piece[head])), pa.array(rid[head]), pa.array(place[head]), pa.array(np.ones(len(head), np.int32)), pa.nulls(len(head), pa.binary())], PART_NAMES)
+        r, p, n = window_runs(rid[gone], place[gone])
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(r), bool)), pa.array(r), pa.nulls(len(r), pa.int64()), pa.array(r), pa.array(p), pa.array(n), pa.nulls(len(r), pa.binary())], PART_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hot = b["hot"].to_numpy(zero_copy_only=False)
-            if not hot.any():
-                yield pa.RecordBatch.from_arrays([b[c] for c in names], names)
-                continue
             cold = b.filter(pa.array(~hot))
-            yield pa.RecordBatch.from_arrays([cold[c] for c in names], names)
-            out = [[] for _ in names]
-            for key, doc_id, rid, start, windows, part in zip(*(b.filter(pa.array(hot))[c].to_pylist() for c in names)):
-                raw = np.frombuffer(part, np.uint8)
-                keys = np.stack([window_keys(raw, length, gram, salt)[0] for salt in SALTS], axis=1)
-                at = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
-                for a, e in zip(at.tolist(), [*at[1:].tolist(), windows]):
-                    mixed = xxhash.xxh3_64_intdigest(keys[a].tobytes(), key & 0xFFFFFFFFFFFFFFFF)
-                    row = (mixed - (1 << 64) if mixed >> 63 else mixed, doc_id, rid, start + a, e - a, part[a : e + length - 1])
-                    for c, v in zip(out, row):
-                        c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(cold), bool)), *(cold[c] for c in PART_NAMES[1:])], PART_NAMES)
+            warm = b.filter(pa.array(hot))
+            lot = np.cumsum(warm["windows"].to_numpy().astype(np.int64)) // (SLICE >> 4)
+            for at in np.flatnonzero(np.diff(lot, prepend=-1)).tolist():
+                yield from windows_of(warm.slice(at, int(np.searchsorted(lot, lot[at], side="right")) - at))
 
     return parts.mapInArrow(run, PART)
 
 
 def repeated_windows(parts: DataFrame, length: int) -> DataFrame:
     """(rid, start, windows): runs of windows of the pieces that occur earlier
-    in another piece of their key, by the shards' suffix arrays."""
-    dealt = parts.repartition("key").sortWithinPartitions("key")
+    in another piece of their key, by the shards' suffix arrays. Windows dealt
+    by themselves stream by in order; no group of them is held."""
+    dealt = parts.repartition("key").sortWithinPartitions(F.col("part").isNull(), "settled", "key", "doc_id", "start", "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, key = [], 0, None
+        held, size, key, window = [], 0, None, None
         for b in batches:
+            alone = b["part"].is_null().to_numpy(zero_copy_only=False)
+            if alone.any():
+                w = b.filter(pa.array(alone))
+                digest = w["key"].to_numpy()
+                again = w["settled"].to_numpy(zero_copy_only=False) | np.concatenate(([window is not None and digest[0] == window], digest[1:] == digest[:-1]))
+                window = digest[-1]
+                w = w.filter(pa.array(again))
+                yield pa.RecordBatch.from_arrays([w[c] for c in ("rid", "start", "windows")], ["rid", "start", "windows"])
+                b = b.filter(pa.array(~alone))
             for row in zip(*(b[c].to_pylist() for c in ("key", "doc_id", "rid", "start", "windows", "part"))):
                 if size >= SHARD and row[0] != key:
                     yield shard_repeats(held, length)
@@ -277,12 +298,7 @@ def shard_repeats(rows: list[tuple], length: int) -> pa.RecordBatch:
     by = np.lexsort((rid[piece], place, ids[piece], group))
     first = np.concatenate(([True], np.diff(group[by]) != 0)) if len(by) else np.zeros(0, bool)
     gone = by[~first]
-    r, p = rid[piece[gone]], place[gone]
-    by = np.lexsort((p, r))
-    r, p = r[by], p[by]
-    head = np.flatnonzero(np.concatenate(([True], (np.diff(r) != 0) | (np.diff(p) != 1)))) if len(r) else np.zeros(0, np.int64)
-    count = np.diff(np.append(head, len(r))).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(r[head]), pa.array(p[head]), pa.array(count)], ["rid", "start", "windows"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in window_runs(rid[piece[gone]], place[gone])], ["rid", "start", "windows"])
 
 
 def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -301,7 +317,7 @@ def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int =
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
     met = settle(meet(find_pieces(texts, length, gram)), "suffix-met")
     distinct = met.filter("not settled").select("key", "rid", "start", "windows")
-    found = repeated_windows(deal_hot(read_back(texts, distinct, length), length, gram), length)
+    found = repeated_windows(deal_hot(read_back(texts, distinct, length), length), length)
     marks = met.filter("settled").select("rid", "start", "windows").union(found)
     spans = marks.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
     joined = texts.join(spans, F.col("rid") == F.col("of"), "left").select("doc_id", "text", F.transform("marks", lambda m: m["start"]).alias("starts"), F.transform("marks", lambda m: m["windows"]).alias("windows"))

@@ -78,6 +78,21 @@ def test_hot_keys_are_dealt_anew(spark, monkeypatch):
     assert found == brute(data, 14)
 
 
+def test_phrase_in_new_contexts_fills_no_shard(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    shards, real = [], suffixes.repeated_windows
+    monkeypatch.setattr(suffixes, "repeated_windows", lambda parts, length: shards.append(parts) or real(parts, length))
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    phrase = some(19)
+    data = [(i, some(30) + phrase + "xy"[i % 2] * (i % 3) + some(30)) for i in range(40)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = without_repeated_strings(df, 20, 4).collect()
+    found = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in got), key=str)
+    assert found == brute(data, 20)
+    assert (shards[0].filter("part is not null").groupBy("key").count().agg({"count": "max"}).first()[0] or 0) <= 3
+
+
 def test_repeated_rows_empty_and_null(spark):
     t = "abcdefgh" * 3
     data = [(1, t), (1, t), (None, t), (2, "x" + t), (3, "short")]
