@@ -6,7 +6,7 @@ bytes before: whether it does depends on the bytes right before it alone, so
 two copies of a passage are cut alike whatever stands before them. Chunks are
 deduplicated by digest; of equal chunks the first (smaller doc_id, then
 earlier) stays. A run of repeated chunks is taken out if it is long enough to
-be no chance meeting of common words.
+be no chance meeting of common words, or if it is the whole text.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ BLOCK = 1 << 20
 #: One byte in CUT meets the cut condition; a chunk has over LEAST bytes (the
 #: last of a text may have fewer) and at most MOST.
 CUT, LEAST, MOST = 24, 16, 4096
-#: Bytes of a run of repeated chunks that is taken out.
+#: Bytes of a run of repeated chunks that is taken out; a shorter one goes if it
+#: is the whole text.
 RUN = 80
 
 
@@ -61,8 +62,8 @@ def chunk_ends(data: bytes, gear: np.ndarray) -> np.ndarray:
     return ends
 
 
-#: A chunk; in a repeated one, first_id names an earlier copy's document.
-CHUNK = "repeated boolean, digest long, size int, doc_id long, start long, rid long, seq int, first_id long"
+#: A chunk (last: of its text); in a repeated one, first_id names an earlier copy's document.
+CHUNK = "repeated boolean, digest long, size int, doc_id long, start long, rid long, seq int, last boolean, first_id long"
 NAMES = [c.split()[0] for c in CHUNK.split(", ")]
 NO_ID = -(1 << 63)
 
@@ -81,7 +82,7 @@ def _repeats(cols: list[np.ndarray]) -> np.ndarray:
     """Of chunks in order of (digest, size, doc_id, start, rid): which are
     first of their kind; marks those that stand later than it (repeated,
     first_id)."""
-    _, digest, size, doc_id, start, rid, _, _ = cols
+    _, digest, size, doc_id, start, rid, _, _, _ = cols
     new = np.concatenate(([True], (digest[1:] != digest[:-1]) | (size[1:] != size[:-1])))
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     cols[0], cols[-1] = ~new & ((doc_id != doc_id[first]) | (start != start[first]) | (rid != rid[first])), doc_id[first]
@@ -107,7 +108,8 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
             size = (np.concatenate(ends) - start).astype(np.int32)
             seq = np.concatenate([np.arange(n, dtype=np.int32) for n in count])
             doc_id, rid = (np.repeat(b[c].fill_null(NO_ID).to_numpy(), count) for c in ("doc_id", "rid"))
-            cols = [np.zeros(len(seq), bool), np.array(digest, np.uint64).view(np.int64), size, doc_id, start, rid, seq, doc_id.copy()]
+            last = seq + 1 == np.repeat(count, count)
+            cols = [np.zeros(len(seq), bool), np.array(digest, np.uint64).view(np.int64), size, doc_id, start, rid, seq, last, doc_id.copy()]
             order = np.lexsort((rid, start, doc_id, size, cols[1]))
             cols = [c[order] for c in cols]
             new = _repeats(cols)
@@ -147,15 +149,15 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, least: int = RUN) -> DataFrame:
     """(rid, doc_id, start, size, chunks, first_id): maximal runs of chunks
-    that repeat an earlier one, of ``least`` bytes at least; first_id is the
-    doc_id of an earlier copy of the run's first chunk."""
+    that repeat an earlier one, of ``least`` bytes at least or of the whole text; first_id
+    is the doc_id of an earlier copy of the run's first chunk."""
     again = repeated_chunks(chunk_rows(docs)).dropDuplicates(["rid", "seq"])
     # a document's own repeated chunks are ordered together, never a digest's
     along = Window.partitionBy("rid").orderBy("seq")
     run = F.col("seq") - F.row_number().over(along)  # the same within a run
     runs = again.withColumn("run", run).groupBy("rid", "doc_id", "run")
-    out = runs.agg(F.min("start").alias("start"), F.sum("size").alias("size"), F.count("*").alias("chunks"), F.min_by("first_id", "seq").alias("first_id"))
-    return out.filter(F.col("size") >= least).drop("run")
+    out = runs.agg(F.min("start").alias("start"), F.sum("size").alias("size"), F.count("*").alias("chunks"), F.min_by("first_id", "seq").alias("first_id"), F.max("last").alias("last"))
+    return out.filter((F.col("size") >= least) | ((F.col("start") == 0) & F.col("last"))).drop("run", "last")
 
 
 def without_repeats(docs: DataFrame, least: int = RUN) -> DataFrame:

@@ -85,3 +85,13 @@ def test_cut_keeps_characters_whole(spark):
     df = spark.createDataFrame([(1, "é" + passage), (2, "aü" + passage + "ñ")], "doc_id long, text string")
     kept = dict(rows(without_repeats(df), "doc_id", "kept"))
     assert kept[1] == "é" + passage and kept[2].startswith("aü") and len(kept[2]) < len(passage) / 4
+
+
+def test_short_copies_go(spark):
+    rng = random.Random(11)
+    short = [prose(rng, 9)[:n] for n in (1, 15, 40, 60)]
+    data = list(enumerate([*short, *short, short[3] + " and more", "x"])) + [(None, ""), (20, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in without_repeats(df).collect()}
+    assert all(got[i]["kept"] == short[i] and got[i + 4]["kept"] == "" and got[i + 4]["copied_from"] == [i] for i in range(4))
+    assert got[8]["kept"] == short[3] + " and more" and got[9]["kept"] == "x" and got[20]["n_runs"] == 0
