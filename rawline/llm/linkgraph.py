@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-#: Share of a host's score that flows on, most rounds, and the change
-#: (summed over hosts) below which the scores hold.
-DAMPING, ROUNDS, STILL = 0.85, 20, 1e-9
+#: Share of a host's score that flows on; the change (summed over hosts) below
+#: which the scores hold, under what a verdict goes by; rounds after which this
+#: must be so (0.85^200 is 1e-14); rounds that are planned as one.
+DAMPING, ROUNDS, STILL, STEP = 0.85, 1000, 1e-13, 8
 #: Hosts that a page links to, with a scheme or relative to one.
 LINK = r"""(?i)\b(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -55,7 +56,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust0, distrust0). What a
-    host without links would pass on stays with it."""
+    host without links would pass on stays with it: as it passes nothing on,
+    its own share is summed up at once. An error if the scores do not settle."""
     total = edges.withColumn("out_n", F.sum("n").over(Window.partitionBy("a"))).withColumn("in_n", F.sum("n").over(Window.partitionBy("b")))
     flows = settle(total.select("a", "b", (F.col("n") / F.col("out_n")).alias("along"), (F.col("n") / F.col("in_n")).alias("against")), "links")
     hosts = seeds.select("host").union(flows.select("a")).union(flows.select("b")).distinct()
@@ -64,22 +66,27 @@ def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     base = hosts.join(seeds, "host", "left").join(ends["a"], "host", "left").join(ends["b"], "host", "left")
     base = base.select("host", F.coalesce("trust0", zero).alias("trust0"), F.coalesce("distrust0", zero).alias("distrust0"), F.coalesce("has_a", F.lit(False)).alias("has_a"), F.coalesce("has_b", F.lit(False)).alias("has_b"))
     base = settle(base, "hosts")
-    now = base.withColumn("trust", F.col("trust0")).withColumn("distrust", F.col("distrust0"))
-    for _ in range(ROUNDS):
-        s = now.select(F.col("host").alias("of"), "trust", "distrust")
-        forth = flows.join(s, flows["a"] == s["of"]).select(F.col("b").alias("host"), (F.col("trust") * F.col("along")).alias("dt"), zero.alias("db"))
-        back = flows.join(s, flows["b"] == s["of"]).select(F.col("a").alias("host"), zero.alias("dt"), (F.col("distrust") * F.col("against")).alias("db"))
-        got = forth.union(back).groupBy("host").agg(F.sum("dt").alias("dt"), F.sum("db").alias("db"))
-        own = now.join(got, "host", "left")
-        trust = (1 - DAMPING) * F.col("trust0") + DAMPING * (F.coalesce("dt", zero) + F.when(F.col("has_a"), zero).otherwise(F.col("trust")))
-        distrust = (1 - DAMPING) * F.col("distrust0") + DAMPING * (F.coalesce("db", zero) + F.when(F.col("has_b"), zero).otherwise(F.col("distrust")))
-        moved = F.abs(F.col("new_t") - F.col("trust")) + F.abs(F.col("new_b") - F.col("distrust"))
-        new = own.withColumn("new_t", trust).withColumn("new_b", distrust).withColumn("moved", moved)
-        new = settle(new.select("host", "trust0", "distrust0", "has_a", "has_b", F.col("new_t").alias("trust"), F.col("new_b").alias("distrust"), "moved"), "ranks")
-        now = new.drop("moved")
-        if (new.agg(F.sum("moved")).first()[0] or 0.0) < STILL:
-            break
-    return now.select("host", "trust", "distrust")
+    arcs = flows.select(F.col("a").alias("of"), F.col("b").alias("to"), "along", zero.alias("against")).union(flows.select(F.col("b").alias("of"), F.col("a").alias("to"), zero.alias("along"), "against"))
+    arcs = settle(arcs, "arcs")
+
+    def score(start: str, got: str, passes: str) -> Column:
+        came = DAMPING * F.coalesce(got, zero)
+        return F.when(F.col(passes), (1 - DAMPING) * F.col(start) + came).otherwise(F.col(start) + came / (1 - DAMPING))
+
+    now, done = base.select("host", F.col("trust0").alias("trust"), F.col("distrust0").alias("distrust")), 0
+    while done < ROUNDS:
+        new = now
+        for _ in range(STEP if done else 1):  # without links one round tells
+            got = new.join(arcs, F.col("host") == F.col("of")).groupBy(F.col("to").alias("host")).agg(F.sum(F.col("trust") * F.col("along")).alias("dt"), F.sum(F.col("distrust") * F.col("against")).alias("db"))
+            new = base.join(got, "host", "left").select("host", score("trust0", "dt", "has_a").alias("trust"), score("distrust0", "db", "has_b").alias("distrust"))
+            done += 1
+        new = settle(new, "ranks")
+        was = now.select("host", F.col("trust").alias("was_t"), F.col("distrust").alias("was_b"))
+        moved = new.join(was, "host").agg(F.sum(F.abs(F.col("trust") - F.col("was_t")) + F.abs(F.col("distrust") - F.col("was_b")))).first()[0] or 0.0
+        now = new
+        if moved < STILL:
+            return now
+    raise RuntimeError(f"host scores still moved by {moved} after {done} rounds")
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:

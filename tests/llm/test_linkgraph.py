@@ -72,6 +72,36 @@ def test_propagation_equals_matrices(spark):
     assert all(np.allclose(found[h], want[h], atol=1e-9) for h in want)
 
 
+def solved_scores(seeds, edges):
+    hosts = sorted({h for h, *_ in seeds} | {x for a, b, _ in edges for x in (a, b)})
+    at = {h: i for i, h in enumerate(hosts)}
+    w = np.zeros((len(hosts), len(hosts)))
+    for a, b, n in edges:
+        w[at[a], at[b]] = n
+
+    def solve(m, start):
+        out = m.sum(axis=1)
+        flow = np.where(out[:, None] > 0, m / np.maximum(out, 1)[:, None], np.eye(len(m)))
+        return np.linalg.solve(np.eye(len(m)) - DAMPING * flow.T, (1 - DAMPING) * start)
+
+    start = np.zeros((2, len(hosts)))
+    for h, *s in seeds:
+        start[:, at[h]] = s
+    t, b = solve(w, start[0]), solve(w.T, start[1])
+    return {h: (t[i], b[i]) for h, i in at.items()}
+
+
+def test_long_chain_equals_the_solved_system(spark):
+    edges = [(f"c{i}", f"c{i + 1}", 1) for i in range(24)]  # c24 is a blocked seed
+    seeds = [("c24", 0.0, 0.4), ("c3", 0.3, 0.0)]
+    got = propagate(spark.createDataFrame(seeds, "host string, trust0 double, distrust0 double"), spark.createDataFrame(edges, "a string, b string, n long"))
+    found = {r["host"]: (r["trust"], r["distrust"]) for r in got.collect()}
+    want = solved_scores(seeds, edges)
+    assert found.keys() == want.keys()
+    assert all(np.allclose(found[h], want[h], rtol=1e-9, atol=1e-12) for h in want)
+    assert found["c0"][1] > 1e-12
+
+
 def test_distrust_flows_back_along_links(spark):
     link = '<a href="http://{}/">'.format
     data = [
