@@ -80,5 +80,46 @@ QUALIFY row_number() OVER (PARTITION BY rid, item_id ORDER BY similarity DESC, s
 """
 
 
+OP11 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), words AS (
+    SELECT row_no, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row_no) >= 3
+), langs AS (
+    SELECT d.lang, count(k.term) AS v, coalesce(sum(k.n), 0) AS total
+    FROM (SELECT DISTINCT lang FROM docs) d LEFT JOIN kept k USING (lang) GROUP BY d.lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total
+    FROM groups g LEFT JOIN counts c USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v)::HUGEINT AS p,
+           1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v)::HUGEINT AS q
+    FROM totals g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN counts c USING (lang, source, term)
+), found AS (
+    SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(x.value, 0) AS value
+    FROM groups g JOIN groups o ON o.lang = g.lang AND o.source <> g.source
+    LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS other, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ) x ON x.lang = g.lang AND x.source = g.source AND x.other = o.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op5_decontamination": OP5}
+    return {"op1_mix_sources": OP1, "op5_decontamination": OP5, "op11_source_divergence": OP11}

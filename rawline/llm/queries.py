@@ -13,8 +13,11 @@ from .ann import search
 from .chunks import without_repeats
 from .common import table
 from .decontam import contaminated
+from .divergence import divergences
 from .linkgraph import judge_urls
 from .mixing import mix_sources
+from .pieces import encode_decode
+from .repair import repair
 from .simhash import near_duplicates
 from .suffixes import without_repeated_strings
 from .tokens import count_tokens
@@ -89,6 +92,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None =
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_piece_round_trip(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_decode(table(spark, sf_dir, "documents"), model).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -101,4 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_counts": op10_token_counts,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_piece_round_trip": op13_piece_round_trip,
     }
