@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from rawline.llm.tokens import count_long, count_tokens
+from rawline.llm.tokens import Counter, count_long, count_tokens, stable
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 TOK = Tokenizer.from_file(VOCABULARY)
@@ -31,10 +31,40 @@ def texts():
 @pytest.mark.parametrize("k", range(40))
 def test_spliced_count_is_the_whole_count(k):
     text = texts()[k]
-    for chunk, overlap in ((256, 64), (400, 32), (1000, 200)):
+    for chunk, overlap in ((256, 64), (400, 80), (1000, 200)):
         assert count_long(text, offsets, chunk, overlap) == whole(text)
 
 
+def test_random_texts_in_small_chunks():
+    rng = random.Random(7)
+    alphabet = ["a", "B", "İ", "İ!", "é", "́", "'s", "'", "1", ".", "…", " ", "\n", "<|endoftext|>", "<|startoftext|>", "ß", "Σ", "漢", "\u00a0", "\u0378"]
+    for _ in range(400):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(300, 900)))
+        assert count_long(text, offsets, 256, 64, 15) == whole(text)
+
+
+def test_word_counts_add_up():
+    rng = random.Random(3)
+    parts = ["word", "İ.", "don't", "<|endoftext|>", "a\u00a0b", "\x1f", "\u2028", "\x0b", "ΑΣ", "́x", " ", "\t", "\r\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    own = Counter(VOCABULARY)
+    assert own.words(texts) == [whole(t) for t in texts]
+    assert own.words(texts[:9]) == [whole(t) for t in texts[:9]]
+
+
+def test_capital_that_becomes_letter_and_mark_is_not_stable():
+    assert stable("ai!", 2) and not stable("aİ!", 2)
+
+
+def test_unsafe_sizes_and_other_files_are_refused():
+    with pytest.raises(ValueError):
+        count_long("a " * 500, offsets, 400, 32, 15)
+    with pytest.raises(ValueError):
+        count_long("a " * 500, offsets, 100, 64, 15)
+    with pytest.raises(ValueError):
+        Counter(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_rows(spark):
     data = [(1, "A cat"), (1, "A cat"), (None, "x " * 5000), (2, None), (3, ""), (4, "<|endoftext|> é")]
     df = spark.createDataFrame([(*r, "n") for r in data], "doc_id long, text string, n_tokens string")
