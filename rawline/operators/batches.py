@@ -93,6 +93,27 @@ def mark_value(status: DataFrame, app_name: str, table_name: str, activity_type:
     return high_water_mark(status, app_name, table_name, activity_type).first()["mark"]
 
 
+def processed_batches(status: DataFrame, app_name: str, table_name: str, batch_col: str = "batch_no") -> DataFrame:
+    """The ledger: every batch id logged for the app/table, once."""
+    logged = status.filter((F.col("app_name") == app_name) & (F.col("table_name") == table_name))
+    return logged.select(F.col(batch_col).cast("string").alias("batchno")).distinct()
+
+
+def unprocessed_batches(listing: DataFrame, status: DataFrame, app_name: str, table_name: str) -> DataFrame:
+    """P4/F7 by ledger: the listed batches since the first logged one that no
+    run has logged. After the last logged batch these are the ones that the
+    mark selects; a batch folder that arrives below the mark is taken as well,
+    and only once. Batches before the first logged one were left out by the
+    start of the first run and stay out. With no batch logged it is an error,
+    as for the mark (D6)."""
+    ledger = processed_batches(status, app_name, table_name)
+    first = ledger.agg(F.min("batchno").alias("first")).first()["first"]
+    if first is None:
+        raise ValueError("no previous run recorded for this table: set startbatchno for the first run")
+    since = listing.filter((F.col("batchno") > F.lit(first)) & is_valid_batch_id(F.col("batchno")))
+    return since.join(ledger, "batchno", "left_anti")
+
+
 def extract_mark(from_datetime: str | None, status: DataFrame | None, app_name: str, table_name: str) -> str:
     """The lower bound of an incremental extract: an explicit, valid
     from-date wins, else the last successful batch of the app/table (D6,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,14 +19,18 @@ from ..operators import external as ext
 from ..operators import flat as flt
 from ..operators import responses as rsp
 from ..operators.audit import APP_STATUS_COLS, SYNC_STATUS_COLS, app_status_rows, sync_rows
-from ..operators.batches import mark_value, select_batches
+from ..operators.batches import select_batches, unprocessed_batches
 from ..operators.dedupe import latest_per_key
 from ..operators.publish import BATCH_DELETED, FILE_SYNC, publish_decision, retention_candidates, sync_mark
 from ..operators.scd import POS_COL, TS_COL, prepare_delta, restrict_to_touched, scd1_merge, touched_partitions
 from ..functions.columns import position_order
-from ..sinks.files import append_csv, delete_path, path_exists, publish_partitions, write_json_by, write_partitioned
-from ..runtime import cut_lineage, input_bytes, size_shuffle_partitions
-from ..sources.landing import landing_dir, list_batches, list_versions, raw_dir, read_landing, read_snapshot
+from ..sinks import manifest as mf
+from ..sinks.files import (
+    append_csv, count_rows, delete_path, list_children, path_exists, publish_partitions, register_new_partitions, write_json_by, write_partitioned,
+    write_quarantine,
+)
+from ..runtime import cut_lineage, input_bytes, materialize, size_shuffle_partitions
+from ..sources.landing import landing_dir, list_batches, list_versions, quarantine_dir, raw_dir, read_snapshot, stage_landing
 
 APP_STATUS_DDL = (
     "app_name string, table_name string, batch_no string, process_start_time timestamp_ntz, "
@@ -101,6 +105,42 @@ class RawRunResult:
     publish_action: str
     published: list[int]
     deleted_versions: list[str]
+    quarantined: int = 0
+
+
+def chosen_batches(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore) -> list[str]:
+    """The batches of a run. With a start the closed or open range,
+    else every listed batch that the ledger (``app_status``) does not hold."""
+    listing = list_batches(spark, landing_dir(cfg.sourcepath, cfg.tablename))
+    if cfg.startbatchno is not None:
+        taken = select_batches(listing, "batchno", cfg.startbatchno, cfg.endbatchno)
+    else:
+        taken = unprocessed_batches(listing, audit.app_status(spark), cfg.appname, cfg.tablename)
+    return sorted(r["batchno"] for r in taken.collect())
+
+
+def staged_delta(spark: SparkSession, cfg: RawPipelineConfig, schema: StructType, batches: list[str], run_ts: str) -> tuple[DataFrame, int]:
+    """The prepared delta of the batches, run once and kept in the shared
+    folder, and how many lines went to the quarantine (beside the landing
+    folder's table, by batch)."""
+    staged = stage_landing(spark, landing_dir(cfg.sourcepath, cfg.tablename), schema, batches, cfg.keys)
+    if staged.n_quarantined:
+        write_quarantine(staged.quarantined, quarantine_dir(cfg.targetpath, cfg.tablename))
+    delta = prepare_delta(staged.good, cfg.keys, cfg.selectcols, cfg.rules, run_ts, date_partitioned=cfg.date_partitioned)
+    return materialize(delta, "delta"), staged.n_quarantined
+
+
+def rewritten_partitions(delta: DataFrame, base: DataFrame, cfg: RawPipelineConfig) -> DataFrame:
+    """Every partition that the merge rewrites: the delta's, and those of the
+    snapshot rows it selects, which differ only where fewer columns select
+    (the date-partitioned layout selects by date)."""
+    parts = partition_columns(cfg.rules)
+    touch = parts[-1:] if cfg.date_partitioned else parts
+    mine = touched_partitions(delta, parts)
+    if touch == parts:
+        return mine
+    selected = restrict_to_touched(base, touched_partitions(delta, touch), touch)
+    return mine.unionByName(touched_partitions(selected, parts)).distinct()
 
 
 def landing_to_raw(
@@ -111,11 +151,17 @@ def landing_to_raw(
     run_ts: str,
     run_epoch: int,
     strict_publish: bool = False,
+    manifest: bool = False,
+    partition_table: str | None = None,
 ) -> RawRunResult:
-    """Landing JSON -> SCD1 version -> publish into ``t=0`` -> retention.
-
-    One read of all chosen batches, one merge plan, one write whose row
-    count comes from ``observe`` (no second pass), audit rows appended.
+    """Landing JSON -> quarantine -> SCD1 version -> publish -> retention.
+
+    The chosen batches are parsed once; lines that cannot take part go to the
+    quarantine. The delta is prepared once, merged in one plan and written
+    once; the audit count is that of the committed files. With ``manifest``
+    the snapshot is kept behind a manifest (``sinks.manifest``), else in
+    ``t=0``. ``partition_table``: a catalog table over ``t=0`` whose new
+    partitions are registered at the end (K11).
     """
     parts = partition_columns(cfg.rules)
     lroot = landing_dir(cfg.sourcepath, cfg.tablename)
@@ -128,46 +174,41 @@ def landing_to_raw(
 
         landing_schema = sample_schema(spark, cfg.schemafile)  # S2
 
-    mark = None
-    if cfg.startbatchno is None:
-        mark = mark_value(audit.app_status(spark), cfg.appname, cfg.tablename)
-    chosen = sorted(
-        r["batchno"]
-        for r in select_batches(list_batches(spark, lroot), "batchno", cfg.startbatchno, cfg.endbatchno, mark).collect()
-    )
-    record_count, version = 0, None
+    chosen = chosen_batches(spark, cfg, audit)
+    record_count, version, quarantined = 0, None, 0
     if chosen:
         size_shuffle_partitions(spark, input_bytes(spark, [f"{lroot}/batchno={b}" for b in chosen] + [snap_path]))
-        landing = read_landing(spark, lroot, landing_schema, chosen)
-        delta = prepare_delta(
-            landing, cfg.keys, cfg.selectcols, cfg.rules, run_ts, date_partitioned=cfg.date_partitioned
-        ).persist()
+        delta, quarantined = staged_delta(spark, cfg, landing_schema, chosen, run_ts)
         schema = delta.schema
-        base = read_snapshot(spark, snap_path, schema) if path_exists(spark, snap_path) else spark.createDataFrame([], schema)
+        if manifest:
+            base = mf.read_published(spark, rroot, schema, parts)
+        else:
+            base = read_snapshot(spark, snap_path, schema) if path_exists(spark, snap_path) else spark.createDataFrame([], schema)
         # the date-partitioned layout selects snapshot rows by date (part_3)
         touch = parts[-1:] if cfg.date_partitioned else parts
         merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch)
-        # every partition the merge rewrites: the delta's and those of the
-        # snapshot rows it selected (they differ when touch != parts)
-        selected = restrict_to_touched(base, touched_partitions(delta, touch), touch)
-        touched = touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct()
-        obs = Observation("merge")
         version = run_epoch
         vpath = f"{rroot}/t={version}"
-        write_partitioned(merged.observe(obs, F.count(F.lit(1)).alias("rows")), vpath, parts, mode="overwrite")
-        record_count = int(obs.get["rows"])
+        write_partitioned(merged, vpath, parts, mode="overwrite")
         # the touched list is partition metadata: written by Spark next to the
         # version, never gathered on the driver
+        touched = rewritten_partitions(delta, base, cfg)
         touched.select(*[F.col(p).cast("string").alias(p) for p in parts]).write.mode("overwrite").json(f"{vpath}/_touched")
-        delta.unpersist()
+        record_count = count_rows(read_version(spark, vpath, partition_types(cfg.rules, cfg.date_partitioned)))
         batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
         audit.append_app_status(
             app_status_rows(batches_df, cfg.appname, cfg.tablename, run_ts, run_ts, record_count)
         )
 
-    action, published = publish(spark, cfg, audit, run_ts, strict_publish)
-    deleted = cleanup(spark, cfg, audit, run_ts)
-    return RawRunResult(chosen, record_count, version, action, published, deleted)
+    if manifest:
+        action, published = publish_by_manifest(spark, cfg, audit, run_ts, strict_publish)
+        deleted = cleanup_by_manifest(spark, cfg, audit, run_ts)
+    else:
+        action, published = publish(spark, cfg, audit, run_ts, strict_publish)
+        deleted = cleanup(spark, cfg, audit, run_ts)
+    if partition_table is not None:
+        register_new_partitions(spark, partition_table, parts, snap_path)
+    return RawRunResult(chosen, record_count, version, action, published, deleted, quarantined)
 
 
 def landing_to_table(
@@ -197,24 +238,16 @@ def landing_to_table(
 
     parts = partition_columns(cfg.rules)
     lroot = landing_dir(cfg.sourcepath, cfg.tablename)
-    mark = None if cfg.startbatchno is not None else mark_value(audit.app_status(spark), cfg.appname, cfg.tablename)
-    chosen = sorted(
-        r["batchno"]
-        for r in select_batches(list_batches(spark, lroot), "batchno", cfg.startbatchno, cfg.endbatchno, mark).collect()
-    )
+    chosen = chosen_batches(spark, cfg, audit)
     if not chosen:
         return RawRunResult(chosen, 0, None, "none", [], [])
     size_shuffle_partitions(spark, input_bytes(spark, [f"{lroot}/batchno={b}" for b in chosen] + [table_path]))
-    landing = read_landing(spark, lroot, landing_schema, chosen)
-    delta = prepare_delta(
-        landing, cfg.keys, cfg.selectcols, cfg.rules, run_ts, date_partitioned=cfg.date_partitioned
-    ).persist()
-    obs = Observation("merge")
-    count = F.count(F.lit(1)).alias("rows")
+    delta, quarantined = staged_delta(spark, cfg, landing_schema, chosen, run_ts)
     if not spark.catalog.tableExists(table):
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        first = delta.repartition(n, *[F.col(k) for k in cfg.keys]).observe(obs, count)
+        first = delta.repartition(n, *[F.col(k) for k in cfg.keys])
         create_bucketed_snapshot(first, table, cfg.keys, parts, n, table_path)
+        touched = touched_partitions(delta, parts)
     else:
         n = bucket_count(spark, table)
         if n is None:
@@ -222,19 +255,14 @@ def landing_to_table(
         base = spark.table(table)
         touch = parts[-1:] if cfg.date_partitioned else parts
         merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch, buckets=n)
-        # every partition the merge rewrites, fixed before the table changes
-        selected = restrict_to_touched(align_to(base, delta), touched_partitions(delta, touch), touch)
-        touched = cut_lineage(
-            touched_partitions(delta, parts).unionByName(touched_partitions(selected, parts)).distinct()
-        )
-        publish_to_table(merged.observe(obs, count), table, parts, touched)
-    record_count = int(obs.get["rows"])
-    delta.unpersist()
+        touched = cut_lineage(rewritten_partitions(delta, align_to(base, delta), cfg))  # fixed before the table changes
+        publish_to_table(merged, table, parts, touched)
+    record_count = count_rows(restrict_to_touched(spark.table(table).select(*parts), touched, parts))
     batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
     audit.append_app_status(app_status_rows(batches_df, cfg.appname, cfg.tablename, run_ts, run_ts, record_count))
     version = spark.createDataFrame([(run_epoch,)], "t bigint")
     audit.append_sync_status(sync_rows(version, cfg.appname, cfg.tablename, FILE_SYNC, run_ts, record_count))
-    return RawRunResult(chosen, record_count, run_epoch, "publish", [run_epoch], [])
+    return RawRunResult(chosen, record_count, run_epoch, "publish", [run_epoch], [], quarantined)
 
 
 def publish(
@@ -244,41 +272,103 @@ def publish(
     copied in; several (D5) are unioned with W2 first, unless ``strict``."""
     parts = partition_columns(cfg.rules)
     rroot = raw_dir(cfg.targetpath, cfg.tablename)
-    snap_path = f"{rroot}/t=0"
+    action, pending = _pending(spark, cfg, audit, strict)
+    if not pending:
+        return action, []
+    version, touched, n = _pending_rows(spark, cfg, pending)
+    # one version: its files are already one-partition-each, copy without a shuffle
+    publish_partitions(version, f"{rroot}/t=0", parts, touched, keep_layout=len(pending) == 1)
+    _log_sync(spark, cfg, audit, pending, run_ts, n)
+    return action, pending
+
+
+def _pending(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, strict: bool) -> tuple[str, list[int]]:
+    """The action (L5/D5) and the versions that it takes."""
     mark = sync_mark(audit.sync_status(spark), cfg.appname, cfg.tablename)
+    rroot = raw_dir(cfg.targetpath, cfg.tablename)
     pending = sorted(r["t"] for r in list_versions(spark, rroot).filter(F.col("t") > mark).collect())
     action = publish_decision(len(pending), strict)
-    if action not in ("publish", "merge_all"):
-        return action, []
-    frames, tpaths = [], []
+    return action, pending if action in ("publish", "merge_all") else []
+
+
+def _pending_rows(spark: SparkSession, cfg: RawPipelineConfig, pending: list[int]) -> tuple[DataFrame, DataFrame | None, int]:
+    """The rows that the pending versions publish (several: the union with W2,
+    run once), the partitions they touch, and the number of rows."""
+    parts = partition_columns(cfg.rules)
+    rroot = raw_dir(cfg.targetpath, cfg.tablename)
     ptypes = partition_types(cfg.rules, cfg.date_partitioned)
-    for v in pending:
-        vpath = f"{rroot}/t={v}"
-        frames.append(read_version(spark, vpath, ptypes).withColumn("_v", F.lit(v)))
-        if path_exists(spark, f"{vpath}/_touched"):
-            tpaths.append(f"{vpath}/_touched")
+    paths = [f"{rroot}/t={v}" for v in pending]
+    frames = [read_version(spark, p, ptypes).withColumn("_v", F.lit(v)) for p, v in zip(paths, pending)]
     # the touched lists of all pending versions, one read, kept distributed
     ddl = ", ".join(f"`{p}` string" for p in parts)
+    tpaths = [f"{p}/_touched" for p in paths if path_exists(spark, f"{p}/_touched")]
     touched = spark.read.schema(ddl).json(tpaths) if tpaths else None
     version = frames[0]
     for f in frames[1:]:
         version = version.unionByName(f, allowMissingColumns=True)
     if len(frames) > 1:
         order = [*position_order(POS_COL), F.col(TS_COL).desc_nulls_last(), F.col("_v").desc()]
-        version = latest_per_key(version, cfg.keys, order)
-    version = version.drop("_v")
-    obs = Observation("publish")
-    # one version: its files are already one-partition-each, copy without a shuffle
-    publish_partitions(
-        version.observe(obs, F.count(F.lit(1)).alias("rows")), snap_path, parts, touched,
-        keep_layout=len(frames) == 1,
-    )
-    n = int(obs.get["rows"])
-    rows = spark.createDataFrame([(v,) for v in pending], "t bigint")
+        version = materialize(latest_per_key(version, cfg.keys, order), "pending")
+    return version.drop("_v"), touched, count_rows(version)
+
+
+def _log_sync(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, versions: list[int], run_ts: str, n: int) -> None:
+    rows = spark.createDataFrame([(v,) for v in versions], "t bigint")
     audit.append_sync_status(sync_rows(rows, cfg.appname, cfg.tablename, FILE_SYNC, run_ts, n))
+
+
+def publish_by_manifest(
+    spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, strict: bool = False
+) -> tuple[str, list[int]]:
+    """P2 by one pointer switch (``sinks.manifest``): the pending version's
+    partitions are named in the next manifest where they lie; several pending
+    versions (D5) are unioned with W2 into one ``t=<epoch>_merged`` folder first.
+
+    A run may stop after any step: before the switch nothing is published and
+    the next run does it again; after it, the next run finds the versions in
+    the pointer and only logs them.
+    """
+    parts = partition_columns(cfg.rules)
+    rroot = raw_dir(cfg.targetpath, cfg.tablename)
+    action, pending = _pending(spark, cfg, audit, strict)
+    if not pending:
+        return action, []
+    now = mf.read_pointer(spark, rroot)
+    if now is None or now.upto < pending[-1]:
+        version, touched, n = _pending_rows(spark, cfg, pending)
+        folder = f"t={pending[-1]}"
+        if len(pending) > 1:
+            folder = f"t={pending[-1]}_merged"  # no version number, so never pending itself
+            write_partitioned(version, f"{rroot}/{folder}", parts, mode="overwrite")
+            version = read_version(spark, f"{rroot}/{folder}", partition_types(cfg.rules, cfg.date_partitioned))
+        new = mf.Pointer(now.number + 1 if now else 1, pending[-1], n)
+        mf.write_manifest(mf.next_manifest(spark, rroot, parts, version, folder, touched), rroot, new.number)
+        mf.switch_pointer(spark, rroot, new)
+        now = new
+    _log_sync(spark, cfg, audit, pending, run_ts, now.rows)
     return action, pending
 
 
+def cleanup_by_manifest(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, keep: int = 1) -> list[str]:
+    """P3 behind a manifest: published versions that none of the last ``keep``
+    manifests names are deleted and logged; of versions still named, replaced
+    partitions are deleted."""
+    parts = partition_columns(cfg.rules)
+    rroot = raw_dir(cfg.targetpath, cfg.tablename)
+    cands = [r["batch_no"] for r in retention_candidates(audit.sync_status(spark), cfg.appname, cfg.tablename).collect()]
+    merges = [f for f in list_children(spark, rroot) if f.endswith("_merged")]
+    gone = mf.retire(spark, rroot, parts, [f"t={b}" for b in cands] + merges, keep)
+    deleted = sorted(b for b in cands if f"t={b}" in gone)
+    _log_deleted(spark, cfg, audit, deleted, run_ts)
+    return deleted
+
+
+def _log_deleted(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, versions: list[str], run_ts: str) -> None:
+    if versions:
+        rows = spark.createDataFrame([(b,) for b in versions], "batch_no string")
+        audit.append_sync_status(sync_rows(rows, cfg.appname, cfg.tablename, BATCH_DELETED, run_ts, None, batch_col="batch_no"))
+
+
 def read_version(spark: SparkSession, path: str, part_types: dict[str, str]) -> DataFrame:
     """A version folder with its partition columns declared (H3): the
     file schema comes from the ORC footers, partition types from the rules."""
@@ -295,9 +385,7 @@ def cleanup(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_
     rroot = raw_dir(cfg.targetpath, cfg.tablename)
     cands = [r["batch_no"] for r in retention_candidates(audit.sync_status(spark), cfg.appname, cfg.tablename).collect()]
     gone = [b for b in cands if delete_path(spark, f"{rroot}/t={b}")]
-    if gone:
-        rows = spark.createDataFrame([(b,) for b in gone], "batch_no string")
-        audit.append_sync_status(sync_rows(rows, cfg.appname, cfg.tablename, BATCH_DELETED, run_ts, None, batch_col="batch_no"))
+    _log_deleted(spark, cfg, audit, gone, run_ts)
     return gone
 
 

@@ -47,6 +47,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back. Later
+    plans read columns of it instead of running it again, and a lost executor
+    takes nothing with it (unlike ``persist``)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Shuffle sizing: one initial shuffle partition per this much input (the
 # size of a default file split); AQE coalesces small partitions afterwards
 # and splits skewed ones, but it never raises the initial count.

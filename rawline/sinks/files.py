@@ -103,6 +103,24 @@ def publish_partitions(
     return empty
 
 
+def count_rows(written: DataFrame) -> int:
+    """A1/P5: rows of committed files. No column is read, only the counts in
+    the files' footers; unlike an observation on the way to a shuffle, a task
+    that runs again cannot add to it."""
+    return written.count()
+
+
+def write_quarantine(bad: DataFrame, path: str) -> None:
+    """Quarantined landing lines by batch; a batch read again replaces its lines."""
+    (
+        bad.hint("rebalance", "batchno")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batchno")
+        .orc(path)
+    )
+
+
 def _as_text(values: Sequence) -> tuple:
     return tuple(None if v is None else str(v) for v in values)
 
@@ -194,10 +212,51 @@ def append_csv(df: DataFrame, out: str, header: bool = False) -> None:
     df.write.mode("append").option("header", header).csv(out)
 
 
-def register_partitions(spark: SparkSession, table: str) -> None:
-    """Add partition folders written outside the catalog to a
-    partitioned catalog table (``MSCK REPAIR TABLE``)."""
-    spark.catalog.recoverPartitions(table)
+def register_new_partitions(spark: SparkSession, table: str, part_cols: Sequence[str], path: str) -> list[tuple]:
+    """Register the partitions below ``path`` that the catalog's list of
+    ``table`` lacks, at their folders, and drop the listed ones that are no
+    longer there. Only the difference reaches the driver; returns what was added."""
+    from .tables import partition_spec
+
+    ddl = ", ".join(f"`{c}` string" for c in part_cols)
+    there = _values(spark.read.schema(ddl).orc(path), part_cols) if path_exists(spark, path) else spark.createDataFrame([], ddl)
+    listed = registered_partitions(spark, table, part_cols)
+    cond = _match(part_cols)
+    new = [tuple(r) for r in there.alias("a").join(listed.alias("b"), cond, "left_anti").collect()]
+    gone = [tuple(r) for r in listed.alias("a").join(there.alias("b"), cond, "left_anti").collect()]
+    name = ".".join(f"`{p}`" for p in table.split("."))
+    for row in new:
+        at = partition_path(path, part_cols, row).replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition_spec(part_cols, row)}) LOCATION '{at}'")
+    for row in gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_spec(part_cols, row)})")
+    spark.catalog.refreshTable(table)
+    return new
+
+
+def registered_partitions(spark: SparkSession, table: str, part_cols: Sequence[str]) -> DataFrame:
+    """The catalog's partition list as a frame of the partition columns
+    (text; the default name is null)."""
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    name = ".".join(f"`{p}`" for p in table.split("."))
+
+    def value(pair: str) -> str | None:
+        text = pair.split("=", 1)[1]
+        return None if text == "__HIVE_DEFAULT_PARTITION__" else unescape(text)
+
+    specs = [r["partition"].split("/") for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return spark.createDataFrame([tuple(value(p) for p in s) for s in specs], ", ".join(f"`{c}` string" for c in part_cols))
+
+
+def _values(df: DataFrame, part_cols: Sequence[str]) -> DataFrame:
+    return df.select(*[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in part_cols]).distinct()
+
+
+def _match(part_cols: Sequence[str]):
+    cond = F.lit(True)
+    for c in part_cols:
+        cond = cond & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return cond
 
 
 def append_table(df: DataFrame, table: str) -> None:

@@ -30,6 +30,11 @@ def _literal(v: str | None) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def partition_spec(part_cols: Sequence[str], values: Sequence[str | None]) -> str:
+    """The inside of a ``PARTITION (...)`` clause."""
+    return ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(part_cols, values))
+
+
 def bucket_count(spark: SparkSession, table: str) -> int | None:
     """Number of buckets of a catalog table (None when not bucketed)."""
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)}").collect():
@@ -97,7 +102,6 @@ def publish_to_table(merged: DataFrame, table: str, part_cols: Sequence[str], to
         cond = e if cond is None else cond & e
     empty = [tuple(r) for r in t.join(w, cond, "left_anti").distinct().collect()]
     for row in empty:
-        spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(part_cols, row))
-        spark.sql(f"ALTER TABLE {_quote(table)} DROP IF EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {_quote(table)} DROP IF EXISTS PARTITION ({partition_spec(part_cols, row)})")
     spark.catalog.refreshTable(table)
     return empty
