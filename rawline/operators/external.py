@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from ..runtime import cut_lineage
+from ..runtime import cut_lineage, ship_package
 
 # Fixed values that must equal the reference's.
 BATCH_SIZE = 700
@@ -136,6 +136,7 @@ def push_requests(
     """
     from .responses import map_calls
 
+    ship_package(payload.sparkSession)
     out_schema = StructType(payload.schema.fields + RESPONSE_FIELDS)
     p1, p2 = param_names
     if key_param is not None and (run_batch is None or "request_seq" not in payload.columns):
@@ -163,6 +164,34 @@ def push_requests(
     return payload.mapInPandas(run, out_schema)
 
 
+#: Every request that was sent, with its answer, by run.
+LEDGER_DDL = (
+    "operation string, batch_index bigint, request_seq bigint, op_total bigint, n_ids bigint, id_list string, "
+    "code int, body string, error string, batch_no string"
+)
+
+
+def accepted_ids(ledger: DataFrame, mark: str | None, op_col: str = "operation") -> DataFrame:
+    """(id, operation) last accepted for each id by runs after ``mark`` (the
+    last run that went through): what failed runs got done."""
+    ok = ledger.filter(F.col("code") == 200)
+    if mark is not None:
+        ok = ok.filter(F.col("batch_no") > F.lit(mark))
+    each = ok.select(F.explode(F.split("id_list", ",")).alias("id"), op_col, F.struct("batch_no", "request_seq").alias("_at"))
+    return each.groupBy("id").agg(F.max_by(op_col, "_at").alias(op_col))
+
+
+def without_accepted(
+    split: DataFrame, ledger: DataFrame, mark: str | None, id_col: str = "CUST_ID", op_col: str = "operation"
+) -> DataFrame:
+    """P8/K5 resumed: rows whose id a failed run has not brought into this
+    operation yet. Ids, not requests, are compared: the extract of the repeated
+    run may hold more rows, so its requests hold other ids."""
+    done = accepted_ids(ledger, mark, op_col).select(F.col("id").alias("_id"), F.col(op_col).alias("_op"))
+    same = (F.col(id_col).cast("string") == F.col("_id")) & (F.col(op_col) == F.col("_op"))
+    return split.join(done, same, "left_anti")
+
+
 def outcome_of(code: str = "code") -> F.Column:
     """F16: class of an HTTP code."""
     c = F.col(code)

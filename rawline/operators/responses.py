@@ -163,6 +163,9 @@ def fetch_table(
     with its attempt count, last code and body, outcome and error text.
     ``num_partitions`` spreads the requests by key first; ``concurrency``
     overlaps calls inside a task."""
+    from ..runtime import ship_package
+
+    ship_package(requests.sparkSession)
     cols = list(request_cols or requests.columns)
     out_schema = StructType(requests.schema.fields + FETCH_FIELDS)
     sleeper = time.sleep if backoff else None

@@ -65,6 +65,65 @@ def landing_feed(spark: SparkSession, sf_dir: str, first_batch: str | None = Non
     )
 
 
+def landing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> landing lines (value, batchno), some of them broken by their
+    event_id modulo 50: 7 cut short, 13 a key of the wrong type, 21 a null
+    key, 34 a value that is no number."""
+    ev = table(spark, sf_dir, "events")
+    kind = F.col("event_id") % 50
+    user = F.coalesce(F.col("user_id").cast("string"), F.lit("null"))
+    user = F.when(kind == 13, F.concat(F.lit('"x'), user, F.lit('"'))).when(kind == 21, "null").otherwise(user)
+    amount = F.coalesce(F.col("value").cast("decimal(18,2)").cast("string"), F.lit("null"))
+    line = F.concat(
+        F.lit('{"user_id":'), user,
+        F.lit(',"event_type":"'), F.col("event_type"),
+        F.lit('","value":'), F.when(kind == 34, '"n/a"').otherwise(amount),
+        F.lit(',"current_ts":"'), F.date_format("ts", TS_TEXT),
+        F.lit('","pos":"'), F.col("event_id").cast("string"), F.lit('"}'),
+    )
+    return ev.select(F.when(kind == 7, F.substring(line, 1, 30)).otherwise(line).alias("value"), batch_id_of("ts", "day").alias("batchno"))
+
+
+def drifting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> landing lines (value, batchno) whose field ``v`` is a whole
+    number up to the 10th of the month, a number with two decimals up to the
+    20th, and text after that; ``late`` comes with the text."""
+    ev = table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    n = F.col("event_id")
+    v = (
+        F.when(day <= 10, n.cast("string"))
+        .when(day <= 20, F.concat(n.cast("string"), F.lit(".25")))
+        .otherwise(F.concat(F.lit('"n'), n.cast("string"), F.lit('","late":true')))
+    )
+    line = F.concat(F.lit('{"event_id":'), n.cast("string"), F.lit(',"v":'), v, F.lit("}"))
+    return ev.select(line.alias("value"), batch_id_of("ts", "day").alias("batchno"))
+
+
+def logged_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """app_status of runs that took the hourly batches of 02:00 on
+    2024-01-05 and later up to 2024-01-25, but none of the hours 1 mod 3."""
+    hours = table(spark, sf_dir, "events").select(F.date_trunc("hour", "ts").alias("h")).distinct()
+    taken = hours.filter(
+        (F.col("h") >= F.lit("2024-01-05 02:00:00").cast("timestamp_ntz")) & (F.col("h") < F.lit("2024-01-25").cast("timestamp_ntz"))
+        & (F.hour("h") % 3 != 1)
+    )
+    return taken.select(F.lit("events_app").alias("app_name"), F.lit("events").alias("table_name"), batch_id_of("h", "hour").alias("batch_no"))
+
+
+def odd_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as snapshot rows (id, state, part_1) with partition values that
+    need care: empty, null, an ampersand, an accent."""
+    ev = table(spark, sf_dir, "events")
+    part = (
+        F.when(F.col("event_type") == "signup", "")
+        .when(F.col("event_type") == "view", "R&D")
+        .when(F.col("event_type") == "purchase", "éco")
+        .when(F.col("event_type") == "error", "err")
+    )
+    return ev.select(F.col("event_id").cast("string").alias("id"), F.lit("old").alias("state"), part.alias("part_1"))
+
+
 def hourly_batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing listing: one batch id per hour that has events."""
     ev = table(spark, sf_dir, "events")

@@ -19,7 +19,7 @@ from ..operators import external as ext
 from ..operators import flat as flt
 from ..operators import responses as rsp
 from ..operators.audit import APP_STATUS_COLS, SYNC_STATUS_COLS, app_status_rows, sync_rows
-from ..operators.batches import select_batches, unprocessed_batches
+from ..operators.batches import mark_value, select_batches, unprocessed_batches
 from ..operators.dedupe import latest_per_key
 from ..operators.publish import BATCH_DELETED, FILE_SYNC, publish_decision, retention_candidates, sync_mark
 from ..operators.scd import POS_COL, TS_COL, prepare_delta, restrict_to_touched, scd1_merge, touched_partitions
@@ -30,7 +30,7 @@ from ..sinks.files import (
     write_quarantine,
 )
 from ..runtime import cut_lineage, input_bytes, materialize, size_shuffle_partitions
-from ..sources.landing import landing_dir, list_batches, list_versions, quarantine_dir, raw_dir, read_snapshot, stage_landing
+from ..sources.landing import landing_dir, list_batches, list_versions, merged_schema, quarantine_dir, raw_dir, read_snapshot, sample_schema, stage_landing
 
 APP_STATUS_DDL = (
     "app_name string, table_name string, batch_no string, process_start_time timestamp_ntz, "
@@ -167,14 +167,10 @@ def landing_to_raw(
     lroot = landing_dir(cfg.sourcepath, cfg.tablename)
     rroot = raw_dir(cfg.targetpath, cfg.tablename)
     snap_path = f"{rroot}/t=0"
-    if landing_schema is None:
-        if not cfg.schemafile:
-            raise ValueError("no landing schema: pass one or set schemafile in the config")
-        from ..sources.landing import sample_schema
-
-        landing_schema = sample_schema(spark, cfg.schemafile)  # S2
-
     chosen = chosen_batches(spark, cfg, audit)
+    if landing_schema is None and chosen:
+        # A sample file, else what all chosen batches agree on
+        landing_schema = sample_schema(spark, cfg.schemafile) if cfg.schemafile else merged_schema(spark, lroot, chosen)
     record_count, version, quarantined = 0, None, 0
     if chosen:
         size_shuffle_partitions(spark, input_bytes(spark, [f"{lroot}/batchno={b}" for b in chosen] + [snap_path]))
@@ -429,16 +425,31 @@ def trusted_to_external(
     concurrency: int = 1,
 ) -> dict:
     """Extract -> allow/block split -> requests of ``size`` ids -> push ->
-    status / error tables -> audit row. Every outcome is stored before a
-    failure is raised (D18); a run with failures leaves no audit row, so its
-    ids are extracted again. The audit count is that of all extracted rows.
+    ledger -> status / error tables -> audit row.
+
+    The source is read once, into the shared folder; the total, the ranges and
+    the ids all come from that copy. Every answer goes into the request ledger
+    (``<statuspath>_requests``) before anything else, and status and errors of
+    the run's batch are written from the ledger, replacing what an earlier try
+    wrote, so a repeated run holds each request once. Every outcome is stored
+    before a failure is raised (D18). A run with failures leaves no audit row,
+    so its ids are extracted again; those that it got accepted are left out
+    then, under the same ``run_batch`` or a new one. The audit count is that of
+    all extracted rows.
 
     Requests are spread over ``num_partitions`` tasks (default: the session's
     parallelism), ``concurrency`` calls at a time in each."""
     spark = source.sparkSession
-    n_total = source.count()
-    split = ext.flag_split(source)
-    payload = cut_lineage(ext.number_requests(ext.request_batches(split, size=size), size=size))
+    source = materialize(source, "extract")
+    n_total = count_rows(source)
+    ledger_path = f"{cfg.statuspath.rstrip('/')}_requests"
+    ledger = materialize(_request_ledger(spark, ledger_path), "request_ledger")
+    mark = mark_value(audit.app_status(spark), cfg.app_name, cfg.table_name)
+    split = ext.without_accepted(ext.flag_split(source), ledger, mark)
+    # a repeated run_batch numbers on, so that no request key names two requests
+    sent = ledger.filter(F.col("batch_no") == run_batch).agg(F.max("request_seq")).first()[0] or 0
+    payload = ext.number_requests(ext.request_batches(split, size=size), size=size)
+    payload = cut_lineage(payload.withColumn("request_seq", F.col("request_seq") + F.lit(sent)))
     num_partitions = num_partitions or spark.sparkContext.defaultParallelism
     # reliable checkpoint, not persist: a lost executor must not make the
     # plan call the API again when the responses are read a second time
@@ -448,12 +459,16 @@ def trusted_to_external(
             num_partitions=num_partitions, concurrency=concurrency,
         )
     )
-    status = ext.route_status(responses, cfg.app_name, env, record_date, run_batch)
-    write_partitioned(status, cfg.statuspath, ["status_record_date_dt", "batch_no"])
-    errors = ext.route_errors(responses, record_date, run_batch, error_schema)
-    n_err = errors.count()
+    kept = [f.name for f in ledger.schema.fields if f.name != "batch_no"]
+    told = responses.select(*kept, F.lit(run_batch).alias("batch_no"), F.lit(sent).cast("string").alias("after"))
+    _replace_partitions(told, ledger_path, ["batch_no", "after"])
+    mine = _request_ledger(spark, ledger_path).filter(F.col("batch_no") == run_batch)
+    _replace_partitions(ext.route_status(mine, cfg.app_name, env, record_date, run_batch), cfg.statuspath, ["status_record_date_dt", "batch_no"])
+    errors = ext.route_errors(mine, record_date, run_batch, error_schema)
+    if not mine.filter(F.col("code").isNull() | (F.col("code") != 200)).isEmpty():
+        _replace_partitions(errors, cfg.errorpath, ["part_record_date_dt", "batch_no"])
+    n_err = responses.filter(F.col("code").isNull() | (F.col("code") != 200)).count()
     if n_err:
-        write_partitioned(errors, cfg.errorpath, ["part_record_date_dt", "batch_no"])
         raise PushFailed(f"{n_err} API requests failed; see {cfg.errorpath}")
     if n_total > 0:
         one = spark.createDataFrame([(run_batch,)], "batchno string")
@@ -461,6 +476,22 @@ def trusted_to_external(
     return {"records": n_total, "errors": n_err}
 
 
+def _request_ledger(spark: SparkSession, path: str) -> DataFrame:
+    columns = spark.createDataFrame([], ext.LEDGER_DDL).columns
+    return _read_or_empty(spark, path, ext.LEDGER_DDL).select(*columns)
+
+
+def _replace_partitions(df: DataFrame, path: str, part_cols: list[str]) -> None:
+    """K1/K5 that can be repeated: the partitions that ``df`` holds are replaced."""
+    (
+        df.hint("rebalance", *part_cols)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*part_cols)
+        .orc(path)
+    )
+
+
 # ---------------------------------------------------------------- GST flat files
 
 

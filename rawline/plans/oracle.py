@@ -500,5 +500,118 @@ select c_name as COMPANY1, 'BP' || c_nationkey::varchar as BUSSINESSPALCE1, c_cu
 from customer"""
 
 
+# ---------------------------------------------------------------- landing in full
+
+LINES = """made as (
+  select *, event_id % 50 as kind, strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') as batchno,
+         '{"user_id":' || case event_id % 50 when 13 then '"x' || coalesce(user_id::varchar, 'null') || '"'
+                                             when 21 then 'null' else coalesce(user_id::varchar, 'null') end
+         || ',"event_type":"' || event_type || '","value":'
+         || case event_id % 50 when 34 then '"n/a"' else coalesce(value::decimal(18,2)::varchar, 'null') end
+         || ',"current_ts":"' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '","pos":"' || event_id::varchar || '"}' as whole
+  from events),
+told as (
+  select *, case when kind = 7 then 'unreadable' when kind in (13, 34) then 'value does not cast'
+                 when kind = 21 or user_id is null then 'null key' end as reason,
+         case when kind = 7 then whole[1:30] else whole end as raw
+  from made)"""
+
+SQL["landing_quarantine"] = _with(LINES) + """
+select case when reason is null then user_id end as user_id, case when reason is null then event_type end as event_type,
+       case when reason is null then value::decimal(18,2) end as value,
+       case when reason is null then strftime(ts, '%Y-%m-%d %H:%M:%S.%f') end as current_ts,
+       case when reason is null then event_id::varchar end as pos, batchno,
+       case when reason is not null then raw end as line, reason
+from told"""
+
+SQL["landing_counts"] = _with(LINES) + """
+select count(*)::bigint as n_lines, count(*) filter (reason is null)::bigint as n_good, count(reason)::bigint as n_quarantined from told"""
+
+SQL["landing_schema_merge"] = """
+select event_id, case when day(ts) <= 10 then event_id::varchar when day(ts) <= 20 then event_id::varchar || '.25'
+                      else 'n' || event_id::varchar end as v,
+       case when day(ts) > 20 then true end as late, strftime(date_trunc('day', ts), '%Y%m%d%H%M%S') as batchno
+from events"""
+
+LEDGER = """hours as (select distinct date_trunc('hour', ts) as h from events),
+ledger as (
+  select strftime(h, '%Y%m%d%H%M%S') as batchno from hours
+  where h >= timestamp '2024-01-05 02:00:00' and h < timestamp '2024-01-25' and hour(h) % 3 <> 1)"""
+
+SQL["batches_processed"] = _with(LEDGER) + "select batchno from ledger"
+SQL["batches_unprocessed"] = _with(LEDGER) + """
+select strftime(h, '%Y%m%d%H%M%S') as batchno from hours
+where strftime(h, '%Y%m%d%H%M%S') > (select min(batchno) from ledger)
+  and strftime(h, '%Y%m%d%H%M%S') not in (select batchno from ledger)"""
+
+# ---------------------------------------------------------------- publishing
+
+SQL["publish_manifest"] = SQL["orc_partition_roundtrip"]
+
+TWO_VERSIONS = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("dl", DELTA_WHERE + " and event_type in ('click', 'view')", DELTA_RUN_TS),
+    prepared("d", "dl"),
+    merged("m", "d", "b", ["part_1"]),
+)
+SQL["publish_rollback"] = TWO_VERSIONS + "select * from b"
+SQL["version_counts"] = TWO_VERSIONS + """
+select 1705708800::bigint as t, count(*)::bigint as n_rows from b
+union all select 1705881600, count(*) from m"""
+SQL["manifest_folders"] = TWO_VERSIONS + """
+select 1705708800::bigint as t, part_1, count(*)::bigint as n_rows from b
+where part_1 not in (select part_1 from d) group by part_1
+union all select 1705881600, part_1, count(*) from m group by part_1"""
+
+ODD = """odd as (
+  select event_id::varchar as id, event_id, 'old' as state,
+         case event_type when 'signup' then null when 'view' then 'R&D' when 'purchase' then 'éco' when 'error' then 'err' end as part_1
+  from events)"""
+
+SQL["publish_emptied_partition"] = _with(ODD) + """
+select id, case when part_1 = 'err' then 'old' else 'new' end as state, part_1 from odd
+where part_1 = 'err' or ((part_1 is null or part_1 = 'R&D') and event_id % 2 = 0)"""
+
+SQL["partitions_registered"] = _with(ODD) + """
+select part_1, count(*)::bigint as n_rows from odd
+where part_1 is null or part_1 in ('err', 'R&D') group by part_1"""
+
+SQL["versions_roundtrip"] = "select distinct epoch(date_trunc('day', ts))::bigint as t from events"
+
+# ---------------------------------------------------------------- configs and checks
+
+SQL["rule_table_expand"] = """
+select lower(r_name) as columnkey, lower(n_name) as columnname,
+       case when n_nationkey % 7 <> 1 then n_nationkey::varchar end as columnformula
+from nation join region on n_regionkey = r_regionkey where n_nationkey % 7 not in (3, 5)"""
+
+SQL["schema_check"] = """
+select unnest(['GSTIN1', 'COMPANY1', 'USER1']) as column_name, unnest([true, true, false]) as present,
+       (select count(*) > 0 from customer) as has_rows"""
+
+SQL["substitute_mark"] = """
+select o_orderkey, o_orderdate from orders where o_orderdate > (select date_trunc('year', max(o_orderdate)) from orders)"""
+
+SQL["summary_csv_roundtrip"] = _with(FLAT) + """
+select section, '2024-01-22' as process_date, count(*)::bigint as record_count,
+       (count(distinct gst_type) + max((gst_type is null)::int))::bigint as file_count,
+       0::bigint as error_count, 'COMPLETED' as status
+from flat, (values ('gstr1'), ('gstr2a')) s(section) group by section"""
+
+SQL["resume_requests"] = _with(
+    COD, numbered(50), PUSHED,
+    """done as (select operation, unnest(string_split(id_list, ',')) as id from resp where code = 200)""",
+    """rest as (
+  select s.operation, s.CUST_ID,
+         ((row_number() over (partition by s.operation order by s.CUST_ID) - 1) // 50)::bigint as batch_index
+  from split s where not exists (select 1 from done d where d.operation = s.operation and d.id = s.CUST_ID::varchar))""",
+) + """
+select operation, batch_index, count(*)::bigint as n_ids, min(CUST_ID) as first_id, max(CUST_ID) as last_id,
+       string_agg(CUST_ID::varchar, ',' order by CUST_ID) as id_list
+from rest group by operation, batch_index"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

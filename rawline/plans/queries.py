@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.batch_ids import is_valid_batch_id
+from ..functions.batch_ids import epoch_seconds, is_valid_batch_id
 from ..functions.columns import as_date, cast_all, clean_key, prefix3
 from ..operators.audit import app_status_rows, sync_rows
 from ..operators import batches
-from ..operators.batches import batch_predicate, extract_mark, incremental_filter, mark_value, select_batches
+from ..operators.checks import column_check
+from ..operators.batches import (
+    batch_predicate, extract_mark, incremental_filter, mark_value, processed_batches, select_batches, substitute_mark, unprocessed_batches,
+)
 from ..operators.dedupe import latest_in_delta
 from ..operators.publish import (
     BATCH_DELETED,
@@ -34,12 +37,16 @@ from ..operators.scd import (
 from ..operators import external as ext
 from ..operators import flat as flt
 from ..operators import responses as rsp
-from ..runtime import cut_lineage, scratch_path
+from ..config import rule_table
+from ..runtime import cut_lineage, materialize, scratch_path
 from ..sinks.files import export_by_type as write_by_type
-from ..sinks.files import append_table, publish_partitions, write_json_by, write_partitioned
+from ..sinks import manifest as mf
+from ..sinks.files import (
+    append_csv, append_table, count_rows, publish_partitions, register_new_partitions, registered_partitions, write_json_by, write_partitioned,
+)
 from ..sinks.tables import bucket_count, create_bucketed_snapshot
 from ..sources.files import read_csv, read_sessions
-from ..sources.landing import list_batches, read_landing, read_snapshot
+from ..sources.landing import list_batches, list_versions, merged_schema, read_landing, read_lines, read_snapshot, stage_landing
 from . import feeds as fd
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -654,7 +661,211 @@ def csv_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_sessions(spark, out)
 
 
+# ---------------------------------------------------------------- landing in full
+
+
+def _landing_folder(spark: SparkSession, lines: DataFrame) -> tuple[str, list[str]]:
+    """Lines (value, batchno) as a landing folder, and its batches."""
+    root = scratch_path(spark, "L_lines")
+    lines.write.partitionBy("batchno").text(root)
+    return root, sorted(r["batchno"] for r in list_batches(spark, root).collect())
+
+
+@query
+def landing_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder with broken lines; good rows with their columns,
+    quarantined lines with their reason: together, all lines there are."""
+    root, batches_ = _landing_folder(spark, fd.landing_lines(spark, sf_dir))
+    staged = stage_landing(spark, root, _ddl(spark, LANDING_SCHEMA), batches_, fd.FEED_KEYS)
+    return staged.good.unionByName(staged.quarantined, allowMissingColumns=True)
+
+
+@query
+def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/P5: lines read, merged and quarantined, counted from committed files."""
+    root, batches_ = _landing_folder(spark, fd.landing_lines(spark, sf_dir))
+    staged = stage_landing(spark, root, _ddl(spark, LANDING_SCHEMA), batches_, fd.FEED_KEYS)
+    lines = read_lines(spark, root, batches_).agg(F.count(F.lit(1)).alias("n_lines"))
+    return lines.select("n_lines", F.lit(staged.n_good).cast("bigint").alias("n_good"), F.lit(staged.n_quarantined).cast("bigint").alias("n_quarantined"))
+
+
+@query
+def landing_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches in which a field goes from integer to decimal to text,
+    read at once with the schema that they all fit."""
+    root, batches_ = _landing_folder(spark, fd.drifting_lines(spark, sf_dir))
+    return read_landing(spark, root, merged_schema(spark, root, batches_), batches_).select("event_id", "v", "late", "batchno")
+
+
+@query
+def batches_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that no run has logged, those below the mark included."""
+    return unprocessed_batches(fd.hourly_batch_ids(spark, sf_dir), fd.logged_batches(spark, sf_dir), "events_app", "events")
+
+
+@query
+def batches_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of an app and table."""
+    return processed_batches(fd.logged_batches(spark, sf_dir), "events_app", "events")
+
+
+# ---------------------------------------------------------------- publishing
+
+
+def _two_versions(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
+    """A raw table with two versions, each merged over the one before, and the
+    partitions that the second one touched."""
+    root = scratch_path(spark, "R_events")
+    schema = _ddl(spark, SNAPSHOT_SCHEMA)
+    write_partitioned(snapshot_before(spark, sf_dir, BASE_BATCHES[1]), f"{root}/t=1705708800", ["part_1"], mode="overwrite")
+    base = read_snapshot(spark, f"{root}/t=1705708800", schema)
+    delta = materialize(delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view")), "delta")
+    write_partitioned(scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"]), f"{root}/t=1705881600", ["part_1"], mode="overwrite")
+    return root, base, touched_partitions(delta, ["part_1"])
+
+
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """A raw table whose two versions were published by the manifest's pointer."""
+    root, _, touched = _two_versions(spark, sf_dir)
+    for number, (version, of) in enumerate(((1705708800, None), (1705881600, touched)), 1):
+        rows = read_snapshot(spark, f"{root}/t={version}", _ddl(spark, SNAPSHOT_SCHEMA))
+        mf.write_manifest(mf.next_manifest(spark, root, ["part_1"], rows, f"t={version}", of), root, number)
+        mf.switch_pointer(spark, root, mf.Pointer(number, version, count_rows(rows)))
+    return root
+
+
+@query
+def publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot read through the manifest; no row was copied."""
+    return mf.read_published(spark, _published(spark, sf_dir), _ddl(spark, SNAPSHOT_SCHEMA), ["part_1"])
+
+
+@query
+def publish_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot after going back to the first manifest."""
+    root = _published(spark, sf_dir)
+    mf.roll_back(spark, root, 1)
+    return mf.read_published(spark, root, _ddl(spark, SNAPSHOT_SCHEMA), ["part_1"])
+
+
+@query
+def manifest_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which version holds each live partition, after retention
+    deleted what no manifest names; rows from the folders that are left."""
+    root = _published(spark, sf_dir)
+    mf.retire(spark, root, ["part_1"], ["t=1705708800", "t=1705881600"])
+    left = spark.read.schema("t bigint, part_1 string").option("basePath", root).orc([f"{root}/t=1705708800", f"{root}/t=1705881600"])
+    return left.groupBy("t", "part_1").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def publish_emptied_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version that rewrites the empty, null and ``R&D`` partitions
+    and empties ``éco``, published into the snapshot; ``err`` is untouched."""
+    root = scratch_path(spark, "R_odd")
+    snap = fd.odd_partitions(spark, sf_dir)
+    write_partitioned(snap, root, ["part_1"], mode="overwrite")
+    moved = snap.filter(F.col("part_1").isNull() | F.col("part_1").isin("", "R&D")).filter(F.col("id").cast("bigint") % 2 == 0)
+    version = materialize(moved.withColumn("state", F.lit("new")), "version")
+    publish_partitions(version, root, ["part_1"], [(None,), ("",), ("R&D",), ("éco",)])
+    return spark.read.schema("id string, state string, part_1 string").orc(root)
+
+
+@query
+def version_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/K3: rows of each version, from its committed files."""
+    root, _, _ = _two_versions(spark, sf_dir)
+    t = list_versions(spark, root)
+    rows = spark.read.schema("t bigint, part_1 string").option("basePath", root).orc([f"{root}/t={r['t']}" for r in t.collect()])
+    return rows.groupBy("t").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def versions_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions written as folders, found again by listing."""
+    root = scratch_path(spark, "R_versions")
+    ev = fd.table(spark, sf_dir, "events")
+    of = ev.select(epoch_seconds(F.date_trunc("day", "ts")).alias("t"), "event_id")
+    write_partitioned(of, root, ["t"], mode="overwrite")
+    return list_versions(spark, root)
+
+
+@query
+def partitions_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's partition list after two runs wrote partitions
+    outside it (odd values included) and one partition went away."""
+    import uuid
+
+    root, name = scratch_path(spark, "R_listed"), f"listed_{uuid.uuid4().hex[:12]}"
+    snap = fd.odd_partitions(spark, sf_dir)
+    spark.sql(f"CREATE TABLE {name} (id string, state string, part_1 string) USING orc PARTITIONED BY (part_1) LOCATION '{root}'")
+    write_partitioned(snap.filter(F.col("part_1").isin("err", "éco")), root, ["part_1"])
+    register_new_partitions(spark, name, ["part_1"], root)
+    write_partitioned(snap.filter(F.col("part_1").isNull() | F.col("part_1").isin("", "R&D")), root, ["part_1"])
+    publish_partitions(snap.filter("part_1 = 'err'"), root, ["part_1"], [("err",), ("éco",)])  # empties éco
+    register_new_partitions(spark, name, ["part_1"], root)
+    listed = registered_partitions(spark, name, ["part_1"])
+    there = cut_lineage(spark.table(name).groupBy("part_1").agg(F.count(F.lit(1)).alias("n_rows")))
+    spark.sql(f"DROP TABLE {name}")
+    return listed.join(there, listed["part_1"].eqNullSafe(there["part_1"])).select(listed["part_1"], "n_rows")
+
+
+# ---------------------------------------------------------------- configs and checks
+
+
+@query
+def rule_table_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3/N13/J10f/S6: the rule list of a config document (nation + region as
+    its entries; one without a key, one without a name per region)."""
+    n, r = fd.table(spark, sf_dir, "nation"), fd.table(spark, sf_dir, "region")
+    k = F.col("n_nationkey") % 7
+    rule = F.struct(
+        F.when(k != 3, F.lower("r_name")).alias("columnkey"), F.when(k != 5, F.lower("n_name")).alias("columnname"),
+        F.when(k != 1, F.col("n_nationkey").cast("string")).alias("columnformula"),
+    )
+    doc = n.join(r, n.n_regionkey == r.r_regionkey).groupBy().agg(F.collect_list(rule).alias("additional_columns"))
+    return rule_table(doc.select(F.struct("additional_columns").alias("rawpipeline")))
+
+
+@query
+def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the required session columns of a session list that lacks one."""
+    return column_check(fd.sessions(spark, sf_dir).drop("USER1"))
+
+
+@query
+def substitute_mark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source query with the last run's mark in place of its
+    placeholder, run on the source."""
+    text = "select o_orderkey, o_orderdate from {orders} where o_orderdate > to_timestamp('dummy_date', 'yyyyMMddHHmmss')"
+    status = fd.table(spark, sf_dir, "orders").select(
+        F.lit("orders_app").alias("app_name"), F.lit("orders").alias("table_name"),
+        F.date_format(F.date_trunc("year", "o_orderdate"), "yyyyMMddHHmmss").alias("batch_no"),
+    )
+    mark = extract_mark(None, status.distinct(), "orders_app", "orders")
+    return spark.sql(substitute_mark(text, mark), orders=fd.table(spark, sf_dir, "orders"))
+
+
+@query
+def summary_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: two runs' summary rows appended as CSV with a header, read back."""
+    out = scratch_path(spark, "summary")
+    for section in ("gstr1", "gstr2a"):
+        append_csv(flt.flat_summary(_flat(spark, sf_dir), section, RUN_DATE), out, header=True)
+    return read_csv(spark, out, "section string, process_date string, record_count bigint, file_count bigint, error_count bigint, status string", header=True)
+
+
+@query
+def resume_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests of a repeated run, without the ids that the failed
+    run before it got accepted."""
+    sent = _pushed(spark, sf_dir)
+    ledger = sent.withColumn("batch_no", F.lit(RUN_BATCH))
+    return ext.request_batches(ext.without_accepted(_cod_split(spark, sf_dir), ledger, None), size=50)
+
+
 QUERY_NAMES = {
+    "substitute_mark_q": "substitute_mark",
     "latest_in_delta_q": "latest_in_delta",
     "scd1_merge_q": "scd1_merge",
     "touched_partitions_q": "touched_partitions",

@@ -35,6 +35,18 @@ def sample_schema(spark: SparkSession, sample_path: str) -> StructType:
     return spark.read.json(sample_path).schema
 
 
+def merged_schema(spark: SparkSession, landing_root: str, batches: Sequence[str]) -> StructType:
+    """S2/U1 under schema drift: the schema that all lines of the chosen
+    batches fit. A field that changes between them is widened (integer,
+    decimal, double) or, where its types have nothing wider in common, read as
+    text; a field that some batches lack is null there. One pass that infers
+    and merges types in the tasks; unreadable lines have no say."""
+    root = landing_root.rstrip("/")
+    reader = spark.read.option("basePath", root).option("prefersDecimal", True).option("mode", "DROPMALFORMED")
+    found = reader.json([f"{root}/batchno={b}" for b in batches]).schema
+    return StructType([f for f in found.fields if f.name != "batchno"])
+
+
 def list_batches(spark: SparkSession, landing_root: str) -> DataFrame:
     """S3 + N21: the landing batch directories as a one-column table
     ``batchno`` (string). Only names that are valid batch ids are kept

@@ -95,3 +95,20 @@ def test_template_and_incremental_filter(spark):
         F.col("s").cast("timestamp_ntz").alias("ts")
     )
     assert incremental_filter(df, "ts", "20240101120000").count() == 1
+
+
+def test_merged_schema_widens_else_text(spark):
+    from rawline.runtime import scratch_path
+    from rawline.sources.landing import merged_schema
+
+    root = scratch_path(spark, "drift")
+    for batch, lines in {
+        "20240101000000": ['{"a":1,"b":1,"c":true}', '{"broken":'],
+        "20240102000000": ['{"a":2.25,"b":"x","d":{"e":1}}'],
+        "20240103000000": ['{"a":3,"b":{"z":1},"c":1}'],
+    }.items():
+        spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{root}/batchno={batch}")
+    found = {f.name: f.dataType.simpleString() for f in merged_schema(spark, root, ["20240101000000", "20240102000000", "20240103000000"])}
+    assert found.keys() == {"a", "b", "c", "d"}
+    assert found["a"].startswith("decimal") and found["b"] == "string" and found["c"] == "string" and found["d"] == "struct<e:bigint>"
+    assert {f.name for f in merged_schema(spark, root, ["20240102000000"])} == {"a", "b", "d"}

@@ -1,0 +1,137 @@
+"""Pushes that can be repeated, a source that is read once, jobs as a library."""
+
+import os
+import subprocess
+import sys
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from rawline.config import ExternalConfig
+from rawline.operators import external as ext
+from rawline.plans.jobs import AuditStore, PushFailed, trusted_to_external
+from rawline.runtime import scratch_path
+
+
+def refuse(*ids):
+    """A client that refuses requests with one of the ids, and notes each call in a folder."""
+    folder = scratch_notes()
+
+    def client(params):
+        import uuid
+
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write(params["param2"] + ":" + params["param1"])
+        return (400, "{}") if set(params["param1"].split(",")) & set(ids) else (200, "{}")
+
+    return client, folder
+
+
+def scratch_notes():
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="run-")
+
+
+def calls(folder):
+    return sorted(open(f"{folder}/{n}").read() for n in os.listdir(folder))
+
+
+def setup(spark):
+    root = scratch_path(spark, "resume")
+    cfg = ExternalConfig("cod_app", "cod", f"{root}/status", f"{root}/errors")
+    return cfg, AuditStore(f"{root}/a", f"{root}/s")
+
+
+def push(src, cfg, client, audit, batch, size=2):
+    return trusted_to_external(src, cfg, client, audit, "PRD", "2024-01-22 00:00:00", batch, "2024-01-22", size=size, key_param="key")
+
+
+def cod(spark, ids, blocked=()):
+    return spark.createDataFrame([(i, 0 if i in blocked else 1) for i in ids], "CUST_ID bigint, COD_ALLOWED int")
+
+
+@pytest.mark.parametrize("second", ["20240122000000", "20240123000000"])
+def test_repeated_run_sends_only_what_was_refused(spark, second):
+    cfg, audit = setup(spark)
+    client, notes = refuse("3")
+    with pytest.raises(PushFailed):
+        push(cod(spark, range(1, 9)), cfg, client, audit, "20240122000000")
+    assert len(calls(notes)) == 4
+    client, notes = refuse()
+    push(cod(spark, range(1, 10)), cfg, client, audit, second)  # a new id came in meanwhile
+    assert calls(notes) == ["allow:3,4", "allow:9"]
+    status = spark.read.orc(cfg.statuspath)
+    assert status.count() == 5 and status.select("request_key").distinct().count() == 5
+    assert status.agg(F.sum("batch_record_count")).first()[0] == 9
+    assert rows(audit.app_status(spark), "record_count") == [(9,)]
+    # after a run that went through, all ids are new again
+    client, notes = refuse()
+    push(cod(spark, range(1, 5)), cfg, client, audit, "20240124000000")
+    assert calls(notes) == ["allow:1,2", "allow:3,4"]
+
+
+def test_id_that_changed_operation_is_sent_again(spark):
+    cfg, audit = setup(spark)
+    client, _ = refuse("2")
+    with pytest.raises(PushFailed):
+        push(cod(spark, [1, 2, 3]), cfg, client, audit, "20240122000000", size=1)
+    client, notes = refuse()
+    push(cod(spark, [1, 2, 3], blocked=[1]), cfg, client, audit, "20240123000000", size=1)
+    assert calls(notes) == ["allow:2", "block:1"]
+
+
+def test_last_accepted_operation_counts(spark):
+    ledger = spark.createDataFrame(
+        [("allow", 1, "1,2", 200, "20240101000000"), ("block", 1, "1", 200, "20240102000000"), ("allow", 2, "3", 500, "20240102000000")],
+        "operation string, request_seq bigint, id_list string, code int, batch_no string",
+    )
+    assert rows(ext.accepted_ids(ledger, None)) == [("1", "block"), ("2", "allow")]
+    assert rows(ext.accepted_ids(ledger, "20240101000000")) == [("1", "block")]
+    assert rows(ext.accepted_ids(ledger, "20240102000000")) == []
+
+
+def test_source_is_read_once(spark):
+    cfg, audit = setup(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    src = cod(spark, range(40)).mapInPandas(noted, "CUST_ID bigint, COD_ALLOWED int")
+    client, _ = refuse()
+    assert push(src, cfg, client, audit, "20240122000000", size=7)["records"] == 40
+    assert read.value == 40
+
+
+def test_repeated_status_write_leaves_each_request_once(spark):
+    cfg, audit = setup(spark)
+    client, _ = refuse("1")
+    for _ in range(3):
+        with pytest.raises(PushFailed):
+            push(cod(spark, range(1, 5)), cfg, client, audit, "20240122000000")
+    status = spark.read.orc(cfg.statuspath)
+    assert status.count() == 1
+    assert spark.read.orc(cfg.errorpath).count() == 3  # every refusal is kept
+
+
+def test_operators_ship_the_package_themselves(tmp_path):
+    """From another folder, without the command line: workers find the package."""
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from rawline.operators import external as ext\n"
+        "from rawline.operators import responses as rsp\n"
+        "p = spark.createDataFrame([('allow', 0, 1, '1,2')], 'operation string, batch_index bigint, request_seq bigint, id_list string')\n"
+        "assert ext.push_requests(p, lambda q: (200, '{}')).first()['code'] == 200\n"
+        "r = spark.createDataFrame([('u',)], 'url string')\n"
+        "assert rsp.fetch_table(r, lambda q, n: (200, '{}'), backoff=False).first()['outcome'] == 'ok'\n"
+    )
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code, repo], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

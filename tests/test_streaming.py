@@ -72,3 +72,36 @@ def test_stream_into_bucketed_table(spark):
     expect = apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
     assert rows(spark.table(name).select(*snap1.columns)) == rows(expect)
     assert bucket_count(spark, name) == 4
+
+
+def test_replayed_epoch_is_skipped_and_audited_once(spark):
+    from rawline.streaming.landing_stream import EpochLedger, merge_micro_batch
+
+    root = scratch_path(spark, "epochs")
+    cfg = RawPipelineConfig(
+        appname="events_app", tablename="events", sourcepath=f"{root}/landing", targetpath=f"{root}/raw",
+        keys=fd.FEED_KEYS, selectcols=fd.FEED_SELECT, rules=fd.FEED_RULES,
+    )
+    ledger = EpochLedger(f"{root}/epochs", "events-stream")
+    merge = merge_micro_batch(cfg, fd.BASE_RUN_TS, ledger=ledger)
+    feed = fd.landing_feed(spark, SF)
+    one, two = feed.filter("batchno = '20240105000000'"), feed.filter("batchno in ('20240106000000', '20240107000000')")
+    merge(one, 0)
+    merge(two, 1)
+    merge(feed.limit(0), 2)  # an epoch without rows
+    schema = delta_of(spark, SF, "20240105000000", "20240105000000").schema
+    before = rows(read_snapshot(spark, f"{root}/raw/R_events/t=0", schema))
+    merge(feed, 1)  # the same epoch again, whatever it holds: it was published
+    assert rows(read_snapshot(spark, f"{root}/raw/R_events/t=0", schema)) == before
+    logged = rows(ledger.app_status(spark), "batch_no", "record_count")
+    assert [b for b, _ in logged] == ["20240105000000", "20240106000000", "20240107000000"]
+    n = {b: feed.filter(F.col("batchno").isin(*x)).select("user_id").distinct().count()
+         for b, x in (("20240105000000", ["20240105000000"]), ("20240106000000", ["20240106000000", "20240107000000"]))}
+    assert logged[0][1] == n["20240105000000"] and logged[1][1] == n["20240106000000"]
+    # stopped between publishing and the ledger: the epoch runs again and changes nothing
+    from rawline.sinks.files import delete_path
+
+    delete_path(spark, f"{root}/epochs/stream=events-stream/epoch=1/_SUCCESS")
+    merge(two, 1)
+    assert rows(read_snapshot(spark, f"{root}/raw/R_events/t=0", schema)) == before
+    assert rows(ledger.app_status(spark), "batch_no", "record_count") == logged
