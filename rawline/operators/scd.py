@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
 from ..functions.columns import ColumnRule, cast_all, derive_columns, position_order
 from .dedupe import latest_in_delta, latest_per_key
 
@@ -160,6 +161,55 @@ def scd1_merge(
     return latest_per_key(both, keys, order).drop("_src")
 
 
+BUCKET_COL = "key_bucket"
+
+
+def key_index(snapshot: DataFrame, keys: Sequence[str], part_cols: Sequence[str], buckets: int) -> DataFrame:
+    """Where each key of a snapshot lies: keys, partition values and a bucket
+    of the key, by which the index is stored (``sinks.files.write_key_index``)."""
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    return snapshot.select(*keys, *part_cols, bucket.alias(BUCKET_COL)).distinct()
+
+
+def stale_partitions(delta: DataFrame, index: DataFrame, keys: Sequence[str], part_cols: Sequence[str], buckets: int) -> DataFrame:
+    """Partitions that hold a key of the delta, by the index: of the index
+    only the buckets of the delta's keys are read, and of them only rows of
+    those keys get past the join."""
+    mine = key_index(delta, keys, [], buckets)
+    wanted = [r[BUCKET_COL] for r in mine.select(BUCKET_COL).distinct().collect()]  # bucket numbers: partition metadata
+    near = index.filter(F.col(BUCKET_COL).isin(wanted)) if wanted else index.limit(0)
+    return touched_partitions(_match_join(near, mine, keys, "left_semi"), part_cols)
+
+
+def moved_index(index: DataFrame, merged: DataFrame, keys: Sequence[str], part_cols: Sequence[str], buckets: int) -> DataFrame:
+    """The index of the buckets that a merge changes, in full, to be written
+    over them: keys of ``merged`` (the merge's rows) point to where they lie
+    now, the other keys of those buckets stay."""
+    fresh = key_index(merged, keys, part_cols, buckets)
+    changed = [r[BUCKET_COL] for r in fresh.select(BUCKET_COL).distinct().collect()]
+    old = index.filter(F.col(BUCKET_COL).isin(changed)) if changed else index.limit(0)
+    return _match_join(old, fresh, keys, "left_anti").unionByName(fresh)
+
+
+def scd1_merge_indexed(
+    delta: DataFrame,
+    base: DataFrame,
+    index: DataFrame,
+    keys: Sequence[str],
+    part_cols: Sequence[str],
+    buckets: int,
+    lexicographic: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """P1 with keys that move partition (D2 off) and without reading the whole
+    snapshot: (new content, rewritten partitions). The key index names the
+    partitions that hold the delta's keys now; they are merged along with the
+    delta's own, so that a moved key leaves no row behind."""
+    touched = touched_partitions(delta, part_cols).unionByName(stale_partitions(delta, index, keys, part_cols, buckets)).distinct()
+    touched = materialize(touched, "rewritten")  # read below and by the caller
+    near = restrict_to_touched(align_to(base, delta), touched, part_cols)
+    return scd1_merge(delta, near, keys, part_cols, lexicographic, global_keys=True), touched
+
+
 def untouched_rows(base: DataFrame, touched: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     """Snapshot rows of partitions the merge did not touch (they stay): an
     anti-join against the touched tuples (partition metadata)."""

@@ -130,6 +130,34 @@ def hourly_batch_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(batch_id_of("ts", "hour").alias("batchno")).distinct()
 
 
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_SELECT = ["l_orderkey", "l_linenumber", "price", "l_returnflag", "current_ts", "pos"]
+LINE_RULES = [
+    ColumnRule("row_key", "row_key", "l_orderkey,l_linenumber"),
+    ColumnRule("part_1", "part_1", "l_returnflag"),
+]
+
+
+def line_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as landing rows: time from the ship date, position from part
+    and supplier (some keys of lineitem repeat, so the latest line counts)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), "l_returnflag",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("current_ts"),
+        (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).cast("string").alias("pos"),
+    )
+
+
+def line_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of the lines of every tenth order: a new price, later positions."""
+    feed = line_feed(spark, sf_dir).filter(F.col("l_orderkey") % 10 == 0)
+    return feed.withColumns({
+        "price": (F.col("price") + 1).cast("decimal(18,2)"),
+        "pos": (F.col("pos").cast("bigint") + 10**15).cast("string"),
+    })
+
+
 def tax_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> gstin, gst_type, transaction_date, status (4 columns so the
     whole-row distinct has work to do)."""

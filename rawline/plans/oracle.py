@@ -500,6 +500,24 @@ select c_name as COMPANY1, 'BP' || c_nationkey::varchar as BUSSINESSPALCE1, c_cu
 from customer"""
 
 
+SQL["scd1_merge_indexed"] = SQL["scd1_merge_global_keys"]
+
+SQL["scd1_merge_lines"] = f"""
+with lines as (
+  select l_orderkey, l_linenumber, l_extendedprice::decimal(18,2) as price, l_returnflag,
+         strftime(l_shipdate, '%Y-%m-%d') as kafka_ts, l_partkey * 1000000 + l_suppkey as p
+  from lineitem),
+latest as (
+  select * from lines qualify row_number() over (partition by l_orderkey, l_linenumber order by kafka_ts desc, p desc) = 1)
+select l_orderkey::varchar as l_orderkey, l_linenumber::varchar as l_linenumber,
+       (case when l_orderkey % 10 = 0 then price + 1 else price end)::decimal(18,2)::varchar as price,
+       l_returnflag, kafka_ts, (case when l_orderkey % 10 = 0 then p + 1000000000000000 else p end)::varchar as trail_file_pos,
+       case when l_orderkey % 10 = 0 then '{DELTA_RUN_TS}' else '{BASE_RUN_TS}' end as last_updated_date,
+       l_orderkey::varchar || l_linenumber::varchar as row_key, l_returnflag as part_1
+from latest
+where l_returnflag in (select l_returnflag from latest where l_orderkey % 10 = 0)"""
+
+
 # ---------------------------------------------------------------- landing in full
 
 LINES = """made as (

@@ -27,6 +27,7 @@ from ..operators.publish import (
     retention_candidates,
     sync_mark,
 )
+from ..operators import scd
 from ..operators.scd import (
     apply_merge,
     prepare_delta,
@@ -42,7 +43,7 @@ from ..runtime import cut_lineage, materialize, scratch_path
 from ..sinks.files import export_by_type as write_by_type
 from ..sinks import manifest as mf
 from ..sinks.files import (
-    append_csv, append_table, count_rows, publish_partitions, register_new_partitions, registered_partitions, write_json_by, write_partitioned,
+    append_csv, append_table, count_rows, publish_partitions, register_new_partitions, registered_partitions, write_json_by, write_key_index, write_partitioned,
 )
 from ..sinks.tables import bucket_count, create_bucketed_snapshot
 from ..sources.files import read_csv, read_sessions
@@ -81,6 +82,11 @@ def delta_of(spark: SparkSession, sf_dir: str, start: str, end: str, types=None,
     return prepare_delta(feed, fd.FEED_KEYS, fd.FEED_SELECT, rules, run_ts, date_partitioned=date)
 
 
+def delta_once(spark: SparkSession, sf_dir: str, *args, **more) -> DataFrame:
+    """``delta_of``, run once: a merge reads it for its touched partitions and for its rows."""
+    return materialize(delta_of(spark, sf_dir, *args, **more), "delta")
+
+
 @query
 def latest_in_delta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + F1 + J4: latest landing row per key in the delta batches."""
@@ -92,7 +98,7 @@ def latest_in_delta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd1_merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship P1: all event types in the delta, so every partition is touched."""
     base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
-    delta = delta_of(spark, sf_dir, *DELTA_BATCHES)
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES)
     return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"])
 
 
@@ -100,7 +106,7 @@ def scd1_merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd1_merge_untouched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 + F4: only click/view in the delta; other partitions are left out."""
     base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
-    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
     return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"])
 
 
@@ -108,7 +114,7 @@ def scd1_merge_untouched_partitions(spark: SparkSession, sf_dir: str) -> DataFra
 def scd1_merge_lexicographic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 with positions compared as text, as the reference's W2 does."""
     base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
-    delta = delta_of(spark, sf_dir, *DELTA_BATCHES)
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES)
     return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"], lexicographic=True)
 
 
@@ -116,10 +122,39 @@ def scd1_merge_lexicographic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd1_merge_global_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 with the whole snapshot taking part (D2 off): one row per key."""
     base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
-    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
     return scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"], global_keys=True)
 
 
+INDEX_BUCKETS = 8
+
+
+@query
+def scd1_merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 with keys that move partition, by the key index beside the snapshot:
+    the whole snapshot afterwards, one row per key."""
+    root, index_path = scratch_path(spark, "R_indexed"), scratch_path(spark, "R_index")
+    write_partitioned(snapshot_before(spark, sf_dir, BASE_BATCHES[1]), root, ["part_1"], mode="overwrite")
+    base = read_snapshot(spark, root, _ddl(spark, SNAPSHOT_SCHEMA))
+    write_key_index(scd.key_index(base, fd.FEED_KEYS, ["part_1"], INDEX_BUCKETS), index_path)
+    index = spark.read.schema(f"user_id string, part_1 string, {scd.BUCKET_COL} int").orc(index_path)
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    merged, rewritten = scd.scd1_merge_indexed(delta, base, index, fd.FEED_KEYS, ["part_1"], INDEX_BUCKETS)
+    return apply_merge(base, merged, rewritten, ["part_1"])
+
+
+def _line_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare_delta(fd.line_feed(spark, sf_dir), fd.LINE_KEYS, fd.LINE_SELECT, fd.LINE_RULES, fd.BASE_RUN_TS)
+
+
+@query
+def scd1_merge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 on a big table: every tenth order's lines of lineitem are updated;
+    key of two columns, partition by return flag."""
+    delta = materialize(prepare_delta(fd.line_updates(spark, sf_dir), fd.LINE_KEYS, fd.LINE_SELECT, fd.LINE_RULES, fd.DELTA_RUN_TS), "delta")
+    return scd1_merge(delta, _line_snapshot(spark, sf_dir), fd.LINE_KEYS, ["part_1"])
+
+
 DATE_PARTS = ["part_1", "part_2", "part_3"]
 
 
@@ -129,7 +164,7 @@ def scd1_multi_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     date of kafka_ts). The delta replays batch 2024-01-20, already in the
     snapshot: replayed rows tie with the snapshot and the snapshot row stays."""
     base = snapshot_before(spark, sf_dir, "20240120000000", fd.FEED_DATE_RULES, date=True)
-    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, rules=fd.FEED_DATE_RULES, date=True)
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES, rules=fd.FEED_DATE_RULES, date=True)
     return scd1_merge(delta, base, fd.FEED_KEYS, DATE_PARTS)
 
 
@@ -137,11 +172,11 @@ def scd1_multi_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd1_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 run twice with a publish in between; the whole snapshot after run 2,
     which replays the first run's batch and takes all later ones."""
-    snap0 = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
-    d1 = delta_of(spark, sf_dir, "20240120000000", "20240120000000", types=("click", "view"))
+    snap0 = materialize(snapshot_before(spark, sf_dir, BASE_BATCHES[1]), "snapshot")
+    d1 = delta_once(spark, sf_dir, "20240120000000", "20240120000000", types=("click", "view"))
     snap1 = apply_merge(snap0, scd1_merge(d1, snap0, fd.FEED_KEYS, ["part_1"]), touched_partitions(d1, ["part_1"]), ["part_1"])
-    snap1 = cut_lineage(snap1)  # the published snapshot between the runs
-    d2 = delta_of(spark, sf_dir, *DELTA_BATCHES, run_ts=fd.SECOND_RUN_TS)
+    snap1 = materialize(snap1, "snapshot")  # the published snapshot between the runs
+    d2 = delta_once(spark, sf_dir, *DELTA_BATCHES, run_ts=fd.SECOND_RUN_TS)
     return apply_merge(snap1, scd1_merge(d2, snap1, fd.FEED_KEYS, ["part_1"]), touched_partitions(d2, ["part_1"]), ["part_1"])
 
 
@@ -719,7 +754,7 @@ def _two_versions(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, Dat
     schema = _ddl(spark, SNAPSHOT_SCHEMA)
     write_partitioned(snapshot_before(spark, sf_dir, BASE_BATCHES[1]), f"{root}/t=1705708800", ["part_1"], mode="overwrite")
     base = read_snapshot(spark, f"{root}/t=1705708800", schema)
-    delta = materialize(delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view")), "delta")
+    delta = delta_once(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
     write_partitioned(scd1_merge(delta, base, fd.FEED_KEYS, ["part_1"]), f"{root}/t=1705881600", ["part_1"], mode="overwrite")
     return root, base, touched_partitions(delta, ["part_1"])
 

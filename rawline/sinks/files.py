@@ -121,6 +121,17 @@ def write_quarantine(bad: DataFrame, path: str) -> None:
     )
 
 
+def write_key_index(index: DataFrame, path: str, bucket_col: str = "key_bucket") -> None:
+    """A key index by bucket of the key; buckets that ``index`` holds are replaced."""
+    (
+        index.hint("rebalance", bucket_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(bucket_col)
+        .orc(path)
+    )
+
+
 def _as_text(values: Sequence) -> tuple:
     return tuple(None if v is None else str(v) for v in values)
 

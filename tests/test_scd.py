@@ -219,3 +219,41 @@ def test_null_partitions_are_values(spark):
     assert rows(out, "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("e", "7")]
     touched = touched_partitions(delta, parts)
     assert rows(apply_merge(base, out, touched, parts), "id", "trail_file_pos") == [("a", "1"), ("b", "5"), ("c", "6"), ("d", "4"), ("e", "7")]
+
+
+def test_indexed_merge_reads_only_touched_and_indexed_partitions(spark):
+    from rawline.operators import scd
+    from rawline.runtime import scratch_path
+    from rawline.sinks.files import write_key_index, write_partitioned
+    from rawline.sources.landing import read_snapshot
+
+    cols = "id string, v string, kafka_ts string, trail_file_pos string, part_1 string"
+    schema = spark.createDataFrame([], cols).schema
+    snap = spark.createDataFrame([(str(i), "old", "t", "1", f"p{i % 6}") for i in range(60)] + [("n", "old", "t", "1", None)], schema)
+    root, at = scratch_path(spark, "snap"), scratch_path(spark, "index")
+    write_partitioned(snap, root, ["part_1"])
+    base = read_snapshot(spark, root, schema)
+    write_key_index(scd.key_index(base, ["id"], ["part_1"], 4), at)
+    index = spark.read.schema(f"id string, part_1 string, {scd.BUCKET_COL} int").orc(at)
+    # 1 moves p1 -> p2, n leaves the null partition, new key in p3, 8 is older than the snapshot's row
+    delta = spark.createDataFrame(
+        [("1", "new", "t", "2", "p2"), ("n", "new", "t", "2", "p2"), ("x", "new", "t", "2", "p3"), ("4", "late", "t", "0", "p2")], schema
+    )
+    merged, rewritten = scd.scd1_merge_indexed(delta, base, index, ["id"], ["part_1"], 4)
+    assert rows(rewritten) == [("p1",), ("p2",), ("p3",), ("p4",), (None,)]
+    whole = scd.scd1_merge(delta, base, ["id"], ["part_1"], global_keys=True)
+    assert rows(scd.apply_merge(base, merged, rewritten, ["part_1"])) == rows(whole)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan orc" in x and "trail_file_pos" in x)
+    assert "part_1" in scan.split("PartitionFilters")[1] and "p5" not in scan and "p0" not in scan
+    # the index after the merge names where every key lies now
+    write_key_index(materialized(scd.moved_index(index, merged, ["id"], ["part_1"], 4)), at)
+    spark.catalog.refreshByPath(at)
+    now = spark.read.schema(f"id string, part_1 string, {scd.BUCKET_COL} int").orc(at)
+    assert rows(now, "id", "part_1") == rows(whole, "id", "part_1")
+
+
+def materialized(df):
+    from rawline.runtime import materialize
+
+    return materialize(df, "test")
