@@ -217,6 +217,8 @@ def landing_to_table(
     table: str,
     table_path: str,
     buckets: int | None = None,
+    versions: bool = False,
+    strict_publish: bool = False,
 ) -> RawRunResult:
     """Landing JSON -> SCD1 merge -> published into a catalog snapshot
     bucketed by the merge keys (the at-scale layout, ``sinks.tables``).
@@ -228,14 +230,21 @@ def landing_to_table(
     partitions (a dynamic overwrite commits after all reads); the run is
     logged as a ``file_sync`` of ``run_epoch``. The first run creates the table with
     ``buckets`` (default: the shuffle partitions) buckets.
+
+    With ``versions`` the merge is written beside the table and published by
+    partition locations (``publish_table_versions``), with pending versions,
+    retention and a way back as in the path layout.
     """
     from ..operators.scd import align_to
-    from ..sinks.tables import bucket_count, create_bucketed_snapshot, publish_to_table
+    from ..sinks.tables import bucket_count, create_bucketed_snapshot, publish_to_table, write_table_version
 
     parts = partition_columns(cfg.rules)
     lroot = landing_dir(cfg.sourcepath, cfg.tablename)
     chosen = chosen_batches(spark, cfg, audit)
     if not chosen:
+        if versions and spark.catalog.tableExists(table):
+            action, published = publish_table_versions(spark, cfg, audit, run_ts, table, table_path, strict_publish)
+            return RawRunResult(chosen, 0, None, action, published, cleanup_table(spark, cfg, audit, run_ts, table, table_path))
         return RawRunResult(chosen, 0, None, "none", [], [])
     size_shuffle_partitions(spark, input_bytes(spark, [f"{lroot}/batchno={b}" for b in chosen] + [table_path]))
     delta, quarantined = staged_delta(spark, cfg, landing_schema, chosen, run_ts)
@@ -252,6 +261,16 @@ def landing_to_table(
         touch = parts[-1:] if cfg.date_partitioned else parts
         merged = scd1_merge(delta, base, cfg.keys, parts, touch_cols=touch, buckets=n)
         touched = cut_lineage(rewritten_partitions(delta, align_to(base, delta), cfg))  # fixed before the table changes
+        if versions:
+            vpath = f"{versions_dir(table_path)}/t={run_epoch}"
+            write_table_version(merged.select(*spark.table(table).columns), table, cfg.keys, parts, vpath)
+            touched.select(*[F.col(p).cast("string").alias(p) for p in parts]).write.mode("overwrite").json(f"{vpath}/_touched")
+            n_rows = count_rows(read_version(spark, vpath, partition_types(cfg.rules, cfg.date_partitioned)))
+            batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
+            audit.append_app_status(app_status_rows(batches_df, cfg.appname, cfg.tablename, run_ts, run_ts, n_rows))
+            action, published = publish_table_versions(spark, cfg, audit, run_ts, table, table_path, strict_publish)
+            deleted = cleanup_table(spark, cfg, audit, run_ts, table, table_path)
+            return RawRunResult(chosen, n_rows, run_epoch, action, published, deleted, quarantined)
         publish_to_table(merged, table, parts, touched)
     record_count = count_rows(restrict_to_touched(spark.table(table).select(*parts), touched, parts))
     batches_df = spark.createDataFrame([(b,) for b in chosen], "batchno string")
@@ -261,6 +280,47 @@ def landing_to_table(
     return RawRunResult(chosen, record_count, run_epoch, "publish", [run_epoch], [], quarantined)
 
 
+def versions_dir(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}_versions"
+
+
+def publish_table_versions(
+    spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, table: str, table_path: str, strict: bool = False
+) -> tuple[str, list[int]]:
+    """P2 for a bucketed table: the pending version's partitions become the
+    table's; several pending versions (D5) are unioned with W2 into one first.
+    A stopped publish is done again by the next run."""
+    from ..sinks.tables import bucket_count, publish_table_version, write_table_version
+
+    parts, root = partition_columns(cfg.rules), versions_dir(table_path)
+    action, pending = _pending(spark, cfg, audit, strict, root)
+    if not pending:
+        return action, []
+    version, touched, n = _pending_rows(spark, cfg, pending, root)
+    path = f"{root}/t={pending[-1]}"
+    if len(pending) > 1:
+        path += "_merged"
+        laid_out = version.select(*spark.table(table).columns).repartition(bucket_count(spark, table), *[F.col(k) for k in cfg.keys])
+        write_table_version(laid_out, table, cfg.keys, parts, path)
+    publish_table_version(spark, table, parts, path, touched, f"{root}/_before/t={pending[-1]}")
+    _log_sync(spark, cfg, audit, pending, run_ts, n)
+    return action, pending
+
+
+def cleanup_table(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, table: str, table_path: str) -> list[str]:
+    """P3 for a bucketed table: published versions in which none of its
+    partitions lies any more are deleted and logged."""
+    from ..sinks.tables import retire_table_versions
+
+    parts, root = partition_columns(cfg.rules), versions_dir(table_path)
+    cands = [r["batch_no"] for r in retention_candidates(audit.sync_status(spark), cfg.appname, cfg.tablename).collect()]
+    folders = {b: f"{root}/t={b}" for b in cands}
+    folders |= {f: f"{root}/{f}" for f in list_children(spark, root) if f.endswith("_merged")}
+    gone = [b for b in retire_table_versions(spark, table, parts, folders) if b in cands]
+    _log_deleted(spark, cfg, audit, gone, run_ts)
+    return gone
+
+
 def publish(
     spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, run_ts: str, strict: bool = False
 ) -> tuple[str, list[int]]:
@@ -268,32 +328,30 @@ def publish(
     copied in; several (D5) are unioned with W2 first, unless ``strict``."""
     parts = partition_columns(cfg.rules)
     rroot = raw_dir(cfg.targetpath, cfg.tablename)
-    action, pending = _pending(spark, cfg, audit, strict)
+    action, pending = _pending(spark, cfg, audit, strict, rroot)
     if not pending:
         return action, []
-    version, touched, n = _pending_rows(spark, cfg, pending)
+    version, touched, n = _pending_rows(spark, cfg, pending, rroot)
     # one version: its files are already one-partition-each, copy without a shuffle
     publish_partitions(version, f"{rroot}/t=0", parts, touched, keep_layout=len(pending) == 1)
     _log_sync(spark, cfg, audit, pending, run_ts, n)
     return action, pending
 
 
-def _pending(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, strict: bool) -> tuple[str, list[int]]:
-    """The action (L5/D5) and the versions that it takes."""
+def _pending(spark: SparkSession, cfg: RawPipelineConfig, audit: AuditStore, strict: bool, root: str) -> tuple[str, list[int]]:
+    """The action (L5/D5) and the versions below ``root`` that it takes."""
     mark = sync_mark(audit.sync_status(spark), cfg.appname, cfg.tablename)
-    rroot = raw_dir(cfg.targetpath, cfg.tablename)
-    pending = sorted(r["t"] for r in list_versions(spark, rroot).filter(F.col("t") > mark).collect())
+    pending = sorted(r["t"] for r in list_versions(spark, root).filter(F.col("t") > mark).collect())
     action = publish_decision(len(pending), strict)
     return action, pending if action in ("publish", "merge_all") else []
 
 
-def _pending_rows(spark: SparkSession, cfg: RawPipelineConfig, pending: list[int]) -> tuple[DataFrame, DataFrame | None, int]:
+def _pending_rows(spark: SparkSession, cfg: RawPipelineConfig, pending: list[int], root: str) -> tuple[DataFrame, DataFrame | None, int]:
     """The rows that the pending versions publish (several: the union with W2,
     run once), the partitions they touch, and the number of rows."""
     parts = partition_columns(cfg.rules)
-    rroot = raw_dir(cfg.targetpath, cfg.tablename)
     ptypes = partition_types(cfg.rules, cfg.date_partitioned)
-    paths = [f"{rroot}/t={v}" for v in pending]
+    paths = [f"{root}/t={v}" for v in pending]
     frames = [read_version(spark, p, ptypes).withColumn("_v", F.lit(v)) for p, v in zip(paths, pending)]
     # the touched lists of all pending versions, one read, kept distributed
     ddl = ", ".join(f"`{p}` string" for p in parts)
@@ -326,12 +384,12 @@ def publish_by_manifest(
     """
     parts = partition_columns(cfg.rules)
     rroot = raw_dir(cfg.targetpath, cfg.tablename)
-    action, pending = _pending(spark, cfg, audit, strict)
+    action, pending = _pending(spark, cfg, audit, strict, rroot)
     if not pending:
         return action, []
     now = mf.read_pointer(spark, rroot)
     if now is None or now.upto < pending[-1]:
-        version, touched, n = _pending_rows(spark, cfg, pending)
+        version, touched, n = _pending_rows(spark, cfg, pending, rroot)
         folder = f"t={pending[-1]}"
         if len(pending) > 1:
             folder = f"t={pending[-1]}_merged"  # no version number, so never pending itself
