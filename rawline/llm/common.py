@@ -38,3 +38,16 @@ def row_key(doc_id: Column, text: Column) -> Column:
     """Key of a document row. Rows that repeat both doc_id and text share it
     and are the same document."""
     return F.xxhash64(doc_id, text)
+
+
+def free_names(names: list[str], taken: list[str]) -> list[str]:
+    """``names`` for added columns; one that a frame has already (in any case)
+    gets underscores in front until it is free."""
+    used = {c.lower() for c in taken}
+    out = []
+    for n in names:
+        while n.lower() in used:
+            n = "_" + n
+        used.add(n.lower())
+        out.append(n)
+    return out

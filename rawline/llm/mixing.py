@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, settle
+from .common import free_names, n_words, settle
 
 #: Weights by rank of the source's name, repeating.
 WEIGHTS = (3, 1, 2)
@@ -63,6 +63,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
     )
 
 
+#: What the mix tells of a row.
+RESULTS = ("size", "source_size", "target", "taken", "finish")
+
+
 def mix_sources(
     docs: DataFrame,
     columns: list[str],
@@ -79,10 +83,18 @@ def mix_sources(
     without words are never taken (taken 0, no finish times). Rows that repeat
     a doc_id are separate documents, ordered by size within their tie; fully
     equal rows are interchangeable. An empty table gives an empty result.
-    Other columns are carried unread and may have any name.
+    Other columns are carried unread and may have any name: a result whose name
+    one of ``columns`` has gets underscores in front (``free_names``).
     """
+    decided = _decided(docs, columns, weights, share, max_passes)
+    own = dict(zip(RESULTS, free_names(list(RESULTS), columns)))
+    return decided.select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(columns)], *[F.col(r).alias(own[r]) for r in RESULTS])
+
+
+def _decided(docs: DataFrame, columns: list[str], weights: tuple[int, ...], share: float, max_passes: int) -> DataFrame:
+    """``row`` (``columns`` as c0, c1, ...) with the RESULTS of the mix."""
     sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).alias("row"),
         F.col("doc_id"),
         F.col("source").cast("string").alias("source"),
         n_words(F.col("text")).alias("size"),
@@ -136,18 +148,19 @@ def mix_sources(
 
     decided = timed.withColumn("finish", F.filter("times", admitted))
     return decided.select(
-        *[F.col("row")[c].alias(c) for c in columns],
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * F.size("finish")).cast("long").alias("taken"),
-        "finish",
+        "row", "size", "source_size", "target", (F.col("size") * F.size("finish")).cast("long").alias("taken"), "finish"
     )
 
 
-
-def mixed_documents(docs: DataFrame, columns: list[str], **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, columns: list[str], weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, max_passes: int = 2
+) -> DataFrame:
     """The mix itself: one row per copy taken, with ``columns``, its pass and
-    virtual finish time, range-sorted by finish time."""
-    mixed = mix_sources(docs, columns, **options)
-    return mixed.select(*columns, F.posexplode("finish").alias("pass", "finish")).orderBy("finish")
+    virtual finish time (named as in :func:`mix_sources` if ``columns`` hold
+    such names), range-sorted by finish time."""
+    decided = _decided(docs, columns, weights, share, max_passes)
+    copies = decided.select("row", F.posexplode("finish").alias("pass", "finish")).orderBy("finish")
+    own = free_names(["pass", "finish"], columns)
+    return copies.select(
+        *[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(columns)], F.col("pass").alias(own[0]), F.col("finish").alias(own[1])
+    )

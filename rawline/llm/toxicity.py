@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import ready, settle
+from .common import free_names, ready, settle
 
 # Closed word classes (English, German, French, Spanish): fixed values.
 THREAT = frozenset("kill hurt beat stab shoot burn destroy murder töten schlagen erschießen tuer frapper brûler matar pegar golpear quemar".split())
@@ -247,7 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicMo
 
 
 def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
-    """``docs`` (doc_id, text and any others but score) with score (0 to 1).
+    """``docs`` (doc_id, text and any others) with score (0 to 1), named with
+    underscores in front if ``docs`` has a column score.
 
     A null, empty or blank text has no clauses and gets the score of a text
     without matches. Repeated rows score alike. An empty table gives an empty
@@ -256,6 +257,7 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     spark = docs.sparkSession
     ready(spark)
     held = spark.sparkContext.broadcast(model)  # at most MAX_TERMS terms
+    name = free_names(["score"], docs.columns)[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, machine, seen = held.value, grammar(), {}
@@ -264,9 +266,9 @@ def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
                 seen = {}
             z = [float(clause_features(t.as_py() or "", m, machine, seen) @ m.weights) for t in b["text"]]
             s = [1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in z]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], [*b.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -275,6 +277,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``threshold``."""
+    """The rows of ``docs`` whose score is below ``threshold``, with their
+    columns, whatever these are named."""
     model = fit(docs, labels)
-    return score(docs, model).filter(F.col("score") < threshold).select(*docs.columns)
+    scored = score(docs, model)
+    return scored.filter(F.col(scored.columns[-1]) < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -56,3 +56,16 @@ def test_copies_in_order(spark):
     assert mixed == sorted(mixed)
     taken = mix_sources(df, ["doc_id"]).toPandas()
     assert len(mixed) == int((taken["taken"] / taken["size"].where(taken["size"] > 0, 1)).sum())
+
+
+def test_clashing_names(spark):
+    from rawline.llm.mixing import mix_sources, mixed_documents
+
+    cols = "doc_id long, text string, source string, Size int, target string, TAKEN int, finish string, pass int, source_size int"
+    df = spark.createDataFrame([(i, "a b c", "s", i, "t", i, "f", i, i) for i in range(6)], cols)
+    got = mixed_documents(df, df.columns)
+    assert got.columns == [*df.columns, "_pass", "_finish"]
+    assert got.select("Size", "finish", "_finish").count() == 9  # 150 % of 18 words in texts of three
+    full = mix_sources(df, df.columns)
+    assert full.columns[-5:] == ["_size", "_source_size", "_target", "_taken", "_finish"]
+    assert sorted(r["Size"] for r in full.collect()) == list(range(6))

@@ -86,3 +86,13 @@ def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r["score"] < 0.3 for r in X.score(d, X.fit(d, none)).collect()] == [True]
     assert X.score(d.limit(0), X.fit(d, none)).count() == 0
+
+
+def test_clashing_score_column(spark):
+    from rawline.llm import toxicity
+
+    docs = spark.createDataFrame([(i, "you are a moron" if i % 2 else "a fine day", "mine") for i in range(40)], "doc_id long, text string, SCORE string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    kept = toxicity.accept(docs, labels)
+    assert kept.columns == docs.columns and {r["SCORE"] for r in kept.collect()} <= {"mine"}
+    assert toxicity.score(docs, toxicity.ToxicModel()).columns == [*docs.columns, "_score"]
