@@ -35,6 +35,30 @@ def gear_table(seed: int = 1) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 
+def gear_hashes(part: bytes, gear: np.ndarray) -> np.ndarray:
+    """Rolling hash of the 16 bytes up to each byte."""
+    h = gear[np.frombuffer(part, np.uint8)]
+    for k in (1, 2, 4, 8):  # hash of 2k bytes from hashes of k bytes
+        shifted = np.zeros_like(h)
+        shifted[k:] = h[:-k] << np.uint16(k)
+        h = h + shifted
+    return h
+
+
+def stretch_ends(data: bytes, a: int, b: int, gear: np.ndarray) -> list[int]:
+    """Cuts of a stretch without isolated ones: the first least hash in each
+    span of MOST / 2 to MOST bytes after the cut before. In a passage that
+    repeats itself the cuts fall on the same phase from the second one on,
+    wherever the passage begins."""
+    out, at = [], a
+    while b - at > MOST:
+        lo = at + MOST // 2
+        h = gear_hashes(data[lo - 15 : at + MOST], gear)[15:]
+        at = lo + int(h.argmin()) + 1
+        out.append(at)
+    return [*out, b]
+
+
 def chunk_ends(data: bytes, gear: np.ndarray) -> np.ndarray:
     """End positions of the chunks of a text; the last is its length."""
     n = len(data)
@@ -44,21 +68,16 @@ def chunk_ends(data: bytes, gear: np.ndarray) -> np.ndarray:
     reach = 16 + LEAST
     for lo in range(0, n, BLOCK):
         begin = max(0, lo - reach)
-        h = gear[np.frombuffer(data[begin : lo + BLOCK], np.uint8)]
-        for k in (1, 2, 4, 8):  # hash of 2k bytes from hashes of k bytes
-            shifted = np.zeros_like(h)
-            shifted[k:] = h[:-k] << np.uint16(k)
-            h = h + shifted
-        hit = h < np.uint16(65536 // CUT)  # the high bits depend on all 16 bytes
+        hit = gear_hashes(data[begin : lo + BLOCK], gear) < np.uint16(65536 // CUT)  # the high bits depend on all 16 bytes
         at = np.flatnonzero(hit)
         alone = at[np.diff(at, prepend=-LEAST - 1) > LEAST] + begin + 1
         cuts.append(alone[(alone > lo) & (alone > LEAST)])
     ends = np.concatenate((*cuts, [n]))
     ends = np.unique(ends)
     gaps = np.diff(np.concatenate(([0], ends)))
-    if (gaps > MOST).any():  # long stretches without a cut are cut evenly
+    if (gaps > MOST).any():
         starts = ends - gaps
-        ends = np.unique(np.concatenate([np.append(np.arange(a + MOST, b, MOST), b) for a, b in zip(starts.tolist(), ends.tolist())]))
+        ends = np.array([e for a, b in zip(starts.tolist(), ends.tolist()) for e in stretch_ends(data, a, b, gear)], np.int64)
     return ends
 
 

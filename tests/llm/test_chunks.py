@@ -20,8 +20,14 @@ def plain_ends(data, gear):
     ends = sorted({*out, len(data)} if data else set())
     full, at = [], 0
     for e in ends:
-        while e - at > MOST:
-            at += MOST
+        while e - at > MOST:  # the first least hash of MOST / 2 to MOST bytes on
+            def value(i):
+                v = 0
+                for j in range(max(0, i - 15), i + 1):
+                    v = (v * 2 + int(gear[data[j]])) % (1 << 16)
+                return v
+
+            at = min(range(at + MOST // 2, at + MOST), key=value) + 1
             full.append(at)
         full.append(e)
         at = e
@@ -95,3 +101,24 @@ def test_short_copies_go(spark):
     got = {r["doc_id"]: r for r in without_repeats(df).collect()}
     assert all(got[i]["kept"] == short[i] and got[i + 4]["kept"] == "" and got[i + 4]["copied_from"] == [i] for i in range(4))
     assert got[8]["kept"] == short[3] + " and more" and got[9]["kept"] == "x" and got[20]["n_runs"] == 0
+
+
+def test_a_repeated_line_is_cut_alike_at_any_offset():
+    """A passage of one line over and over has no isolated cuts."""
+    from rawline.llm.chunks import chunk_ends, gear_table
+
+    rng = random.Random(3)
+    gear = gear_table()
+    cover = []
+    for _ in range(60):
+        line = "".join(rng.choice("abcdefghij klmnop") for _ in range(rng.randint(3, 40))).encode() + b"\n"
+        passage = (line * (15000 // len(line) + 1))[:15000]
+        shares = []
+        for _ in range(2):
+            text = bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(rng.randint(0, 3000))) + passage
+            ends = chunk_ends(text, gear).tolist()
+            shares.append({text[a:b]: b - a for a, b in zip([0, *ends], ends)})
+        both = shares[0].keys() & shares[1].keys()
+        text_chunks = [text[a:b] for a, b in zip([0, *ends], ends)]
+        cover.append(sum(len(c) for c in text_chunks if c in both) / 15000)
+    assert sum(c == 0 for c in cover) == 0 and sum(cover) / len(cover) > 0.6
