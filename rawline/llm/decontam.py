@@ -82,9 +82,8 @@ def block_values(fp: Column, vary: int) -> Column:
 def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(rid, doc_id, item_id, similarity, start_word, n_words, bits): for each
     document and item the most similar window of at least ``similarity``, rid
-    being ``row_key`` of the document's row. Of equally similar windows those
-    go first that lay a shingle of an item of their length on its place in the
-    item, then the earlier.
+    being ``row_key`` of the document's row. Of equally similar windows the
+    earliest counts.
 
     ``docs`` needs doc_id and text, ``items`` item_id and text. Null, empty or
     wordless texts on either side match nothing; items with equal words are one
@@ -102,20 +101,18 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
     at_item, hits = [], []
     for k in sizes:
-        own = w.filter(F.col("k") == k).select("item_id", "len", "k", F.posexplode(shingles(F.col("w"), k, F.lit(0), F.col("len") - k + 1)).alias("q", "sh"))
+        own = w.filter(F.col("k") == k).select("item_id", "len", "k", F.explode(shingles(F.col("w"), k, F.lit(0), F.col("len") - k + 1)).alias("sh"))
         at_item.append(own)
         n = F.size("w") - k + 1
         found = hashed.select("rid", "doc_id", F.size("w").alias("words"), F.posexplode(shingles(F.col("w"), k, F.lit(0), n)).alias("p", "sh"))
-        spots = own.select("sh", "len", "k", "q").distinct()
-        laid = found.join(spots, "sh")
-        # all positions of shingles of items of one length, and the starts that lay one on its place in an item
-        start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("words") - F.col("len")))
-        met = laid.groupBy("rid", "doc_id", "words", "len", "k").agg(F.sort_array(F.collect_set("p")).alias("at"), F.collect_set(start).alias("laid"))
+        spots = own.select("sh", "len", "k").distinct()
+        # all positions of shingles of items of one length
+        met = found.join(spots, "sh").groupBy("rid", "doc_id", "words", "len", "k").agg(F.sort_array(F.collect_set("p")).alias("at"))
         of_item, n = F.col("len") - k + 1, F.least(F.col("len"), F.col("words")) - k + 1
         # both / (n + of_item - both) >= similarity
         need = F.greatest(F.lit(1), F.ceil((n + of_item) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)).cast("int"))
         starts = promising_starts(F.col("at"), n, need, F.greatest(F.lit(0), F.col("words") - F.col("len")))
-        hits.append(met.select("rid", "doc_id", "len", "k", "laid", F.explode(starts).alias("start")).withColumn("aligned", F.array_contains("laid", F.col("start"))).drop("laid"))
+        hits.append(met.select("rid", "doc_id", "len", "k", F.explode(starts).alias("start")))
     if not sizes:
         return hashed.limit(0).select("rid", "doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"), F.lit(0).alias("bits"))
     item_sh = reduce(DataFrame.unionByName, at_item).groupBy("item_id", "len", "k", "sh").agg(F.count("*").alias("n"))
@@ -123,15 +120,15 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     windows = settle(reduce(DataFrame.unionByName, hits), "decontam-windows")
 
     # the windows' shingles: a document's windows are at most its shingles times the item lengths
-    per_doc = windows.groupBy("rid").agg(F.collect_list(F.struct("len", "k", "start", "aligned")).alias("spots"))
+    per_doc = windows.groupBy("rid").agg(F.collect_list(F.struct("len", "k", "start")).alias("spots"))
     # documents are dealt by row key at every size: what they are joined with grows with them
     read = texts.join(per_doc.hint("merge"), "rid").dropDuplicates(["rid"]).select("rid", "doc_id", word_hashes(F.col("text")).alias("w"), "spots")
     read = read.select("rid", "doc_id", "w", F.explode("spots").alias("s"))
     cut = []
     for k in sizes:
         n = F.least(F.col("s.len"), F.size("w")) - k + 1
-        cut.append(read.filter(F.col("s.k") == k).select("rid", "doc_id", F.col("s.len").alias("len"), F.col("s.start").alias("start"), F.col("s.aligned").alias("aligned"), F.explode(shingles(F.col("w"), k, F.col("s.start"), n)).alias("sh")))
-    place = ["rid", "doc_id", "len", "start", "aligned"]
+        cut.append(read.filter(F.col("s.k") == k).select("rid", "doc_id", F.col("s.len").alias("len"), F.col("s.start").alias("start"), F.explode(shingles(F.col("w"), k, F.col("s.start"), n)).alias("sh")))
+    place = ["rid", "doc_id", "len", "start"]
     win_sh = settle(reduce(DataFrame.unionByName, cut).groupBy(*place, "sh").agg(F.count("*").alias("n")), "decontam-window-shingles")
 
     win_fp = fingerprints(win_sh, place)
@@ -147,7 +144,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     verified = shared.groupBy(*place, "item_id", "total", "item_total", "bits").agg(F.sum(F.least("n", "m")).alias("both"))
     alike = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     verified = verified.withColumn("similarity", alike).filter(F.col("similarity") >= similarity)
-    best = F.max_by(F.struct("similarity", "start", "len", "bits"), F.struct("similarity", "aligned", -F.col("start")))
+    best = F.max_by(F.struct("similarity", "start", "len", "bits"), F.struct("similarity", -F.col("start")))
     return (
         verified.groupBy("rid", "doc_id", "item_id")
         .agg(best.alias("b"))

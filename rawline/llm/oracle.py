@@ -59,9 +59,13 @@ item_sh AS (
 doc_sh AS (
   SELECT rid, doc_id, len(w) AS m, s.k AS k, p, array_to_string(w[p + 1 : p + s.k], ' ') AS sh
   FROM docs, (SELECT DISTINCT k FROM items) s, unnest(range(0, len(w) - s.k + 1)) AS t(p)),
-windows AS (
-  SELECT DISTINCT d.rid, d.doc_id, i.n, i.k, greatest(0, least(d.p - i.q, d.m - i.n)) AS s, least(i.n, d.m) AS size
+spots AS (
+  SELECT DISTINCT d.rid, d.doc_id, d.m, i.n, i.k, least(i.n, d.m) AS size, d.p
   FROM doc_sh d JOIN item_sh i ON d.k = i.k AND d.sh = i.sh),
+windows AS (
+  SELECT rid, doc_id, n, k, size, s
+  FROM (SELECT *, unnest(range(greatest(0, p - (size - k)), least(p, m - size) + 1)) AS s FROM spots)
+  GROUP BY ALL HAVING count(*) >= ceil((size - k + 1 + n - k + 1) * 0.8 / 1.8 - 1e-9)),
 window_sh AS (
   SELECT w.rid, w.n, w.s, d.sh, count(*) AS c
   FROM windows w JOIN doc_sh d ON w.rid = d.rid AND w.k = d.k AND d.p BETWEEN w.s AND w.s + w.size - w.k
