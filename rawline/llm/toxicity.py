@@ -42,11 +42,11 @@ REACH = 3
 #: Most labelled rows that a fit reads, and most learned terms.
 MAX_ROWS = 40_000
 MAX_TERMS = 50_000
-#: A term needs this much evidence (nats against its base rate), this share of
-#: its documents labelled 1, and these log-odds (smoothed).
-EVIDENCE, PURITY, ODDS = 14.0, 0.8, 4.0
-#: Documents labelled 1 that a term must explain beyond stronger terms.
-FRESH = 2
+#: A term needs this much evidence (nats against its base rate) beyond the log of
+#: the number of terms tried, so that of all of them under one in ten passes by
+#: chance, whatever the number of labels; this share of its documents labelled 1;
+#: and these log-odds (smoothed).
+SURE, PURITY, ODDS = 2.3, 0.9, 4.0
 CLASSES = ("I", "In", "Ir", "Inr", "H", "Hn", "Hr", "Hnr")
 #: How a text's clauses are summed up: a constant; largest and sum per class, with
 #: and without a target; largest and sum over all classes, which carry a class that
@@ -151,7 +151,8 @@ def clause_features(text: str, model: ToxicModel, machine: Transducer, seen: dic
 
 
 def learn_terms(labelled: DataFrame) -> dict[str, float]:
-    """Words and word beginnings that label 1 goes with, by document counts.
+    """Words and word beginnings that label 1 goes with, by document counts,
+    each judged by itself: one that only stands beside others is kept too.
     ``labelled``: text, toxic (0 or 1). Batches are counted where they are."""
     ready(labelled.sparkSession)
 
@@ -171,36 +172,14 @@ def learn_terms(labelled: DataFrame) -> dict[str, float]:
         return {}
     base = n_pos / (n_pos + n_neg)
     counted = labelled.select("text", "toxic").mapInArrow(run, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = settle(counted, "toxic-terms")
+    tried = counted.count()
     p = F.col("pos") / (F.col("pos") + F.col("neg"))
     gain = F.col("pos") * F.log(p / base) + F.col("neg") * F.coalesce(F.log((1 - p) / (1 - base)), F.lit(0.0))
-    found = counted.filter((p > base) & (p >= PURITY)).withColumn("gain", gain).filter(F.col("gain") >= EVIDENCE)
+    found = counted.filter((p > base) & (p >= PURITY)).withColumn("gain", gain).filter(F.col("gain") >= math.log(max(1, tried)) + SURE)
     rows = found.orderBy(F.desc("gain"), "term").limit(MAX_TERMS).collect()
     weights = {r["term"]: math.log((r["pos"] + 0.5) / (n_pos + 1)) - math.log((r["neg"] + 0.5) / (n_neg + 1)) for r in rows}
-    weights = {t: min(6.0, v) for t, v in weights.items() if v >= ODDS}
-
-    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for text in b["text"].to_pylist():
-                words = set(WORDS.findall((text or "").lower()))
-                out.append(sorted((words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n}) & weights.keys()))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], ["terms"])
-
-    # words that only stand beside stronger terms (as in near copies) explain nothing themselves
-    hits = labelled.filter("toxic = 1").select("text").mapInArrow(matched, "terms array<string>").groupBy("terms").count().collect()  # at most the fit's rows
-    of: dict[str, list[int]] = {}
-    for i, r in enumerate(hits):
-        for t in r["terms"]:
-            of.setdefault(t, []).append(i)
-    kept, explained = {}, np.zeros(len(hits), bool)
-    size = np.array([r["count"] for r in hits])
-    for t, w in weights.items():  # strongest first
-        rows_of = np.array(of.get(t, []), np.int64)
-        fresh = rows_of[~explained[rows_of]]
-        if size[fresh].sum() >= FRESH:
-            kept[t] = w
-            explained[fresh] = True
-    return kept
+    return {t: min(6.0, v) for t, v in weights.items() if v >= ODDS}
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicModel:

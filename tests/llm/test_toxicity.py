@@ -1,5 +1,8 @@
+import math
 import random
+import re
 
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -96,3 +99,57 @@ def test_clashing_score_column(spark):
     kept = toxicity.accept(docs, labels)
     assert kept.columns == docs.columns and {r["SCORE"] for r in kept.collect()} <= {"mine"}
     assert toxicity.score(docs, toxicity.ToxicModel()).columns == [*docs.columns, "_score"]
+
+
+def test_a_term_beside_stronger_ones_is_kept(spark):
+    """Each term is judged by itself; the evidence asked for follows the number
+    of terms tried, not the number of labels."""
+    rng = random.Random(9)
+    plain = [f"{a}{b}" for a in "bcdfgklmnp" for b in ("ana", "ebe", "idi", "olo")]
+    rows_ = []
+    for i in range(400):
+        text = rng.sample(plain, 12)
+        if i % 8 == 0:
+            text.append("grobian")
+            if i % 16 == 0:
+                text.append("lout")  # never without the stronger term
+        rows_.append((" ".join(text), int(i % 8 == 0)))
+    terms = X.learn_terms(spark.createDataFrame(rows_, "text string, toxic int"))
+    assert {"grobian", "lout"} <= terms.keys() and not terms.keys() & set(plain)
+    few = X.learn_terms(spark.createDataFrame(rows_[:120], "text string, toxic int"))
+    assert "grobian" in few
+
+
+def brute_score(text, terms, weights):
+    """Clause by clause, without transducers: negation and report by looking back."""
+    feats = [[0.0] * 8 for _ in range(4)]  # largest without/with target, sum without/with
+    for clause in re.split(r"[.,;:!?\n]", text.lower()):
+        words = re.findall(r"[^\W\d_]+", clause)
+        got = [0.0] * 8
+        for i, w in enumerate(words):
+            fit = terms.get(w) or next((terms[w[:n] + "*"] for n in (6, 5, 4) if len(w) >= n and w[:n] + "*" in terms), 0.0)
+            if fit or w in X.THREAT:
+                negated = any(v in X.NEGATION and not known(v, terms) and v not in X.THREAT and v not in X.TARGET for v in words[max(0, i - X.REACH) : i])
+                reported = any(v in X.REPORTED and not known(v, terms) for v in words[:i])
+                got[(0 if fit else 4) + negated + 2 * reported] += fit or 1.0
+        side = any(w in X.TARGET and not known(w, terms) for w in words)
+        feats[side] = [max(a, b) for a, b in zip(feats[side], got)]
+        feats[2 + side] = [a + b for a, b in zip(feats[2 + side], got)]
+    x = [1.0, *(v / 4 for r in feats[:2] for v in r), *(math.log1p(v) / 4 for r in feats[2:] for v in r)]
+    x += [max(map(max, feats[:2])) / 4, math.log1p(sum(map(sum, feats[2:]))) / 4]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, weights))))))
+
+
+def known(word, terms):
+    return word in terms or any(len(word) >= n and word[:n] + "*" in terms for n in (4, 5, 6))
+
+
+def test_scores_equal_brute_force(spark):
+    rng = random.Random(11)
+    terms = {"lout": 2.0, "churl": 3.5, "grob*": 1.25, "knaves*": 2.5}
+    words = ["lout", "churl", "grobian", "knavesque", "kill", "you", "them", "not", "nie", "said", "quoted", "tree", "day", ".", ",", "!", "\n", "3", "Lout"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(400)]
+    model = X.ToxicModel(terms, np.array([rng.uniform(-2, 2) for _ in range(X.FEATURES)]))
+    got = {r["doc_id"]: r["score"] for r in X.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(brute_score(t, terms, model.weights), abs=1e-12), t
