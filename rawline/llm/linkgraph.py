@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
@@ -58,7 +58,10 @@ def propagate(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust0, distrust0). What a
     host without links would pass on stays with it: as it passes nothing on,
     its own share is summed up at once. An error if the scores do not settle."""
-    total = edges.withColumn("out_n", F.sum("n").over(Window.partitionBy("a"))).withColumn("in_n", F.sum("n").over(Window.partitionBy("b")))
+    # sums joined back, with partial sums before the shuffle: a popular host's links stay dealt over tasks
+    given = edges.groupBy(F.col("a").alias("from")).agg(F.sum("n").alias("out_n"))
+    taken = edges.groupBy(F.col("b").alias("into")).agg(F.sum("n").alias("in_n"))
+    total = edges.join(given, F.col("a") == F.col("from")).join(taken, F.col("b") == F.col("into"))
     flows = settle(total.select("a", "b", (F.col("n") / F.col("out_n")).alias("along"), (F.col("n") / F.col("in_n")).alias("against")), "links")
     hosts = seeds.select("host").union(flows.select("a")).union(flows.select("b")).distinct()
     zero = F.lit(0.0)
@@ -102,11 +105,10 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     split = pages.select("page_id", host.alias("host"), path.alias("path"), "html")
     ruled = split.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
     known = settle(ruled.select("page_id", "host", "path", "fit"), "judged")
-    counts = known.filter(F.col("host") != "").groupBy("host").agg(
-        *[F.sum(F.when(F.col("fit.verdict") == v, 1).otherwise(0)).alias(v) for v in ("allow", "block")], F.count("*").alias("n")
-    )
-    everything = Window.partitionBy()
-    seeds = counts.select("host", *[(F.col(v) / F.sum("n").over(everything)).alias(c) for v, c in (("allow", "trust0"), ("block", "distrust0"))])
+    of_hosts = known.filter(F.col("host") != "")
+    counts = of_hosts.groupBy("host").agg(*[F.sum(F.when(F.col("fit.verdict") == v, 1).otherwise(0)).alias(v) for v in ("allow", "block")])
+    n = F.lit(of_hosts.count())  # one number: shares of all pages
+    seeds = counts.select("host", (F.col("allow") / n).alias("trust0"), (F.col("block") / n).alias("distrust0"))
     scores = propagate(settle(seeds, "seeds"), settle(host_edges(split), "edges"))
     # equal up to the rounding of sums in another order counts as equal
     blocked = scores.select("host", (F.col("distrust") - F.col("trust") > 1e-12).alias("host_blocked"))

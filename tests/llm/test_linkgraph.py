@@ -72,6 +72,20 @@ def test_propagation_equals_matrices(spark):
     assert all(np.allclose(found[h], want[h], atol=1e-9) for h in want)
 
 
+def test_popular_host_and_no_windows(spark, capsys):
+    """Half of all links point to one host, as many leave another; sums of a
+    host's links come from partial sums, not from a window over its links."""
+    edges = [(f"h{i}", "hub", 1 + i % 3) for i in range(40)] + [("out", f"h{i}", 1 + i % 2) for i in range(40)]
+    seeds = [("hub", 0.0, 0.5), ("out", 0.5, 0.0)]
+    frame = spark.createDataFrame(edges, "a string, b string, n long")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in propagate(spark.createDataFrame(seeds, "host string, trust0 double, distrust0 double"), frame).collect()}
+    want = solved_scores(seeds, edges)
+    assert got.keys() == want.keys() and all(np.allclose(got[h], want[h], rtol=1e-9, atol=1e-12) for h in want)
+    df = spark.createDataFrame([(1, "http://bad.net/es/1", None, "r"), (2, "http://farm.org/x", '<a href="http://bad.net/">', "r")], PAGES)
+    judge_urls(df, URL_RULES).explain("simple")
+    assert "Window" not in capsys.readouterr().out
+
+
 def solved_scores(seeds, edges):
     hosts = sorted({h for h, *_ in seeds} | {x for a, b, _ in edges for x in (a, b)})
     at = {h: i for i, h in enumerate(hosts)}
