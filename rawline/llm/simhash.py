@@ -10,18 +10,21 @@ Equal fingerprints are one node, so copies cost nothing. Inside one table
 bucket only a spanning forest of the verified links leaves the task, found by
 breadth-first search over the fingerprints not yet reached, so that a large
 bucket of mutually near fingerprints is neither expanded into pairs nor
-compared pair by pair. Components of the links are found in Spark.
+compared pair by pair. Buckets around a segment value that many fingerprints
+share are cut further by the other bits, so that they spread over tasks and
+far fingerprints never meet. Components of the links are found in Spark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ready, row_key, settle
@@ -30,6 +33,8 @@ from .components import components
 #: Shingles hashed at a time: bounds memory on very long texts.
 BLOCK = 1 << 16
 SEED = 42
+#: Fingerprints that may share a segment value before the buckets around it are cut.
+HOT = 1024
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -66,17 +71,25 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return keyed.mapInArrow(run, "doc_id long, rid long, fp long")
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _segment(s: int, segments: int) -> tuple[Column, int]:
+    """Value of segment ``s`` of fp, and its width; the last takes what is left."""
+    width = 64 // segments
+    size = width if s < segments - 1 else 64 - width * (segments - 1)
+    return F.shiftrightunsigned("fp", s * width).bitwiseAND(F.lit((1 << size) - 1 if size < 64 else -1)), size
+
+
 def segment_rows(nodes: DataFrame, bits: int, segments: int) -> DataFrame:
     """(seg, key, fp, stored): each fingerprint's table row of each segment
     (stored) and its lookups, one for each other value of the Hamming ball."""
-    width = 64 // segments
-    radius = bits // segments
     tables = []
     for s in range(segments):
-        size = width if s < segments - 1 else 64 - width * (segments - 1)
-        value = F.shiftrightunsigned("fp", s * width).bitwiseAND(F.lit((1 << size) - 1 if size < 64 else -1))
-        masks = sorted({m for m in _ball(size, radius)})
-        rows = F.transform(F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in masks]), lambda m: F.struct(value.bitwiseXOR(m).alias("key"), (m == 0).alias("stored")))
+        value, size = _segment(s, segments)
+        masks = F.array(*[F.lit(_signed(m)) for m in sorted(set(_ball(size, bits // segments)))])
+        rows = F.transform(masks, lambda m: F.struct(value.bitwiseXOR(m).alias("key"), (m == 0).alias("stored")))
         tables.append(nodes.select("fp", F.lit(s).alias("seg"), F.inline(rows)))
     out = tables[0]
     for t in tables[1:]:
@@ -84,6 +97,31 @@ def segment_rows(nodes: DataFrame, bits: int, segments: int) -> DataFrame:
     return out
 
 
+def cut_hot_buckets(nodes: DataFrame, rows: DataFrame, bits: int, segments: int, hot: int) -> DataFrame:
+    """``rows`` with (part, cut): buckets around a segment value that more than
+    ``hot`` fingerprints share are cut by the bits outside the segment. These
+    are split into ``bits`` + 2 blocks; two fingerprints within ``bits`` agree
+    in two of them at least, so a row goes once under each pair of blocks, and
+    no link is lost. Other buckets stay whole (part -1)."""
+    values = F.array(*[F.struct(F.lit(s).alias("seg"), _segment(s, segments)[0].alias("key")) for s in range(segments)])
+    shared = nodes.select(F.inline(values)).groupBy("seg", "key").agg(F.count("*").alias("n")).filter(F.col("n") > hot)
+    around, cuts = F.lit(None), F.lit(None)
+    for s in range(segments):
+        _, size = _segment(s, segments)
+        at = s * (64 // segments)
+        outside = [b for b in range(64) if not at <= b < at + size]
+        blocks = [sum(1 << b for b in part.tolist()) for part in np.array_split(outside, bits + 2)]
+        masks = F.array(*[F.lit(_signed(x | y)) for x, y in combinations(blocks, 2)])
+        mine = F.transform(masks, lambda m, i: F.struct(i.alias("part"), F.col("fp").bitwiseAND(m).alias("cut")))
+        cuts = F.when(F.col("seg") == s, mine).otherwise(cuts)
+        ball = F.array(*[F.lit(_signed(m)) for m in sorted(set(_ball(size, bits // segments)))])
+        around = F.when(F.col("seg") == s, F.transform(ball, lambda m: F.col("key").bitwiseXOR(m))).otherwise(around)
+    found = settle(shared.select(F.col("seg").alias("hot_seg"), F.explode(around).alias("hot_key")).distinct(), "simhash-hot")
+    marked = rows.join(found, (F.col("seg") == F.col("hot_seg")) & (F.col("key") == F.col("hot_key")), "left")
+    whole = F.array(F.struct(F.lit(-1).alias("part"), F.lit(0).cast("long").alias("cut")))
+    return marked.select("seg", "key", "fp", "stored", F.inline(F.when(F.col("hot_key").isNotNull(), cuts).otherwise(whole)))
+
+
 def _ball(size: int, radius: int) -> Iterator[int]:
     """All masks of at most ``radius`` of ``size`` bits."""
     yield 0
@@ -115,16 +153,17 @@ def forest(fps: np.ndarray, stored: np.ndarray, bits: int) -> tuple[list, list]:
     return left, right
 
 
-def links(nodes: DataFrame, bits: int, segments: int) -> DataFrame:
+def links(nodes: DataFrame, bits: int, segments: int, hot: int = HOT) -> DataFrame:
     """(a, b): links that connect exactly the fingerprints that a chain of
     pairs within ``bits`` connects."""
     ready(nodes.sparkSession)
-    rows = segment_rows(nodes, bits, segments)
-    dealt = rows.repartition("seg", "key").sortWithinPartitions("seg", "key")
+    rows = cut_hot_buckets(nodes, segment_rows(nodes, bits, segments), bits, segments, hot)
+    names = ["seg", "key", "part", "cut"]
+    dealt = rows.repartition(*names).sortWithinPartitions(*names)
 
-    def bucket_links(seg: np.ndarray, key: np.ndarray, fp: np.ndarray, stored: np.ndarray) -> pd.DataFrame:
-        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (seg[1:] != seg[:-1]))))
-        size = np.diff(np.concatenate((first, [len(key)])))
+    def bucket_links(bucket: list[np.ndarray], fp: np.ndarray, stored: np.ndarray) -> pd.DataFrame:
+        first = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in bucket], axis=0))))
+        size = np.diff(np.concatenate((first, [len(fp)])))
         kept = np.add.reduceat(stored.astype(np.int64), first)
         a, b = [], []
         for k in np.flatnonzero((size > 1) & (kept > 0)):
@@ -139,18 +178,17 @@ def links(nodes: DataFrame, bits: int, segments: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            cols = [batch[c].to_numpy() for c in ("seg", "key", "fp", "stored")]
-            held.append(cols)
-            seg, key = cols[0], cols[1]
-            if held[0][1][0] == key[-1] and held[0][0][0] == seg[-1]:
+            held.append([batch[c].to_numpy() for c in (*names, "fp", "stored")])
+            if all(x[0] == y[-1] for x, y in zip(held[0][:4], held[-1][:4])):
                 continue  # one bucket so far
             cols = [np.concatenate(x) for x in zip(*held)]
-            seg, key = cols[0], cols[1]
-            open_at = len(key) - int(np.argmax((key[::-1] != key[-1]) | (seg[::-1] != seg[-1])))
-            yield bucket_links(*[c[:open_at] for c in cols])
-            held = [tuple(c[open_at:] for c in cols)]
+            other = np.any([c[::-1] != c[-1] for c in cols[:4]], axis=0)
+            open_at = len(other) - int(np.argmax(other))
+            yield bucket_links([c[:open_at] for c in cols[:4]], *[c[:open_at] for c in cols[4:]])
+            held = [[c[open_at:] for c in cols]]
         if held:
-            yield bucket_links(*[np.concatenate(x) for x in zip(*held)])
+            cols = [np.concatenate(x) for x in zip(*held)]
+            yield bucket_links(cols[:4], *cols[4:])
 
     return dealt.mapInPandas(run, "a long, b long")
 

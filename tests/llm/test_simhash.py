@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import rows
+from pyspark.sql import functions as F
 
 from rawline.llm.components import components
-from rawline.llm.simhash import fingerprint, forest, keep_one, links, near_duplicates
+from rawline.llm.simhash import cut_hot_buckets, fingerprint, forest, keep_one, links, near_duplicates, segment_rows
 
 
 def plain_fingerprint(text, n=3):
@@ -92,6 +93,31 @@ def test_links_connect_all_within_the_radius(spark, bits, segments):
     assert {n: roots.get(n, n) for n in signed} == want
 
 
+@pytest.mark.parametrize("bits,segments", [(3, 2), (5, 3)])
+def test_hot_segments_are_cut_without_losing_links(spark, bits, segments):
+    """A third of the fingerprints share one segment and are mostly far apart
+    in the rest; the rest is spread. No sub-bucket of the hot one is large."""
+    rng = random.Random(7)
+    width = 64 // segments
+    nodes = {rng.getrandbits(64) for _ in range(400)}
+    for _ in range(60):
+        x = rng.getrandbits(64 - width) << width | 5
+        for _ in range(4):
+            nodes.add(x)
+            x ^= 1 << rng.randrange(width, 64)
+            if rng.random() < 0.3:
+                nodes.add(x ^ 1 << rng.randrange(width))
+    signed = {n - (1 << 64) if n >> 63 else n for n in nodes}
+    df = spark.createDataFrame([(n,) for n in signed], "fp long")
+    cut = cut_hot_buckets(df, segment_rows(df, bits, segments), bits, segments, 50)
+    largest = {(r["hot"]): r["m"] for r in cut.groupBy("seg", "key", "part", "cut").count().groupBy((F.col("part") >= 0).alias("hot")).agg(F.max("count").alias("m")).collect()}
+    assert largest[True] <= 40 < 200 < cut.filter("seg = 0 and key = 5 and part = 0").count()
+    want = plain_components(sorted(signed), lambda a, b: ((a ^ b) % (1 << 64)).bit_count() <= bits)
+    for hot in (0, 50, 10**6):
+        roots = dict(rows(components(links(df, bits, segments, hot).distinct())))
+        assert {n: roots.get(n, n) for n in signed} == want
+
+
 def test_forest_only_links_through_stored_rows():
     fps = np.array([0, 1, 3, 7], np.int64)
     a, b = forest(fps, np.array([False, False, False, True]), 1)
