@@ -377,7 +377,7 @@ from parsed where error is not null"""
 SQL["union_payload_schemas"] = _with(ENVELOPES) + """
 select request_id, gstin, k, null::double as v from api
 union all
-select request_id, gstin, (props->>'k')::int as k, value as v from parsed where event_type = 'signup'"""
+select request_id, gstin, (props->>'k')::int as k, value as v from parsed"""
 
 STATUS = """st as (
   select c_custkey::varchar as gstin,
@@ -502,6 +502,16 @@ from customer"""
 
 SQL["scd1_merge_indexed"] = SQL["scd1_merge_global_keys"]
 
+SQL["scd1_merge_files"] = _with(
+    FEED,
+    landing("bl", BASE_WHERE, BASE_RUN_TS),
+    prepared("b", "bl"),
+    landing("dl", DELTA_WHERE + " and event_type in ('click', 'view')", DELTA_RUN_TS),
+    prepared("d", "dl"),
+    merged("m", "d", "b", ["part_1"]),
+    replaced("s", "b", "d", "m"),
+) + "select * from s"
+
 SQL["scd1_merge_lines"] = f"""
 with lines as (
   select l_orderkey, l_linenumber, l_extendedprice::decimal(18,2) as price, l_returnflag,

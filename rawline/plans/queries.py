@@ -41,6 +41,7 @@ from ..operators import responses as rsp
 from ..config import rule_table
 from ..runtime import cut_lineage, materialize, scratch_path
 from ..sinks.files import export_by_type as write_by_type
+from ..sinks import key_files as kf
 from ..sinks import manifest as mf
 from ..sinks.files import (
     append_csv, append_table, count_rows, publish_partitions, register_new_partitions, registered_partitions, write_json_by, write_key_index, write_partitioned,
@@ -143,6 +144,21 @@ def scd1_merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_merge(base, merged, rewritten, ["part_1"])
 
 
+FILE_ROWS = 1000
+
+
+@query
+def scd1_merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1/F4 inside a partition: only the files that hold a key of the delta
+    are read and rewritten; the whole snapshot afterwards, by its manifest."""
+    root = scratch_path(spark, "R_files")
+    base = snapshot_before(spark, sf_dir, BASE_BATCHES[1])
+    kf.start_key_snapshot(base, root, 1705708800, fd.FEED_KEYS, ["part_1"], FILE_ROWS)
+    delta = delta_of(spark, sf_dir, *DELTA_BATCHES, types=("click", "view"))
+    kf.merge_key_files(delta, root, 1705881600, fd.FEED_KEYS, ["part_1"], rows_per_file=FILE_ROWS)
+    return kf.read_key_snapshot(spark, root, delta.schema)
+
+
 def _line_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_delta(fd.line_feed(spark, sf_dir), fd.LINE_KEYS, fd.LINE_SELECT, fd.LINE_RULES, fd.BASE_RUN_TS)
 
@@ -450,16 +466,14 @@ def envelope_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_payload_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads of two shapes in one table, by name."""
+    """Payloads of two shapes in one table, by name: what the API answered
+    successfully, and an answer with another shape for every event."""
     a = rsp.parse_data(_parsed(spark, sf_dir), "k int", ["request_id", "gstin"])
-    ev = fd.table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
-    body = F.to_json(F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("value").alias("v")))
-    b = ev.select(
-        F.col("event_id").alias("request_id"),
-        F.col("user_id").cast("string").alias("gstin"),
-        F.from_json(body, "k int, v double").alias("_d"),
-    ).select("request_id", "gstin", "_d.*")
-    return rsp.union_payloads([a, b])
+    data = F.to_json(F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("value").alias("v")))
+    body = F.to_json(F.struct(F.lit("success").alias("status"), data.alias("data")))
+    ev = fd.table(spark, sf_dir, "events")
+    answers = ev.select(F.col("event_id").alias("request_id"), F.col("user_id").cast("string").alias("gstin"), body.alias("body"))
+    return rsp.union_payloads([a, rsp.parse_data(rsp.parse_envelope(answers), "k int, v double", ["request_id", "gstin"])])
 
 
 def _api_rows(spark: SparkSession, sf_dir: str, with_status: bool) -> DataFrame:

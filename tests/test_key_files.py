@@ -1,0 +1,125 @@
+import random
+import re
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from rawline.operators import scd
+from rawline.runtime import scratch_path
+from rawline.sinks import key_files as kf
+from rawline.sinks import manifest as mf
+
+COLS = "id string, sub string, v string, kafka_ts string, trail_file_pos string, part_1 string"
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, COLS)
+
+
+def snapshot(spark, root, per_file=10):
+    """A hot partition of 12 files, and odd partition values."""
+    hot = [(f"{i:04d}", str(i % 3), "old", "t", "5", "hot") for i in range(120)]
+    odd = [(f"{i:04d}", "0", "old", "t", "5", p) for i, p in enumerate(["a b", "R&D", "a:b", None, "éco"] * 3, 2000)]
+    base = frame(spark, hot + odd)
+    kf.start_key_snapshot(base.coalesce(1), root, 1, ["id", "sub"], ["part_1"], per_file)
+    return base
+
+
+DELTA = [
+    ("0003", "0", "new", "t", "9", "hot"),
+    ("0004", "1", "late", "t", "1", "hot"),  # older than the snapshot's row
+    ("00045", "0", "new", "t", "9", "hot"),  # a new key between old ones
+    ("9999", "0", "new", "t", "9", "fresh"),
+    ("2002", "0", "new", "t", "9", "a:b"),
+    ("2003", "0", "new", "t", "9", None),
+    ("2001", "0", "moved", "t", "9", "hot"),  # its old partition is touched too
+    ("2006", "0", "new", "t", "9", "R&D"),
+]
+
+
+def test_only_files_with_the_deltas_keys_are_read_and_rewritten(spark):
+    root = scratch_path(spark, "kf")
+    base = snapshot(spark, root)
+    before = {r["file"]: r for r in kf.read_bounds(spark, root).collect()}
+    assert sum(r["part_1"] == "hot" for r in before.values()) >= 12
+    delta = frame(spark, DELTA)
+    want = scd.apply_merge(base, scd.scd1_merge(delta, base, ["id", "sub"], ["part_1"]), scd.touched_partitions(delta, ["part_1"]), ["part_1"])
+    near = {r["file"] for r in kf.may_hold(kf.read_bounds(spark, root), delta, ["id", "sub"], ["part_1"]).collect()}
+    gone = kf.merge_key_files(delta, root, 2, ["id", "sub"], ["part_1"], rows_per_file=10)
+    after = {r["file"] for r in kf.read_bounds(spark, root).collect()}
+    assert set(gone) <= near < before.keys() and not after & set(gone)
+    assert before.keys() - set(gone) <= after  # left in place, with no rewrite
+    hot = [f for f, r in before.items() if r["part_1"] == "hot"]
+    assert len([f for f in gone if f in hot]) == 1  # of the hot partition's twelve
+    assert rows(kf.read_key_snapshot(spark, root, base.schema)) == rows(want)
+    assert kf.merge_key_files(delta, root, 2, ["id", "sub"], ["part_1"]) == []  # published already
+    # the first manifest can be made live again until its files are retired
+    mf.roll_back(spark, root, 1)
+    assert rows(kf.read_key_snapshot(spark, root, base.schema)) == rows(base)
+    now = mf.read_pointer(spark, root)
+    mf.switch_pointer(spark, root, mf.Pointer(2, 2, now.rows))
+    assert kf.retire_files(spark, root) == sorted(gone)
+    assert rows(kf.read_key_snapshot(spark, root, base.schema)) == rows(want)
+
+
+def test_the_key_scan_reads_few_columns_and_rows(spark):
+    root = scratch_path(spark, "kf")
+    base = snapshot(spark, root)
+    delta = frame(spark, DELTA[:1])
+    files = [r["file"] for r in kf.read_bounds(spark, root).collect()]
+    found = kf.key_rows(spark, root, base.schema, files, delta, ["id", "sub"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan orc" in x)
+    assert "In(id" in scan or "EqualTo(id" in scan
+    assert re.search(r"ReadSchema: struct<id:string,sub:string>", scan)
+
+
+@pytest.mark.parametrize("listed", [10_000, 2])
+def test_equals_the_whole_merge_on_random_rows(spark, monkeypatch, listed):
+    monkeypatch.setattr(kf, "LISTED", listed)  # list or bounds: the same files
+    rng = random.Random(listed)
+    parts = ["p", "q", None, "r s"]  # by key: a key of the delta keeps its partition
+
+    def part(key):
+        return parts[int(key[0]) % 4]
+
+    keys = [(f"{rng.randrange(300)}", str(rng.randrange(2))) for _ in range(250)]
+    base = frame(spark, [(*k, "old", "t", str(rng.randrange(10)), part(k)) for k in sorted(set(keys))])
+    root = scratch_path(spark, "kf")
+    kf.start_key_snapshot(base, root, 1, ["id", "sub"], ["part_1"], 8)
+    for epoch in (2, 3):
+        now = kf.read_key_snapshot(spark, root, base.schema)
+        picked = {(f"{rng.randrange(320)}", str(rng.randrange(2))) for _ in range(12)}
+        delta = frame(spark, [(*k, f"new{epoch}", "t", str(rng.randrange(12)), part(k)) for k in sorted(picked)])
+        want = scd.apply_merge(now, scd.scd1_merge(delta, now, ["id", "sub"], ["part_1"]), scd.touched_partitions(delta, ["part_1"]), ["part_1"])
+        want = rows(want)
+        kf.merge_key_files(delta, root, epoch, ["id", "sub"], ["part_1"], rows_per_file=8)
+        assert rows(kf.read_key_snapshot(spark, root, base.schema)) == want
+    assert kf.read_bounds(spark, root).agg(F.sum("n_rows")).first()[0] == len(want)
+
+
+def test_a_stopped_publish_leaves_the_old_snapshot(spark, monkeypatch):
+    root = scratch_path(spark, "kf")
+    base = snapshot(spark, root)
+    delta = frame(spark, DELTA)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    for step in ("write_manifest", "switch_pointer"):
+        with monkeypatch.context() as m:
+            m.setattr(kf, step, stop)
+            with pytest.raises(RuntimeError, match="stopped"):
+                kf.merge_key_files(delta, root, 2, ["id", "sub"], ["part_1"])
+        assert rows(kf.read_key_snapshot(spark, root, base.schema)) == rows(base)
+    want = scd.apply_merge(base, scd.scd1_merge(delta, base, ["id", "sub"], ["part_1"]), scd.touched_partitions(delta, ["part_1"]), ["part_1"])
+    kf.merge_key_files(delta, root, 2, ["id", "sub"], ["part_1"])
+    assert rows(kf.read_key_snapshot(spark, root, base.schema)) == rows(want)
+
+
+def test_an_empty_delta_changes_nothing(spark):
+    root = scratch_path(spark, "kf")
+    base = snapshot(spark, root)
+    assert kf.merge_key_files(frame(spark, []), root, 2, ["id", "sub"], ["part_1"]) == []
+    assert rows(kf.read_key_snapshot(spark, root, base.schema)) == rows(base)
