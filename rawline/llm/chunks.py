@@ -81,8 +81,9 @@ def chunk_ends(data: bytes, gear: np.ndarray) -> np.ndarray:
     return ends
 
 
-#: A chunk (last: of its text); in a repeated one, first_id names an earlier copy's document.
-CHUNK = "repeated boolean, digest long, size int, doc_id long, start long, rid long, seq int, last boolean, first_id long"
+#: A chunk, its digest of 128 bits in two halves (last: of its text); in a repeated
+#: one, first_id names an earlier copy's document.
+CHUNK = "repeated boolean, digest long, more long, size int, doc_id long, start long, rid long, seq int, last boolean, first_id long"
 NAMES = [c.split()[0] for c in CHUNK.split(", ")]
 NO_ID = -(1 << 63)
 
@@ -98,11 +99,11 @@ def _numpy(b: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def _repeats(cols: list[np.ndarray]) -> np.ndarray:
-    """Of chunks in order of (digest, size, doc_id, start, rid): which are
+    """Of chunks in order of (digest, more, size, doc_id, start, rid): which are
     first of their kind; marks those that stand later than it (repeated,
     first_id)."""
-    _, digest, size, doc_id, start, rid, _, _, _ = cols
-    new = np.concatenate(([True], (digest[1:] != digest[:-1]) | (size[1:] != size[:-1])))
+    _, digest, more, size, doc_id, start, rid, _, _, _ = cols
+    new = np.concatenate(([True], (digest[1:] != digest[:-1]) | (more[1:] != more[:-1]) | (size[1:] != size[:-1])))
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     cols[0], cols[-1] = ~new & ((doc_id != doc_id[first]) | (start != start[first]) | (rid != rid[first])), doc_id[first]
     return new
@@ -120,16 +121,18 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
             ends = [chunk_ends(t, gear) for t in texts]
             count = [len(e) for e in ends]
             starts = [np.concatenate(([0], e[:-1])) if len(e) else e for e in ends]
-            digest = [xxhash.xxh3_64_intdigest(t[x:y]) for t, s, e in zip(texts, starts, ends) for x, y in zip(s.tolist(), e.tolist())]
-            if not digest:
+            hashed = xxhash.xxh3_128_digest
+            digests = b"".join([hashed(t[x:y]) for t, s, e in zip(texts, starts, ends) for x, y in zip(s.tolist(), e.tolist())])
+            if not digests:
                 continue
+            digest, more = np.frombuffer(digests, np.int64).reshape(-1, 2).T
             start = np.concatenate(starts).astype(np.int64)
             size = (np.concatenate(ends) - start).astype(np.int32)
             seq = np.concatenate([np.arange(n, dtype=np.int32) for n in count])
             doc_id, rid = (np.repeat(b[c].fill_null(NO_ID).to_numpy(), count) for c in ("doc_id", "rid"))
             last = seq + 1 == np.repeat(count, count)
-            cols = [np.zeros(len(seq), bool), np.array(digest, np.uint64).view(np.int64), size, doc_id, start, rid, seq, last, doc_id.copy()]
-            order = np.lexsort((rid, start, doc_id, size, cols[1]))
+            cols = [np.zeros(len(seq), bool), digest, more, size, doc_id, start, rid, seq, last, doc_id.copy()]
+            order = np.lexsort((rid, start, doc_id, size, more, digest))
             cols = [c[order] for c in cols]
             new = _repeats(cols)
             yield _batch([c[new | cols[0]] for c in cols])
@@ -143,7 +146,7 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
     """The chunks with an earlier copy: a stream over rows in order of digest,
     which keeps only the first chunk of the digest at hand."""
     dealt = chunks.withColumn("at", F.when(F.col("repeated"), F.col("rid")).otherwise(F.col("digest")))
-    dealt = dealt.repartition("at").drop("at").sortWithinPartitions("repeated", "digest", "size", "doc_id", "start", "rid")
+    dealt = dealt.repartition("at").drop("at").sortWithinPartitions("repeated", "digest", "more", "size", "doc_id", "start", "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = None
@@ -170,9 +173,9 @@ def repeated_runs(docs: DataFrame, least: int = RUN) -> DataFrame:
     """(rid, doc_id, start, size, chunks, first_id): maximal runs of chunks
     that repeat an earlier one, of ``least`` bytes at least or of the whole text; first_id
     is the doc_id of an earlier copy of the run's first chunk."""
-    again = repeated_chunks(chunk_rows(docs)).dropDuplicates(["rid", "seq"])
+    again = repeated_chunks(chunk_rows(docs)).dropDuplicates(["rid", "doc_id", "seq"])
     # a document's own repeated chunks are ordered together, never a digest's
-    along = Window.partitionBy("rid").orderBy("seq")
+    along = Window.partitionBy("rid", "doc_id").orderBy("seq")
     run = F.col("seq") - F.row_number().over(along)  # the same within a run
     runs = again.withColumn("run", run).groupBy("rid", "doc_id", "run")
     out = runs.agg(F.min("start").alias("start"), F.sum("size").alias("size"), F.count("*").alias("chunks"), F.min_by("first_id", "seq").alias("first_id"), F.max("last").alias("last"))
@@ -190,9 +193,9 @@ def without_repeats(docs: DataFrame, least: int = RUN) -> DataFrame:
     start, then the smaller row key, counts as first. Null doc_ids come first.
     An empty table gives an empty result. Other columns are not read.
     """
-    runs = repeated_runs(docs, least).groupBy(F.col("rid").alias("run_rid")).agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("runs"), F.sort_array(F.collect_set("first_id")).alias("copied_from"))
+    runs = repeated_runs(docs, least).groupBy(F.col("rid").alias("run_rid"), F.col("doc_id").alias("run_id")).agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("runs"), F.sort_array(F.collect_set("first_id")).alias("copied_from"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
-    joined = texts.join(runs, F.col("rid") == F.col("run_rid"), "left").select("doc_id", "text", F.transform("runs", lambda r: r["start"]).alias("starts"), F.transform("runs", lambda r: r["start"] + r["size"]).alias("ends"), "copied_from")
+    joined = texts.join(runs, (F.col("rid") == F.col("run_rid")) & F.col("doc_id").eqNullSafe(F.col("run_id")), "left").select("doc_id", "text", F.transform("runs", lambda r: r["start"]).alias("starts"), F.transform("runs", lambda r: r["start"] + r["size"]).alias("ends"), "copied_from")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
