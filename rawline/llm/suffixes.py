@@ -18,7 +18,7 @@ task, as tasks settle copies that they see before anything is shuffled.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ready, row_key, settle
-from .induced import suffix_order
+from .induced import suffixes_descending
 
 #: Bytes of the strings that are compared, and of the grams that deal them.
 LENGTH, GRAM = 100, 32
 #: Starts hashed at a time; text cut and text sorted together, about; queue
-#: entries kept in memory; pieces of a key from which it is dealt by window (as
+#: entries kept in memory (a full shard has several times as many); pieces of a key from which it is dealt by window (as
 #: is one of more than SHARD windows).
-BLOCK, SLICE, SHARD, IN_MEMORY, HOT = 1 << 16, 1 << 23, 1 << 21, 1 << 23, 8192
+BLOCK, SLICE, SHARD, IN_MEMORY, HOT = 1 << 16, 1 << 23, 1 << 22, 1 << 19, 8192
 BYTE_HASH = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
 
@@ -97,6 +97,11 @@ def pieces_of(data: bytes, begin: np.ndarray, length: int, gram: int) -> tuple[n
     return doc, at - begin[doc], stop - at, keys, inner
 
 
+def halves(parts: Iterable[bytes]) -> np.ndarray:
+    """Digests of 128 bits as two rows of 64-bit integers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), np.int64).reshape(-1, 2).T
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in parts of about SLICE bytes of text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy())
@@ -107,7 +112,8 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = end
 
 
-PIECE = "settled boolean, inner boolean, key long, digest long, doc_id long, rid long, start long, windows int"
+#: digest, more: the halves of a piece's digest of 128 bits. A row is named by doc_id and rid.
+PIECE = "settled boolean, inner boolean, key long, digest long, more long, doc_id long, rid long, start long, windows int"
 
 
 def find_pieces(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -129,18 +135,17 @@ def find_pieces(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 continue
             a = (begin[doc] + start).tolist()
             e = (begin[doc] + start + windows + length - 1).tolist()
-            hashed = xxhash.xxh3_64_intdigest
-            digest = np.array([hashed(data[x:y]) for x, y in zip(a, e)], np.uint64).view(np.int64)
-            ids = b["doc_id"].fill_null(-(1 << 63)).to_numpy()[long_enough][doc]
+            digest, more = halves(data[x:y] for x, y in zip(a, e))
+            ids = b["doc_id"].to_numpy()[long_enough][doc]
             rid = b["rid"].to_numpy()[long_enough][doc]
             key = key.view(np.int64)
-            order = np.lexsort((rid, start, ids, digest, key))
-            key, digest, ids, rid, start, windows, inner = (x[order] for x in (key, digest, ids, rid, start, windows, inner))
-            new = np.concatenate(([True], (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])))
+            order = np.lexsort((rid, start, ids, more, digest, key))
+            key, digest, more, ids, rid, start, windows, inner = (x[order] for x in (key, digest, more, ids, rid, start, windows, inner))
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (more[1:] != more[:-1])))
             first = np.flatnonzero(new)[np.cumsum(new) - 1]
             done = ~new & ((ids != ids[first]) | (rid != rid[first]) | (start != start[first]))
             keep = new | done
-            cols = [done, inner, np.where(done, rid, key), digest, ids, rid, start, windows.astype(np.int32)]
+            cols = [done, inner, np.where(done, rid, key), digest, more, ids, rid, start, windows.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names)
 
     return texts.select("doc_id", "rid", "text").mapInArrow(run, PIECE)
@@ -151,7 +156,7 @@ def meet(pieces: DataFrame) -> DataFrame:
     of every key that has several or that may repeat in themselves. A stream over rows in order of key; it
     holds no group."""
     names = [c.split()[0] for c in PIECE.split(", ")]
-    dealt = pieces.repartition("key").sortWithinPartitions("settled", "key", "digest", "doc_id", "start", "rid")
+    dealt = pieces.repartition("key").sortWithinPartitions("settled", "key", "digest", "more", "doc_id", "start", "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None  # the first piece of the digest at hand, and the digests of its key so far
@@ -167,9 +172,9 @@ def meet(pieces: DataFrame) -> DataFrame:
             if state is not None:
                 cols = [np.concatenate(([s], c)) for s, c in zip(state[0], cols)]
                 before = state[1]
-            _, inner, key, digest, ids, rid, start, _ = cols
+            _, inner, key, digest, more, ids, rid, start, _ = cols
             new_key = np.concatenate(([True], key[1:] != key[:-1]))
-            new = new_key | np.concatenate(([True], digest[1:] != digest[:-1]))
+            new = new_key | np.concatenate(([True], (digest[1:] != digest[:-1]) | (more[1:] != more[:-1])))
             heads = np.flatnonzero(new)
             first = heads[np.cumsum(new) - 1]
             again = ~new & ((ids != ids[first]) | (rid != rid[first]) | (start != start[first]))
@@ -193,22 +198,23 @@ def read_back(texts: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
     pieces; hot marks keys with many of them, or much text."""
     hot = distinct.groupBy(F.col("key").alias("hot_key")).agg(F.count("*").alias("n"), F.sum("windows").alias("size")).filter((F.col("n") > HOT) | (F.col("size") > SHARD)).select("hot_key")
     marked = distinct.join(hot, F.col("key") == F.col("hot_key"), "left").withColumn("hot", F.col("hot_key").isNotNull())
-    wanted = marked.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("key", "start", "windows", "hot")).alias("wanted"))
-    joined = texts.join(wanted, F.col("rid") == F.col("of")).dropDuplicates(["rid"]).select("doc_id", "rid", F.col("text").cast("binary").alias("data"), "wanted")
+    wanted = marked.groupBy(F.col("rid").alias("of"), F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("key", "start", "windows", "hot")).alias("wanted"))
+    joined = texts.join(wanted, (F.col("rid") == F.col("of")) & (F.col("doc_id") == F.col("of_id"))).dropDuplicates(["rid", "doc_id"]).select("doc_id", "rid", F.col("text").cast("binary").alias("data"), "wanted")
     sub = F.expr(f"transform(wanted, w -> struct(w.key as key, w.start as start, w.windows as windows, w.hot as hot, substring(data, cast(w.start + 1 as int), w.windows + {length - 1}) as part))")
     return joined.select("doc_id", "rid", F.inline(sub))
 
 
-PART = "settled boolean, key long, doc_id long, rid long, start long, windows int, part binary"
+PART = "settled boolean, key long, more long, doc_id long, rid long, start long, windows int, part binary"
 PART_NAMES = [c.split()[0] for c in PART.split(", ")]
+RUN_NAMES = ["doc_id", "rid", "start", "windows"]
 
 
-def window_runs(rid: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rid, start, windows) of the runs of neighbouring windows."""
-    by = np.lexsort((start, rid))
-    r, p = rid[by], start[by]
-    head = np.flatnonzero(np.concatenate(([True], (np.diff(r) != 0) | (np.diff(p) != 1)))) if len(r) else np.zeros(0, np.int64)
-    return r[head], p[head], np.diff(np.append(head, len(r))).astype(np.int32)
+def window_runs(ids: np.ndarray, rid: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
+    """doc_id, rid, start, windows of the runs of neighbouring windows."""
+    by = np.lexsort((start, rid, ids))
+    i, r, p = ids[by], rid[by], start[by]
+    head = np.flatnonzero(np.concatenate(([True], (np.diff(i) != 0) | (np.diff(r) != 0) | (np.diff(p) != 1)))) if len(r) else np.zeros(0, np.int64)
+    return [i[head], r[head], p[head], np.diff(np.append(head, len(r))).astype(np.int32)]
 
 
 def deal_hot(parts: DataFrame, length: int) -> DataFrame:
@@ -220,22 +226,24 @@ def deal_hot(parts: DataFrame, length: int) -> DataFrame:
     def windows_of(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         count = b["windows"].to_numpy()
         piece = np.repeat(np.arange(len(count)), count)
-        hashed = xxhash.xxh3_64_intdigest
-        digest = np.array([hashed(t[i : i + length]) for t, n in zip(b["part"].to_pylist(), count.tolist()) for i in range(n)], np.uint64).view(np.int64)
+        digest, more = halves(t[i : i + length] for t, n in zip(b["part"].to_pylist(), count.tolist()) for i in range(n))
         place = b["start"].to_numpy()[piece] + np.concatenate([np.arange(n) for n in count])
-        ids, rid = b["doc_id"].fill_null(-(1 << 63)).to_numpy()[piece], b["rid"].to_numpy()[piece]
-        by = np.lexsort((rid, place, ids, digest))
-        again = np.concatenate(([False], digest[by][1:] == digest[by][:-1]))
+        ids, rid = b["doc_id"].to_numpy()[piece], b["rid"].to_numpy()[piece]
+        by = np.lexsort((rid, place, ids, more, digest))
+        again = np.concatenate(([False], (digest[by][1:] == digest[by][:-1]) & (more[by][1:] == more[by][:-1])))
         head, gone = by[~again], by[again]
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(head), bool)), pa.array(digest[head]), b["doc_id"].take(pa.array(piece[head])), pa.array(rid[head]), pa.array(place[head]), pa.array(np.ones(len(head), np.int32)), pa.nulls(len(head), pa.binary())], PART_NAMES)
-        r, p, n = window_runs(rid[gone], place[gone])
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(r), bool)), pa.array(r), pa.nulls(len(r), pa.int64()), pa.array(r), pa.array(p), pa.array(n), pa.nulls(len(r), pa.binary())], PART_NAMES)
+        cols = [np.zeros(len(head), bool), digest[head], more[head], ids[head], rid[head], place[head], np.ones(len(head), np.int32)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.nulls(len(head), pa.binary())], PART_NAMES)
+        i, r, p, n = window_runs(ids[gone], rid[gone], place[gone])
+        cols = [np.ones(len(r), bool), r, np.zeros(len(r), np.int64), i, r, p, n]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.nulls(len(r), pa.binary())], PART_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hot = b["hot"].to_numpy(zero_copy_only=False)
             cold = b.filter(pa.array(~hot))
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(cold), bool)), *(cold[c] for c in PART_NAMES[1:])], PART_NAMES)
+            none = np.zeros(len(cold), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(none != 0), cold["key"], pa.array(none), *(cold[c] for c in PART_NAMES[3:])], PART_NAMES)
             warm = b.filter(pa.array(hot))
             lot = np.cumsum(warm["windows"].to_numpy().astype(np.int64)) // (SLICE >> 4)
             for at in np.flatnonzero(np.diff(lot, prepend=-1)).tolist():
@@ -245,10 +253,10 @@ def deal_hot(parts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_windows(parts: DataFrame, length: int) -> DataFrame:
-    """(rid, start, windows): runs of windows of the pieces that occur earlier
+    """(doc_id, rid, start, windows): runs of windows of the pieces that occur earlier
     in another piece of their key, by the shards' suffix arrays. Windows dealt
     by themselves stream by in order; no group of them is held."""
-    dealt = parts.repartition("key").sortWithinPartitions(F.col("part").isNull(), "settled", "key", "doc_id", "start", "rid")
+    dealt = parts.repartition("key").sortWithinPartitions(F.col("part").isNull(), "settled", "key", "more", "doc_id", "start", "rid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, key, window = [], 0, None, None
@@ -256,11 +264,11 @@ def repeated_windows(parts: DataFrame, length: int) -> DataFrame:
             alone = b["part"].is_null().to_numpy(zero_copy_only=False)
             if alone.any():
                 w = b.filter(pa.array(alone))
-                digest = w["key"].to_numpy()
-                again = w["settled"].to_numpy(zero_copy_only=False) | np.concatenate(([window is not None and digest[0] == window], digest[1:] == digest[:-1]))
-                window = digest[-1]
+                digest, more = w["key"].to_numpy(), w["more"].to_numpy()
+                again = w["settled"].to_numpy(zero_copy_only=False) | np.concatenate(([window == (digest[0], more[0])], (digest[1:] == digest[:-1]) & (more[1:] == more[:-1])))
+                window = digest[-1], more[-1]
                 w = w.filter(pa.array(again))
-                yield pa.RecordBatch.from_arrays([w[c] for c in ("rid", "start", "windows")], ["rid", "start", "windows"])
+                yield pa.RecordBatch.from_arrays([w[c] for c in RUN_NAMES], RUN_NAMES)
                 b = b.filter(pa.array(~alone))
             for row in zip(*(b[c].to_pylist() for c in ("key", "doc_id", "rid", "start", "windows", "part"))):
                 if size >= SHARD and row[0] != key:
@@ -272,33 +280,40 @@ def repeated_windows(parts: DataFrame, length: int) -> DataFrame:
         if held:
             yield shard_repeats(held, length)
 
-    return dealt.mapInArrow(run, "rid long, start long, windows int")
+    return dealt.mapInArrow(run, "doc_id long, rid long, start long, windows int")
 
 
 def shard_repeats(rows: list[tuple], length: int) -> pa.RecordBatch:
     """Repeats within one shard: rows (doc_id, rid, start, windows, part)."""
     ids, rid, start, windows, parts = zip(*rows)
-    ids = np.array([-(1 << 63) if i is None else i for i in ids], np.int64)
-    rid, start, windows = np.array(rid, np.int64), np.array(start, np.int64), np.array(windows, np.int64)
-    text = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8).astype(np.int32) + 2
+    ids, rid = np.array(ids, np.int64), np.array(rid, np.int64)
+    start, windows = np.array(start, np.int64), np.array(windows, np.int64)
     begin = np.concatenate(([0], np.cumsum([len(p) + 1 for p in parts])))
+    text = np.append(np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8).astype(np.int16) + 2, np.int16(0))
     text[begin[1:] - 1] = 1  # a piece's end
-    order, com = suffix_order(np.append(text, 0), 258, length, IN_MEMORY)
-    piece = np.searchsorted(begin, order, side="right") - 1
-    offset = order - begin[piece]
-    own = (piece < len(parts)) & (offset < windows[np.minimum(piece, len(parts) - 1)])
-    joined = np.zeros(len(order), bool)
-    joined[1:] = (com[1:] >= length) & own[1:] & own[:-1]
-    group = np.cumsum(~joined)
-    several = joined.copy()
-    several[:-1] |= joined[1:]
-    at = np.flatnonzero(several)
-    group, piece, offset = group[at], piece[at], offset[at]
-    place = start[piece] + offset
+    groups, places, group = [], [], 0
+    last, last_own, last_joined = -1, False, False  # the suffix before the block
+    for pos, com in suffixes_descending(text, 258, length, IN_MEMORY):
+        piece = np.minimum(np.searchsorted(begin, pos, side="right") - 1, len(parts) - 1)
+        own = pos - begin[piece] < windows[piece]
+        joined = (com >= length) & own
+        joined &= np.concatenate(([last_own], own[:-1]))
+        number = group + np.cumsum(~joined)
+        several = joined.copy()
+        several[:-1] |= joined[1:]
+        if joined[0] and not last_joined:
+            groups.append(np.array([group]))
+            places.append(np.array([last]))
+        groups.append(number[several])
+        places.append(pos[several])
+        group, last, last_own, last_joined = int(number[-1]), int(pos[-1]), bool(own[-1]), bool(joined[-1])
+    group, at = np.concatenate(groups), np.concatenate(places)
+    piece = np.searchsorted(begin, at, side="right") - 1
+    place = start[piece] + at - begin[piece]
     by = np.lexsort((rid[piece], place, ids[piece], group))
     first = np.concatenate(([True], np.diff(group[by]) != 0)) if len(by) else np.zeros(0, bool)
     gone = by[~first]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in window_runs(rid[piece[gone]], place[gone])], ["rid", "start", "windows"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in window_runs(ids[piece[gone]], rid[piece[gone]], place[gone])], RUN_NAMES)
 
 
 def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -314,13 +329,14 @@ def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int =
     read.
     """
     ready(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
+    named = docs.select(F.col("doc_id").cast("long").alias("given_id"), F.coalesce("text", F.lit("")).alias("text"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
+    texts = named.select("given_id", F.coalesce("given_id", F.lit(-(1 << 63))).alias("doc_id"), "text", "rid")  # null doc_ids come first
     met = settle(meet(find_pieces(texts, length, gram)), "suffix-met")
-    distinct = met.filter("not settled").select("key", "rid", "start", "windows")
+    distinct = met.filter("not settled").select("key", "doc_id", "rid", "start", "windows")
     found = repeated_windows(deal_hot(read_back(texts, distinct, length), length), length)
-    marks = met.filter("settled").select("rid", "start", "windows").union(found)
-    spans = marks.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
-    joined = texts.join(spans, F.col("rid") == F.col("of"), "left").select("doc_id", "text", F.transform("marks", lambda m: m["start"]).alias("starts"), F.transform("marks", lambda m: m["windows"]).alias("windows"))
+    marks = met.filter("settled").select(*RUN_NAMES).union(found)
+    spans = marks.groupBy(F.col("rid").alias("of"), F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("start", "windows")).alias("marks"))
+    joined = texts.join(spans, (F.col("rid") == F.col("of")) & (F.col("doc_id") == F.col("of_id")), "left").select(F.col("given_id").alias("doc_id"), "text", F.transform("marks", lambda m: m["start"]).alias("starts"), F.transform("marks", lambda m: m["windows"]).alias("windows"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

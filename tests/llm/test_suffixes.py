@@ -4,8 +4,8 @@ import random
 import numpy as np
 import pytest
 
-from rawline.llm import suffixes
-from rawline.llm.induced import suffix_order
+from rawline.llm import induced, suffixes
+from rawline.llm.induced import suffix_order, suffixes_descending
 from rawline.llm.suffixes import without_repeated_strings
 
 
@@ -26,6 +26,46 @@ def test_order_and_common_prefixes():
             assert e == com[k]
 
 
+def test_queues_far_larger_than_memory(monkeypatch):
+    monkeypatch.setattr(induced, "STEP", 1 << 10)
+    files = []
+    monkeypatch.setattr(induced.tempfile, "TemporaryFile", lambda real=induced.tempfile.TemporaryFile: files.append(real()) or files[-1])
+    rng = np.random.default_rng(3)
+    words = [rng.integers(2, 30, rng.integers(2, 9)) for _ in range(200)]
+    t = np.concatenate([*(words[i] for i in rng.integers(0, 200, 20000)), np.full(3000, 7), [0]])
+    room = len(t) // 50
+    sizes, order, com = [], [], []
+    for pos, c in suffixes_descending(t, 30, 40, room):
+        sizes.append(len(pos))
+        order.append(pos)
+        com.append(c)
+    assert files and max(sizes) <= 2 << 10  # handed out in blocks, with entries on disk
+    calm = suffix_order(t, 30, 40)
+    order = np.concatenate(order)[::-1]
+    raw = (t + 1).astype(np.uint8).tobytes()
+    heads = [raw[i : i + 40] for i in order.tolist()]
+    assert heads == sorted(raw[i : i + 40] for i in range(len(t)))
+    assert np.concatenate(com)[::-1][:-1].tolist() == calm[1][1:].tolist()
+
+
+@pytest.mark.parametrize("room", [0, 50, 2000])
+def test_shard_larger_than_its_queues(monkeypatch, room):
+    monkeypatch.setattr(suffixes, "IN_MEMORY", room)
+    monkeypatch.setattr(induced, "STEP", 64)
+    rng = random.Random(room)
+    text = corpus(rng, "abc", 80)
+    rows = [(i, 7, 0, len(t) - 11, t.encode()) for i, t in text if len(t) >= 12]
+    got = suffixes.shard_repeats(rows, 12).to_pydict()
+    found = {(i, p + k) for i, p, n in zip(got["doc_id"], got["start"], got["windows"]) for k in range(n)}
+    seen, want = set(), set()
+    for i, _, _, n, t in rows:
+        for j in range(n):
+            if t[j : j + 12] in seen:
+                want.add((i, j))
+            seen.add(t[j : j + 12])
+    assert found == want and want
+
+
 def brute(data, length):
     seen, out = set(), []
     order = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
