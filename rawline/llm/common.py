@@ -36,10 +36,17 @@ def n_words(text: Column) -> Column:
 
 def row_key(doc_id: Column, text: Column) -> Column:
     """Key of a document row. Rows that repeat both doc_id and text share it
-    and are the same document."""
+    and are the same document. Rows are told apart by doc_id and key together:
+    by the key alone, some of very many rows would meet by chance."""
     return F.xxhash64(doc_id, text)
 
 
+def same_id(a: Column, b: Column) -> Column:
+    """Equal doc_ids, or both null; beside equal row keys in a join, which stays
+    dealt by the row key alone."""
+    return F.coalesce(a == b, a.isNull() & b.isNull())
+
+
 def free_names(names: list[str], taken: list[str]) -> list[str]:
     """``names`` for added columns; one that a frame has already (in any case)
     gets underscores in front until it is free."""

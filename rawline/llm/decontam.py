@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, settle
+from .common import row_key, same_id, settle
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -120,9 +120,9 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     windows = settle(reduce(DataFrame.unionByName, hits), "decontam-windows")
 
     # the windows' shingles: a document's windows are at most its shingles times the item lengths
-    per_doc = windows.groupBy("rid").agg(F.collect_list(F.struct("len", "k", "start")).alias("spots"))
+    per_doc = windows.groupBy(F.col("rid").alias("of"), F.col("doc_id").alias("of_id")).agg(F.collect_list(F.struct("len", "k", "start")).alias("spots"))
     # documents are dealt by row key at every size: what they are joined with grows with them
-    read = texts.join(per_doc.hint("merge"), "rid").dropDuplicates(["rid"]).select("rid", "doc_id", word_hashes(F.col("text")).alias("w"), "spots")
+    read = texts.join(per_doc.hint("merge"), (F.col("rid") == F.col("of")) & same_id(F.col("doc_id"), F.col("of_id"))).dropDuplicates(["rid", "doc_id"]).select("rid", "doc_id", word_hashes(F.col("text")).alias("w"), "spots")
     read = read.select("rid", "doc_id", "w", F.explode("spots").alias("s"))
     cut = []
     for k in sizes:
@@ -140,7 +140,8 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     near = near.select(*place, "item_id", "total", "item_total", "bits").distinct()
 
     other = item_sh.select("item_id", "sh", F.col("n").alias("m"))
-    shared = near.join(win_sh.select("rid", "len", "start", "sh", "n"), ["rid", "len", "start"]).join(other, ["item_id", "sh"])
+    parts = win_sh.withColumnRenamed("doc_id", "of_id")
+    shared = near.join(parts, ["rid", "len", "start"]).filter(same_id(F.col("doc_id"), F.col("of_id"))).join(other, ["item_id", "sh"])
     verified = shared.groupBy(*place, "item_id", "total", "item_total", "bits").agg(F.sum(F.least("n", "m")).alias("both"))
     alike = F.col("both") / (F.col("total") + F.col("item_total") - F.col("both"))
     verified = verified.withColumn("similarity", alike).filter(F.col("similarity") >= similarity)
@@ -154,6 +155,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 
 def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    found = contaminated(docs, items, similarity).select(F.col("rid").alias("hit_rid")).distinct()
-    mine = row_key(docs["doc_id"].cast("long"), docs["text"])
-    return docs.join(found, mine == found["hit_rid"], "left_anti")
+    found = contaminated(docs, items, similarity).select(F.col("rid").alias("hit_rid"), F.col("doc_id").alias("hit_id")).distinct()
+    doc_id = docs["doc_id"].cast("long")
+    hit = (row_key(doc_id, docs["text"]) == found["hit_rid"]) & same_id(doc_id, found["hit_id"])
+    return docs.join(found, hit, "left_anti")

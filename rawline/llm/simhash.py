@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ready, row_key, settle
+from .common import ready, row_key, same_id, settle
 from .components import components
 
 #: Shingles hashed at a time: bounds memory on very long texts.
@@ -221,8 +221,8 @@ def keep_one(docs: DataFrame, words: int = 3, bits: int = 3, segments: int = 2)
     one component, and one of them stays."""
     found = near_duplicates(docs, words, bits, segments)
     lead = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first"))
-    lead = lead.select(F.col("first.rid").alias("lead_rid"))
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
-    mine = keyed.join(lead, F.col("rid") == F.col("lead_rid"), "left_semi")
-    same = Window.partitionBy("rid").orderBy("row")
+    lead = lead.select(F.col("first.rid").alias("lead_rid"), F.col("first.doc_id").alias("lead_id"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), row_key(F.col("doc_id").cast("long"), F.col("text")).alias("rid"))
+    mine = keyed.join(lead, (F.col("rid") == F.col("lead_rid")) & same_id(F.col("id"), F.col("lead_id")), "left_semi")
+    same = Window.partitionBy("rid", "id").orderBy("row")
     return mine.withColumn("n", F.row_number().over(same)).filter("n = 1").select(*[F.col("row")[c].alias(c) for c in docs.columns])

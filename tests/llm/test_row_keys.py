@@ -1,0 +1,36 @@
+"""Rows whose keys meet by chance stay different documents."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rawline.llm import chunks, decontam, simhash, suffixes
+
+ITEM = "one two three four five six seven eight nine ten eleven twelve"
+OTHER = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+
+
+@pytest.fixture
+def one_key(monkeypatch):
+    """Every row has the same key."""
+    for module in (chunks, decontam, simhash, suffixes):
+        monkeypatch.setattr(module, "row_key", lambda doc_id, text: F.lit(7).cast("long"))
+
+
+def test_decontamination(spark, one_key):
+    docs = spark.createDataFrame([(1, ITEM), (2, OTHER), (None, "x " + ITEM), (4, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert sorted((r["doc_id"] for r in decontam.clean(docs, items).collect())) == [2, 4]
+    assert {(r["doc_id"], r["similarity"]) for r in decontam.contaminated(docs, items).collect()} == {(1, 1.0), (None, 1.0)}
+
+
+def test_near_duplicates(spark, one_key):
+    docs = spark.createDataFrame([(1, ITEM), (2, ITEM), (3, OTHER), (None, OTHER)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == [1, 3]
+
+
+def test_substrings(spark, one_key):
+    text = " ".join(f"{a}{b}" for a in ITEM.split() for b in OTHER.split())
+    docs = spark.createDataFrame([(1, text), (2, "x" + text), (3, OTHER * 9), (None, text)], "doc_id long, text string")
+    for got in (chunks.without_repeats(docs), suffixes.without_repeated_strings(docs)):
+        gone = {r["doc_id"]: r["n_removed"] / r["n_bytes"] for r in got.collect()}
+        assert gone[None] == 0 and gone[1] == 1 and gone[2] > 0.9
