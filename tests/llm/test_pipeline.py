@@ -93,3 +93,27 @@ def test_run_is_the_stages(spark, stages):
 
     assert corpus_pipeline.ORACLE_SQL is None
     assert rows(corpus_pipeline.run(spark, SF), "doc_id", "pass") == rows(stages[-1][2], "doc_id", "pass")
+
+
+def test_addresses_without_digit_or_at_sign_are_redacted_too(spark):
+    import random
+
+    import corpus_pipeline
+    from rawline.llm import pii
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeioustnr") for _ in range(rng.randrange(3, 8)))
+    docs, want = [], {}
+    for i in range(500):
+        head, tail = " ".join(word() for _ in range(40)) + " ", " " + " ".join(word() for _ in range(40))
+        address = f"{word()}.{word()}{'(at)' if i % 10 == 0 else '@'}{word()}.example.com"
+        docs.append((i, head + address + tail, "en", "web", 1))
+        if i % 10 == 0:
+            assert not pii.SIGN.search(docs[-1][1])
+            want[i] = head + "[EMAIL]" + tail
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    after = {r["doc_id"]: r for r in corpus_pipeline.redact_personal_data(spark, df, SF).collect()}
+    assert len(after) == len(docs)
+    found = [i for i in want if after[i]["text"] == want[i]]
+    assert len(found) >= 0.7 * len(want)
+    assert all(after[i]["n_chars"] == len(want[i]) for i in found)
